@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,3 +50,9 @@ def discard(df: DataFrame) -> None:
         if folder.rsplit("/", 1)[0].rstrip("/").split(":")[-1].lstrip("/") == shared_dir(spark).split(":")[-1].lstrip("/"):
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def worker_store(name: str) -> dict:
+    """A dict that lives as long as the Python worker, shared by the tasks it runs in turn."""
+    home = sys.modules.setdefault("_cairnflow_worker", types.ModuleType("_cairnflow_worker"))
+    return home.__dict__.setdefault(name, {})
