@@ -96,7 +96,7 @@ class WordBPE:
 
     #: The pre-tokenizer's pattern, the white space of its `\\s`, and the printable bytes that stand for themselves (fixed values).
     PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-    SPACES = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+    SPACES = "\t\n\x0b\x0c\r \x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
     PRINTABLE = ((33, 126), (161, 172), (174, 255))
 
     def __init__(self, path: str):
