@@ -1,0 +1,32 @@
+"""Connected components by contraction: every round at least the non-minimal nodes merge away."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import keep
+
+
+def connected_components(edges: DataFrame) -> DataFrame:
+    """Rows (node, label) for the nodes of edges (a, b): label is the smallest node reachable.
+
+    Each round points every node to its smallest neighbour, then keeps only the edges
+    between different targets; tables shrink from round to round and are written to the
+    shared folder. Nulls and loops are left out; no edges give no rows.
+    """
+    now = keep(edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a IS NOT NULL AND b IS NOT NULL AND a <> b").distinct(), "edges")
+    labels = None
+    while not now.isEmpty():
+        both = now.select("a", "b").union(now.select("b", "a"))
+        down = keep(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("target")), "contract")
+        if labels is None:
+            labels = down.select("node", F.col("target").alias("label"))
+        else:
+            moved = down.select(F.col("node").alias("label"), "target")
+            labels = keep(labels.join(moved, "label", "left").select("node", F.coalesce("target", "label").alias("label")), "labels")
+        ends = now.join(down.select(F.col("node").alias("a"), F.col("target").alias("x")), "a").join(down.select(F.col("node").alias("b"), F.col("target").alias("y")), "b")
+        now = keep(ends.where("x <> y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "edges")
+    if labels is None:
+        return edges.sparkSession.createDataFrame([], "node long, label long")
+    return labels

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, keep, session_of, table
+from .common import SPACES, discard, keep, session_of, table
 from .registry import query
 
 #: Bytes of a block, and bytes of distinct blocks that a task remembers before it starts afresh.
@@ -128,6 +128,7 @@ def exact_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", row_i
     cut = keep(rows.mapInArrow(_cutter(block_bytes, REMEMBER_BYTES), _CUT), "cut")
     docs = cut.where(F.col("names").isNotNull()).select("row_id", "doc_id", "n_points", "text_sha256")
     named = keep(docs.join(identities(cut), "row_id"), "identities")
+    discard(cut)
     best = F.min(F.struct((-F.col("n_points")).alias("short"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id"))
     groups = keep(named.groupBy("level", "name").agg(best.alias("best"), F.count("*").alias("group_size")).where("group_size > 1").select("level", "name", "group_size", F.col("best.doc_id").alias("best_id"), F.col("best.row_id").alias("best_row")), "copy-groups")
     many = F.col("group_size").isNotNull()

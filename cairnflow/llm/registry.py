@@ -6,7 +6,7 @@ import importlib
 
 PLANS: dict = {}
 SQL: dict = {}
-MODULES = ("exact_dedup", "token_output", "bpe", "mixing", "langid")
+MODULES = ("exact_dedup", "token_output", "bpe", "mixing", "langid", "jaccard_join")
 
 
 def query(name: str, sql: str | None = None):

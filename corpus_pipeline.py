@@ -1,8 +1,83 @@
-"""A pipeline over documents; see STAGES."""
+"""A corpus pipeline: language, exact copies, near copies, mixture, token ids.
 
-STAGES = []
+Every stage takes (spark, docs, sf_dir) and decides over all rows of ``docs``, a Parquet
+table; all but the last return the columns of ``documents``. Rows are told apart by their
+place in that table's files, so repeated and null ids do no harm.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cairnflow.llm.bpe import bpe_decode, bpe_encode
+from cairnflow.llm.common import keep, table
+from cairnflow.llm.exact_dedup import exact_dedup
+from cairnflow.llm.jaccard_join import jaccard_components
+from cairnflow.llm.langid import UNKNOWN, fit_language_model, held_out, label_languages
+from cairnflow.llm.mixing import mix
+
+#: Documents whose language scores less are rejected, like those without one.
+LEAST_SCORE = 0.5
+_ROW = "__row"
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    return docs.withColumn(_ROW, F.monotonically_increasing_id())
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text is in a learned language; null and letterless ones go."""
+    labelled = label_languages(docs, fit_language_model(docs.where(~held_out())))
+    return labelled.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the longest original stays."""
+    rows = _numbered(docs)
+    copies = exact_dedup(rows, row_id=_ROW).where(~F.col("kept")).select(F.col("row_id").alias(_ROW))
+    return rows.join(copies, _ROW, "left_anti").select(docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near copies the smallest doc_id stays."""
+    rows = _numbered(docs)
+    linked = jaccard_components(rows, row_id=_ROW).where(F.col("component").isNotNull())
+    groups = keep(linked.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id")).alias("first"), F.count("*").alias("n")).where("n > 1").select("component", F.col("first.row_id").alias("stays")), "near-groups")
+    copies = linked.join(groups, "component").where("row_id <> stays").select(F.col("row_id").alias(_ROW))
+    return rows.join(copies, _ROW, "left_anti").select(docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mixture takes, each as often as it takes it."""
+    rows = _numbered(docs)
+    taken = mix(rows, row_id=_ROW).where("taken > 0").select(F.col("row_id").alias(_ROW), (F.col("taken") / F.col("size")).cast("int").alias("__times"))
+    return rows.join(taken, _ROW).withColumn("__nth", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(docs.columns)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document's ids and the text they decode to."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    coded = bpe_encode(docs.select("doc_id", "lang", "source", "text"), path, drop_text=True)
+    return bpe_decode(coded, path).select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("exact_dedup", drop_copies),
+    ("jaccard_join", drop_near_copies),
+    ("mix", mix_sources),
+    ("bpe", token_ids),
+]
+
+#: A conditional random field, components and a mixture are beyond SQL; tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each but the last written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = keep(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
