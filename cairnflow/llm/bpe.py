@@ -27,7 +27,7 @@ from .common import session_of, table, worker_store
 from .registry import query
 
 #: Words that a worker remembers, and symbols of the trees worked at once.
-REMEMBER = 1_200_000
+REMEMBER = 600_000
 TREE_CELLS = 1 << 18
 _NONE = np.iinfo(np.int64).max
 
