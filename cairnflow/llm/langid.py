@@ -187,7 +187,10 @@ def fit_language_model(df: DataFrame, text: str = "text", lang: str = "lang", se
     """The field's weights from labelled rows; None where no row has both a language and a letter."""
     session_of(df)
     rows = df.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(F.lit(seed), F.col(text)).alias("draw"))
-    first = rows.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))).where(F.col("nth") <= DOCS_PER_LANG).select("lang", "draw", "text")
+    lowest = rows.select("lang", "draw").distinct().withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("draw"))).where(F.col("nth") <= DOCS_PER_LANG)
+    edges = df.sparkSession.createDataFrame(lowest.groupBy("lang").agg(F.max("draw").alias("edge")).collect(), "lang string, edge long")  # a row for each language
+    chosen = rows.join(edges, "lang").where(F.col("draw") <= F.col("edge"))
+    first = chosen.groupBy("lang", "draw").agg(F.min("text").alias("text"))  # equal texts once
     sample = sorted((r.lang, list(r.words)) for r in first.mapInArrow(_spans(seed), "lang string, words array<string>").collect())
     names = sorted({s[0] for s in sample})
     if not names:
