@@ -17,3 +17,50 @@ def breakdown(df: DataFrame, key: str | Column, weight: str | None = None, limit
     groups = df.groupBy(label.alias("label")).agg(n.cast("long").alias("n"))
     out = groups.withColumn("pct", F.round(F.lit(100.0) * F.col("n") / F.sum("n").over(Window.partitionBy()), digits))
     return out if limit is None else out.orderBy(F.desc("n"), F.asc_nulls_last("label")).limit(limit)
+
+
+def rates(df: DataFrame, by: list[str], flags: dict[str, Column], digits: int = 4) -> DataFrame:
+    """Counts n_<flag> and shares <flag>_rate of rows by group, in one pass."""
+    counts = [F.count_if(condition).alias(f"n_{name}") for name, condition in flags.items()]
+    out = df.groupBy(*by).agg(F.count("*").alias("n"), *counts)
+    for name in flags:
+        out = out.withColumn(f"{name}_rate", F.round(F.try_divide(F.col(f"n_{name}"), F.col("n")), digits))
+    return out
+
+
+def unpivot_flags(df: DataFrame, flags: dict[str, Column]) -> DataFrame:
+    """Rows (label, n) of how many rows hold each flag, flags that none holds left out."""
+    one = df.agg(*[F.count_if(condition).alias(name) for name, condition in flags.items()])
+    pairs = ", ".join(f"'{name}', `{name}`" for name in flags)
+    return one.select(F.expr(f"stack({len(flags)}, {pairs}) AS (label, n)")).where("n > 0")
+
+
+def facets(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows (facet, value, n): the counts by each key alone, from one scan."""
+    grouped = df.groupingSets([[F.col(k)] for k in keys], *[F.col(k) for k in keys]).agg(F.grouping_id().alias("gid"), F.count("*").alias("n"))
+    facet, value = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for place, key in enumerate(keys):
+        own = F.col("gid") == F.lit((1 << len(keys)) - 1 - (1 << (len(keys) - 1 - place)))
+        facet, value = F.when(own, key).otherwise(facet), F.when(own, F.col(key).cast("string")).otherwise(value)
+    return grouped.select(facet.alias("facet"), value.alias("value"), "n")
+
+
+def profile(df: DataFrame, key: str, day: str, sets: list[str]) -> DataFrame:
+    """Per key: rows, first and last day, and each named column's distinct values, sorted and joined by `|`."""
+    joined = [F.array_join(F.array_sort(F.collect_set(F.col(c).cast("string"))), "|").alias(f"{c}_set") for c in sets]
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"), F.min(day).alias("first_seen"), F.max(day).alias("last_seen"), *joined)
+
+
+def summary(df: DataFrame, by: list[str], value: str, digits: int = 6) -> DataFrame:
+    """count, mean, p50, p90, p95, min and max of a value, zeros where a group has none."""
+    p = F.percentile(value, F.array(F.lit(0.5), F.lit(0.9), F.lit(0.95)))
+    out = df.groupBy(*by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), p.alias("p"), F.min(value).alias("low"), F.max(value).alias("high"))
+    zero = lambda c: F.round(F.coalesce(c, F.lit(0.0)), digits)
+    return out.select(*by, "n", zero(F.col("mean")).alias("mean"), zero(F.col("p")[0]).alias("p50"), zero(F.col("p")[1]).alias("p90"), zero(F.col("p")[2]).alias("p95"), zero(F.col("low")).alias("low"), zero(F.col("high")).alias("high"))
+
+
+def matrix(df: DataFrame, row: str, column: str, rows: int, columns: int) -> DataFrame:
+    """Sparse cells (row, column, n) of the top rows and columns by count, ties by name."""
+    counted = df.groupBy(F.col(row).alias("row"), F.col(column).alias("column")).agg(F.count("*").alias("n"))
+    top = lambda c, n: counted.groupBy(c).agg(F.sum("n").alias("total")).orderBy(F.desc("total"), c).limit(n).select(c)
+    return counted.join(top("row", rows), "row", "left_semi").join(top("column", columns), "column", "left_semi").select("row", "column", "n")
