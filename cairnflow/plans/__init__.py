@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from types import ModuleType
 
-MODULES = ("breakdowns",)
+MODULES = ("breakdowns", "trends")
 
 
 def load() -> ModuleType:
