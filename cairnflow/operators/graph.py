@@ -99,6 +99,6 @@ def trim_to_median(df: DataFrame, group: str, node: str, day: str, window: int,
     """Members within ``window`` days of their group's upper median day; groups with fewer than ``least`` dated members stay whole."""
     dated = df.where(F.col(day).isNotNull())
     order = Window.partitionBy(group).orderBy(day, node)
-    middle = dated.withColumn("nth", F.row_number().over(order)).withColumn("n", F.count("*").over(Window.partitionBy(group))).where(F.col("nth") == F.floor(F.col("n") / 2) + 1).where(F.col("n") >= least).select(F.col(group).alias("g"), F.col(day).alias("middle"))
-    joined = df.join(middle, F.col(group) == F.col("g"), "left")
+    middle = dated.withColumn("nth", F.row_number().over(order)).withColumn("n", F.count("*").over(Window.partitionBy(group))).where(F.col("nth") == F.floor(F.col("n") / 2) + 1).where(F.col("n") >= least).select(F.col(group).alias("__group"), F.col(day).alias("middle"))
+    joined = df.join(middle, F.col(group) == F.col("__group"), "left")
     return joined.where(F.col("middle").isNull() | F.col(day).isNull() | (F.abs(F.datediff(day, "middle")) <= window)).select(df.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from types import ModuleType
 
-MODULES = ("breakdowns", "trends")
+MODULES = ("breakdowns", "trends", "texts", "matches", "streams")
 
 
 def load() -> ModuleType:
