@@ -7,6 +7,7 @@ import difflib
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import core_tokens, jaccard, match_text
 
@@ -30,7 +31,7 @@ def last_before(df: DataFrame, keys: list[str], time: str, order: list[Column],
     return df.withColumn(name, F.last(F.when(wanted, F.col(value)), ignorenulls=True).over(w))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def name_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Likeness of two names whose words are sorted, 0 to 100; batches of candidate pairs only."""
     return pd.Series([0.0 if x is None or y is None else 100.0 * difflib.SequenceMatcher(None, " ".join(sorted(x.split())), " ".join(sorted(y.split()))).ratio() for x, y in zip(a, b, strict=True)])
