@@ -29,6 +29,8 @@ from .registry import query
 #: Words that a worker remembers, and symbols of the trees worked at once.
 REMEMBER = 600_000
 TREE_CELLS = 1 << 18
+#: Up to here (Latin, Greek, Cyrillic) all Unicode versions agree on what a letter is.
+LAST_STABLE = "\u052f"
 _NONE = np.iinfo(np.int64).max
 
 
@@ -101,7 +103,9 @@ class WordBPE:
 
     def __init__(self, path: str):
         import regex
+        from tokenizers import Tokenizer
 
+        self.library = Tokenizer.from_file(path)  # parts words of scripts whose letters Unicode still adds to
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab = spec["model"]["vocab"]
@@ -113,6 +117,7 @@ class WordBPE:
         self.merges = Merges(vocab, spec["model"]["merges"])
         shown = [b for low, high in self.PRINTABLE for b in range(low, high + 1)]
         letters = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(x for x in range(256) if x not in shown)}
+        self.byte_of = {c: b for b, c in letters.items()}
         self.inner = np.array([vocab[letters[b]] for b in range(256)])
         self.last = np.array([vocab[letters[b] + end] for b in range(256)])
         self.findall = regex.compile(self.PIECES.replace(r"\s", self.SPACES)).findall
@@ -126,6 +131,12 @@ class WordBPE:
         word = unicodedata.normalize("NFC", word)
         return "".join(c.lower() for c in word) if "Σ" in word else word.lower()  # a final sigma stays as others
 
+    def _pieces(self, word: str) -> list[str]:
+        if max(word) <= LAST_STABLE:
+            return self.findall(self._normal(word))
+        parted = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(word))
+        return [bytes(self.byte_of[c] for c in piece).decode() for piece, _ in parted]
+
     def _words(self, text: str) -> list[str]:
         return [w for w in self.spaces(text) if w] if self.odd(text) else text.split()
 
@@ -168,7 +179,7 @@ class WordBPE:
                 words.update(own)
             parts.append(own)
         new = [w for w in words if w not in self.known]
-        parted = [self.findall(self._normal(w)) for w in new]
+        parted = [self._pieces(w) for w in new]
         pieces = dict(self._merge(list(set(chain.from_iterable(parted)))))
         get = pieces.__getitem__
         self.known.update((w, b"".join(map(get, own))) for w, own in zip(new, parted, strict=True))

@@ -1,13 +1,16 @@
-"""What the corpus operators share: reading tables and keeping intermediate ones."""
+"""What the corpus operators share: reading tables, intermediate tables, what workers remember."""
 
 from __future__ import annotations
 
 import sys
 import types
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.shared import discard, grows, keep, shared_dir
+
+__all__ = ["BATCH_ROWS", "SPACES", "discard", "grows", "keep", "session_of", "shared_dir", "table", "worker_store"]
+
 #: The characters that part words: `[\x20\x09-\x0D]`.
 SPACES = b" \t\n\x0b\x0c\r"
 #: Rows in an Arrow batch; texts are long, so fewer than Spark's own 10,000.
@@ -27,31 +30,6 @@ def session_of(df: DataFrame) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or where that is unset the warehouse."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared").rstrip("/")
-
-
-def keep(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it again.
-
-    It cuts the lineage: a lost executor costs the tasks it ran, not all that came before.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def discard(df: DataFrame) -> None:
-    """Delete a table that ``keep`` wrote and no later plan reads."""
-    spark = df.sparkSession
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if folder.rsplit("/", 1)[0].rstrip("/").split(":")[-1].lstrip("/") == shared_dir(spark).split(":")[-1].lstrip("/"):
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def worker_store(name: str) -> dict:
     """A dict that lives as long as the Python worker, shared by the tasks it runs in turn."""
     home = sys.modules.setdefault("_cairnflow_worker", types.ModuleType("_cairnflow_worker"))

@@ -28,6 +28,8 @@ from .simple8b import read_segment, write_segment
 #: Ids after which a segment is closed, and chunks of text that a worker remembers.
 SEGMENT_IDS = 1 << 20
 REMEMBER = 1_200_000
+#: Up to here (Latin, Greek, Cyrillic) all Unicode versions agree on what a letter is.
+LAST_STABLE = "\u052f"
 #: How the vocabulary's pre-tokenizer parts a text (fixed values).
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -57,7 +59,10 @@ class _Ids:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, chunks: list[str]) -> None:
-        """Encode new chunks."""
+        """Encode new chunks; the library itself parts those of scripts whose letters Unicode still adds to."""
+        if rare := [c for c in chunks if max(c) > LAST_STABLE]:
+            self.known.update(zip(rare, self.direct(rare), strict=True))
+            chunks = [c for c in chunks if max(c) <= LAST_STABLE]
         parted = [self.findall(chunk) for chunk in chunks]
         new = [p for p in set(chain.from_iterable(parted)) if p not in self.known]
         self.known.update(zip(new, self.direct(new), strict=True))
