@@ -5,11 +5,12 @@ from __future__ import annotations
 import sys
 import types
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.shared import discard, grows, keep, shared_dir
 
-__all__ = ["BATCH_ROWS", "SPACES", "discard", "grows", "keep", "session_of", "shared_dir", "table", "worker_store"]
+__all__ = ["BATCH_ROWS", "SPACES", "bounded_sample", "discard", "grows", "keep", "session_of", "shared_dir", "table", "worker_store"]
 
 #: The characters that part words: `[\x20\x09-\x0D]`.
 SPACES = b" \t\n\x0b\x0c\r"
@@ -30,6 +31,15 @@ def session_of(df: DataFrame) -> SparkSession:
     return spark
 
 
+def bounded_sample(df: DataFrame, draw: Column, rows: int) -> DataFrame:
+    """``df``, or where it has over ``rows`` rows about that many, those of the lowest draws.
+
+    The draw is a hash of what makes a row distinct; one count and a filter, no sort.
+    """
+    n = df.count()
+    return df if n <= rows else df.where(F.pmod(draw, F.lit(1 << 30)) < int(rows / n * (1 << 30)))
+
+
 def worker_store(name: str) -> dict:
     """A dict that lives as long as the Python worker, shared by the tasks it runs in turn."""
     home = sys.modules.setdefault("_cairnflow_worker", types.ModuleType("_cairnflow_worker"))

@@ -19,12 +19,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import keep, session_of, table, worker_store
+from .common import bounded_sample, session_of, table, worker_store
 from .registry import query
 
 #: (verdict, host and path) as the contract names them.
 RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
-#: Words of the unigram model, letters of its longest, and judged urls that the Bayes model is counted on.
+#: Words of the unigram model, letters of its longest, and distinct judged urls that the Bayes model is counted on.
 LEXICON = 50_000
 LONGEST = 20
 LABELLED = 200_000
@@ -108,13 +108,14 @@ class _Tokens:
         return [*out, f"t:{labels[-1]}"] if host else out
 
 
-def fit_bayes(rows: list[tuple[str, str, str]], logs: dict[str, float]) -> dict:
-    """Token weights (log odds of block) from (host, path, verdict)."""
+def fit_bayes(rows: list[tuple[str, str, str, int]], logs: dict[str, float]) -> dict:
+    """Token weights (log odds of block) from (host, path, verdict, how often)."""
     tokens, counts = _Tokens(logs), {"block": Counter(), "allow": Counter()}
     docs: Counter = Counter()
-    for host, path, verdict in rows:
-        counts[verdict].update(tokens.of(host, path))
-        docs[verdict] += 1
+    for host, path, verdict, n in rows:
+        for token in tokens.of(host, path):
+            counts[verdict][token] += n
+        docs[verdict] += n
     vocabulary = set(counts["block"]) | set(counts["allow"])
     size = {k: sum(c.values()) + len(vocabulary) for k, c in counts.items()}
     odds = {w: math.log((counts["block"][w] + 1) / size["block"]) - math.log((counts["allow"][w] + 1) / size["allow"]) for w in vocabulary}
@@ -136,7 +137,8 @@ def judge(df: DataFrame, url: str = "url", html: str = "html", page_id: str = "p
     parted = plain.select("page_id", host.alias("host"), path.alias("path"))
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     ruled = parted.withColumn("rule", rule).withColumn("ruled", verdict)
-    sample = ruled.where("ruled IS NOT NULL").select("host", "path", "ruled").orderBy(F.xxhash64(F.lit(9), "host", "path"), "host", "path", "ruled").limit(LABELLED)
+    labelled = ruled.where("ruled IS NOT NULL").groupBy("host", "path", "ruled").agg(F.count("*").alias("n"))
+    sample = bounded_sample(labelled, F.xxhash64(F.lit(9), "host", "path"), LABELLED)
     model = fit_bayes([tuple(r) for r in sample.collect()], logs)
     name = uuid.uuid4().hex
 
