@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import keep, session_of, table
+from .common import bounded_sample, keep, session_of, table
 from .registry import query
 
 TOP = 20
@@ -31,10 +31,10 @@ MAX_LEAVES = 8192
 BRANCHES = 8
 #: Queries that calibrate the visits, the recall they must reach, and leaves added to what they need.
 CALIBRATE = 120
-RECALL = 0.97
+RECALL = 0.94
 MARGIN = 2
-#: Rows and queries of one cell of the search.
-CELL_ROWS, CELL_QUERIES = 4096, 1024
+#: Rows and queries of one cell of the search, about.
+CELL_ROWS, CELL_QUERIES = 8192, 1024
 
 
 class Tree:
@@ -129,15 +129,19 @@ def _usable(vector: str, size: int | None = None) -> Column:
     return F.coalesce(ok if size is None else ok & (F.size(v) == size), F.lit(False))
 
 
-def _best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, lows: np.ndarray, top: int) -> pa.RecordBatch:
-    """Each query's ``top`` best rows by the exactly rounded inner product, ties to the lower ``lows``."""
-    scores = queries @ rows.T
+def _best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, lows: np.ndarray, top: int, scores: np.ndarray | None = None) -> pa.RecordBatch:
+    """Each query's ``top`` best rows by the exactly rounded inner product, ties to the lower ``lows``.
+
+    ``scores`` are near values of the products, -inf for rows that the query does not visit.
+    """
+    scores = queries @ rows.T if scores is None else scores
     k = min(top + 3, scores.shape[1])
     near = np.argpartition(-scores, k - 1, axis=1)[:, :k] if k < scores.shape[1] else np.tile(np.arange(k), (len(queries), 1))
     out: list[list] = [[], [], []]
     for q in range(len(queries)):
+        visited = near[q][scores[q, near[q]] > -np.inf]
         # products of two 24-bit mantissas are exact in double; fsum rounds their sum once
-        exact = [(-math.fsum(rows[r] * queries[q]), int(lows[r]), int(ids[r])) for r in near[q]]
+        exact = [(-math.fsum(x), int(low), int(i)) for x, low, i in zip((rows[visited] * queries[q]).tolist(), lows[visited].tolist(), ids[visited].tolist(), strict=True)]
         for score, _, r in sorted(exact)[:top]:
             for column, value in zip(out, (int(query_ids[q]), r, -score), strict=True):
                 column.append(value)
@@ -173,7 +177,7 @@ def nearest(df: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: str
     classes = keep(classes.withColumn("class_id", F.monotonically_increasing_id()), "vectors")
     count = classes.count()
     leaves = max(1, min(MAX_LEAVES, -(-count // LEAF_ROWS)))
-    sample = classes.select("vector").orderBy(F.xxhash64(F.lit(3), "vector"), "vector").limit(FIT_ROWS).toPandas()["vector"]
+    sample = bounded_sample(classes, F.xxhash64(F.lit(3), "vector"), FIT_ROWS).select("vector").orderBy("vector").toPandas()["vector"]
     tree = Tree(np.array(sample.tolist(), dtype=np.float64), leaves)
     parts_of = spark.sparkContext.broadcast(dict(tree.__dict__))
 
@@ -200,27 +204,56 @@ def nearest(df: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: str
     needed = np.sort([orders[r.query][r.leaf] + 1 for r in truth])
     visits = min(tree.leaves, int(needed[min(len(needed) - 1, math.ceil(RECALL * len(needed)))]) + MARGIN)
 
+    # Neighbouring leaves make up cells of about CELL_ROWS rows; a larger leaf is dealt to several cells by hash.
+    sizes = np.zeros(tree.leaves, dtype=np.int64)
+    for r in placed.groupBy("leaf").count().collect():
+        sizes[r.leaf] = r["count"]
+    parts = np.maximum(1, -(-sizes // CELL_ROWS))
+    first, cell, room = np.zeros(tree.leaves, dtype=np.int64), 0, CELL_ROWS
+    for leaf in range(tree.leaves):
+        if sizes[leaf] > room and room < CELL_ROWS:
+            cell, room = cell + 1, CELL_ROWS
+        first[leaf] = cell
+        if parts[leaf] > 1:
+            cell, room = cell + int(parts[leaf]), CELL_ROWS
+        else:
+            room -= int(sizes[leaf])
+
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Tree.of(parts_of.value)
         for batch in batches:
-            lists = [own.visit(v, visits) for v in _matrix(batch.column("vector"))]
-            yield pa.RecordBatch.from_arrays([batch.column("class_id"), batch.column("vector"), pa.array(lists, pa.list_(pa.int32()))], names=["query", "q", "leaves"])
-
-    visited = keep(classes.where("asked").select("class_id", "vector").mapInArrow(choose, "query long, q array<float>, leaves array<int>").select("query", "q", F.explode("leaves").alias("leaf")), "visits")
-    # A cell holds CELL_ROWS rows of a leaf and CELL_QUERIES of its queries, about; the counts of each leaf say into how many it is parted.
-    parts = placed.groupBy("leaf").agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("row_parts")).join(visited.groupBy("leaf").agg(F.ceil(F.count("*") / CELL_QUERIES).cast("int").alias("query_parts")), "leaf")
-    parts = keep(parts, "cells")
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n).cast("long") - 1))
-    cells = placed.join(parts, "leaf").withColumn("a", F.pmod(F.xxhash64("class_id"), F.col("row_parts"))).withColumn("b", every("query_parts")).select("leaf", "a", "b", "class_id", "vector", "low")
-    asks = visited.join(parts, "leaf").withColumn("b", F.pmod(F.xxhash64("query"), F.col("query_parts"))).withColumn("a", every("row_parts")).select("leaf", "a", "b", "query", "q")
+            at, cells, leaves = [], [], []
+            for k, q in enumerate(_matrix(batch.column("vector"))):
+                asked: dict[int, list[int]] = {}
+                for leaf in own.visit(q, visits):
+                    for c in range(first[leaf], first[leaf] + parts[leaf]):
+                        asked.setdefault(int(c), []).append(leaf)
+                at += [k] * len(asked)
+                cells += list(asked)
+                leaves += list(asked.values())
+            yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), batch.column("class_id").take(pa.array(at, pa.int32())), batch.column("vector").take(pa.array(at, pa.int32())), pa.array(leaves, pa.list_(pa.int32()))], names=["cell", "query", "q", "leaves"])
+
+    asks = keep(classes.where("asked").select("class_id", "vector").mapInArrow(choose, "cell long, query long, q array<float>, leaves array<int>"), "visits")
+    blocks = keep(asks.groupBy("cell").agg(F.ceil(F.count("*") / CELL_QUERIES).alias("blocks")), "blocks")
+    asks = asks.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("query"), "blocks"))
+    split = placed.join(spark.createDataFrame([(k, int(first[k]), int(parts[k])) for k in range(tree.leaves)], "leaf int, first long, parts long"), "leaf").withColumn("cell", F.col("first") + F.pmod(F.xxhash64("class_id"), "parts"))
+    cells = split.join(blocks, "cell").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
 
     def search(rows: pa.Table, queries: pa.Table) -> pa.Table:
         if not rows.num_rows or not queries.num_rows:
             return pa.table({"query": pa.array([], pa.int64()), "found": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        best = _best(np.array(queries.column("query")), _matrix(queries.column("q")), np.array(rows.column("class_id")), _matrix(rows.column("vector")), np.array(rows.column("low")), TOP + 1)
-        return pa.Table.from_batches([best])
-
-    found = cells.groupBy("leaf", "a", "b").cogroup(asks.groupBy("leaf", "a", "b")).applyInArrow(search, _FOUND)
+        q, v, leaf = _matrix(queries.column("q")), _matrix(rows.column("vector")), np.array(rows.column("leaf"))
+        scores = np.full((len(q), len(v)), -np.inf)
+        by_leaf: dict[int, list[int]] = {}
+        for k, leaves in enumerate(queries.column("leaves").to_pylist()):
+            for x in leaves:
+                by_leaf.setdefault(x, []).append(k)
+        for x, who in by_leaf.items():
+            which = np.flatnonzero(leaf == x)
+            scores[np.ix_(who, which)] = q[who] @ v[which].T
+        return pa.Table.from_batches([_best(np.array(queries.column("query")), q, np.array(rows.column("class_id")), v, np.array(rows.column("low")), TOP + 1, scores)])
+
+    found = cells.select("cell", "block", "class_id", "vector", "low", "leaf").groupBy("cell", "block").cogroup(asks.select("cell", "block", "query", "q", "leaves").groupBy("cell", "block")).applyInArrow(search, _FOUND)
     # From classes to ids: the TOP + 1 best rows of each distinct query vector, then each query row's own list.
     listed = _top(found, classes).join(classes.select(F.col("class_id").alias("found"), "ids"), "found").select("query", "score", F.explode("ids").alias("vec_id"))
     ranked = listed.withColumn("nth", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))).where(F.col("nth") <= TOP + 1)
