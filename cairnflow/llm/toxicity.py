@@ -5,8 +5,8 @@ text, the probabilities that the models before it give. While fitting, those pro
 come from folds that did not see the row, so later models learn how far to trust them. The
 last category is the label `toxic` itself.
 
-The models are fitted on at most PER_CLASS labelled rows of either label, taken by a seeded
-hash; whole texts are read, and all documents are scored.
+The models are fitted on about PER_CLASS labelled rows of either label at most, taken by a
+seeded hash; whole texts are read, and all documents are scored.
 """
 
 from __future__ import annotations
@@ -19,11 +19,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import session_of, table, worker_store
+from .common import bounded_sample, session_of, table, worker_store
 from .registry import query
 
 #: The chain: each category's seed words mark it among rows labelled toxic; `coded` is toxic without any seed word.
@@ -137,7 +137,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> dict | None:
     session_of(docs)
     known = labels.select("doc_id", "toxic").where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     draw = F.xxhash64(F.lit(21), "doc_id")
-    chosen = known.withColumn("nth", F.row_number().over(Window.partitionBy("toxic").orderBy(draw, "doc_id"))).where(F.col("nth") <= PER_CLASS).select("doc_id", "toxic")
+    some = [bounded_sample(known.where(F.col("toxic") == t), draw, PER_CLASS) for t in (0, 1)]
+    chosen = F.broadcast(some[0].unionByName(some[1]))  # about 2 * PER_CLASS rows at most
     sample = docs.select("doc_id", "text").where("text IS NOT NULL").join(chosen, "doc_id").select("toxic", "text").mapInArrow(_collect, "toxic int, seeds array<string>, features array<int>").collect()
     if not sample:
         return None
