@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, discard, keep, session_of, table
+from .common import SPACES, discard, grows, keep, session_of, table
 from .registry import query
 
 #: Bytes of a block, and bytes of distinct blocks that a task remembers before it starts afresh.
@@ -93,7 +93,7 @@ def identities(cut: DataFrame) -> DataFrame:
     named = keep(blocks.repartition("block").sortWithinPartitions("block").mapInArrow(_name_sorted, "local_id long, name long"), "block-names")
     at = cut.where(F.col("names").isNotNull()).select("row_id", F.size("names").alias("n"), F.posexplode("names").alias("pos", "local_id"))
     level, done = 0, []
-    now = keep(at.join(named, "local_id").select("row_id", "n", "pos", "name"), "block-level")
+    now = keep(at.join(grows(named), "local_id").select("row_id", "n", "pos", "name"), "block-level")
     while True:
         done.append(now.where("n = 1").select("row_id", F.lit(level).alias("level"), "name"))
         more = now.where("n > 1")
@@ -105,7 +105,7 @@ def identities(cut: DataFrame) -> DataFrame:
         )
         distinct = pairs.select("left", "right").distinct().sortWithinPartitions("left", "right")
         pair_names = keep(distinct.withColumn("name", F.monotonically_increasing_id()), "pair-names")
-        now = keep(pairs.join(pair_names, ["left", "right"]).select("row_id", F.ceil(F.col("n") / 2).cast("int").alias("n"), "pos", "name"), "block-level")
+        now = keep(pairs.join(grows(pair_names), ["left", "right"]).select("row_id", F.ceil(F.col("n") / 2).cast("int").alias("n"), "pos", "name"), "block-level")
         level += 1
     out = done[0]
     for part in done[1:]:
@@ -127,12 +127,12 @@ def exact_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", row_i
     rows = df.select(key.alias("row_id"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     cut = keep(rows.mapInArrow(_cutter(block_bytes, REMEMBER_BYTES), _CUT), "cut")
     docs = cut.where(F.col("names").isNotNull()).select("row_id", "doc_id", "n_points", "text_sha256")
-    named = keep(docs.join(identities(cut), "row_id"), "identities")
+    named = keep(docs.join(grows(identities(cut)), "row_id"), "identities")
     discard(cut)
     best = F.min(F.struct((-F.col("n_points")).alias("short"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id"))
     groups = keep(named.groupBy("level", "name").agg(best.alias("best"), F.count("*").alias("group_size")).where("group_size > 1").select("level", "name", "group_size", F.col("best.doc_id").alias("best_id"), F.col("best.row_id").alias("best_row")), "copy-groups")
     many = F.col("group_size").isNotNull()
-    return named.join(groups, ["level", "name"], "left").select(
+    return named.join(grows(groups), ["level", "name"], "left").select(
         "row_id",
         "doc_id",
         F.when(many, F.col("best_id")).otherwise(F.col("doc_id")).alias("keep_id"),

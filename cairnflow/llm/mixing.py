@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import keep, session_of, table
+from .common import grows, keep, session_of, table
 from .registry import query
 
 WEIGHTS = (5, 2, 1)
@@ -134,19 +134,19 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
     # counts, and row numbers only inside the one bucket where the count runs out.
     same = lambda a, b, *cols: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in cols]
     part = plan.where("extra > 0").select("source", "size", "extra")
-    in_bucket = docs.groupBy("source", "size", "bucket").agg(F.count("*").alias("here")).alias("b").join(part.alias("p"), same("b", "p", "source", "size")).select("b.source", "b.size", "bucket", "here", "extra")
+    in_bucket = docs.groupBy("source", "size", "bucket").agg(F.count("*").alias("here")).alias("b").join(grows(part.alias("p")), same("b", "p", "source", "size")).select("b.source", "b.size", "bucket", "here", "extra")
     order = Window.partitionBy("source", "size").orderBy("bucket")
     cut = in_bucket.withColumn("before", F.sum("here").over(order) - F.col("here")).withColumn("quota", F.least("here", F.greatest(F.lit(0), F.col("extra") - F.col("before"))))
     quota = keep(cut.where("quota > 0").select("source", "size", "bucket", "here", "quota"), "mix-quota")
     full = quota.where("quota = here").select("source", "size", "bucket").withColumn("full", F.lit(1))
     edge = quota.where("quota < here").select("source", "size", "bucket", "quota")
-    drawn = docs.alias("d").join(edge.alias("e"), same("d", "e", "source", "size", "bucket")).select("d.row_id", "d.source", "d.size", "d.bucket", "draw", "doc_id", "quota")
+    drawn = docs.alias("d").join(grows(edge.alias("e")), same("d", "e", "source", "size", "bucket")).select("d.row_id", "d.source", "d.size", "d.bucket", "draw", "doc_id", "quota")
     first = drawn.withColumn("nth", F.row_number().over(Window.partitionBy("source", "size", "bucket").orderBy("draw", "doc_id", "row_id"))).where("nth <= quota").select("row_id").withColumn("drawn", F.lit(1))
     by_source = spark.createDataFrame([(s, n, goal[s], min(int(goal[s] // n), MOST_REPEATS) if n else 0) for s, n in sizes], "source string, source_size long, target double, rounds int")
     out = (
         docs.alias("d").join(by_source.alias("r"), same("d", "r", "source"), "left").select("d.*", "rounds", "source_size", "target").alias("d")
-        .join(full.alias("f"), same("d", "f", "source", "size", "bucket"), "left").select("d.*", "full")
-        .join(first, "row_id", "left")
+        .join(grows(full.alias("f")), same("d", "f", "source", "size", "bucket"), "left").select("d.*", "full")
+        .join(grows(first), "row_id", "left")
     )
     times = F.col("rounds") + F.coalesce("full", "drawn", F.lit(0))
     return out.select("row_id", "doc_id", "size", F.coalesce("source_size", F.lit(0)).cast("long").alias("source_size"), F.coalesce("target", F.lit(0.0)).alias("target"), (F.col("size") * times).cast("long").alias("taken"))
