@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -56,14 +57,22 @@ class _Ids:
         self.known: dict[str, bytes] = {}
 
     def direct(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def part(self, chunk: str) -> list[str]:
+        """The pre-tokenizer's pieces; a word, and a word and marks, need no pattern."""
+        if chunk[0] == " ":
+            word = chunk.rstrip(".,;:!?")
+            if word[1:].isalpha():
+                return [chunk] if word == chunk else [word, chunk[len(word) :]]
+        return self.findall(chunk)
 
     def learn(self, chunks: list[str]) -> None:
         """Encode new chunks; the library itself parts those of scripts whose letters Unicode still adds to."""
         if rare := [c for c in chunks if max(c) > LAST_STABLE]:
             self.known.update(zip(rare, self.direct(rare), strict=True))
             chunks = [c for c in chunks if max(c) <= LAST_STABLE]
-        parted = [self.findall(chunk) for chunk in chunks]
+        parted = [self.part(chunk) for chunk in chunks]
         new = [p for p in set(chain.from_iterable(parted)) if p not in self.known]
         self.known.update(zip(new, self.direct(new), strict=True))
         get = self.known.__getitem__
