@@ -7,8 +7,9 @@
    group, and only groups are indexed by their prefix tokens.
 3. Groups that share a token are expanded to their classes. A pair is a candidate if its
    sizes fit and its prefixes share as many tokens as the threshold implies (the k-th
-   common token of x stands at most at place k + |x| - overlap, in y likewise).
-4. Rows of a bucket are first compared with one pivot each; then, over three rounds of
+   common token of x stands at most at place k + |x| - overlap, in y likewise; the first
+   one so early that most unlinked pairs of one bucket never meet).
+4. Rows of a bucket are first compared with one pivot each; then, over ROUNDS rounds of
    pivots, only pairs that no chain of links joins yet; last, all such pairs. What is
    verified, from the texts themselves, are links; a component is what links reach.
 """
@@ -24,8 +25,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, keep, session_of, table
-from .components import connected_components
+from ..operators.graph import connected_components
+from .common import discard, grows, keep, session_of, table
 from .registry import query
 
 SHINGLE = 5
@@ -159,6 +160,26 @@ def _least_shared(a: str, b: str) -> Column:
     return F.greatest(F.lit(1), overlap + 1 - F.ceil(F.greatest(a, b) * PART / F.lit(WHOLE)))
 
 
+def _open_pairs(rows: DataFrame) -> DataFrame:
+    """All pairs of different components whose first common token can stand where theirs do.
+
+    Two linked sets of sizes a and b share at least o(a, b) shingles, so the first common one
+    stands at most at place a - o in the one, b - o in the other. A token at a given place
+    thus admits partners up to some size; both sides name the classes of sizes they admit,
+    and only rows that admit each other's meet.
+    """
+    size_class = lambda c: F.floor(F.log(F.greatest(F.lit(1), c)) * 20).cast("int")
+    least = F.ceil(F.col("n") * PART / F.lit(WHOLE))
+    most = F.least(F.floor(F.col("n") * WHOLE / F.lit(PART)), F.floor((F.col("n") - F.col("pos")) * (WHOLE + PART) / F.lit(PART)) - F.col("n"))
+    sized = rows.withColumn("most", most).where(F.col("most") >= least).withColumn("wants", F.explode(F.sequence(size_class(least), size_class(F.col("most"))))).withColumn("own", size_class(F.col("n")))
+    sized = keep(sized.select("token", "class_id", "comp", "n", "pos", "own", "wants"), "open")
+    left = sized.select("token", F.col("own").alias("x"), F.col("wants").alias("y"), F.col("class_id").alias("pivot"), F.col("comp").alias("pc"), F.col("n").alias("pivot_n"), F.col("pos").alias("pp"))
+    right = sized.select("token", F.col("wants").alias("x"), F.col("own").alias("y"), F.col("class_id").alias("member"), F.col("comp").alias("mc"), "n", F.col("pos").alias("mp"))
+    overlap = F.ceil((F.col("n") + F.col("pivot_n")) * PART / F.lit(WHOLE + PART))
+    met = left.join(grows(right), ["token", "x", "y"]).where((F.col("pivot") < F.col("member")) & (F.col("pc") != F.col("mc")) & _sizes_fit("n", "pivot_n") & (F.col("pp") <= F.col("pivot_n") - overlap) & (F.col("mp") <= F.col("n") - overlap))
+    return met.select("pivot", "member", "n", "pivot_n").distinct()
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted so that a pivot (member null) stands before its members."""
     shingler, pivot, own = Shingler(), None, None
@@ -183,9 +204,9 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     A pivot's text is repeated for each MEMBERS members, so no task gathers all of them.
     """
     copies = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("copies"))
-    dealt = pairs.join(copies, "pivot").withColumn("copy", F.pmod(F.xxhash64("member"), F.col("copies")).cast("int"))
-    members = dealt.join(texts.withColumnRenamed("class_id", "member"), "member").select("pivot", "copy", "member", "text")
-    pivots = copies.join(texts.withColumnRenamed("class_id", "pivot"), "pivot").select("pivot", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), F.lit(None).cast("long").alias("member"), "text")
+    dealt = pairs.join(grows(copies), "pivot").withColumn("copy", F.pmod(F.xxhash64("member"), F.col("copies")).cast("int"))
+    members = dealt.join(grows(texts.withColumnRenamed("class_id", "member")), "member").select("pivot", "copy", "member", "text")
+    pivots = copies.join(grows(texts.withColumnRenamed("class_id", "pivot")), "pivot").select("pivot", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), F.lit(None).cast("long").alias("member"), "text")
     ordered = members.unionByName(pivots).repartition("pivot", "copy").sortWithinPartitions("pivot", "copy", F.asc_nulls_first("member"))
     return keep(ordered.select("pivot", "member", "text").mapInArrow(_verify, "a long, b long"), "links")
 
@@ -209,50 +230,48 @@ def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
     firsts = [F.first(c, ignorenulls=True).alias(c) for c in ("prefix_key", "prefix", "salts")]
     classes = keep(held.groupBy("digest").agg(F.min("row_id").alias("row_id"), F.first("n").alias("n"), F.count("*").alias("class_size"), *firsts).withColumn("class_id", F.monotonically_increasing_id()), "classes")
     groups = classes.groupBy("prefix_key").agg(F.min("class_id").alias("group_id"), F.count("*").alias("members"))
-    members = keep(classes.join(groups.where("members > 1"), "prefix_key").select("class_id", "group_id", "n", F.size("prefix").alias("p")), "members")
-    leaders = classes.join(members.where("class_id <> group_id").select("class_id"), "class_id", "left_anti")
+    members = keep(classes.join(grows(groups.where("members > 1")), "prefix_key").select("class_id", "group_id", "n"), "members")
+    leaders = classes.join(grows(members.where("class_id <> group_id").select("class_id")), "class_id", "left_anti")
 
     # Buckets of two groups or more. Hot tokens are told from the sketch: their rows all stay, spread over parts.
-    tokens = leaders.select("class_id", "n", F.explode(F.arrays_zip("prefix", "salts")).alias("t")).select(F.col("t.prefix").alias("token"), F.when(F.col("t.salts") > 0, F.pmod(F.xxhash64("class_id"), F.col("t.salts") + 1)).alias("part"), "class_id", "n")
-    shared = tokens.withColumn("others", F.count("*").over(Window.partitionBy("token", "part"))).where("others > 1 OR part IS NOT NULL").select("token", "class_id", "n")
+    tokens = leaders.select("class_id", "n", F.posexplode(F.arrays_zip("prefix", "salts")).alias("pos", "t")).select(F.col("t.prefix").alias("token"), F.when(F.col("t.salts") > 0, F.pmod(F.xxhash64("class_id"), F.col("t.salts") + 1)).alias("part"), "class_id", "n", "pos")
+    shared = tokens.withColumn("others", F.count("*").over(Window.partitionBy("token", "part"))).where("others > 1 OR part IS NOT NULL").select("token", "class_id", "n", "pos")
     by_group = keep(shared, "shared")
-    more = by_group.join(members.where("class_id <> group_id").select(F.col("group_id").alias("class_id"), F.col("class_id").alias("other")), "class_id").select("token", F.col("other").alias("class_id"), "n", F.lit(1).alias("weight"))
-    own = members.select(F.xxhash64(F.lit("group"), "group_id").alias("token"), "class_id", "n", F.col("p").alias("weight"))
-    entries = keep(by_group.withColumn("weight", F.lit(1)).unionByName(more).unionByName(own), "entries")
+    more = by_group.join(members.where("class_id <> group_id").select(F.col("group_id").alias("class_id"), F.col("class_id").alias("other")), "class_id").select("token", F.col("other").alias("class_id"), "n", "pos")
+    own = members.select(F.xxhash64(F.lit("group"), "group_id").alias("token"), "class_id", "n", F.lit(0).alias("pos"))
+    entries = keep(by_group.unionByName(more).unionByName(own), "entries")
 
     met = entries.select("class_id").distinct()
-    texts = keep(rows.select("row_id", F.coalesce("text", F.lit("")).alias("text")).join(classes.join(met, "class_id", "left_semi").select("class_id", "row_id"), "row_id").select("class_id", "text"), "texts")
-    prefixes = classes.join(met, "class_id", "left_semi").select("class_id", "prefix")
+    texts = keep(rows.select("row_id", F.coalesce("text", F.lit("")).alias("text")).join(classes.join(grows(met), "class_id", "left_semi").select("class_id", "row_id"), "row_id").select("class_id", "text"), "texts")
+    prefixes = classes.join(grows(met), "class_id", "left_semi").select("class_id", "prefix")
     links = None
     comp = None
     for step in range(ROUNDS + 1):
         at = entries.withColumn("comp", F.col("class_id")) if comp is None else entries.join(comp.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("comp", F.coalesce("label", "class_id")).drop("label")
-        draw = F.col("class_id") if step == 0 else F.xxhash64(F.lit(step), "class_id")
+        # First the row with the fewest rarer tokens of its own: of near copies, the one nearest to what they share.
+        draw = F.col("pos").cast("long") if step == 0 else F.xxhash64(F.lit(step), "class_id")
         buckets = keep(at.groupBy("token").agg(F.min(F.struct(draw.alias("draw"), "class_id", "comp", "n")).alias("pivot"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token", "pivot.class_id", "pivot.comp", "pivot.n").toDF("token", "pivot", "pivot_comp", "pivot_n"), "buckets")
         if buckets.isEmpty():
             break
         if step < ROUNDS:
-            near = at.join(buckets, "token").where((F.col("comp") != F.col("pivot_comp")) & _sizes_fit("n", "pivot_n")).select("pivot", F.col("class_id").alias("member"), "n", "pivot_n").distinct()
-            both = near.join(prefixes.select(F.col("class_id").alias("member"), F.col("prefix").alias("m")), "member").join(prefixes.select(F.col("class_id").alias("pivot"), F.col("prefix").alias("q")), "pivot")
-            pairs = both.where(F.size(F.array_intersect("m", "q")) >= _least_shared("n", "pivot_n")).select("pivot", "member")
+            near = at.join(grows(buckets), "token").where((F.col("comp") != F.col("pivot_comp")) & _sizes_fit("n", "pivot_n")).select("pivot", F.col("class_id").alias("member"), "n", "pivot_n").distinct()
         else:
-            open_rows = keep(at.join(buckets.select("token"), "token", "left_semi"), "open")
-            left, right = (open_rows.select("token", F.col("class_id").alias(c), F.col("comp").alias(f"{c}_comp"), F.col("n").alias(f"{c}_n"), F.col("weight").alias(f"{c}_w")) for c in ("pivot", "member"))
-            cross = left.join(right, "token").where((F.col("pivot") < F.col("member")) & (F.col("pivot_comp") != F.col("member_comp")) & _sizes_fit("pivot_n", "member_n"))
-            pairs = cross.groupBy("pivot", "member", "pivot_n", "member_n").agg(F.sum(F.least("pivot_w", "member_w")).alias("common")).where(F.col("common") >= _least_shared("pivot_n", "member_n")).select("pivot", "member")
+            near = _open_pairs(at.join(grows(buckets.select("token")), "token", "left_semi"))
+        both = near.join(grows(prefixes.select(F.col("class_id").alias("member"), F.col("prefix").alias("m"))), "member").join(grows(prefixes.select(F.col("class_id").alias("pivot"), F.col("prefix").alias("q"))), "pivot")
+        pairs = both.where(F.size(F.array_intersect("m", "q")) >= _least_shared("n", "pivot_n")).select("pivot", "member")
         new = verified(keep(pairs, "pairs"), texts)
         links = new if links is None else links.unionByName(new)
         comp = connected_components(links)
     # Ids again: each class's smallest doc_id, then each component's.
-    ids = keep(held.groupBy("digest").agg(F.min("doc_id").alias("class_doc"), F.count("*").alias("class_size")).join(classes.select("digest", "class_id"), "digest"), "class-ids")
+    ids = keep(held.groupBy("digest").agg(F.min("doc_id").alias("class_doc"), F.count("*").alias("class_size")).join(grows(classes.select("digest", "class_id")), "digest"), "class-ids")
     if comp is None:
         named = ids.select("digest", F.col("class_doc").alias("component_id"), "class_size", F.col("class_id").alias("component"))
     else:
         labelled = ids.join(comp.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("label", F.coalesce("label", "class_id"))
         lowest = labelled.groupBy("label").agg(F.min("class_doc").alias("component_id"))
-        named = labelled.join(lowest, "label").select("digest", "component_id", "class_size", F.col("label").alias("component"))
+        named = labelled.join(grows(lowest), "label").select("digest", "component_id", "class_size", F.col("label").alias("component"))
     named = keep(named, "named")
-    out = marked.select("row_id", "doc_id", "n", "digest").join(named, "digest", "left").select(
+    out = marked.select("row_id", "doc_id", "n", "digest").join(grows(named), "digest", "left").select(
         "row_id",
         "doc_id",
         F.col("n").alias("n_shingles"),

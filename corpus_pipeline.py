@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnflow.llm.bpe import bpe_decode, bpe_encode
-from cairnflow.llm.common import keep, table
+from cairnflow.llm.common import grows, keep, table
 from cairnflow.llm.exact_dedup import exact_dedup
 from cairnflow.llm.jaccard_join import jaccard_components
 from cairnflow.llm.langid import UNKNOWN, fit_language_model, held_out, label_languages
@@ -37,7 +37,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the longest original stays."""
     rows = _numbered(docs)
     copies = exact_dedup(rows, row_id=_ROW).where(~F.col("kept")).select(F.col("row_id").alias(_ROW))
-    return rows.join(copies, _ROW, "left_anti").select(docs.columns)
+    return rows.join(grows(copies), _ROW, "left_anti").select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,15 +45,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     rows = _numbered(docs)
     linked = jaccard_components(rows, row_id=_ROW).where(F.col("component").isNotNull())
     groups = keep(linked.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id")).alias("first"), F.count("*").alias("n")).where("n > 1").select("component", F.col("first.row_id").alias("stays")), "near-groups")
-    copies = linked.join(groups, "component").where("row_id <> stays").select(F.col("row_id").alias(_ROW))
-    return rows.join(copies, _ROW, "left_anti").select(docs.columns)
+    copies = linked.join(grows(groups), "component").where("row_id <> stays").select(F.col("row_id").alias(_ROW))
+    return rows.join(grows(copies), _ROW, "left_anti").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mixture takes, each as often as it takes it."""
     rows = _numbered(docs)
     taken = mix(rows, row_id=_ROW).where("taken > 0").select(F.col("row_id").alias(_ROW), (F.col("taken") / F.col("size")).cast("int").alias("__times"))
-    return rows.join(taken, _ROW).withColumn("__nth", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(docs.columns)
+    return rows.join(grows(taken), _ROW).withColumn("__nth", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
