@@ -39,7 +39,7 @@ FAN_IN = 512
 #: Estimated documents of a token from which its bucket is counted in parts, and members verified against one copy of a pivot.
 SALT_FROM = 4096
 MEMBERS = 256
-ROUNDS = 3
+ROUNDS = 2
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _STEP = 0xC2B2AE3D27D4EB4F
