@@ -18,8 +18,8 @@ from cairnflow.llm.jaccard_join import jaccard_components
 from cairnflow.llm.langid import UNKNOWN, fit_language_model, held_out, label_languages
 from cairnflow.llm.mixing import mix
 
-#: Documents whose language scores less are rejected, like those without one.
-LEAST_SCORE = 0.5
+#: Documents whose language scores less are rejected, like those without one; texts of two languages stay.
+LEAST_SCORE = 0.35
 _ROW = "__row"
 
 
