@@ -4,7 +4,9 @@ Card numbers (Luhn), IPv4 addresses, calendar dates, telephone and social securi
 and the local parts of e-mail addresses are found, validated, and replaced by another value
 of the same format. The permutation depends on the key and the kind alone, so equal values
 stay equal in all documents, whatever separators they are written with, and different ones
-stay different; the holder of the key can turn it back.
+stay different; the holder of the key can turn it back. Where digit groups can be read as a
+card in more than one way and the pseudonym would change which reading is found, the values
+there are permuted again: they can be turned back, but may differ from their pseudonyms elsewhere.
 """
 
 from __future__ import annotations
@@ -25,6 +27,10 @@ from .registry import query
 KEY = b"cairnflow demo key"
 ROUNDS = 10
 REMEMBER = 200_000
+#: Groups that cards are printed in, besides a single one; such readings go before others.
+PRINTED = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4)}
+#: Permutations tried until digit groups are read as before; each fails about once in ten.
+TRIES = 64
 #: Dates of these years are permuted among themselves.
 FIRST, LAST = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 
@@ -95,6 +101,7 @@ class Pseudonyms:
     def __init__(self, key: bytes, back: bool = False):
         self.feistel, self.back = Feistel(key), back
         self.numbers = re.compile(r"(?<![\w.-])(?:" + "|".join(f"(?P<{k}>{p})" for k, p in self.PATTERNS) + ")", re.ASCII)
+        self.group = re.compile(r"\d+", re.ASCII)
         self.email = re.compile(r"(?<![A-Za-z0-9._%+-])" + self.EMAIL)
         self.known: dict[tuple[str, str], str | None] = {}
 
@@ -167,32 +174,87 @@ class Pseudonyms:
             self.known[key] = make(value)
         return self.known[key]
 
+    def _readings(self, text: str, start: int, end: int) -> list[tuple[bool, int, int]]:
+        """(printed, start, end) of what may be a card and starts in a match of the card pattern.
+
+        Best first: groups that cards are printed in, then the longer, then the earlier.
+        """
+        groups: list[tuple[int, int]] = []
+        for g in self.group.finditer(text, start):
+            if groups and (g.start() != groups[-1][1] + 1 or text[g.start() - 1] not in " -" or g.start() > end + 38):
+                break
+            groups.append(g.span())
+        found = []
+        for k, (first, _) in enumerate(groups):
+            if first >= end:
+                break
+            sizes: tuple[int, ...] = ()
+            for s, e in groups[k:]:
+                sizes += (e - s,)
+                n = sum(sizes)
+                if n > 19:
+                    break
+                if n >= 13:
+                    marks = {c for c in text[first:e] if not c.isdigit()}
+                    found.append((len(sizes) == 1 or (sizes in PRINTED and len(marks) == 1), n, first, e))
+        found.sort(key=lambda r: (not r[0], -r[1], r[2]))
+        return [(printed, s, e) for printed, _, s, e in found]
+
+    def _scan(self, text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int, str, str, bool]]:
+        """(start, end, kind, new value, loose) of the numbers outside ``taken``.
+
+        Loose are those among digit groups that may be read in another way.
+        """
+        found: list[tuple[int, int, str, str, bool]] = []
+        free = lambda s, e: not any(a < e and s < b for a, b in taken)
+        at = loose_to = 0
+        while m := self.numbers.search(text, at):
+            kind, start, at = m.lastgroup, m.start(), m.end()
+            if kind != "card":
+                new = self._of(kind, m[0], getattr(self, kind)) if free(start, at) else None
+                if new is not None:
+                    found.append((start, at, kind, new, start < loose_to))
+                continue
+            readings = self._readings(text, start, at)
+            whole = (True, start, at) in readings
+            if len(readings) > 1 or not whole:
+                loose_to = max([loose_to, at, *(e for _, _, e in readings)])
+            for _, s, e in readings:
+                if free(s, e) and (new := self._of("card", text[s:e], self.card)) is not None:
+                    found.append((s, e, "card", new, s < loose_to))
+                    at = e
+                    break
+            else:
+                if not whole:  # no card: other values may start at the next group
+                    at = self.group.match(text, start).end()
+        return found
+
     def replace(self, text: str) -> tuple[str, list[str], list[int]]:
         """(new text, kinds found, their places in it)."""
-        found: list[tuple[int, int, str, str]] = []
+        emails = []
         if "@" in text:
-            for m in self.email.finditer(text):
-                found.append((m.start(), m.end(), "email", self._of("email", m[0], self.local_part)))
-        taken = [(s, e) for s, e, _, _ in found]
-        for m in self.numbers.finditer(text):
-            kind = m.lastgroup
-            if any(s < m.end() and m.start() < e for s, e in taken):
-                continue
-            new = self._of(kind, m[0], getattr(self, kind))
-            if new is not None:
-                found.append((m.start(), m.end(), kind, new))
+            emails = [(m.start(), m.end(), "email", self._of("email", m[0], self.local_part), False) for m in self.email.finditer(text)]
+        found = sorted(emails + self._scan(text, [(s, e) for s, e, *_ in emails]))
         if not found:
             return text, [], []
-        found.sort()
-        out, kinds, places, at, size = [], [], [], 0, 0
-        for start, end, kind, new in found:
-            out += [text[at:start], new]
-            size += start - at
-            places.append(size)
-            kinds.append(kind)
-            size += len(new)
-            at = end
-        return "".join([*out, text[at:]]), kinds, places
+        kinds = [kind for _, _, kind, _, _ in found]
+        for _ in range(TRIES):
+            out, places, at, size = [], [], 0, 0
+            for start, end, _, new, _ in found:
+                out += [text[at:start], new]
+                size += start - at
+                places.append(size)
+                size += len(new)
+                at = end
+            done = "".join([*out, text[at:]])
+            if not any(loose for *_, loose in found):
+                break
+            spans = [(p, p + len(f[3]), f[2]) for p, f in zip(places, found, strict=True)]
+            again = self._scan(done, [(s, e) for s, e, kind in spans if kind == "email"])
+            if [f[:3] for f in again] == [s for s in spans if s[2] != "email"]:
+                break
+            found = [(s, e, kind, self._of(kind, new, getattr(self, kind)) if loose else new, loose) for s, e, kind, new, loose in found]
+        return done, kinds, places
 
 
 def pseudonymise(df: DataFrame, key: bytes = KEY, text: str = "text", back: bool = False) -> DataFrame:

@@ -89,3 +89,28 @@ def test_pseudonyms_keep_formats_and_links():
 @pytest.mark.parametrize("text", ["", "no numbers", "4111-1111-1111-1112", "999.1.1.1", "2023-02-30", "v1.2.3.4", "12345", "@", "1.2.3"])
 def test_what_is_not_validated_stays(text):
     assert Pseudonyms(KEY).replace(text) == (text, [], [])
+
+
+@pytest.mark.parametrize("text", ["4111 1111 1111 1111 12/27", "4111111111111111 737", "order 12 4111111111111111", "1234 4111 1111 1111 1111", "12 34 4111 1111 1111 1111 999", "4111 1111 1111 1111 12@b.co", "4111-1111-1111-1111 4111 1111 1111 1111"])
+def test_cards_next_to_other_numbers(text):
+    own = Pseudonyms(KEY).card("4111111111111111")
+    new, kinds, starts = Pseudonyms(KEY).replace(text)
+    assert "card" in kinds and "4111" not in new
+    assert all("".join(c for c in new[s : s + 19] if c.isdigit()).startswith(own) for s, kind in zip(starts, kinds, strict=True) if kind == "card")
+    assert Pseudonyms(KEY, back=True).replace(new) == (text, kinds, starts)
+
+
+def test_a_number_beside_a_card_is_no_part_of_it():
+    own = Pseudonyms(KEY).card("4111111111111111")
+    both = [n for n in range(100, 1000) if luhn_digit(f"4111111111111111{n}"[:-1]) == str(n)[-1]]
+    assert both and all(Pseudonyms(KEY).replace(f"4111111111111111 {n}")[0] == f"{own} {n}" for n in both)
+
+
+def test_values_among_groups_that_are_no_card():
+    p, back = Pseudonyms(KEY), Pseudonyms(KEY, back=True)
+    assert p.replace("id 12345 2024-01-02")[1] == ["iso_date"] and p.replace("id 123 4567 555-123-4567")[1] == ["phone"]
+    assert p.replace("4111 1111 1111 1112") == ("4111 1111 1111 1112", [], [])
+    for n in range(3000):
+        for text in (f"{n:05} 2024-01-02", f"{n:04} 4111 1111 1111 1111", f"{n} 41111 11111 111111 {n}"):
+            new, kinds, starts = p.replace(text)
+            assert back.replace(new) == (text, kinds, starts), text
