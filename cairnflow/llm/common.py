@@ -5,12 +5,13 @@ from __future__ import annotations
 import sys
 import types
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.shared import discard, grows, keep, shared_dir
 
-__all__ = ["BATCH_ROWS", "SPACES", "bounded_sample", "discard", "grows", "keep", "session_of", "shared_dir", "table", "worker_store"]
+__all__ = ["BATCH_ROWS", "SPACES", "bounded_sample", "discard", "grows", "keep", "numbered", "session_of", "shared_dir", "table", "worker_store"]
 
 #: The characters that part words: `[\x20\x09-\x0D]`.
 SPACES = b" \t\n\x0b\x0c\r"
@@ -31,6 +32,21 @@ def session_of(df: DataFrame) -> SparkSession:
     return spark
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """A Parquet table with a long ``name`` that tells its rows apart and is the same in every read.
+
+    It is made of the file's number and the row's place in the file, so it does not depend on
+    how a scan is split among the cores of the moment. Other frames are written first.
+    """
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__at"))
+    except AnalysisException:
+        return numbered(keep(docs, "numbered"), name)
+    paths = sorted(r["__file"] for r in docs.select(F.col("_metadata.file_path").alias("__file")).distinct().collect())
+    files = docs.sparkSession.createDataFrame(list(enumerate(paths)), "__nth long, __file string")
+    return placed.join(F.broadcast(files), "__file").withColumn(name, F.shiftleft("__nth", 40) + F.col("__at")).select(*docs.columns, name)
+
+
 def bounded_sample(df: DataFrame, draw: Column, rows: int) -> DataFrame:
     """``df``, or where it has over ``rows`` rows about that many, those of the lowest draws.
 

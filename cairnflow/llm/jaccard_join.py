@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
-from .common import discard, grows, keep, session_of, table
+from .common import discard, grows, keep, numbered, session_of, table
 from .registry import query
 
 SHINGLE = 5
@@ -288,5 +288,5 @@ def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
 @query("op3_jaccard_join")
 def op3_jaccard_join(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").withColumn("row_id", F.monotonically_increasing_id())
+    docs = numbered(table(spark, sf_dir, "documents"), "row_id")
     return jaccard_components(docs, row_id="row_id").select("doc_id", "n_shingles", "component_id", "class_size")

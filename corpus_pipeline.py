@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnflow.llm.bpe import bpe_decode, bpe_encode
-from cairnflow.llm.common import grows, keep, table
+from cairnflow.llm.common import grows, keep, numbered, table
 from cairnflow.llm.exact_dedup import exact_dedup
 from cairnflow.llm.jaccard_join import jaccard_components
 from cairnflow.llm.langid import UNKNOWN, fit_language_model, held_out, label_languages
@@ -24,7 +24,7 @@ _ROW = "__row"
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(_ROW, F.monotonically_increasing_id())
+    return numbered(docs, _ROW)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

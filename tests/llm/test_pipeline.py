@@ -68,3 +68,32 @@ def test_stages_keep_the_columns(spark, folder):
     assert [r.doc_id for r in cp.drop_copies(spark, docs, folder).where("doc_id IN (0, 200)").collect()] == [0]
     assert cp.drop_near_copies(spark, docs, folder).where("doc_id >= 300 AND doc_id < 312").count() == 0
     assert cp.language_id(spark, docs, folder).where("doc_id IN (400, 401, 402)").count() == 0
+
+
+def test_rows_keep_their_numbers_when_scans_are_split_otherwise(spark, tmp_path):
+    rows = [(k, " ".join(f"w{k % 40}x{j}" for j in range(60)), "en", "s", 1) for k in range(80)]
+    for k in range(8):
+        spark.createDataFrame(rows[10 * k : 10 * k + 10], "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.mode("append").parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    sizes = ("4000", str(1 << 30))
+    try:
+        seen = []
+        for size in sizes:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            spark.conf.set("spark.sql.leafNodeDefaultParallelism", "1")
+            seen.append({r["__row"]: r.doc_id for r in cp._numbered(docs).collect()})
+        assert seen[0] == seen[1] and len(seen[0]) == 80
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+        for stage in (cp.drop_copies, cp.drop_near_copies):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", sizes[0])
+            out = stage(spark, docs, str(tmp_path))
+            spark.conf.set("spark.sql.files.maxPartitionBytes", sizes[1])
+            spark.conf.set("spark.sql.leafNodeDefaultParallelism", "1")
+            assert len({r.text for r in out.collect()}) == out.count() == 40, stage.__name__
+            spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+    finally:
+        for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.leafNodeDefaultParallelism"):
+            spark.conf.unset(name)
+    plain = cp._numbered(spark.createDataFrame(rows, docs.schema)).collect()
+    assert len({r["__row"] for r in plain}) == 80
