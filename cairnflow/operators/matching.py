@@ -33,20 +33,44 @@ def last_before(df: DataFrame, keys: list[str], time: str, order: list[Column],
 
 @F.pandas_udf(T.DoubleType())
 def name_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Likeness of two names whose words are sorted, 0 to 100; batches of candidate pairs only."""
-    return pd.Series([0.0 if x is None or y is None else 100.0 * difflib.SequenceMatcher(None, " ".join(sorted(x.split())), " ".join(sorted(y.split()))).ratio() for x, y in zip(a, b, strict=True)])
+    """Likeness of two names, as they stand or with their words sorted, whichever is more, 0 to 100; batches of candidate pairs only."""
+    alike = lambda x, y: difflib.SequenceMatcher(None, x, y).ratio()
+    return pd.Series([0.0 if x is None or y is None else 100.0 * max(alike(x, y), alike(" ".join(sorted(x.split())), " ".join(sorted(y.split())))) for x, y in zip(a, b, strict=True)])
+
+
+def _alike_blocks(own: DataFrame, letters: Column, block: list[str], ratio: float) -> DataFrame:
+    """Pairs (a, b) of one block whose ``letters`` may be ``ratio`` alike: none that is gets lost.
+
+    Of T letters in all, at least M = ratio * T / 2 are matched in order, and matched letters
+    leave 3M - T - 1 common pairs of neighbours, or below 85, M common letters. So the rarest
+    grams of either name, all but one less than that, share one.
+    """
+    r, q = ratio / 100, 2 if ratio >= 85 else 1
+    gram = lambda i: F.substring(letters, i, F.lit(q))
+    grams = own.select("node", *block, F.length(letters).alias("n"), F.transform(F.sequence(F.lit(1), F.length(letters) - (q - 1)), gram).alias("grams"))
+    nth = F.transform("grams", lambda g, i: F.concat(g, F.size(F.filter(F.slice("grams", F.lit(1), i + 1), lambda x: x == g)).cast("string")))
+    tokens = grams.select("node", *block, "n", F.explode(nth).alias("gram"))
+    counted = tokens.join(tokens.groupBy("gram").agg(F.count("*").alias("rows")), "gram")
+    least = (2 * F.col("n") / (2 - r)) * (1.5 * r - 1) - 1 if q == 2 else F.col("n") * r / (2 - r)
+    spare = F.greatest(F.lit(1), F.ceil(least - 1e-6)).cast("int")
+    rare = counted.groupBy("node", *block, "n").agg(F.array_sort(F.collect_list(F.struct("rows", "gram"))).alias("all"))
+    first = rare.select("node", *block, "n", F.explode(F.slice("all", F.lit(1), F.greatest(F.lit(1), F.size("all") - spare + 1))).alias("g")).select("node", *block, "n", F.col("g.gram").alias("gram"))
+    met = first.withColumnRenamed("node", "a").withColumnRenamed("n", "an").join(first.withColumnRenamed("node", "b").withColumnRenamed("n", "bn"), [*block, "gram"])
+    return met.where((F.col("a") < F.col("b")) & (2 * F.least("an", "bn") >= r * (F.col("an") + F.col("bn")) - 1e-6)).select("a", "b")
 
 
 def name_pairs(df: DataFrame, node: str, name: str, block: list[str], stop: tuple[str, ...] = (), ratio: float = 85.0, coverage: float = 0.7) -> DataFrame:
     """Pairs (a, b, route) of one block whose names match.
 
     Routes, the first that holds: equal text, equal words, the words of one (two or more)
-    among the other's and covering ``coverage`` of them, words sorted and at least ``ratio``
-    alike. Only names that share a word are compared.
+    among the other's and covering ``coverage`` of them, letters at least ``ratio``
+    alike, with the words as they stand or sorted. Compared are names that share a word, and those whose letters may be so much alike.
     """
     own = df.select(F.col(node).alias("node"), *block, match_text(F.col(name)).alias("text"), core_tokens(F.col(name), stop).alias("words")).where(F.size("words") > 0)
     terms = own.select("node", *block, F.explode("words").alias("word"))
-    pairs = terms.withColumnRenamed("node", "a").join(terms.withColumnRenamed("node", "b"), [*block, "word"]).where("a < b").select("a", "b").distinct()
+    worded = terms.withColumnRenamed("node", "a").join(terms.withColumnRenamed("node", "b"), [*block, "word"]).where("a < b").select("a", "b")
+    in_order = F.array_join(F.array_sort(F.split("text", " ")), " ")
+    pairs = worded.unionByName(_alike_blocks(own, F.col("text"), block, ratio)).unionByName(_alike_blocks(own, in_order, block, ratio)).distinct()
     both = pairs.join(own.select(F.col("node").alias("a"), F.col("text").alias("at"), F.col("words").alias("aw")), "a").join(own.select(F.col("node").alias("b"), F.col("text").alias("bt"), F.col("words").alias("bw")), "b")
     shared, few, many = F.size(F.array_intersect("aw", "bw")), F.least(F.size("aw"), F.size("bw")), F.greatest(F.size("aw"), F.size("bw"))
     route = F.when(F.col("at") == F.col("bt"), "equal").when(F.col("aw") == F.col("bw"), "words").when((shared == few) & (few >= 2) & (few / many >= coverage), "subset")

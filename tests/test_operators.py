@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime
+import difflib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -88,6 +90,21 @@ def test_names(spark):
     assert got[1, 2] == "equal" and got[1, 3] == "words" and got[1, 5] == "alike" and (1, 7) not in got and (1, 6) not in got
 
 
+@pytest.mark.parametrize("ratio", [85.0, 93.0, 70.0])
+def test_names_alike_without_a_common_word(spark, ratio):
+    rng = random.Random(3)
+    names = ["Microsoft", "Mircosoft", "Health Care", "Healthcare", "ab", "ba", "aab"]
+    for _ in range(40):
+        name = "".join(rng.choice("abcde ") for _ in range(rng.randint(3, 14)))
+        at = rng.randrange(len(name))
+        names += [name, name[:at] + rng.choice("abcde ") + name[at + 1 :], name[:at] + name[at + 1 :]]
+    plain = {k: " ".join(n.lower().split()) for k, n in enumerate(names) if any(len(w) > 1 for w in n.split())}
+    alike = lambda x, y: 100 * difflib.SequenceMatcher(None, x, y).ratio()
+    expected = {(a, b) for a in plain for b in plain if a < b and max(alike(plain[a], plain[b]), alike(*[" ".join(sorted(plain[k].split())) for k in (a, b)])) >= ratio}
+    got = {(r.a, r.b) for r in matching.name_pairs(spark.createDataFrame(list(enumerate(names)), "id long, name string").withColumn("k", F.lit(1)), "id", "name", ["k"], ratio=ratio).collect()}
+    assert expected <= got and ((0, 1) in got) == (ratio < 88) and (2, 3) in got
+
+
 def test_range_pairs_meet_once(spark):
     rows = [(k, "g", datetime.date(2020, 1, 1) + datetime.timedelta(days=d)) for k, d in enumerate([0, 3, 6, 7, 13, 14, 30, 31])] + [(90, "h", datetime.date(2020, 1, 1)), (91, "g", None)]
     got = [tuple(r)[:2] for r in matching.range_pairs(spark.createDataFrame(rows, "id long, k string, day date"), "id", ["k"], "day", 7).collect()]
