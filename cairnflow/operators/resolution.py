@@ -49,11 +49,14 @@ def find_existing(observations: DataFrame, records: DataFrame, urls: DataFrame |
     """Per observation the record it belongs to: (source_id, canonical_id, match_type, score).
 
     Both sides carry name, day, country, category, family, actor. Candidates are records that
-    share a url (``urls``: source_id, url, and canonical_id of records), or a word of the name:
+    share a url (``urls``: source_id, url, and canonical_id of records), or a word of the name,
+    or a whole name, or an acronym with the other's name:
     with days at most 14 apart first, else at any distance. The first stage that reaches its
     score decides, by the highest score and then the smaller id.
     """
-    words = lambda df, key: df.select(key, F.explode(core_tokens(F.col("name"))).alias("word"))
+    # Whole names too, as names of one-letter words have no other key.
+    keys = F.array_distinct(F.array_compact(F.concat(core_tokens(F.col("name")), F.array(F.nullif(match_text(F.col("name")), F.lit("")), acronym(F.col("name"))))))
+    words = lambda df, key: df.select(key, F.explode(keys).alias("word"))
     named = words(observations, "source_id").join(words(records, "canonical_id"), "word").select("source_id", "canonical_id").distinct().withColumn("by_url", F.lit(False))
     pairs = named
     if urls is not None:

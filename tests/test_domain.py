@@ -80,6 +80,15 @@ def test_resolution(spark):
     assert {(r.canonical_id, r.status) for r in status} == {(100, "open"), (101, "excluded")}
 
 
+def test_acronyms_are_candidates(spark):
+    day = D(2024, 5, 1)
+    records = spark.createDataFrame([(100, "Massachusetts Institute of Technology", day, "US", None, None, None), (101, "nas", day, "US", None, None, None), (102, "Q & A", day, "US", None, None, None)], RECORDS)
+    seen = spark.createDataFrame([(1, "MIT", day, "US", None, None, None), (2, "New Art School", day, "US", None, None, None), (3, "q a", day, "US", None, None, None), (4, "XYZ", day, "US", None, None, None), (5, "", day, "US", None, None, None)], OBSERVED)
+    got = resolution.find_existing(seen, records)
+    assert {(r.source_id, r.canonical_id) for r in got.collect()} == {(1, 100), (2, 101), (3, 102)}
+    assert sorted(r.first_source for r in resolution.seed_records(seen, got).collect()) == [4, 5]
+
+
 def test_identity_grades(spark):
     pairs = [("A B College", "a b college", 100), ("College of Acme", "Acme of College", 95), ("New Art School", "nas", 92), ("Acme Tech College", "Acme Tech", 88), ("x", None, 0), ("Red Hill", "Blue Lake", 0)]
     got = spark.createDataFrame(pairs, "a string, b string, g int").select(resolution.identity_quality(F.col("a"), F.col("b")).alias("q"), "g").collect()
