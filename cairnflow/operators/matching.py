@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 
 from ..functions.text import core_tokens, jaccard, match_text
 
+#: Rows and queries that a task of ``cosine_top`` holds at once.
+SLICE, QUERIES = 20_000, 10_000
+
 
 def range_pairs(df: DataFrame, node: str, block: list[str], day: str, days: int) -> DataFrame:
     """Pairs (a, b, gap) of one block at most ``days`` apart.
@@ -99,37 +102,44 @@ def best_candidate(pairs: DataFrame, key: str, score: Column, candidate: str, le
 def cosine_top(df: DataFrame, queries: DataFrame, vec_id: str, vector: str, k: int, size: int = 200) -> DataFrame:
     """Rows (query_id, rank, vec_id, score): each query's ``k`` nearest by cosine.
 
-    Queries are laid out in blocks of about ``size``; every block meets every row in Arrow
-    batches, and a task passes on no more than ``k`` rows of a query.
+    Queries and rows are dealt by hash to blocks of about ``QUERIES`` and slices of about
+    ``SLICE``; a task holds one of each at a time, scores ``size`` queries in one product, and
+    passes on no more than ``k`` rows of a query.
     """
     import numpy as np
     import pyarrow as pa
 
-    blocks = queries.select(F.col(vec_id).alias("query_id"), F.col(vector).alias("q")).withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(max(1, -(-queries.count() // size)))))
-    blocks = blocks.groupBy("block").agg(F.collect_list("query_id").alias("ids"), F.collect_list("q").alias("qs"))
-    rows = df.select(F.col(vec_id).alias("vec_id"), F.col(vector).alias("v"))
-    tasks = rows.rdd.getNumPartitions()
-    part = rows.withColumn("part", F.spark_partition_id())
-    met = blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))))
+    n_blocks, n_slices = max(1, -(-queries.count() // QUERIES)), max(1, -(-df.count() // SLICE))
+    dealt = lambda key, value, n: F.pmod(F.xxhash64(key, value), F.lit(n)).cast("int")
+    blocks = queries.select(F.col(vec_id).alias("query_id"), F.col(vector).alias("q")).withColumn("block", dealt("query_id", "q", n_blocks))
+    rows = df.select(F.col(vec_id).alias("vec_id"), F.col(vector).alias("v")).withColumn("slice", dealt("vec_id", "v", n_slices))
+    met = blocks.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(n_slices - 1))))
+    part = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+
+    def matrix(column: pa.ChunkedArray) -> np.ndarray:
+        lists = column.combine_chunks()
+        return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), -1)
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
         if left.num_rows and right.num_rows:
             ids = np.array(left.column("vec_id"))
-            v = np.array(left.column("v").to_pylist(), dtype=np.float64)
+            v = matrix(left.column("v"))
             norm = np.sqrt((v * v).sum(axis=1))
-            for names, qs in zip(right.column("ids").to_pylist(), right.column("qs").to_pylist(), strict=True):
-                for name, q in zip(names, np.array(qs, dtype=np.float64), strict=True):
-                    cosine = np.round(v @ q / np.maximum(norm * np.sqrt(q @ q), 1e-300), 9)
+            names, qs = right.column("query_id").to_pylist(), matrix(right.column("q"))
+            for at in range(0, len(names), size):
+                some = qs[at : at + size]
+                cosines = np.round(some @ v.T / np.maximum(np.sqrt((some * some).sum(axis=1))[:, None] * norm, 1e-300), 9)
+                for name, cosine in zip(names[at : at + size], cosines, strict=True):
                     cosine[ids == name] = -2
-                    for at in np.lexsort((ids, -cosine))[:k]:
-                        if cosine[at] >= -1.5:
+                    for best in np.lexsort((ids, -cosine))[:k]:
+                        if cosine[best] >= -1.5:
                             out["query_id"].append(name)
-                            out["vec_id"].append(int(ids[at]))
-                            out["score"].append(float(cosine[at]))
+                            out["vec_id"].append(int(ids[best]))
+                            out["score"].append(float(cosine[best]))
         return pa.table({"query_id": pa.array(out["query_id"], pa.int64()), "vec_id": pa.array(out["vec_id"], pa.int64()), "score": pa.array(out["score"], pa.float64())})
 
-    found = part.groupBy("part").cogroup(met.groupBy("part")).applyInArrow(search, "query_id long, vec_id long, score double")
+    found = part.groupBy("slice", "block").cogroup(met.groupBy("slice", "block")).applyInArrow(search, "query_id long, vec_id long, score double")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -6,6 +6,7 @@ import datetime
 import difflib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,6 +106,19 @@ def test_names_alike_without_a_common_word(spark, ratio):
     assert expected <= got and ((0, 1) in got) == (ratio < 88) and (2, 3) in got
 
 
+def test_cosine_top_in_blocks_and_slices(spark, monkeypatch):
+    monkeypatch.setattr(matching, "SLICE", 30)
+    monkeypatch.setattr(matching, "QUERIES", 7)
+    v = np.random.default_rng(5).normal(size=(150, 8)).astype(np.float32)
+    rows = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(v)], "vec_id long, v array<float>").coalesce(1)
+    out = matching.cosine_top(rows, rows.where("vec_id % 3 = 0"), "vec_id", "v", 4, size=3)
+    d = v.astype(float)
+    cosine = np.round(d @ d.T / np.outer(*[np.linalg.norm(d, axis=1)] * 2), 9)
+    expected = {(q, n + 1): int(i) for q in range(0, 150, 3) for n, i in enumerate([i for i in np.lexsort((np.arange(150), -cosine[q])) if i != q][:4])}
+    assert {(r.query_id, r.rank): r.vec_id for r in out.collect()} == expected
+    assert matching.cosine_top(rows.where("vec_id < 0"), rows, "vec_id", "v", 4).count() == 0
+
+
 def test_range_pairs_meet_once(spark):
     rows = [(k, "g", datetime.date(2020, 1, 1) + datetime.timedelta(days=d)) for k, d in enumerate([0, 3, 6, 7, 13, 14, 30, 31])] + [(90, "h", datetime.date(2020, 1, 1)), (91, "g", None)]
     got = [tuple(r)[:2] for r in matching.range_pairs(spark.createDataFrame(rows, "id long, k string, day date"), "id", ["k"], "day", 7).collect()]
