@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.shared import grows, keep
+from ..sources.shared import discard, grows, keep
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -20,13 +20,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while not now.isEmpty():
         both = now.select("a", "b").union(now.select("b", "a"))
         down = keep(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("target")), "contract")
+        ends = now.join(grows(down.select(F.col("node").alias("a"), F.col("target").alias("x"))), "a").join(grows(down.select(F.col("node").alias("b"), F.col("target").alias("y"))), "b")
+        left = keep(ends.where("x <> y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "edges")
         if labels is None:
-            labels = down.select("node", F.col("target").alias("label"))
+            labels = keep(down.select("node", F.col("target").alias("label")), "labels")
         else:
             moved = down.select(F.col("node").alias("label"), "target")
-            labels = keep(labels.join(grows(moved), "label", "left").select("node", F.coalesce("target", "label").alias("label")), "labels")
-        ends = now.join(grows(down.select(F.col("node").alias("a"), F.col("target").alias("x"))), "a").join(grows(down.select(F.col("node").alias("b"), F.col("target").alias("y"))), "b")
-        now = keep(ends.where("x <> y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "edges")
+            renamed = keep(labels.join(grows(moved), "label", "left").select("node", F.coalesce("target", "label").alias("label")), "labels")
+            discard(labels)
+            labels = renamed
+        discard(now, down)
+        now = left
+    discard(now)
     if labels is None:
         return edges.sparkSession.createDataFrame([], "node long, label long")
     return labels

@@ -33,11 +33,12 @@ def grows(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
-def discard(df: DataFrame) -> None:
-    """Delete a table that ``keep`` wrote and no later plan reads."""
-    spark = df.sparkSession
+def discard(*frames: DataFrame) -> None:
+    """Delete tables that ``keep`` wrote and no later plan reads."""
     plain = lambda path: path.split(":")[-1].strip("/")
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if plain(folder.rsplit("/", 1)[0]) == plain(shared_dir(spark)):
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    for df in frames:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if plain(folder.rsplit("/", 1)[0]) == plain(shared_dir(spark)):
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
