@@ -1,27 +1,27 @@
 """N-gram Jaccard join: a grouped prefix join over word shingles.
 
-1. Shingle hashes are ordered by how many documents hold them, estimated by a sketch of
-   fixed size over the whole corpus: rare ones first. Any order gives right results; this
-   one keeps common passages out of the prefixes.
-2. Documents with equal sets are one class. Classes with the same size and prefix are one
-   group, and only groups are indexed by their prefix tokens.
-3. Groups that share a token are expanded to their classes. A pair is a candidate if its
-   sizes fit and its prefixes share as many tokens as the threshold implies (the k-th
-   common token of x stands at most at place k + |x| - overlap, in y likewise; the first
-   one so early that most unlinked pairs of one bucket never meet).
-4. Rows of a bucket are first compared with one pivot each; then, over ROUNDS rounds of
-   pivots, only pairs that no chain of links joins yet; last, all such pairs. What is
-   verified, from the texts themselves, are links; a component is what links reach.
+1. Shingles are ordered by how many documents hold them, estimated by a sketch of fixed
+   size over the whole corpus: rare ones first. Any order gives right results; this one
+   keeps common passages out of the prefixes.
+2. Equal word sequences are one class; classes of one size and prefix are one group. Only
+   groups are indexed by their prefix tokens, and tokens of a single group go at once.
+3. Group pairs that share a token are filtered: their sizes fit, the first common token
+   stands early enough in both, and the prefixes share as many tokens as the threshold
+   implies. Only pairs that pass are expanded to their classes.
+4. Classes are verified on the words themselves, never on hashes. Groups first meet one
+   pivot of each token; pivots are drawn again as long as that ties buckets together.
+   Then all pairs of groups that no chain of links joins yet are filtered, expanded and
+   verified. What is found are links; a component is what links reach.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,253 +36,305 @@ PART, WHOLE = 80, 100
 SKETCH = 1 << 21
 CHUNK = 1 << 14
 FAN_IN = 512
-#: Estimated documents of a token from which its bucket is counted in parts, and members verified against one copy of a pivot.
-SALT_FROM = 4096
+#: Rows of a token beyond which its bucket is split, and members verified against one copy of a pivot.
+SPLIT_FROM = 4096
 MEMBERS = 256
-ROUNDS = 2
+#: Pivots are drawn again while a draw closes at least this part of the open rows.
+WORTH = 0.2
+#: Classes whose texts are picked in the scan by a broadcast of their ids; more are merged by key.
+FEW = 1_000_000
+#: Words and groups that a task remembers.
+REMEMBER = 250_000
 
-_BASE = 0x9E3779B97F4A7C15 | 1
 _STEP = 0xC2B2AE3D27D4EB4F
-_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_MASK = (1 << 64) - 1
-
-
-class Shingler:
-    """Sets of 64-bit shingle hashes, by numpy over the bytes of a text."""
-
-    def __init__(self):
-        self.powers = np.ones(1, dtype=np.uint64)
-        self.inverse = np.ones(1, dtype=np.uint64)
-
-    def _grow(self, n: int) -> None:
-        if n > len(self.powers):
-            n = 1 << n.bit_length()
-            back = pow(_BASE, -1, 1 << 64)
-            for name, base in (("powers", _BASE), ("inverse", back)):
-                steps = np.full(n, base, dtype=np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.multiply.accumulate(steps))
-
-    def hashes(self, raw: bytes) -> np.ndarray:
-        """The sorted distinct shingles of a text; too few words make one shingle."""
-        letters = np.frombuffer(raw.translate(_LOWER), dtype=np.uint8)
-        inside = (letters != 32) & ((letters < 9) | (letters > 13))
-        edge = np.flatnonzero(np.diff(np.concatenate(([0], inside.view(np.int8), [0]))))
-        begin, end = edge[::2], edge[1::2]
-        if not len(begin):
+_KEY = b"shingle words"
+
+
+class Words(dict):
+    """A keyed 64-bit digest of each word, made once for each that is remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= REMEMBER:
+            self.clear()
+        value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8, key=_KEY).digest(), "little")
+        return value
+
+    def shingles(self, words: list[bytes]) -> np.ndarray:
+        """The sorted distinct hashes of a word sequence's shingles; too few words make one."""
+        if not words:
             return np.zeros(0, dtype=np.uint64)
-        self._grow(len(letters) + 1)
-        total = np.zeros(len(letters) + 1, dtype=np.uint64)
-        np.cumsum((letters.astype(np.uint64) + np.uint64(1)) * self.powers[: len(letters)], out=total[1:])
-        words = (total[end] - total[begin]) * self.inverse[begin] + (end - begin).astype(np.uint64)
-        words ^= words >> np.uint64(29)
-        words *= np.uint64(0xBF58476D1CE4E5B9)
-        words ^= words >> np.uint64(32)
-        n = min(SHINGLE, len(words))
-        out = np.full(len(words) - n + 1, n, dtype=np.uint64)
+        own = np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+        n = min(SHINGLE, len(own))
+        out = np.full(len(own) - n + 1, n, dtype=np.uint64)
         for k in range(n):
-            out = out * np.uint64(_STEP) + words[k : len(words) - n + 1 + k]
+            out *= np.uint64(_STEP)
+            out += own[k : len(own) - n + 1 + k]
         out ^= out >> np.uint64(31)
         out *= np.uint64(0x94D049BB133111EB)
         out ^= out >> np.uint64(32)
-        return np.unique(out)
+        out.sort()
+        return out[np.append(True, out[1:] != out[:-1])]
+
+
+def split_words(raw: bytes | None) -> list[bytes]:
+    """`[^\\x20\\x09-\\x0D]+` of a text whose A-Z are lower-cased."""
+    return (raw or b"").lower().split()
+
+
+def shingle_set(words: list[bytes]) -> set[tuple[bytes, ...]]:
+    """The distinct shingles themselves."""
+    if len(words) < SHINGLE:
+        return {tuple(words)} if words else set()
+    return set(zip(*(words[k:] for k in range(SHINGLE)), strict=False))
 
 
 def _slots(hashes: np.ndarray) -> np.ndarray:
-    return ((hashes * np.uint64(_STEP)) >> np.uint64(43)).astype(np.int64) % SKETCH
+    return ((hashes * np.uint64(_STEP)) >> np.uint64(65 - SKETCH.bit_length())).astype(np.int64)
 
 
 def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many texts of a task hold each slot's shingles, in chunks of counters."""
-    shingler, counts, seen = Shingler(), np.zeros(SKETCH, dtype=np.uint32), False
+    known, counts, seen = Words(), np.zeros(SKETCH, dtype=np.uint32), False
     for batch in batches:
-        for raw in pc.fill_null(batch.column("text"), "").cast(pa.binary()).to_pylist():
-            slots = _slots(shingler.hashes(raw))
-            np.add.at(counts, slots, 1)
-            seen = seen or len(slots) > 0
+        met = [_slots(known.shingles(split_words(raw))) for raw in batch.column("text").cast(pa.binary()).to_pylist()]
+        slots = np.concatenate(met) if met else np.zeros(0, dtype=np.int64)
+        np.add.at(counts, slots, 1)
+        seen = seen or len(slots) > 0
     if seen:
-        own = np.minimum(counts, 65535).astype("<u4")  # an order needs no exact count
+        own = np.minimum(counts, 65535).astype("<u2")  # an order needs no exact count
         chunks = [own[k : k + CHUNK].tobytes() for k in range(0, SKETCH, CHUNK)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(chunks)), pa.int32()), pa.array(chunks, pa.binary())], names=["chunk", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(chunks)), pa.int32()), pa.array([2] * len(chunks), pa.int32()), pa.array(chunks, pa.binary())], names=["chunk", "bytes", "counts"])
 
 
 def _add_chunks(group: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(c, dtype="<u4").astype(np.uint64) for c in group.column("counts").to_pylist())
-    return pa.table({"chunk": group.column("chunk").slice(0, 1).cast(pa.int32()), "counts": pa.array([np.minimum(total, 2**32 - 1).astype("<u4").tobytes()], pa.binary())})
+    total = np.zeros(CHUNK, dtype=np.uint64)
+    for size, raw in zip(group.column("bytes").to_pylist(), group.column("counts").to_pylist(), strict=True):
+        total += np.frombuffer(raw, dtype=f"<u{size}")
+    return pa.table({"chunk": group.column("chunk").slice(0, 1).cast(pa.int32()), "bytes": pa.array([4], pa.int32()), "counts": pa.array([np.minimum(total, 2**32 - 1).astype("<u4").tobytes()], pa.binary())})
 
 
 def token_sketch(rows: DataFrame) -> np.ndarray:
     """SKETCH counters of documents by token, of that size whatever the corpus holds."""
-    chunks = rows.select("text").mapInArrow(_count_tokens, "chunk int, counts binary").withColumn("part", (F.rand(3) * FAN_IN).cast("int"))
+    schema = "chunk int, bytes int, counts binary"
+    chunks = rows.select("text").mapInArrow(_count_tokens, schema).withColumn("part", F.spark_partition_id() % FAN_IN)
     for keys in (["chunk", "part"], ["chunk"]):
-        chunks = chunks.groupBy(*keys).applyInArrow(_add_chunks, "chunk int, counts binary")
+        chunks = chunks.groupBy(*keys).applyInArrow(_add_chunks, schema)
     sketch = np.zeros(SKETCH, dtype=np.uint32)
     for row in chunks.collect():
         sketch[row.chunk * CHUNK : (row.chunk + 1) * CHUNK] = np.frombuffer(row.counts, dtype="<u4")
     return sketch
 
 
-_MARKED = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("prefix_key", pa.binary()), ("prefix", pa.list_(pa.int64())), ("salts", pa.list_(pa.int32()))])
+_MARKED = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("gid", pa.int64()), ("prefix", pa.list_(pa.int64())), ("parts", pa.list_(pa.int32()))])
+
+
+def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    offsets = np.zeros(len(values) + 1, dtype=np.int32)
+    np.cumsum([len(v) for v in values], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values) if values else [], kind))
 
 
-def _marker(sketch):
+def _marker(sketch, split_from: int):
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, often, seen = Shingler(), sketch.value, set()
+        often, known, seen = sketch.value, Words(), set()
+        noise = float(often.mean())  # what the other tokens of a slot add to a count
+        noise += 6 * noise**0.5
+        none = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
-            for raw in pc.fill_null(batch.column("text"), "").cast(pa.binary()).to_pylist():
-                own = shingler.hashes(raw)
+            sizes, digests, gids, prefixes, parts = [], [], [], [], []
+            for raw in batch.column("text").cast(pa.binary()).to_pylist():
+                words = split_words(raw)
+                own = known.shingles(words)
                 n = len(own)
-                digest = hashlib.blake2b(own.tobytes(), digest_size=16).digest() if n else None
-                prefix = salts = key = None
-                if n and digest not in seen:
-                    if len(seen) < 1_000_000:
-                        seen.add(digest)
+                digest = gid = None
+                prefix, part = none
+                if n:
+                    digest = hashlib.blake2b(b" ".join(words), digest_size=16).digest()
                     est = often[_slots(own)]
-                    first = np.lexsort((own, est))[: n - -(-PART * n // WHOLE) + 1]
-                    prefix, salts = own[first].view(np.int64), (est[first] // SALT_FROM).astype(np.int32)
-                    key = hashlib.blake2b(n.to_bytes(8, "little") + prefix.tobytes(), digest_size=16).digest()
-                for column, value in zip(out, (n, digest, key, prefix, salts), strict=True):
+                    first = np.argsort(est, kind="stable")[: n - -(-PART * n // WHOLE) + 1]
+                    tokens = own[first]
+                    gid = int.from_bytes(hashlib.blake2b(n.to_bytes(8, "little") + tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
+                    if gid not in seen:
+                        if len(seen) >= REMEMBER:
+                            seen.clear()
+                        seen.add(gid)
+                        prefix, part = tokens.view(np.int64), (np.maximum(0, est[first] - noise) // split_from).astype(np.int32)
+                for column, value in ((sizes, n), (digests, digest), (gids, gid), (prefixes, prefix), (parts, part)):
                     column.append(value)
-            values = [batch.column("row_id"), batch.column("doc_id"), *out]
-            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, _MARKED, strict=True)], schema=_MARKED)
+            values = [batch.column("row_id"), batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(gids, pa.int64()), _lists(prefixes, pa.int64()), _lists(parts, pa.int32())]
+            yield pa.RecordBatch.from_arrays(values, schema=_MARKED)
 
     return mark
 
 
-def _sizes_fit(a: str, b: str) -> Column:
-    return F.least(a, b) * WHOLE >= F.greatest(a, b) * PART
+def _overlap(a: str, b: str) -> Column:
+    """Shingles that two linked sets share at least."""
+    return F.ceil((F.col(a) + F.col(b)) * PART / F.lit(WHOLE + PART))
 
 
-def _least_shared(a: str, b: str) -> Column:
-    """Tokens that the prefixes of two linked sets share at least."""
-    overlap = F.ceil((F.col(a) + F.col(b)) * PART / F.lit(WHOLE + PART))
-    return F.greatest(F.lit(1), overlap + 1 - F.ceil(F.greatest(a, b) * PART / F.lit(WHOLE)))
+def _may_link(n: str, pos: str, other_n: str, other_pos: str) -> Column:
+    """The sizes fit, and a token at these places can be the first that both hold."""
+    return (F.least(n, other_n) * WHOLE >= F.greatest(n, other_n) * PART) & (F.col(pos) <= F.col(n) - _overlap(n, other_n)) & (F.col(other_pos) <= F.col(other_n) - _overlap(n, other_n))
 
 
-def _open_pairs(rows: DataFrame) -> DataFrame:
-    """All pairs of different components whose first common token can stand where theirs do.
+def _apart(lo: str, hi: str, other_lo: str, other_hi: str) -> Column:
+    """Two groups whose classes are not all in one component."""
+    return F.least(lo, other_lo) != F.greatest(hi, other_hi)
 
-    Two linked sets of sizes a and b share at least o(a, b) shingles, so the first common one
-    stands at most at place a - o in the one, b - o in the other. A token at a given place
-    thus admits partners up to some size; both sides name the classes of sizes they admit,
-    and only rows that admit each other's meet.
+
+def shared_tokens(marked: DataFrame) -> DataFrame:
+    """Rows (token, gid, n, pos) of the prefix tokens of two groups or more.
+
+    Tokens that the sketch shows in many documents are dealt in parts and all stay.
+    """
+    rows = marked.select("gid", "n", F.posexplode(F.arrays_zip("prefix", "parts")).alias("pos", "t")).select(F.col("t.prefix").alias("token"), F.when(F.col("t.parts") > 0, F.pmod("gid", F.col("t.parts") + 1)).alias("part"), "gid", "n", "pos")
+    whole = Window.partitionBy("token", "part")
+    rows = rows.withColumn("before", F.lag("gid").over(whole.orderBy("gid"))).withColumn("low", F.min("gid").over(whole)).withColumn("high", F.max("gid").over(whole))
+    return rows.where("(before IS NULL OR before <> gid) AND (low <> high OR part IS NOT NULL)").select("token", "gid", "n", "pos")
+
+
+def pivot_pairs(at: DataFrame, draw: Column) -> DataFrame:
+    """Pairs (x, y) of groups: each token's pivot and the rows of its bucket that it may link with."""
+    pivots = at.groupBy("token").agg(F.min(F.struct(draw.alias("draw"), "gid", "n", "pos", "lo", "hi")).alias("p")).select("token", *(F.col(f"p.{c}").alias(f"p_{c}") for c in ("gid", "n", "pos", "lo", "hi")))
+    met = at.join(grows(pivots), "token").where((F.col("gid") != F.col("p_gid")) & _apart("lo", "hi", "p_lo", "p_hi") & _may_link("n", "pos", "p_n", "p_pos"))
+    return met.select(F.col("p_gid").alias("x"), F.col("gid").alias("y"), F.col("p_n").alias("x_n"), F.col("n").alias("y_n")).distinct()
+
+
+def open_pairs(at: DataFrame, split_from: int) -> DataFrame:
+    """All pairs (x, y) of groups that may link by a common token.
+
+    A token at a given place admits partners up to some size; both sides name the classes of
+    sizes they admit, and only rows that admit each other's meet. The left rows of a large
+    bucket are dealt over parts, the right ones stand in each part.
     """
     size_class = lambda c: F.floor(F.log(F.greatest(F.lit(1), c)) * 20).cast("int")
     least = F.ceil(F.col("n") * PART / F.lit(WHOLE))
     most = F.least(F.floor(F.col("n") * WHOLE / F.lit(PART)), F.floor((F.col("n") - F.col("pos")) * (WHOLE + PART) / F.lit(PART)) - F.col("n"))
-    sized = rows.withColumn("most", most).where(F.col("most") >= least).withColumn("wants", F.explode(F.sequence(size_class(least), size_class(F.col("most"))))).withColumn("own", size_class(F.col("n")))
-    sized = keep(sized.select("token", "class_id", "comp", "n", "pos", "own", "wants"), "open")
-    left = sized.select("token", F.col("own").alias("x"), F.col("wants").alias("y"), F.col("class_id").alias("pivot"), F.col("comp").alias("pc"), F.col("n").alias("pivot_n"), F.col("pos").alias("pp"))
-    right = sized.select("token", F.col("wants").alias("x"), F.col("own").alias("y"), F.col("class_id").alias("member"), F.col("comp").alias("mc"), "n", F.col("pos").alias("mp"))
-    overlap = F.ceil((F.col("n") + F.col("pivot_n")) * PART / F.lit(WHOLE + PART))
-    met = left.join(grows(right), ["token", "x", "y"]).where((F.col("pivot") < F.col("member")) & (F.col("pc") != F.col("mc")) & _sizes_fit("n", "pivot_n") & (F.col("pp") <= F.col("pivot_n") - overlap) & (F.col("mp") <= F.col("n") - overlap))
-    return met.select("pivot", "member", "n", "pivot_n").distinct()
+    sized = at.withColumn("most", most).where(F.col("most") >= least).withColumn("wants", F.explode(F.sequence(size_class(least), size_class(F.col("most"))))).withColumn("own", size_class(F.col("n")))
+    sized = keep(sized.select("token", "gid", "lo", "hi", "n", "pos", "own", "wants"), "open")
+    counted = sized.groupBy("token", F.col("own").alias("a"), F.col("wants").alias("b")).agg(F.count("*").alias("k"))
+    parts = keep(counted.where(F.col("k") > split_from).select("token", "a", "b", F.ceil(F.col("k") / split_from).cast("int").alias("parts")), "open-parts")
+    left = sized.select("token", F.col("own").alias("a"), F.col("wants").alias("b"), *(F.col(c).alias(f"x_{c}") for c in ("gid", "n", "pos", "lo", "hi")))
+    right = sized.select("token", F.col("wants").alias("a"), F.col("own").alias("b"), *(F.col(c).alias(f"y_{c}") for c in ("gid", "n", "pos", "lo", "hi")))
+    left = left.join(grows(parts), ["token", "a", "b"], "left").withColumn("part", F.pmod("x_gid", F.coalesce("parts", F.lit(1)))).drop("parts")
+    right = right.join(grows(parts), ["token", "a", "b"], "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    met = left.join(grows(right), ["token", "a", "b", "part"]).where((F.col("x_gid") < F.col("y_gid")) & _apart("x_lo", "x_hi", "y_lo", "y_hi") & _may_link("x_n", "x_pos", "y_n", "y_pos"))
+    pairs = keep(met.select(F.col("x_gid").alias("x"), F.col("y_gid").alias("y"), "x_n", "y_n").distinct(), "met")
+    discard(sized, parts)
+    return pairs
+
+
+def filtered(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """The group pairs whose prefixes share as many tokens as those of linked sets must."""
+    own = lambda side: grows(prefixes.select(F.col("gid").alias(side), F.col("tokens").alias(f"{side}_tokens")))
+    least = F.greatest(F.lit(1), _overlap("x_n", "y_n") + 1 - F.ceil(F.greatest("x_n", "y_n") * PART / F.lit(WHOLE)))
+    return pairs.join(own("y"), "y").join(own("x"), "x").where(F.size(F.array_intersect("x_tokens", "y_tokens")) >= least).select("x", "y")
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted so that a pivot (member null) stands before its members."""
-    shingler, pivot, own = Shingler(), None, None
+    """Rows sorted so that a pivot (member null) stands before its members; the shingles compared are words."""
+    pivot, own = None, set()
     for batch in batches:
         a, b = [], []
         for p, member, raw in zip(batch.column("pivot").to_pylist(), batch.column("member").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
+            other = shingle_set(split_words(raw))
             if member is None:
-                pivot, own = p, shingler.hashes(raw)
+                pivot, own = p, other
                 continue
             assert pivot == p
-            other = shingler.hashes(raw)
-            both = len(np.intersect1d(own, other, assume_unique=True))
+            both = len(own & other)
             if WHOLE * both >= PART * (len(own) + len(other) - both):
                 a.append(p)
                 b.append(member)
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The links among pairs (pivot, member) of classes, by the texts' whole sets.
+def verified(pairs: DataFrame, rows: DataFrame, members: int) -> DataFrame:
+    """The links among pairs (pivot, member) of row ids, by the texts' whole sets.
 
-    A pivot's text is repeated for each MEMBERS members, so no task gathers all of them.
+    Texts of few rows are picked in the scan by a broadcast of at most FEW ids; of more, by a
+    merge. A pivot's text is repeated for each ``members`` members, so no task gathers all.
     """
-    copies = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("copies"))
+    pairs = keep(pairs, "pairs")
+    wanted = keep(pairs.select(F.explode(F.array("pivot", "member")).alias("row_id")).distinct(), "wanted")
+    ids = F.broadcast(wanted) if wanted.count() <= FEW else grows(wanted)
+    texts = keep(rows.select("row_id", "text").join(ids, "row_id", "left_semi"), "texts")
+    copies = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / members).cast("int").alias("copies"))
     dealt = pairs.join(grows(copies), "pivot").withColumn("copy", F.pmod(F.xxhash64("member"), F.col("copies")).cast("int"))
-    members = dealt.join(grows(texts.withColumnRenamed("class_id", "member")), "member").select("pivot", "copy", "member", "text")
-    pivots = copies.join(grows(texts.withColumnRenamed("class_id", "pivot")), "pivot").select("pivot", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), F.lit(None).cast("long").alias("member"), "text")
-    ordered = members.unionByName(pivots).repartition("pivot", "copy").sortWithinPartitions("pivot", "copy", F.asc_nulls_first("member"))
-    return keep(ordered.select("pivot", "member", "text").mapInArrow(_verify, "a long, b long"), "links")
+    others = dealt.join(grows(texts.withColumnRenamed("row_id", "member")), "member").select("pivot", "copy", "member", "text")
+    pivots = copies.join(grows(texts.withColumnRenamed("row_id", "pivot")), "pivot").select("pivot", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), F.lit(None).cast("long").alias("member"), "text")
+    ordered = others.unionByName(pivots).repartition("pivot", "copy").sortWithinPartitions("pivot", "copy", F.asc_nulls_first("member"))
+    links = keep(ordered.select("pivot", "member", "text").mapInArrow(_verify, "a long, b long"), "links")
+    discard(pairs, wanted, texts)
+    return links
 
 
-def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text", row_id: str | None = None) -> DataFrame:
+def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text", row_id: str | None = None, split_from: int = SPLIT_FROM, members: int = MEMBERS, worth: float = WORTH) -> DataFrame:
     """One row per row of ``df``: row_id, doc_id, n_shingles, component_id, class_size, component.
 
     Two documents link when the Jaccard similarity of their shingle sets is at least 0.8;
     component_id is the smallest doc_id that links reach. A null or blank text has no
-    shingles, links with nothing and has a null ``component``, which else numbers the components; null ids never name a component unless all its ids are
-    null. Repeated rows are one class. ``row_id`` is a unique long column that two reads of
-    ``df`` number alike; without one, ``df`` is written to the shared folder first.
+    shingles, links with nothing and has a null ``component``, which else numbers the
+    components; null ids never name a component unless all its ids are null. Repeated rows
+    are one class. ``row_id`` is a unique long column that two reads of ``df`` number alike;
+    without one, ``df`` is written to the shared folder first. Buckets beyond ``split_from``
+    rows are split; pivots are drawn again while a draw closes ``worth`` of the open rows.
     """
     spark = session_of(df)
     rows = df.select(*([F.col(row_id).alias("row_id")] if row_id else []), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    written = []
     if not row_id:
         rows = keep(rows.withColumn("row_id", F.monotonically_increasing_id()), "rows")
+        written.append(rows)
     sketch = spark.sparkContext.broadcast(token_sketch(rows))
-    marked = keep(rows.select("row_id", "doc_id", "text").mapInArrow(_marker(sketch), "row_id long, doc_id long, n long, digest binary, prefix_key binary, prefix array<long>, salts array<int>"), "marked")
-    held = marked.where("n > 0")
-    firsts = [F.first(c, ignorenulls=True).alias(c) for c in ("prefix_key", "prefix", "salts")]
-    classes = keep(held.groupBy("digest").agg(F.min("row_id").alias("row_id"), F.first("n").alias("n"), F.count("*").alias("class_size"), *firsts).withColumn("class_id", F.monotonically_increasing_id()), "classes")
-    groups = classes.groupBy("prefix_key").agg(F.min("class_id").alias("group_id"), F.count("*").alias("members"))
-    members = keep(classes.join(grows(groups.where("members > 1")), "prefix_key").select("class_id", "group_id", "n"), "members")
-    leaders = classes.join(grows(members.where("class_id <> group_id").select("class_id")), "class_id", "left_anti")
-
-    # Buckets of two groups or more. Hot tokens are told from the sketch: their rows all stay, spread over parts.
-    tokens = leaders.select("class_id", "n", F.posexplode(F.arrays_zip("prefix", "salts")).alias("pos", "t")).select(F.col("t.prefix").alias("token"), F.when(F.col("t.salts") > 0, F.pmod(F.xxhash64("class_id"), F.col("t.salts") + 1)).alias("part"), "class_id", "n", "pos")
-    shared = tokens.withColumn("others", F.count("*").over(Window.partitionBy("token", "part"))).where("others > 1 OR part IS NOT NULL").select("token", "class_id", "n", "pos")
-    by_group = keep(shared, "shared")
-    more = by_group.join(members.where("class_id <> group_id").select(F.col("group_id").alias("class_id"), F.col("class_id").alias("other")), "class_id").select("token", F.col("other").alias("class_id"), "n", "pos")
-    own = members.select(F.xxhash64(F.lit("group"), "group_id").alias("token"), "class_id", "n", F.lit(0).alias("pos"))
-    entries = keep(by_group.unionByName(more).unionByName(own), "entries")
-
-    met = entries.select("class_id").distinct()
-    texts = keep(rows.select("row_id", F.coalesce("text", F.lit("")).alias("text")).join(classes.join(grows(met), "class_id", "left_semi").select("class_id", "row_id"), "row_id").select("class_id", "text"), "texts")
-    prefixes = classes.join(grows(met), "class_id", "left_semi").select("class_id", "prefix")
-    links = None
-    comp = None
-    for step in range(ROUNDS + 1):
-        at = entries.withColumn("comp", F.col("class_id")) if comp is None else entries.join(comp.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("comp", F.coalesce("label", "class_id")).drop("label")
+    marked = keep(rows.select("row_id", "doc_id", "text").mapInArrow(_marker(sketch, split_from), "row_id long, doc_id long, n long, digest binary, gid long, prefix array<long>, parts array<int>"), "marked")
+    entries = keep(shared_tokens(marked), "entries")
+    ids = keep(marked.select("row_id", "doc_id", "n", "digest", "gid"), "ids")
+    discard(marked)
+    sketch.destroy()
+    classes = keep(ids.where("n > 0").groupBy("digest").agg(F.min("row_id").alias("cid"), F.min("gid").alias("gid"), F.min("doc_id").alias("class_doc"), F.count("*").alias("class_size")), "classes")
+    prefixes = keep(entries.groupBy("gid").agg(F.collect_list("token").alias("tokens")), "prefixes")  # at most a document's prefix
+    written += [ids, classes, prefixes]
+
+    links: list[DataFrame] = []
+    comp, before, step, last = None, None, 0, False
+    while not last:
+        labelled = classes.select("cid", "gid", F.col("cid").alias("comp")) if comp is None else classes.select("cid", "gid").join(grows(comp.withColumnRenamed("node", "cid")), "cid", "left").select("cid", "gid", F.coalesce("label", "cid").alias("comp"))
+        state = keep(labelled, "state")
         # First the row with the fewest rarer tokens of its own: of near copies, the one nearest to what they share.
-        draw = F.col("pos").cast("long") if step == 0 else F.xxhash64(F.lit(step), "class_id")
-        buckets = keep(at.groupBy("token").agg(F.min(F.struct(draw.alias("draw"), "class_id", "comp", "n")).alias("pivot"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token", "pivot.class_id", "pivot.comp", "pivot.n").toDF("token", "pivot", "pivot_comp", "pivot_n"), "buckets")
-        if buckets.isEmpty():
-            break
-        if step < ROUNDS:
-            near = at.join(grows(buckets), "token").where((F.col("comp") != F.col("pivot_comp")) & _sizes_fit("n", "pivot_n")).select("pivot", F.col("class_id").alias("member"), "n", "pivot_n").distinct()
+        draw = (lambda c: F.col("pos").cast("long") if c == "gid" else F.col(c)) if step == 0 else (lambda c: F.xxhash64(F.lit(step), c))  # noqa: E731, B023
+        ends = state.groupBy("gid").agg(F.min(F.struct(draw("cid").alias("draw"), "cid", "comp")).alias("lead"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).select("gid", F.col("lead.cid").alias("lead"), F.col("lead.comp").alias("lead_comp"), "lo", "hi")
+        ends = keep(ends, "ends")
+        at = keep(entries.join(grows(ends.select("gid", "lo", "hi")), "gid"), "at")
+        closed = at.groupBy("token").agg(F.min("lo").alias("low"), F.max("hi").alias("high")).where("low = high").select("token")
+        still = keep(at.join(grows(closed), "token", "left_anti"), "still")
+        discard(entries, at)
+        entries, open_rows = still.select("token", "gid", "n", "pos"), still.count()
+        last = before is not None and open_rows >= (1 - worth) * before
+        if last:
+            met = open_pairs(still, split_from)
+            sides = [grows(state.select(F.col("gid").alias(g), F.col("cid").alias(c), F.col("comp").alias(f"{g}_comp"))) for g, c in (("x", "pivot"), ("y", "member"))]
+            across = filtered(met, prefixes).join(sides[0], "x").join(sides[1], "y").where("x_comp <> y_comp").select("pivot", "member")
+            own = state.join(grows(ends.where("lo <> hi").select("gid")), "gid", "left_semi")
+            inner = own.select("gid", F.col("cid").alias("pivot"), F.col("comp").alias("x_comp")).join(grows(own.withColumnRenamed("cid", "member")), "gid").where("pivot < member AND x_comp <> comp").select("pivot", "member")
         else:
-            near = _open_pairs(at.join(grows(buckets.select("token")), "token", "left_semi"))
-        both = near.join(grows(prefixes.select(F.col("class_id").alias("member"), F.col("prefix").alias("m"))), "member").join(grows(prefixes.select(F.col("class_id").alias("pivot"), F.col("prefix").alias("q"))), "pivot")
-        pairs = both.where(F.size(F.array_intersect("m", "q")) >= _least_shared("n", "pivot_n")).select("pivot", "member")
-        new = verified(keep(pairs, "pairs"), texts)
-        links = new if links is None else links.unionByName(new)
-        comp = connected_components(links)
+            met = keep(pivot_pairs(still, draw("gid")), "met")
+            across = filtered(met, prefixes).join(grows(ends.select(F.col("gid").alias("x"), F.col("lead").alias("pivot"))), "x").join(grows(ends.select(F.col("gid").alias("y"), F.col("lead").alias("member"))), "y").select("pivot", "member")
+            inner = state.join(grows(ends.where("lo <> hi").select("gid", "lead", "lead_comp")), "gid").where("comp <> lead_comp").select(F.col("lead").alias("pivot"), F.col("cid").alias("member"))
+        links.append(verified(across.unionByName(inner), rows, members))
+        discard(met, state, ends, *([] if comp is None else [comp]))
+        comp = connected_components(reduce(DataFrame.unionByName, links))
+        step, before = step + 1, open_rows
     # Ids again: each class's smallest doc_id, then each component's.
-    ids = keep(held.groupBy("digest").agg(F.min("doc_id").alias("class_doc"), F.count("*").alias("class_size")).join(grows(classes.select("digest", "class_id")), "digest"), "class-ids")
-    if comp is None:
-        named = ids.select("digest", F.col("class_doc").alias("component_id"), "class_size", F.col("class_id").alias("component"))
-    else:
-        labelled = ids.join(comp.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("label", F.coalesce("label", "class_id"))
-        lowest = labelled.groupBy("label").agg(F.min("class_doc").alias("component_id"))
-        named = labelled.join(grows(lowest), "label").select("digest", "component_id", "class_size", F.col("label").alias("component"))
-    named = keep(named, "named")
-    out = marked.select("row_id", "doc_id", "n", "digest").join(grows(named), "digest", "left").select(
-        "row_id",
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.coalesce("class_size", F.lit(1)).alias("class_size"),
-        "component",
+    labels = classes.join(grows(comp.withColumnRenamed("node", "cid")), "cid", "left").select("digest", "class_doc", "class_size", F.coalesce("label", "cid").alias("component"))
+    named = labels.join(grows(labels.groupBy("component").agg(F.min("class_doc").alias("component_id"))), "component")
+    out = keep(
+        ids.select("row_id", "doc_id", "n", "digest")
+        .join(grows(named.select("digest", "component_id", "class_size", "component")), "digest", "left")
+        .select("row_id", "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"), "component"),
+        "components",
     )
-    out = keep(out, "components")
-    for done in (marked, classes, members, by_group, entries, texts, ids, named):
-        discard(done)
-    sketch.destroy()
+    discard(entries, comp, *links, *written)
     return out
 
 
