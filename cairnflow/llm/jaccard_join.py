@@ -40,40 +40,65 @@ FAN_IN = 512
 SPLIT_FROM = 4096
 MEMBERS = 256
 #: Pivots are drawn again while a draw closes at least this part of the open rows.
-WORTH = 0.2
+WORTH = 0.4
 #: Classes whose texts are picked in the scan by a broadcast of their ids; more are merged by key.
 FEW = 1_000_000
-#: Words and groups that a task remembers.
+#: Groups that a task remembers.
 REMEMBER = 250_000
 
 _STEP = 0xC2B2AE3D27D4EB4F
-_KEY = b"shingle words"
-
-
-class Words(dict):
-    """A keyed 64-bit digest of each word, made once for each that is remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBER:
-            self.clear()
-        value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8, key=_KEY).digest(), "little")
-        return value
-
-    def shingles(self, words: list[bytes]) -> np.ndarray:
-        """The sorted distinct hashes of a word sequence's shingles; too few words make one."""
-        if not words:
-            return np.zeros(0, dtype=np.uint64)
-        own = np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-        n = min(SHINGLE, len(own))
-        out = np.full(len(own) - n + 1, n, dtype=np.uint64)
-        for k in range(n):
-            out *= np.uint64(_STEP)
-            out += own[k : len(own) - n + 1 + k]
-        out ^= out >> np.uint64(31)
-        out *= np.uint64(0x94D049BB133111EB)
-        out ^= out >> np.uint64(32)
-        out.sort()
-        return out[np.append(True, out[1:] != out[:-1])]
+#: Words hashed side by side, and a word whose hash shows that two workers hash alike.
+AT_ONCE = 200_000
+_PROBE = b"shingle words"
+
+
+def _mixed(words: np.ndarray, n: int) -> np.ndarray:
+    """The hashes of all runs of n words."""
+    out = np.full(len(words) - n + 1, n, dtype=np.uint64)
+    for k in range(n):
+        out *= np.uint64(_STEP)
+        out += words[k : len(words) - n + 1 + k]
+    out ^= out >> np.uint64(31)
+    out *= np.uint64(0x94D049BB133111EB)
+    out ^= out >> np.uint64(32)
+    return out
+
+
+def _distinct(hashes: np.ndarray) -> np.ndarray:
+    hashes = np.sort(hashes)
+    return hashes[np.append(True, hashes[1:] != hashes[:-1])] if len(hashes) else hashes
+
+
+def shingle_hashes(texts: list[bytes | None]) -> Iterator[tuple[np.ndarray, bytes]]:
+    """For each text the sorted distinct hashes of its shingles, too few words making one, and a digest of its words.
+
+    Words are hashed by Python's keyed SipHash, whose key Spark gives all its workers alike.
+    """
+    held: list[np.ndarray] = []
+    digests: list[bytes] = []
+
+    def give() -> Iterator[tuple[np.ndarray, bytes]]:
+        flat = np.concatenate(held).view(np.uint64)
+        runs = _mixed(flat, SHINGLE) if len(flat) >= SHINGLE else flat
+        at = 0
+        for own, digest in zip(held, digests, strict=True):
+            n = len(own)
+            yield _distinct(runs[at : at + n - SHINGLE + 1] if n >= SHINGLE else _mixed(flat[at : at + n], n) if n else flat[:0]), digest
+            at += n
+
+    total = 0
+    for raw in texts:
+        words = split_words(raw)
+        held.append(np.fromiter(map(hash, words), np.int64, len(words)))
+        digests.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest())
+        total += len(words)
+        if total >= AT_ONCE:
+            yield from give()
+            held.clear()
+            digests.clear()
+            total = 0
+    if held:
+        yield from give()
 
 
 def split_words(raw: bytes | None) -> list[bytes]:
@@ -94,35 +119,38 @@ def _slots(hashes: np.ndarray) -> np.ndarray:
 
 def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many texts of a task hold each slot's shingles, in chunks of counters."""
-    known, counts, seen = Words(), np.zeros(SKETCH, dtype=np.uint32), False
+    counts, seen = np.zeros(SKETCH, dtype=np.uint32), False
     for batch in batches:
-        met = [_slots(known.shingles(split_words(raw))) for raw in batch.column("text").cast(pa.binary()).to_pylist()]
-        slots = np.concatenate(met) if met else np.zeros(0, dtype=np.int64)
-        np.add.at(counts, slots, 1)
-        seen = seen or len(slots) > 0
+        for own, _ in shingle_hashes(batch.column("text").cast(pa.binary()).to_pylist()):
+            np.add.at(counts, _slots(own), 1)
+            seen = seen or len(own) > 0
     if seen:
         own = np.minimum(counts, 65535).astype("<u2")  # an order needs no exact count
         chunks = [own[k : k + CHUNK].tobytes() for k in range(0, SKETCH, CHUNK)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(chunks)), pa.int32()), pa.array([2] * len(chunks), pa.int32()), pa.array(chunks, pa.binary())], names=["chunk", "bytes", "counts"])
+        n = len(chunks)
+        yield pa.RecordBatch.from_arrays([pa.array(range(n), pa.int32()), pa.array([hash(_PROBE)] * n, pa.int64()), pa.array([2] * n, pa.int32()), pa.array(chunks, pa.binary())], names=["chunk", "probe", "bytes", "counts"])
 
 
 def _add_chunks(group: pa.Table) -> pa.Table:
     total = np.zeros(CHUNK, dtype=np.uint64)
     for size, raw in zip(group.column("bytes").to_pylist(), group.column("counts").to_pylist(), strict=True):
         total += np.frombuffer(raw, dtype=f"<u{size}")
-    return pa.table({"chunk": group.column("chunk").slice(0, 1).cast(pa.int32()), "bytes": pa.array([4], pa.int32()), "counts": pa.array([np.minimum(total, 2**32 - 1).astype("<u4").tobytes()], pa.binary())})
+    return pa.table({"chunk": group.column("chunk").slice(0, 1).cast(pa.int32()), "probe": group.column("probe").slice(0, 1), "bytes": pa.array([4], pa.int32()), "counts": pa.array([np.minimum(total, 2**32 - 1).astype("<u4").tobytes()], pa.binary())})
 
 
-def token_sketch(rows: DataFrame) -> np.ndarray:
-    """SKETCH counters of documents by token, of that size whatever the corpus holds."""
-    schema = "chunk int, bytes int, counts binary"
+def token_sketch(rows: DataFrame) -> tuple[np.ndarray, int]:
+    """SKETCH counters of documents by token, of that size whatever the corpus holds; and the probe's hash."""
+    schema = "chunk int, probe long, bytes int, counts binary"
     chunks = rows.select("text").mapInArrow(_count_tokens, schema).withColumn("part", F.spark_partition_id() % FAN_IN)
-    for keys in (["chunk", "part"], ["chunk"]):
+    for keys in (["chunk", "probe", "part"], ["chunk", "probe"]):
         chunks = chunks.groupBy(*keys).applyInArrow(_add_chunks, schema)
-    sketch = np.zeros(SKETCH, dtype=np.uint32)
+    sketch, probes = np.zeros(SKETCH, dtype=np.uint32), {0: 0}
     for row in chunks.collect():
         sketch[row.chunk * CHUNK : (row.chunk + 1) * CHUNK] = np.frombuffer(row.counts, dtype="<u4")
-    return sketch
+        probes[row.chunk] = row.probe
+    if len(set(probes.values())) > 1:
+        raise RuntimeError("Python workers hash words differently: give all executors one PYTHONHASHSEED")
+    return sketch, probes[0]
 
 
 _MARKED = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("gid", pa.int64()), ("prefix", pa.list_(pa.int64())), ("parts", pa.list_(pa.int32()))])
@@ -134,22 +162,20 @@ def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values) if values else [], kind))
 
 
-def _marker(sketch, split_from: int):
+def _marker(sketch, probe: int, split_from: int):
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often, known, seen = sketch.value, Words(), set()
+        often, seen = sketch.value, set()
         noise = float(often.mean())  # what the other tokens of a slot add to a count
         noise += 6 * noise**0.5
         none = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)
         for batch in batches:
             sizes, digests, gids, prefixes, parts = [], [], [], [], []
-            for raw in batch.column("text").cast(pa.binary()).to_pylist():
-                words = split_words(raw)
-                own = known.shingles(words)
-                n = len(own)
-                digest = gid = None
+            for own, digest in shingle_hashes(batch.column("text").cast(pa.binary()).to_pylist()):
+                n, gid = len(own), None
                 prefix, part = none
                 if n:
-                    digest = hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+                    if hash(_PROBE) != probe:
+                        raise RuntimeError("Python workers hash words differently: give all executors one PYTHONHASHSEED")
                     est = often[_slots(own)]
                     first = np.argsort(est, kind="stable")[: n - -(-PART * n // WHOLE) + 1]
                     tokens = own[first]
@@ -159,7 +185,7 @@ def _marker(sketch, split_from: int):
                             seen.clear()
                         seen.add(gid)
                         prefix, part = tokens.view(np.int64), (np.maximum(0, est[first] - noise) // split_from).astype(np.int32)
-                for column, value in ((sizes, n), (digests, digest), (gids, gid), (prefixes, prefix), (parts, part)):
+                for column, value in ((sizes, n), (digests, digest if n else None), (gids, gid), (prefixes, prefix), (parts, part)):
                     column.append(value)
             values = [batch.column("row_id"), batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(gids, pa.int64()), _lists(prefixes, pa.int64()), _lists(parts, pa.int32())]
             yield pa.RecordBatch.from_arrays(values, schema=_MARKED)
@@ -177,9 +203,9 @@ def _may_link(n: str, pos: str, other_n: str, other_pos: str) -> Column:
     return (F.least(n, other_n) * WHOLE >= F.greatest(n, other_n) * PART) & (F.col(pos) <= F.col(n) - _overlap(n, other_n)) & (F.col(other_pos) <= F.col(other_n) - _overlap(n, other_n))
 
 
-def _apart(lo: str, hi: str, other_lo: str, other_hi: str) -> Column:
-    """Two groups whose classes are not all in one component."""
-    return F.least(lo, other_lo) != F.greatest(hi, other_hi)
+def _apart(comp: str, other: str) -> Column:
+    """Two groups that are not of one component; a group of several components has none."""
+    return ~F.coalesce(F.col(comp) == F.col(other), F.lit(False))
 
 
 def shared_tokens(marked: DataFrame) -> DataFrame:
@@ -193,14 +219,27 @@ def shared_tokens(marked: DataFrame) -> DataFrame:
     return rows.where("(before IS NULL OR before <> gid) AND (low <> high OR part IS NOT NULL)").select("token", "gid", "n", "pos")
 
 
-def pivot_pairs(at: DataFrame, draw: Column) -> DataFrame:
+def with_pivots(entries: DataFrame, ends: DataFrame, draw: Column) -> DataFrame:
+    """The rows of open tokens, those of two components or more, each with its token's pivot.
+
+    ``alone`` tells that all groups of a token are single classes: what its pivot is compared
+    with is settled.
+    """
+    at = keep(entries.join(grows(ends.select("gid", "comp", "single")), "gid"), "at")
+    buckets = at.groupBy("token").agg(F.min(F.struct(draw.alias("draw"), "gid", "n", "pos", "comp")).alias("p"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("comp").alias("known"), F.count("*").alias("k"), F.min("single").alias("alone"))
+    pivots = buckets.where("k > 1 AND (known < k OR lo <> hi)").select("token", "alone", *(F.col(f"p.{c}").alias(f"p_{c}") for c in ("gid", "n", "pos", "comp")))
+    joined = keep(at.join(grows(pivots), "token").drop("single"), "still")
+    discard(at)
+    return joined
+
+
+def pivot_pairs(still: DataFrame) -> DataFrame:
     """Pairs (x, y) of groups: each token's pivot and the rows of its bucket that it may link with."""
-    pivots = at.groupBy("token").agg(F.min(F.struct(draw.alias("draw"), "gid", "n", "pos", "lo", "hi")).alias("p")).select("token", *(F.col(f"p.{c}").alias(f"p_{c}") for c in ("gid", "n", "pos", "lo", "hi")))
-    met = at.join(grows(pivots), "token").where((F.col("gid") != F.col("p_gid")) & _apart("lo", "hi", "p_lo", "p_hi") & _may_link("n", "pos", "p_n", "p_pos"))
+    met = still.where((F.col("gid") != F.col("p_gid")) & _apart("comp", "p_comp") & _may_link("n", "pos", "p_n", "p_pos"))
     return met.select(F.col("p_gid").alias("x"), F.col("gid").alias("y"), F.col("p_n").alias("x_n"), F.col("n").alias("y_n")).distinct()
 
 
-def open_pairs(at: DataFrame, split_from: int) -> DataFrame:
+def open_pairs(still: DataFrame, split_from: int) -> DataFrame:
     """All pairs (x, y) of groups that may link by a common token.
 
     A token at a given place admits partners up to some size; both sides name the classes of
@@ -210,16 +249,21 @@ def open_pairs(at: DataFrame, split_from: int) -> DataFrame:
     size_class = lambda c: F.floor(F.log(F.greatest(F.lit(1), c)) * 20).cast("int")
     least = F.ceil(F.col("n") * PART / F.lit(WHOLE))
     most = F.least(F.floor(F.col("n") * WHOLE / F.lit(PART)), F.floor((F.col("n") - F.col("pos")) * (WHOLE + PART) / F.lit(PART)) - F.col("n"))
-    sized = at.withColumn("most", most).where(F.col("most") >= least).withColumn("wants", F.explode(F.sequence(size_class(least), size_class(F.col("most"))))).withColumn("own", size_class(F.col("n")))
-    sized = keep(sized.select("token", "gid", "lo", "hi", "n", "pos", "own", "wants"), "open")
-    counted = sized.groupBy("token", F.col("own").alias("a"), F.col("wants").alias("b")).agg(F.count("*").alias("k"))
-    parts = keep(counted.where(F.col("k") > split_from).select("token", "a", "b", F.ceil(F.col("k") / split_from).cast("int").alias("parts")), "open-parts")
-    left = sized.select("token", F.col("own").alias("a"), F.col("wants").alias("b"), *(F.col(c).alias(f"x_{c}") for c in ("gid", "n", "pos", "lo", "hi")))
-    right = sized.select("token", F.col("wants").alias("a"), F.col("own").alias("b"), *(F.col(c).alias(f"y_{c}") for c in ("gid", "n", "pos", "lo", "hi")))
-    left = left.join(grows(parts), ["token", "a", "b"], "left").withColumn("part", F.pmod("x_gid", F.coalesce("parts", F.lit(1)))).drop("parts")
-    right = right.join(grows(parts), ["token", "a", "b"], "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
-    met = left.join(grows(right), ["token", "a", "b", "part"]).where((F.col("x_gid") < F.col("y_gid")) & _apart("x_lo", "x_hi", "y_lo", "y_hi") & _may_link("x_n", "x_pos", "y_n", "y_pos"))
-    pairs = keep(met.select(F.col("x_gid").alias("x"), F.col("y_gid").alias("y"), "x_n", "y_n").distinct(), "met")
+    sized = still.withColumn("most", most).where(F.col("most") >= least).withColumn("wants", F.explode(F.sequence(size_class(least), size_class(F.col("most"))))).withColumn("own", size_class(F.col("n")))
+    place = F.shiftleft("n", 24) + F.least("pos", F.lit((1 << 24) - 1))  # places only rule out
+    met_at = lambda x, y: F.xxhash64("token", x, y)
+    sized = keep(sized.select(met_at("own", "wants").alias("bucket"), met_at("wants", "own").alias("facing"), "gid", "comp", place.alias("place")), "open")
+    counted = sized.groupBy("bucket").agg(F.count("*").alias("k"))
+    parts = keep(counted.where(F.col("k") > split_from).select("bucket", F.ceil(F.col("k") / split_from).cast("int").alias("parts")), "open-parts")
+    left = sized.select("bucket", F.col("gid").alias("x"), F.col("comp").alias("x_comp"), F.col("place").alias("x_place"))
+    right = sized.select(F.col("facing").alias("bucket"), F.col("gid").alias("y"), F.col("comp").alias("y_comp"), F.col("place").alias("y_place"))
+    if not parts.isEmpty():
+        left = left.join(grows(parts), "bucket", "left").withColumn("bucket", F.xxhash64("bucket", F.pmod("x", F.coalesce("parts", F.lit(1))).cast("int"))).drop("parts")
+        right = right.join(grows(parts), "bucket", "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).withColumn("bucket", F.xxhash64("bucket", "part")).drop("parts", "part")
+    met = left.join(grows(right), "bucket").where((F.col("x") < F.col("y")) & _apart("x_comp", "y_comp"))
+    for side in ("x", "y"):
+        met = met.withColumn(f"{side}_n", F.shiftright(f"{side}_place", 24)).withColumn(f"{side}_pos", F.col(f"{side}_place").bitwiseAND((1 << 24) - 1))
+    pairs = keep(met.where(_may_link("x_n", "x_pos", "y_n", "y_pos")).select("x", "y", "x_n", "y_n").distinct(), "met")
     discard(sized, parts)
     return pairs
 
@@ -286,8 +330,9 @@ def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
     if not row_id:
         rows = keep(rows.withColumn("row_id", F.monotonically_increasing_id()), "rows")
         written.append(rows)
-    sketch = spark.sparkContext.broadcast(token_sketch(rows))
-    marked = keep(rows.select("row_id", "doc_id", "text").mapInArrow(_marker(sketch, split_from), "row_id long, doc_id long, n long, digest binary, gid long, prefix array<long>, parts array<int>"), "marked")
+    counters, probe = token_sketch(rows)
+    sketch = spark.sparkContext.broadcast(counters)
+    marked = keep(rows.select("row_id", "doc_id", "text").mapInArrow(_marker(sketch, probe, split_from), "row_id long, doc_id long, n long, digest binary, gid long, prefix array<long>, parts array<int>"), "marked")
     entries = keep(shared_tokens(marked), "entries")
     ids = keep(marked.select("row_id", "doc_id", "n", "digest", "gid"), "ids")
     discard(marked)
@@ -301,29 +346,29 @@ def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
     while not last:
         labelled = classes.select("cid", "gid", F.col("cid").alias("comp")) if comp is None else classes.select("cid", "gid").join(grows(comp.withColumnRenamed("node", "cid")), "cid", "left").select("cid", "gid", F.coalesce("label", "cid").alias("comp"))
         state = keep(labelled, "state")
+        lead = F.col("cid") if step == 0 else F.xxhash64(F.lit(step), "cid")
+        ends = state.groupBy("gid").agg(F.min(F.struct(lead.alias("draw"), "cid", "comp")).alias("lead"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), (F.count("*") == 1).alias("single"))
+        ends = keep(ends.select("gid", F.col("lead.cid").alias("lead"), F.col("lead.comp").alias("lead_comp"), F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("comp"), "single"), "ends")
         # First the row with the fewest rarer tokens of its own: of near copies, the one nearest to what they share.
-        draw = (lambda c: F.col("pos").cast("long") if c == "gid" else F.col(c)) if step == 0 else (lambda c: F.xxhash64(F.lit(step), c))  # noqa: E731, B023
-        ends = state.groupBy("gid").agg(F.min(F.struct(draw("cid").alias("draw"), "cid", "comp")).alias("lead"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).select("gid", F.col("lead.cid").alias("lead"), F.col("lead.comp").alias("lead_comp"), "lo", "hi")
-        ends = keep(ends, "ends")
-        at = keep(entries.join(grows(ends.select("gid", "lo", "hi")), "gid"), "at")
-        closed = at.groupBy("token").agg(F.min("lo").alias("low"), F.max("hi").alias("high")).where("low = high").select("token")
-        still = keep(at.join(grows(closed), "token", "left_anti"), "still")
-        discard(entries, at)
-        entries, open_rows = still.select("token", "gid", "n", "pos"), still.count()
+        still = with_pivots(entries, ends, F.col("pos").cast("long") if step == 0 else F.xxhash64(F.lit(step), "gid"))
+        discard(entries)
+        open_rows = still.count()
         last = before is not None and open_rows >= (1 - worth) * before
+        several = ends.where("comp IS NULL").select("gid", "lead", "lead_comp")
         if last:
             met = open_pairs(still, split_from)
             sides = [grows(state.select(F.col("gid").alias(g), F.col("cid").alias(c), F.col("comp").alias(f"{g}_comp"))) for g, c in (("x", "pivot"), ("y", "member"))]
             across = filtered(met, prefixes).join(sides[0], "x").join(sides[1], "y").where("x_comp <> y_comp").select("pivot", "member")
-            own = state.join(grows(ends.where("lo <> hi").select("gid")), "gid", "left_semi")
+            own = state.join(grows(several.select("gid")), "gid", "left_semi")
             inner = own.select("gid", F.col("cid").alias("pivot"), F.col("comp").alias("x_comp")).join(grows(own.withColumnRenamed("cid", "member")), "gid").where("pivot < member AND x_comp <> comp").select("pivot", "member")
         else:
-            met = keep(pivot_pairs(still, draw("gid")), "met")
+            met = keep(pivot_pairs(still), "met")
             across = filtered(met, prefixes).join(grows(ends.select(F.col("gid").alias("x"), F.col("lead").alias("pivot"))), "x").join(grows(ends.select(F.col("gid").alias("y"), F.col("lead").alias("member"))), "y").select("pivot", "member")
-            inner = state.join(grows(ends.where("lo <> hi").select("gid", "lead", "lead_comp")), "gid").where("comp <> lead_comp").select(F.col("lead").alias("pivot"), F.col("cid").alias("member"))
+            inner = state.drop("comp").join(grows(several), "gid").join(grows(state.select("cid", "comp")), "cid").where("comp <> lead_comp").select(F.col("lead").alias("pivot"), F.col("cid").alias("member"))
         links.append(verified(across.unionByName(inner), rows, members))
         discard(met, state, ends, *([] if comp is None else [comp]))
         comp = connected_components(reduce(DataFrame.unionByName, links))
+        entries = still.where("gid <> p_gid OR NOT alone").select("token", "gid", "n", "pos")
         step, before = step + 1, open_rows
     # Ids again: each class's smallest doc_id, then each component's.
     labels = classes.join(grows(comp.withColumnRenamed("node", "cid")), "cid", "left").select("digest", "class_doc", "class_size", F.coalesce("label", "cid").alias("component"))

@@ -103,6 +103,31 @@ def test_jaccard_components(hard, empty):
     assert jaccard_components(empty).count() == 0
 
 
+@pytest.mark.parametrize(("split_from", "members", "worth"), [(2, 1, 1.0), (1, 2, 0.0)])
+def test_jaccard_components_in_small_parts(spark, split_from, members, worth):
+    """Split buckets, one member a pivot copy, few and many draws of pivots: the same links."""
+    rng = np.random.default_rng(11)
+    bases = [[f"v{rng.integers(300)}" for _ in range(n)] for n in (6, 9, 30, 31, 60)]
+    texts = []
+    for k in range(90):
+        words = list(bases[k % len(bases)])
+        for _ in range(rng.integers(0, 4)):
+            words[rng.integers(len(words))] = f"v{rng.integers(300)}"
+        texts.append(" ".join(words * int(rng.integers(1, 3)) + ["tail"] * int(rng.integers(0, 3))))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    _, low = brute_components(list(enumerate(texts)))
+    got = {r.doc_id: r.component_id for r in jaccard_components(rows, split_from=split_from, members=members, worth=worth).collect()}
+    assert got == dict(enumerate(low)) and len(set(low)) < len(low)
+
+
+def test_jaccard_links_words_and_not_hashes(spark):
+    """Thue-Morse words and their complements agree in every polynomial hash modulo 2^64."""
+    bits = [bin(k).count("1") % 2 for k in range(2048)]
+    texts = ["".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in jaccard_components(rows).collect()} == {0: 0, 1: 1}
+
+
 def test_tokens_on_disk(hard, empty):
     path = public_tokenizers.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)
