@@ -12,7 +12,6 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -28,77 +27,73 @@ from .simple8b import read_segment, write_segment
 
 #: Ids after which a segment is closed, and chunks of text that a worker remembers.
 SEGMENT_IDS = 1 << 20
-REMEMBER = 1_200_000
+REMEMBER = 350_000
 #: Up to here (Latin, Greek, Cyrillic) all Unicode versions agree on what a letter is.
 LAST_STABLE = "\u052f"
-#: How the vocabulary's pre-tokenizer parts a text (fixed values).
-_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Bytes that a byte-level vocabulary spells as themselves (fixed values).
+_PRINTABLE = ((33, 126), (161, 172), (174, 255))
+#: White space that a text cut at single spaces and line ends does not hold; the cut of all others.
+_ODD_SPACES = ("  ", "\n\n", " \n", "\n ", *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f\0")
+_WIDE_SPACE = re.compile(r"[^\S\x00-\x7f]").search
+_BEFORE_WORD = re.compile(r"(?= \S)").split
 
 _SEGMENT = "part int, seq int, n_docs long, n_ids long, segment binary"
 _SEGMENT_ARROW = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("segment", pa.binary())])
 
 
-class _Ids:
-    """The library's ids of whole texts, remembering those of chunks and pieces.
+class _Ids(dict):
+    """The library's ids of whole texts, remembering those of chunks in two generations.
 
     The vocabulary's pre-tokenizer always parts a text before a space that a non-space
-    follows, so chunks cut there are encoded alone: new ones are parted into the
-    pre-tokenizer's pieces, and the library encodes the pieces it has not seen.
+    follows, on both sides of a line end between non-spaces, and between a word and the
+    marks after it. Chunks cut there are encoded alone: single words by the library's model,
+    which skips its work on whole texts, all others by the library as a whole.
     """
 
-    def __init__(self, path: str):
-        import regex
+    def __init__(self, path: str, remember: int = REMEMBER):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
         self.library = Tokenizer.from_file(path)
+        self.merge = self.library.model.tokenize
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.findall = regex.compile(_PIECES).findall
-        self.known: dict[str, bytes] = {}
-
-    def direct(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def part(self, chunk: str) -> list[str]:
-        """The pre-tokenizer's pieces; a word, and a word and marks, need no pattern."""
-        if chunk[0] == " ":
+        shown = [b for low, high in _PRINTABLE for b in range(low, high + 1)]
+        hidden = [b for b in range(256) if b not in shown]
+        self.spelled = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+        self.space = self.spelled[32]
+        self.remember = remember
+        self.older: dict[str, bytes] = {}
+
+    def direct(self, text: str) -> bytes:
+        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.older.get(chunk)
+        if ids is None:
             word = chunk.rstrip(".,;:!?")
-            if word[1:].isalpha():
-                return [chunk] if word == chunk else [word, chunk[len(word) :]]
-        return self.findall(chunk)
-
-    def learn(self, chunks: list[str]) -> None:
-        """Encode new chunks; the library itself parts those of scripts whose letters Unicode still adds to."""
-        if rare := [c for c in chunks if max(c) > LAST_STABLE]:
-            self.known.update(zip(rare, self.direct(rare), strict=True))
-            chunks = [c for c in chunks if max(c) <= LAST_STABLE]
-        parted = [self.part(chunk) for chunk in chunks]
-        new = [p for p in set(chain.from_iterable(parted)) if p not in self.known]
-        self.known.update(zip(new, self.direct(new), strict=True))
-        get = self.known.__getitem__
-        self.known.update((chunk, b"".join(map(get, own))) for chunk, own in zip(chunks, parted, strict=True) if len(own) > 1)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids, as little-endian u32."""
-        parts: list[list[str] | None] = []
-        for text in texts:
-            if any(s in text for s in self.special):
-                parts.append(None)  # the library looks for these in whole texts
-            elif "  " in text or text[-1:] == " " or "\0" in text or re.search(r" \s", text):
-                parts.append(re.split(r"(?= \S)", text))
+            if word[1:].isalpha() and (word[0] == " " or word[0].isalpha()) and max(word) <= LAST_STABLE:
+                if len(word) < len(chunk):
+                    ids = self[word] + self[chunk[len(word) :]]
+                else:
+                    spelled = word.replace(" ", self.space) if word.isascii() else word.encode().decode("latin-1").translate(self.spelled)
+                    ids = array("I", [t.id for t in self.merge(spelled)]).tobytes()
             else:
-                parts.append(text.replace(" ", "\0 ").split("\0"))
-        if len(self.known) > REMEMBER:
-            self.known.clear()
-        words: set[str] = set()
-        for own in parts:
-            if own:
-                words.update(own[1:])
-        if new := [w for w in words if w not in self.known]:
-            self.learn(new)
-        get = self.known.__getitem__
-        heads = self.direct([text if own is None else own[0] for text, own in zip(texts, parts, strict=True)])
-        return [head + b"".join(map(get, own[1:])) if own else head for head, own in zip(heads, parts, strict=True)]
+                ids = self.direct(chunk)
+        self[chunk] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        """A text's ids, as little-endian u32."""
+        if any(s in text for s in self.special):
+            return self.direct(text)  # the library looks for these in whole texts
+        if any(s in text for s in _ODD_SPACES) or text[-1:] == " " or (not text.isascii() and _WIDE_SPACE(text)):
+            own = _BEFORE_WORD(text)
+        else:
+            own = text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
+        if len(self) > self.remember:
+            self.older = dict(self)
+            self.clear()
+        return b"".join(map(self.__getitem__, own))
 
 
 def _encoder(path: str, end_id: int, segment_ids: int):
@@ -121,8 +116,8 @@ def _encoder(path: str, end_id: int, segment_ids: int):
 
         for batch in batches:
             texts = pc.fill_null(batch.column("text"), "").to_pylist()
-            for doc, own in zip(batch.column("doc_id").to_pylist(), ids_of.encode(texts), strict=True):
-                ids = own + end
+            for doc, text in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
+                ids = ids_of.encode(text) + end
                 docs.append(doc)
                 counts.append(len(ids) // 4)
                 held.append(ids)
