@@ -27,7 +27,7 @@ from .common import session_of, table, worker_store
 from .registry import query
 
 #: Words that a worker remembers, and symbols of the trees worked at once.
-REMEMBER = 600_000
+REMEMBER = 250_000
 TREE_CELLS = 1 << 18
 #: Up to here (Latin, Greek, Cyrillic) all Unicode versions agree on what a letter is.
 LAST_STABLE = "\u052f"
@@ -40,15 +40,30 @@ class Merges:
     def __init__(self, vocab: dict[str, int], merges: list):
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in merges]
         keys = np.array([(vocab[a] << 32) | vocab[b] for a, b in pairs], dtype=np.int64)
-        self.order = np.argsort(keys, kind="stable")
-        self.keys = keys[self.order]
         self.merged = np.array([vocab[a + b] for a, b in pairs], dtype=np.int64)
+        # Tables of hashed keys: what finds its place taken goes to the next one.
+        self.bits, self.tables, rest = max(4, 2 + len(keys).bit_length()), [], np.arange(len(keys))
+        while len(rest):
+            key, rank = np.full(1 << self.bits, -1, dtype=np.int64), np.full(1 << self.bits, _NONE, dtype=np.int64)
+            place = self._place(keys[rest], len(self.tables))
+            _, first = np.unique(place, return_index=True)
+            key[place[first]], rank[place[first]] = keys[rest[first]], rest[first]
+            self.tables.append((key, rank))
+            rest = np.delete(rest, first)
+
+    def _place(self, key: np.ndarray, nth: int) -> np.ndarray:
+        return ((key.view(np.uint64) * np.uint64((0x9E3779B97F4A7C15 + 2 * nth * 0x632BE59BD9B4E019) % (1 << 64))) >> np.uint64(64 - self.bits)).view(np.int64)
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The pairs' ranks; _NONE where a pair can't be merged."""
-        key = (left << 32) | right
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where((left >= 0) & (right >= 0) & (self.keys[at] == key), self.order[at], _NONE)
+        key = (left << 32) | right  # negative where a symbol is missing
+        out = np.full(key.shape, _NONE, dtype=np.int64)
+        for nth, (keys, ranks) in enumerate(self.tables):
+            place = self._place(key, nth)
+            hit = keys[place] == key
+            out[hit] = ranks[place[hit]]
+        out[key < 0] = _NONE
+        return out
 
     def merge(self, symbols: np.ndarray) -> np.ndarray:
         """Merge rows of symbols, each padded with -1 to one power of two; the merged away become -1."""
@@ -101,7 +116,7 @@ class WordBPE:
     SPACES = "\t\n\x0b\x0c\r \x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
     PRINTABLE = ((33, 126), (161, 172), (174, 255))
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remember: int = REMEMBER):
         import regex
         from tokenizers import Tokenizer
 
@@ -124,7 +139,9 @@ class WordBPE:
         self.spaces = re.compile(f"[{self.SPACES}]+").split
         self.odd = re.compile("[\x1c-\x1f]").search  # white space to str.split alone
         self.specials = re.compile("(" + "|".join(map(re.escape, self.added)) + ")") if self.added else None
-        self.known: dict[str, bytes] = {}
+        self.remember = remember
+        self.known: dict[str | int, bytes] = {}
+        self.older: dict[str | int, bytes] = {}
 
     @staticmethod
     def _normal(word: str) -> str:
@@ -132,6 +149,12 @@ class WordBPE:
         return "".join(c.lower() for c in word) if "Σ" in word else word.lower()  # a final sigma stays as others
 
     def _pieces(self, word: str) -> list[str]:
+        if word.isascii():
+            word = word.lower()
+            core = word.rstrip(".,;:!?")
+            if core.isalpha():  # a word, and marks after it
+                return [core, word[len(core) :]] if len(core) < len(word) else [word]
+            return self.findall(word)
         if max(word) <= LAST_STABLE:
             return self.findall(self._normal(word))
         parted = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(word))
@@ -142,30 +165,39 @@ class WordBPE:
 
     def _merge(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
         """Each piece's ids, the pieces taken by the size of their trees."""
-        sized: dict[int, list[tuple[str, bytes]]] = {}
-        for piece in pieces:
-            raw = piece.encode()
-            sized.setdefault(max(2, 1 << (len(raw) - 1).bit_length()), []).append((piece, raw))
-        for leaves, own in sized.items():
+        coded = [piece.encode() for piece in pieces]
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        height = np.ceil(np.log2(np.maximum(sizes, 2))).astype(np.int64)
+        for h in np.unique(height).tolist():
+            leaves, own = 1 << h, np.flatnonzero(height == h)
             step = max(1, TREE_CELLS // leaves)
             for at in range(0, len(own), step):
                 some = own[at : at + step]
-                sizes = np.array([len(raw) for _, raw in some])
+                size, places = sizes[some], some.tolist()
+                raw = np.frombuffer(b"".join([coded[k] for k in places]), dtype=np.uint8)
                 symbols = np.full((len(some), leaves), -1, dtype=np.int64)
-                symbols[np.arange(leaves) < sizes[:, None]] = self.inner[np.frombuffer(b"".join(raw for _, raw in some), dtype=np.uint8)]
-                symbols[np.arange(len(some)), sizes - 1] = self.last[[raw[-1] for _, raw in some]]
+                symbols[np.arange(leaves) < size[:, None]] = self.inner[raw]
+                symbols[np.arange(len(some)), size - 1] = self.last[raw[np.cumsum(size) - 1]]
                 merged = self.merges.merge(symbols)
                 left = merged >= 0
                 flat = merged[left].astype("<u4").tobytes()
-                begin = 0
-                for (piece, _), n in zip(some, left.sum(axis=1).tolist(), strict=True):
-                    yield piece, flat[begin : begin + 4 * n]
-                    begin += 4 * n
+                ends = (4 * np.cumsum(left.sum(axis=1))).tolist()
+                yield from ((pieces[k], flat[b:e]) for k, b, e in zip(places, [0, *ends[:-1]], ends, strict=True))
+
+    def _learn(self, new: list[str]) -> None:
+        """Merge the pieces of new words; a plain word that is known needs no second merge as a piece."""
+        known = self.known
+        parted = [self._pieces(w) for w in new]
+        pieces = dict.fromkeys(chain.from_iterable(parted))
+        merged = {p: known[p] for p in pieces if p in known and p.isascii() and p.isalpha()}
+        merged.update(self._merge([p for p in pieces if p not in merged]))
+        get = merged.__getitem__
+        known.update((w, get(own[0]) if len(own) == 1 else b"".join(map(get, own))) for w, own in zip(new, parted, strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids, as little-endian u32."""
-        if len(self.known) > REMEMBER:
-            self.known.clear()
+        if len(self.known) > self.remember:  # two generations: what was met since the last change stays
+            self.known, self.older = {}, self.known
         parts: list[list] = []
         words: set[str] = set()
         for text in texts:
@@ -178,14 +210,13 @@ class WordBPE:
                 own = self._words(text)
                 words.update(own)
             parts.append(own)
-        new = [w for w in words if w not in self.known]
-        parted = [self._pieces(w) for w in new]
-        pieces = dict(self._merge(list(set(chain.from_iterable(parted)))))
-        get = pieces.__getitem__
-        self.known.update((w, b"".join(map(get, own))) for w, own in zip(new, parted, strict=True))
-        for token, i in self.added.items():
-            self.known[i] = np.array([i], dtype="<u4").tobytes()
-        get = self.known.__getitem__
+        known, older = self.known, self.older
+        new = words.difference(known)
+        known.update((w, older[w]) for w in new.intersection(older))
+        self._learn(list(new.difference(known)))
+        for i in self.added.values():
+            known[i] = np.array([i], dtype="<u4").tobytes()
+        get = known.__getitem__
         return [b"".join(map(get, own)) for own in parts]
 
     def decode(self, ids: list[int]) -> str:
