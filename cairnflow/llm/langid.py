@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import session_of, table, worker_store
+from .common import grows, session_of, table, worker_store
 from .registry import query
 
 DOCS_PER_LANG = 400
@@ -33,8 +33,9 @@ SPAN_WORDS = 16
 SEQUENCES, SEQUENCE_WORDS, EPOCHS, BATCH = 1600, 48, 6, 80
 #: Hash buckets of n-gram and word features; the lexicon's come after them.
 BUCKETS = 1 << 16
-#: Words that a worker remembers.
-REMEMBER = 1_000_000
+#: Languages up to which the sample's edges are broadcast, and words that a worker remembers.
+FEW_LANGS = 10_000
+REMEMBER = 400_000
 UNKNOWN = "und"
 _WORD = r"[^\W\d_]+"
 _RUNS = T.ArrayType(T.StructType().add("lang", T.StringType()).add("words", T.IntegerType()))
@@ -177,7 +178,7 @@ def _spans(seed: int):
                 for at in rng.integers(0, max(1, len(words) - SPAN_WORDS + 1), SPANS):
                     if own := words[at : at + SPAN_WORDS]:
                         langs.append(lang)
-                        spans.append([w[:64] for w in own])
+                        spans.append(own)
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(spans, pa.list_(pa.string()))], names=["lang", "words"])
 
     return cut
@@ -188,8 +189,10 @@ def fit_language_model(df: DataFrame, text: str = "text", lang: str = "lang", se
     session_of(df)
     rows = df.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(F.lit(seed), F.col(text)).alias("draw"))
     lowest = rows.select("lang", "draw").distinct().withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("draw"))).where(F.col("nth") <= DOCS_PER_LANG)
-    edges = df.sparkSession.createDataFrame(lowest.groupBy("lang").agg(F.max("draw").alias("edge")).collect(), "lang string, edge long")  # a row for each language
-    chosen = rows.join(edges, "lang").where(F.col("draw") <= F.col("edge"))
+    edges = lowest.groupBy("lang").agg(F.max("draw").alias("edge")).collect()  # a row for each language
+    by_lang = df.sparkSession.createDataFrame(edges, "lang string, edge long")
+    # The scan itself picks the sample: no other text is moved.
+    chosen = rows.join(F.broadcast(by_lang) if len(edges) <= FEW_LANGS else grows(by_lang), "lang").where(F.col("draw") <= F.col("edge"))
     first = chosen.groupBy("lang", "draw").agg(F.min("text").alias("text"))  # equal texts once
     sample = sorted((r.lang, list(r.words)) for r in first.mapInArrow(_spans(seed), "lang string, words array<string>").collect())
     names = sorted({s[0] for s in sample})
@@ -282,14 +285,19 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def learnable(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """The rows with a doc_id that are not held out."""
+    return docs.where(F.col(doc_id).isNotNull() & ~held_out(doc_id))
+
+
 def identify(docs: DataFrame) -> DataFrame:
     """``docs`` with held_out, lang_pred, score and runs; learned from the rows not held out."""
-    model = fit_language_model(docs.where(~held_out()))
+    model = fit_language_model(learnable(docs))
     return label_languages(docs.withColumn("held_out", held_out()), model)
 
 
 @query("op10_langid")
 def op10_langid(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    model = fit_language_model(docs.where(~held_out()))
+    model = fit_language_model(learnable(docs))
     return label_languages(docs.select("doc_id", held_out().alias("held_out"), "text"), model).select("doc_id", "held_out", "lang_pred", "score")
