@@ -57,6 +57,12 @@ def bounded_sample(df: DataFrame, draw: Column, rows: int) -> DataFrame:
 
 
 def worker_store(name: str) -> dict:
-    """A dict that lives as long as the Python worker, shared by the tasks it runs in turn."""
-    home = sys.modules.setdefault("_cairnflow_worker", types.ModuleType("_cairnflow_worker"))
-    return home.__dict__.setdefault(name, {})
+    """A dict that lives as long as the Python worker, shared by the tasks it runs in turn.
+
+    A worker holds one operator's store: the first task of another operator drops it.
+    """
+    home = sys.modules.setdefault("_cairnflow_worker", types.ModuleType("_cairnflow_worker")).__dict__
+    stores = home.setdefault("stores", {})
+    if name not in stores:
+        stores.clear()
+    return stores.setdefault(name, {})
