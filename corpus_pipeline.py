@@ -15,7 +15,7 @@ from cairnflow.llm.bpe import bpe_decode, bpe_encode
 from cairnflow.llm.common import grows, keep, numbered, table
 from cairnflow.llm.exact_dedup import exact_dedup
 from cairnflow.llm.jaccard_join import jaccard_components
-from cairnflow.llm.langid import UNKNOWN, fit_language_model, held_out, label_languages
+from cairnflow.llm.langid import UNKNOWN, fit_language_model, label_languages, learnable
 from cairnflow.llm.mixing import mix
 
 #: Documents whose language scores less are rejected, like those without one; texts of two languages stay.
@@ -29,7 +29,7 @@ def _numbered(docs: DataFrame) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is in a learned language; null and letterless ones go."""
-    labelled = label_languages(docs, fit_language_model(docs.where(~held_out())))
+    labelled = label_languages(docs, fit_language_model(learnable(docs)))
     return labelled.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
 
 
