@@ -11,10 +11,12 @@ there are permuted again: they can be turned back, but may differ from their pse
 
 from __future__ import annotations
 
+import bisect
 import datetime
 import hashlib
 import math
 import re
+import secrets
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -24,15 +26,17 @@ from pyspark.sql import types as T
 from .common import session_of, table, worker_store
 from .registry import query
 
-KEY = b"cairnflow demo key"
 ROUNDS = 10
-REMEMBER = 200_000
+REMEMBER = 100_000
+#: Places of a local part that are permuted as one number; longer ones are permuted block by block.
+BLOCK = 48
 #: Groups that cards are printed in, besides a single one; such readings go before others.
 PRINTED = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4)}
 #: Permutations tried until digit groups are read as before; each fails about once in ten.
 TRIES = 64
-#: Dates of these years are permuted among themselves.
-FIRST, LAST = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
+#: Dates of these years are permuted among themselves: up to the 12th day of a month, and after it.
+YEARS = range(1900, 2100)
+LAST_EITHER_WAY = 12
 
 
 class Feistel:
@@ -42,7 +46,8 @@ class Feistel:
         self.key = key
 
     def _round(self, kind: str, size: int, k: int, half: int) -> int:
-        data = f"{kind}|{size}|{k}|{half}".encode()
+        of = lambda n: n.to_bytes(n.bit_length() // 8 + 1, "little")
+        data = b"|".join((kind.encode(), of(size), bytes([k]), of(half)))
         return int.from_bytes(hashlib.blake2b(data, key=self.key[:64], digest_size=16).digest(), "little")
 
     def _once(self, kind: str, size: int, a: int, b: int, value: int, back: bool) -> int:
@@ -84,6 +89,13 @@ def _digits(value: str) -> str:
     return "".join(c for c in value if c.isdigit())
 
 
+def _days() -> tuple[list[int], list[int]]:
+    """The days of YEARS that may stand in a month's place, and the others."""
+    every = range(datetime.date(YEARS[0], 1, 1).toordinal(), datetime.date(YEARS[-1], 12, 31).toordinal() + 1)
+    late = [datetime.date.fromordinal(n).day > LAST_EITHER_WAY for n in every]
+    return [n for n, x in zip(every, late, strict=True) if not x], [n for n, x in zip(every, late, strict=True) if x]
+
+
 class Pseudonyms:
     """Finds, validates and replaces; ``back`` turns pseudonyms into the values they stand for."""
 
@@ -99,7 +111,7 @@ class Pseudonyms:
     EMAIL = r"[A-Za-z0-9._%+-]+(?=@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
 
     def __init__(self, key: bytes, back: bool = False):
-        self.feistel, self.back = Feistel(key), back
+        self.feistel, self.back, self.days = Feistel(key), back, _days()
         self.numbers = re.compile(r"(?<![\w.-])(?:" + "|".join(f"(?P<{k}>{p})" for k, p in self.PATTERNS) + ")", re.ASCII)
         self.group = re.compile(r"\d+", re.ASCII)
         self.email = re.compile(r"(?<![A-Za-z0-9._%+-])" + self.EMAIL)
@@ -117,28 +129,42 @@ class Pseudonyms:
         return ".".join(map(str, n.to_bytes(4, "big")))
 
     def _date(self, year: int, month: int, day: int) -> datetime.date | None:
+        """A date of these years; days that could be months stay so, so that no form of a date is read in another way after."""
         try:
-            day_number = datetime.date(year, month, day).toordinal()
+            number = datetime.date(year, month, day).toordinal()
         except ValueError:
             return None
-        if not FIRST <= day_number <= LAST:
+        if year not in YEARS:
             return None
-        return datetime.date.fromordinal(FIRST + self.feistel.permute("date", LAST - FIRST + 1, day_number - FIRST, self.back))
+        days = self.days[day > LAST_EITHER_WAY]
+        at = bisect.bisect_left(days, number)
+        return datetime.date.fromordinal(days[self.feistel.permute(f"date{day > LAST_EITHER_WAY}", len(days), at, self.back)])
 
     def iso_date(self, value: str) -> str | None:
         new = self._date(*map(int, value.split("-")))
         return None if new is None else new.isoformat()
 
     def date(self, value: str) -> str | None:
-        """Day first; always written with two digits for day and month."""
+        """Day first, or month first where only that is a date; always written with two digits for both."""
         mark = "/" if "/" in value else "."
         if len(parts := value.split(mark)) != 3:
             return None
-        new = self._date(int(parts[2]), int(parts[1]), int(parts[0]))
-        return None if new is None else f"{new.day:02}{mark}{new.month:02}{mark}{new.year}"
+        first, second, year = map(int, parts)
+        if (new := self._date(year, second, first)) is not None:
+            return f"{new.day:02}{mark}{new.month:02}{mark}{new.year}"
+        new = self._date(year, first, second)
+        return None if new is None else f"{new.month:02}{mark}{new.day:02}{mark}{new.year}"
 
     def ssn(self, value: str) -> str | None:
-        return _refill(value, self._permute("ssn", _digits(value)))
+        """Area 001 to 899 but 666, group and serial not all zeros."""
+        area, group, serial = map(int, value.split("-"))
+        if not 0 < area < 900 or area == 666 or not group or not serial:
+            return None
+        number = ((area - 1 - (area > 666)) * 99 + group - 1) * 9999 + serial - 1
+        number, serial = divmod(self.feistel.permute("ssn", 898 * 99 * 9999, number, self.back), 9999)
+        area, group = divmod(number, 99)
+        area += 1
+        return f"{area + (area >= 666):03}-{group + 1:02}-{serial + 1:04}"
 
     def card(self, value: str) -> str | None:
         digits = _digits(value)
@@ -155,12 +181,12 @@ class Pseudonyms:
         """Letters among letters of their case, digits among digits, all else in place."""
         out = list(value)
         for kind, first, size, has in (("low", "a", 26, str.islower), ("up", "A", 26, str.isupper), ("digit", "0", 10, str.isdigit)):
-            places = [k for k, c in enumerate(value) if has(c)]
-            if places:
-                n = 0
+            every = [k for k, c in enumerate(value) if has(c)]
+            for block in range(0, len(every), BLOCK):
+                places, n = every[block : block + BLOCK], 0
                 for k in places:
                     n = n * size + ord(value[k]) - ord(first)
-                n = self.feistel.permute(f"{kind}{len(places)}", size ** len(places), n, self.back)
+                n = self.feistel.permute(f"{kind}{len(every)}-{block}", size ** len(places), n, self.back)
                 for k in reversed(places):
                     n, c = divmod(n, size)
                     out[k] = chr(ord(first) + c)
@@ -206,7 +232,12 @@ class Pseudonyms:
         Loose are those among digit groups that may be read in another way.
         """
         found: list[tuple[int, int, str, str, bool]] = []
-        free = lambda s, e: not any(a < e and s < b for a, b in taken)
+        ends = [b for _, b in taken]  # in order, as they do not overlap
+
+        def free(s: int, e: int) -> bool:
+            k = bisect.bisect_right(ends, s)
+            return k == len(taken) or taken[k][0] >= e
+
         at = loose_to = 0
         while m := self.numbers.search(text, at):
             kind, start, at = m.lastgroup, m.start(), m.end()
@@ -257,7 +288,7 @@ class Pseudonyms:
         return done, kinds, places
 
 
-def pseudonymise(df: DataFrame, key: bytes = KEY, text: str = "text", back: bool = False) -> DataFrame:
+def pseudonymise(df: DataFrame, key: bytes, text: str = "text", back: bool = False) -> DataFrame:
     """``df`` with ``text`` replaced, and n_values, kinds and starts of what was replaced.
 
     Null texts stay null with no values; empty ones stay empty. Columns named n_values, kinds
@@ -284,4 +315,6 @@ def pseudonymise(df: DataFrame, key: bytes = KEY, text: str = "text", back: bool
 
 @query("op1_pseudonyms")
 def op1_pseudonyms(spark, sf_dir):
-    return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Under the session's key; without one a key of this run alone, so that nobody can turn its pseudonyms back."""
+    key = spark.conf.get("spark.cairnflow.pseudonymKey", None)
+    return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key.encode() if key else secrets.token_bytes(32))

@@ -12,10 +12,11 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from cairnflow.llm.bpe import WordBPE
-from cairnflow.llm.pii import KEY, Feistel, Pseudonyms, luhn_digit
+from cairnflow.llm.pii import Feistel, Pseudonyms, luhn_digit
 from cairnflow.llm.simple8b import BLOCK_IDS, pack, read_block, read_segment, unpack, write_segment
 from cairnflow.llm.token_output import _Ids
 
+KEY = b"a key of the tests"
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 PIECES = ["a", " ", "  ", "\n", "\t", "b1", "'s", "don't", "é", "\xa0", "　", "!!", "\x1c", "\x85", "<|endoftext|>", "<|startoftext|>", "字", "1", "​", "\r\n", "x", "'LL", "́", "Σ", "İ", "aaaa", "ing", "²", "\x00", "ß", "😀"]
 texts = st.lists(st.sampled_from(PIECES), max_size=14).map("".join) | st.text(alphabet=st.characters(codec="utf-8"), max_size=30)
@@ -40,18 +41,18 @@ def test_segments_and_blocks():
 
 
 def test_byte_ids_equal_the_library():
-    library, own = Tokenizer.from_file(BYTE), _Ids(BYTE)
+    library, own = Tokenizer.from_file(BYTE), _Ids(BYTE, remember=5)
 
     @given(texts)
     @settings(max_examples=300, deadline=None)
     def check(text):
-        assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
     check()
 
 
 def test_word_ids_and_decoding_equal_the_library():
-    library, own = Tokenizer.from_file(WORD), WordBPE(WORD)
+    library, own = Tokenizer.from_file(WORD), WordBPE(WORD, remember=5)
 
     @given(texts)
     @settings(max_examples=300, deadline=None)
@@ -86,7 +87,29 @@ def test_pseudonyms_keep_formats_and_links():
     datetime.date.fromisoformat(new[starts[3] : starts[3] + 10])
 
 
-@pytest.mark.parametrize("text", ["", "no numbers", "4111-1111-1111-1112", "999.1.1.1", "2023-02-30", "v1.2.3.4", "12345", "@", "1.2.3"])
+def test_long_local_parts_and_each_format_turn_back():
+    p, back = Pseudonyms(KEY), Pseudonyms(KEY, back=True)
+    long = "aB3" * 3500 + "@ex.org"
+    new, kinds, _ = p.replace(long)
+    assert kinds == ["email"] and new != long and len(new) == len(long) and back.replace(new)[0] == long
+    many = " ".join(f"n{k}@ex.org 10.0.0.{k % 250}" for k in range(3000))
+    assert back.replace(p.replace(many)[0])[0] == many
+    for text in ("12/31/1999", "31/12/1999", "02.03.2004", "1999-12-31", "123-45-6789", "899-99-9999", "(415) 555-2671", "10.1.2.3", "4111 1111 1111 1111"):
+        new, kinds, _ = p.replace(text)
+        assert len(kinds) == 1 and new != text and back.replace(new)[0] == text, text
+    day = {datetime.date.fromisoformat(p.replace("1999-12-31")[0])}
+    first, second = p.replace("31/12/1999")[0], p.replace("12/31/1999")[0]
+    assert day == {datetime.datetime.strptime(first, "%d/%m/%Y").date()} == {datetime.datetime.strptime(second, "%m/%d/%Y").date()}
+
+
+def test_social_security_numbers_are_permuted_among_valid_ones():
+    p = Pseudonyms(KEY)
+    for k in range(1, 2000):
+        new = p.ssn(f"{1 + k % 665:03}-{1 + k % 99:02}-{k:04}")
+        assert new and p.ssn(new) is not None
+
+
+@pytest.mark.parametrize("text", ["", "no numbers", "4111-1111-1111-1112", "999.1.1.1", "2023-02-30", "000-00-0000", "666-12-3456", "901-12-3456", "123-00-4567", "123-45-0000", "13/31/1999", "v1.2.3.4", "12345", "@", "1.2.3"])
 def test_what_is_not_validated_stays(text):
     assert Pseudonyms(KEY).replace(text) == (text, [], [])
 
