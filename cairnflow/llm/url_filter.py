@@ -19,16 +19,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_sample, session_of, table, worker_store
+from .common import bounded_sample, discard, keep, session_of, table, worker_store
 from .registry import query
 
 #: (verdict, host and path) as the contract names them.
 RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
-#: Words of the unigram model, letters of its longest, and distinct judged urls that the Bayes model is counted on.
-LEXICON = 50_000
-LONGEST = 20
-LABELLED = 200_000
-REMEMBER = 500_000
+#: Part of all page words that a word of the unigram model is at least, so it has at most 1 / RARE words; and
+#: distinct judged urls that the Bayes model is counted on.
+RARE = 1e-6
+LABELLED = 100_000
+REMEMBER = 100_000
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -62,23 +62,39 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w in total], pa.string()), pa.array(list(total.values()), pa.int64())], names=["word", "n"])
 
 
-def unigrams(df: DataFrame, html: str = "html", words: int = LEXICON) -> dict[str, float]:
-    """Log probabilities of the commonest words of all pages; at most ``words`` of them."""
+def unigrams(df: DataFrame, html: str = "html", rare: float = RARE) -> dict[str, float]:
+    """Log probabilities among all words of all pages, of those words that are at least ``rare`` of them."""
     session_of(df)
-    counted = df.select(F.col(html).alias("html")).mapInArrow(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.length("word") <= LONGEST)
-    top = counted.orderBy(F.desc("n"), "word").limit(words).collect()
-    total = sum(r.n for r in top)
-    return {r.word: math.log(r.n / total) for r in top} | {"": -math.log(total or 1)}
+    counted = keep(df.select(F.col(html).alias("html")).mapInArrow(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "page-words")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    logs = {r.word: math.log(r.n / total) for r in counted.where(F.col("n") >= rare * total).collect()} if total else {}
+    discard(counted)
+    return logs | {"": -math.log(total or 1)}
 
 
-def segment(name: str, logs: dict[str, float]) -> list[str]:
-    """The likeliest words of a run of letters; an unknown word of k letters counts as 1 in total * 10**k."""
+def segment(name: str, logs: dict[str, float], sizes: list[int] | None = None) -> list[str]:
+    """The likeliest words of a run of letters; an unknown word of k letters counts as 1 in total * 10**k.
+
+    ``sizes`` are the lengths that words of ``logs`` have. Unknown words may have any length:
+    their best start is carried along. Ties go to the later start, a known word first.
+    """
+    if sizes is None:
+        sizes = sorted({len(w) for w in logs if w})
     unknown, ten = logs[""], math.log(10)
     best, back = [0.0], [0]
+    open_score, open_at = 0.0, 0  # the best score less what letters cost, and its place
     for end in range(1, len(name) + 1):
-        score, start = max((best[k] + logs.get(name[k:end], unknown - ten * (end - k)), k) for k in range(max(0, end - LONGEST), end))
+        score, start = open_score + unknown - ten * end, open_at
+        for size in sizes:
+            if size > end:
+                break
+            known = logs.get(name[end - size : end])
+            if known is not None and (best[end - size] + known, end - size) >= (score, start):
+                score, start = best[end - size] + known, end - size
         best.append(score)
         back.append(start)
+        if score + ten * end >= open_score:
+            open_score, open_at = score + ten * end, end
     words, at = [], len(name)
     while at:
         words.append(name[back[at] : at])
@@ -89,13 +105,14 @@ def segment(name: str, logs: dict[str, float]) -> list[str]:
 class _Tokens:
     def __init__(self, logs: dict[str, float]):
         self.logs, self.words = logs, {}
+        self.sizes = sorted({len(w) for w in logs if w})
 
     def _split(self, run: str) -> list[str]:
         words = self.words.get(run)
         if words is None:
             if len(self.words) > REMEMBER:
                 self.words.clear()
-            words = self.words[run] = segment(run, self.logs) if run.isalpha() else [f"{len(run)} digits"]
+            words = self.words[run] = segment(run, self.logs, self.sizes) if run.isalpha() else [f"{len(run)} digits"]
         return words
 
     def of(self, host: str, path: str) -> list[str]:
