@@ -28,18 +28,20 @@ from .registry import query
 
 #: The chain: each category's seed words mark it among rows labelled toxic; `coded` is toxic without any seed word.
 SEEDS = {
-    "insult": ("idiot", "moron", "stupid", "clown", "loser"),
-    "contempt": ("pathetic", "worthless", "trash", "scum", "disgusting"),
+    "insult": ("idiot", "moron", "stupid", "clown", "loser", "fool", "dumb", "imbecile", "dimwit", "jerk", "coward", "liar", "bastard", "dunce", "halfwit"),
+    "contempt": ("pathetic", "worthless", "trash", "scum", "disgusting", "garbage", "filth", "vermin", "useless", "hopeless", "ugly", "despicable", "vile", "revolting", "subhuman"),
+    "threat": ("kill", "hurt", "beat", "destroy", "die", "burn", "punch", "strangle", "stab", "shoot", "crush", "suffer", "bleed", "regret", "hunt"),
 }
 CHAIN = (*SEEDS, "coded", "toxic")
 PER_CLASS = 2000
 FOLDS = 3
-#: Hash buckets of features, features a model keeps, documents a kept one is in at least, and the ridge.
+#: Parameters of the models: hash buckets of features, the most telling ones that a model keeps (a linear model of
+#: at most KEEP + 1 + 4 weights), documents of the sample that a kept one is in at least, and the ridge.
 BUCKETS = 1 << 20
 KEEP = 400
 SEEN_IN = 3
 RIDGE = 0.05
-REMEMBER = 500_000
+REMEMBER = 250_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -139,7 +141,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> dict | None:
     draw = F.xxhash64(F.lit(21), "doc_id")
     some = [bounded_sample(known.where(F.col("toxic") == t), draw, PER_CLASS) for t in (0, 1)]
     chosen = F.broadcast(some[0].unionByName(some[1]))  # about 2 * PER_CLASS rows at most
-    sample = docs.select("doc_id", "text").where("text IS NOT NULL").join(chosen, "doc_id").select("toxic", "text").mapInArrow(_collect, "toxic int, seeds array<string>, features array<int>").collect()
+    texts = docs.select("doc_id", "text").where("text IS NOT NULL").join(chosen, "doc_id")
+    first = texts.groupBy("doc_id").agg(F.min_by(F.struct("toxic", "text"), F.struct(F.xxhash64("text"), "text")).alias("row"))  # a doc_id counts once, on however many rows it stands
+    sample = first.select("row.toxic", "row.text").mapInArrow(_collect, "toxic int, seeds array<string>, features array<int>").collect()
     if not sample:
         return None
     sample = sorted(((r.toxic, tuple(r.seeds), tuple(r.features)) for r in sample))
