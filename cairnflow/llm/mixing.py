@@ -55,6 +55,9 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: float, dp_words: int =
     """How many of each length to take so that their sum comes near ``budget``, never above by choice.
 
     ``lengths`` are distinct and positive. The result takes no more of a length than ``counts``.
+    The sum falls short by less than the shortest document that is left: beyond ``dp_words``
+    the longest documents that fit are taken first; within them the table is exact, and where
+    more than ``dp_words`` are left over, every document that is not taken is longer than that.
     """
     take = np.zeros(len(lengths), dtype=np.int64)
     total = int((lengths * counts).sum())
@@ -63,7 +66,8 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: float, dp_words: int =
         return take
     if goal == total:
         return counts.astype(np.int64)
-    take = np.array([int(c) * goal // total for c in counts], dtype=np.int64)
+    share = goal - min(goal // 4, dp_words)  # the rest is the table's to fit
+    take = np.array([int(c) * share // total for c in counts], dtype=np.int64)
     left = goal - int((take * lengths).sum())
     for k in np.argsort(-lengths, kind="stable"):
         if left <= dp_words:
@@ -71,7 +75,7 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: float, dp_words: int =
         more = min(int(counts[k] - take[k]), (left - dp_words) // int(lengths[k]) + 1, left // int(lengths[k]))
         take[k] += more
         left -= more * int(lengths[k])
-    left = min(left, dp_words)
+    left = min(left, dp_words)  # more is left only where no document fits
     # The table: reach[w] names the last length on a way to w words; used[w] counts it there.
     reach = np.full(left + 1, -1, dtype=np.int64)
     reach[0] = len(lengths)
