@@ -20,14 +20,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, keep, session_of, table
+from .common import bounded_sample, discard, keep, session_of, table
 from .registry import query
 
 TOP = 20
-#: Rows the tree is fitted on, rows a leaf is meant to hold, leaves and branches at most.
-FIT_ROWS = 30_000
+#: Rows the tree is fitted on (its leaves are at most a fourth of them), rows a leaf is meant to hold, branches at most.
+FIT_ROWS = 60_000
 LEAF_ROWS = 150
-MAX_LEAVES = 8192
 BRANCHES = 8
 #: Queries that calibrate the visits, the recall they must reach, and leaves added to what they need.
 CALIBRATE = 120
@@ -130,19 +129,21 @@ def _usable(vector: str, size: int | None = None) -> Column:
 
 
 def _best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, lows: np.ndarray, top: int, scores: np.ndarray | None = None) -> pa.RecordBatch:
-    """Each query's ``top`` best rows by the exactly rounded inner product, ties to the lower ``lows``.
+    """Each query's ``top`` best rows by the inner product, summed without loss and rounded once, ties to the lower ``lows``.
 
     ``scores`` are near values of the products, -inf for rows that the query does not visit.
     """
     scores = queries @ rows.T if scores is None else scores
-    k = min(top + 3, scores.shape[1])
-    near = np.argpartition(-scores, k - 1, axis=1)[:, :k] if k < scores.shape[1] else np.tile(np.arange(k), (len(queries), 1))
+    k = min(top, scores.shape[1])
+    # The k-th best near score less what rounding can change: whatever reaches it is compared exactly.
+    reach = np.partition(scores, -k, axis=1)[:, -k] if k else np.zeros(len(queries))
+    slack = 4e-16 * (queries.shape[1] + 2) * np.sqrt((queries**2).sum(axis=1) * (rows**2).sum(axis=1).max(initial=0.0))
     out: list[list] = [[], [], []]
     for q in range(len(queries)):
-        visited = near[q][scores[q, near[q]] > -np.inf]
-        # products of two 24-bit mantissas are exact in double; fsum rounds their sum once
-        exact = [(-math.fsum(x), int(low), int(i)) for x, low, i in zip((rows[visited] * queries[q]).tolist(), lows[visited].tolist(), ids[visited].tolist(), strict=True)]
-        for score, _, r in sorted(exact)[:top]:
+        near = np.flatnonzero((scores[q] >= reach[q] - slack[q]) & (scores[q] > -np.inf))
+        own = queries[q].tolist()
+        exact = [(-math.sumprod(own, x), int(low), int(i)) for x, low, i in zip(rows[near].tolist(), lows[near].tolist(), ids[near].tolist(), strict=True)]
+        for score, _, r in heapq.nsmallest(top, exact):
             for column, value in zip(out, (int(query_ids[q]), r, -score), strict=True):
                 column.append(value)
     return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["query", "found", "score"])
@@ -166,7 +167,8 @@ def nearest(df: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: str
     smaller id. With fewer candidates all are returned; an empty table gives no rows.
     """
     spark = session_of(df)
-    wide = df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<float>").alias("vector"), F.coalesce(is_query, F.lit(False)).alias("is_query")).where(F.col("vec_id").isNotNull() & _usable("vector"))
+    kind = "array<float>" if df.select(vector).schema[0].dataType.simpleString() == "array<float>" else "array<double>"
+    wide = df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast(kind).alias("vector"), F.coalesce(is_query, F.lit(False)).alias("is_query")).where(F.col("vec_id").isNotNull() & _usable("vector"))
     sizes = wide.groupBy(F.size("vector").alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "size").first()
     if sizes is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -176,7 +178,7 @@ def nearest(df: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: str
     classes = lowest.groupBy("mark", "vector").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")).join(asked, ["mark", "vector"], "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
     classes = keep(classes.withColumn("class_id", F.monotonically_increasing_id()), "vectors")
     count = classes.count()
-    leaves = max(1, min(MAX_LEAVES, -(-count // LEAF_ROWS)))
+    leaves = max(1, min(FIT_ROWS // 4, -(-count // LEAF_ROWS)))
     sample = bounded_sample(classes, F.xxhash64(F.lit(3), "vector"), FIT_ROWS).select("vector").orderBy("vector").toPandas()["vector"]
     tree = Tree(np.array(sample.tolist(), dtype=np.float64), leaves)
     parts_of = spark.sparkContext.broadcast(dict(tree.__dict__))
@@ -186,7 +188,7 @@ def nearest(df: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: str
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("class_id"), batch.column("vector"), batch.column("low"), pa.array(own.assign(_matrix(batch.column("vector"))).astype(np.int32))], names=["class_id", "vector", "low", "leaf"])
 
-    placed = keep(classes.select("class_id", "vector", F.col("ids")[0].alias("low")).mapInArrow(send_down, "class_id long, vector array<float>, low long, leaf int"), "leaves")
+    placed = keep(classes.select("class_id", "vector", F.col("ids")[0].alias("low")).mapInArrow(send_down, f"class_id long, vector {kind}, low long, leaf int"), "leaves")
 
     # Calibrate on a few queries: their true neighbours, by brute force over all rows.
     probes = classes.where("asked").select("class_id", "vector").orderBy(F.xxhash64(F.lit(4), "vector"), "vector").limit(CALIBRATE).toPandas()
@@ -233,9 +235,9 @@ def nearest(df: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: str
                 leaves += list(asked.values())
             yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), batch.column("class_id").take(pa.array(at, pa.int32())), batch.column("vector").take(pa.array(at, pa.int32())), pa.array(leaves, pa.list_(pa.int32()))], names=["cell", "query", "q", "leaves"])
 
-    asks = keep(classes.where("asked").select("class_id", "vector").mapInArrow(choose, "cell long, query long, q array<float>, leaves array<int>"), "visits")
+    asks = keep(classes.where("asked").select("class_id", "vector").mapInArrow(choose, f"cell long, query long, q {kind}, leaves array<int>"), "visits")
     blocks = keep(asks.groupBy("cell").agg(F.ceil(F.count("*") / CELL_QUERIES).alias("blocks")), "blocks")
-    asks = asks.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("query"), "blocks"))
+    asks_kept, asks = asks, asks.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("query"), "blocks"))
     split = placed.join(spark.createDataFrame([(k, int(first[k]), int(parts[k])) for k in range(tree.leaves)], "leaf int, first long, parts long"), "leaf").withColumn("cell", F.col("first") + F.pmod(F.xxhash64("class_id"), "parts"))
     cells = split.join(blocks, "cell").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
 
@@ -259,6 +261,7 @@ def nearest(df: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: str
     ranked = listed.withColumn("nth", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))).where(F.col("nth") <= TOP + 1)
     lists = ranked.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("nth", "vec_id", "score"))).alias("list"))
     by_vector = keep(classes.where("asked").join(lists, F.col("class_id") == F.col("query")).select("mark", "vector", "list"), "lists")
+    discard(asks_kept, placed, blocks, classes)
     own = rows.where("is_query").select("mark", "vector", F.col("vec_id").alias("query_id")).join(by_vector, ["mark", "vector"]).dropDuplicates(["query_id", "mark", "vector"])
     rest = F.slice(F.filter("list", lambda x: x["vec_id"] != F.col("query_id")), 1, TOP)
     return own.select("query_id", F.posexplode(rest).alias("pos", "hit")).select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), F.col("hit.score").alias("score"))
