@@ -27,7 +27,7 @@ from .common import session_of, table, worker_store
 from .registry import query
 
 #: Words that a worker remembers, and symbols of the trees worked at once.
-REMEMBER = 250_000
+REMEMBER = 200_000
 TREE_CELLS = 1 << 18
 #: Up to here (Latin, Greek, Cyrillic) all Unicode versions agree on what a letter is.
 LAST_STABLE = "\u052f"
@@ -231,15 +231,17 @@ def _vocabulary(path: str) -> WordBPE:
     return store[path]
 
 
-def bpe_encode(df: DataFrame, path: str, text: str = "text", out: str = "ids", drop_text: bool = False) -> DataFrame:
-    """``df`` with ``out``: the ids (array<int>) of each whole text.
+def bpe_encode(df: DataFrame, path: str, text: str = "text", out: str = "ids", drop_text: bool = False, decoded: str | None = None) -> DataFrame:
+    """``df`` with ``out``: the ids (array<int>) of each whole text; and ``decoded``, if named: the text they decode to.
 
-    A null or blank text has no ids. A column that is named like ``out`` is replaced;
-    all others, and repeated rows, pass as they are.
+    A null or blank text has no ids. Columns that are named like ``out`` or ``decoded`` are
+    replaced; all others, and repeated rows, pass as they are.
     """
     session_of(df)
-    rows = df.drop(out) if out != text else df
+    rows = df.drop(*(n for n in (out, decoded) if n and n != text))
     schema = T.StructType([f for f in rows.schema if not (drop_text and f.name == text)]).add(out, T.ArrayType(T.IntegerType()))
+    if decoded:
+        schema = schema.add(decoded, T.StringType())
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _vocabulary(path)
@@ -247,9 +249,11 @@ def bpe_encode(df: DataFrame, path: str, text: str = "text", out: str = "ids", d
             coded = bpe.encode(pc.fill_null(batch.column(text), "").to_pylist())
             offsets = np.zeros(len(coded) + 1, dtype=np.int32)
             np.cumsum([len(c) // 4 for c in coded], out=offsets[1:])
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(coded), dtype="<u4").astype(np.int32)))
+            made = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(coded), dtype="<u4").astype(np.int32)))]
+            if decoded:
+                made.append(pa.array([bpe.decode(np.frombuffer(c, dtype="<u4").tolist()) for c in coded], pa.string()))
             names = [n for n in batch.schema.names if not (drop_text and n == text)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), ids], names=[*names, out])
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *made], names=[*names, out, *([decoded] if decoded else [])])
 
     return rows.mapInArrow(encode, schema)
 
@@ -274,8 +278,7 @@ def bpe_decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded")
 @query("op6_bpe")
 def op6_bpe(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
-    coded = bpe_encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, drop_text=True)
-    return bpe_decode(coded, path).select(
+    return bpe_encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, drop_text=True, decoded="decoded").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

@@ -35,7 +35,7 @@ SEQUENCES, SEQUENCE_WORDS, EPOCHS, BATCH = 1600, 48, 6, 80
 BUCKETS = 1 << 16
 #: Languages up to which the sample's edges are broadcast, and words that a worker remembers.
 FEW_LANGS = 10_000
-REMEMBER = 400_000
+REMEMBER = 250_000
 UNKNOWN = "und"
 _WORD = r"[^\W\d_]+"
 _RUNS = T.ArrayType(T.StructType().add("lang", T.StringType()).add("words", T.IntegerType()))

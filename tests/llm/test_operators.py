@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cairnflow.llm import langid, toxicity
+from cairnflow.llm import langid, toxicity, url_filter
 from cairnflow.llm.ann import nearest
 from cairnflow.llm.bpe import bpe_decode, bpe_encode
 from cairnflow.llm.exact_dedup import exact_dedup
@@ -151,6 +151,8 @@ def test_bpe_columns(hard, empty):
     for r in out.collect():
         ids = library.encode(r.text or "", add_special_tokens=False).ids
         assert r.ids == ids and r.decoded == library.decode(ids, skip_special_tokens=False)
+    both = bpe_encode(hard, path, decoded="decoded")
+    assert both.columns == out.columns and sorted(map(repr, both.collect())) == sorted(map(repr, out.collect()))
     assert bpe_decode(bpe_encode(empty, path), path).count() == 0
 
 
@@ -166,20 +168,30 @@ def test_mix(hard, empty):
         taken[r.source_size, r.target] += r.taken
         goal[r.source_size, r.target] = r.target
     assert sum(goal.values()) <= sum(r.size for r in rows) + 1e-6
-    assert all(taken[k] <= goal[k] + 1 for k in goal)
+    left = {k: min((r.size for r in rows if (r.source_size, r.target) == k and r.size and r.taken == min(3, int(r.target // r.source_size)) * r.size), default=0) for k in goal}
+    assert all(taken[k] <= goal[k] + 1 and taken[k] > goal[k] - 1 - left[k] for k in goal)
     assert mix(empty).count() == 0
 
 
 def test_targets_and_fit():
     assert targets([("b", 1000), ("a", 10), (None, 5)]) == {"a": 30.0, "b": 970.0, None: 15.0}
     assert targets([("a", 0), ("b", 0)]) == {"a": 0.0, "b": 0.0}
-    rng = np.random.default_rng(2)
+    rng, best, reached = np.random.default_rng(2), 0, 0
     for _ in range(200):
         lengths = np.sort(rng.choice(np.arange(1, 40), rng.integers(1, 8), replace=False))
         counts = rng.integers(1, 5, len(lengths))
         budget = int(rng.integers(0, (lengths * counts).sum() + 1))
-        take = fit(lengths, counts, budget)
-        assert (take >= 0).all() and (take <= counts).all() and (take * lengths).sum() <= budget
+        sums = {0}
+        for size, n in zip(lengths.tolist(), counts.tolist(), strict=True):
+            sums = {s + size * k for s in sums for k in range(n + 1)}
+        for dp_words in (5, 20_000):
+            take = fit(lengths, counts, budget, dp_words)
+            assert (take >= 0).all() and (take <= counts).all() and (take * lengths).sum() <= budget
+            short = budget - (take * lengths).sum()
+            assert short < min([*lengths[take < counts].tolist(), budget + 1])
+        best += max(s for s in sums if s <= budget)
+        reached += int((fit(lengths, counts, budget) * lengths).sum())
+    assert 0.995 * best <= reached <= best
     assert (fit(np.array([3, 5, 7]), np.array([4, 4, 4]), 41) * np.array([3, 5, 7])).sum() == 41
 
 
@@ -238,6 +250,13 @@ def test_toxicity_chain(spark, hard, empty):
     found = toxicity.score_toxicity(docs, model).where("doc_id % 8 >= 5 OR doc_id % 8 = 0").collect()
     right = sum(r.toxic == (r.doc_id % 4 == 0) for r in found)
     assert right >= 0.97 * len(found)
+    for r in toxicity.score_toxicity(docs.where("doc_id < 12"), model).collect():  # the chain by hand
+        has, p = {f for w in set(re.findall(r"[^\W\d_]+", r.text.lower())) for f in toxicity.features_of(w)}, []
+        for m in model["models"]:
+            z = m["bias"] + sum(float(w) for f, w in zip(m["kept"], m["weights"], strict=True) if int(f) in has) + sum(float(w) * x for w, x in zip(m["more"], p, strict=True))
+            p.append(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+        assert np.allclose(p, [r[f"p_{c}"] for c in toxicity.CHAIN])
+    assert toxicity.fit_toxicity(docs.unionByName(docs), marks)["models"][-1]["bias"] == toxicity.fit_toxicity(docs, marks)["models"][-1]["bias"]
     assert {r.toxic for r in toxicity.score_toxicity(hard, None).collect()} == {False}
     assert all(r.p_toxic == 0 for r in toxicity.score_toxicity(hard, model).collect() if not r.text)
     assert toxicity.score_toxicity(empty, model).count() == 0
@@ -271,6 +290,41 @@ def test_nearest(spark):
     assert sorted(r.vec_id for r in few) == [1, 2]
 
 
+def test_equal_scores_go_to_the_smaller_id(spark):
+    """Over a hundred distinct vectors with the same inner product, in double precision."""
+    rows = [(0, [1.0, 0.0, 0.0, 1e-9])] + [(1000 - k, [0.5, float(k), float(-k), 0.0]) for k in range(1, 120)] + [(5000, [0.5 + 2**-50, 7.5, 0.0, 0.0]), (5001, [1e39, 0.0, 0.0, 0.0])]
+    out = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("rank", F.lit("x")), F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [r.vec_id for r in out] == [5001, 5000, *range(881, 899)]
+    assert [r.score for r in out[:3]] == [1e39, 0.5 + 2**-50, 0.5]
+
+
+def test_segment_is_the_best_of_all_splits():
+    import itertools
+    import math
+
+    rng = np.random.default_rng(3)
+    for _ in range(150):
+        name = "".join(rng.choice(list("abc"), rng.integers(1, 9)))
+        logs = {"".join(rng.choice(list("abc"), rng.integers(1, 5))): -float(rng.uniform(0.1, 20)) for _ in range(8)} | {"": -9.0}
+        cost = lambda w: logs.get(w, logs[""] - math.log(10) * len(w))  # noqa: B023, E731
+        best = max(sum(cost(name[a:b]) for a, b in itertools.pairwise([0, *cut, len(name)])) for n in range(len(name)) for cut in itertools.combinations(range(1, len(name)), n))
+        assert abs(sum(map(cost, segment(name, logs))) - best) < 1e-9
+    assert segment("x" * 5000, {"": -3.0}) == ["x" * 5000]
+
+
+def test_bayes_odds_are_counted_by_hand():
+    import math
+
+    logs = {"spam": -1.0, "calm": -1.0, "": -9.0}
+    model = url_filter.fit_bayes([("spamcalm.org", "/a", "block", 2), ("calm.com", "/a", "allow", 1)], logs)
+    words = {"block": Counter({"h:spam": 2, "h:calm": 2, "h:org": 2, "p:a": 2, "t:org": 2}), "allow": Counter({"h:calm": 1, "h:com": 1, "p:a": 1, "t:com": 1})}
+    every = set(words["block"]) | set(words["allow"])
+    total = {k: sum(c.values()) + len(every) for k, c in words.items()}
+    assert set(model["odds"]) == every and math.isclose(model["prior"], math.log(3 / 2))
+    for w in every:
+        assert math.isclose(model["odds"][w], math.log((words["block"][w] + 1) / total["block"] / ((words["allow"][w] + 1) / total["allow"])))
+
+
 def test_url_verdicts(spark):
     logs = {"data": -1.0, "base": -1.0, "dat": -5.0, "abase": -5.0, "": -10.0}
     assert segment("database", logs) == ["data", "base"] and segment("", logs) == []
