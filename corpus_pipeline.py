@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnflow.llm.bpe import bpe_decode, bpe_encode
+from cairnflow.llm.bpe import bpe_encode
 from cairnflow.llm.common import grows, keep, numbered, table
 from cairnflow.llm.exact_dedup import exact_dedup
 from cairnflow.llm.jaccard_join import jaccard_components
@@ -59,8 +59,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's ids and the text they decode to."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    coded = bpe_encode(docs.select("doc_id", "lang", "source", "text"), path, drop_text=True)
-    return bpe_decode(coded, path).select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
+    coded = bpe_encode(docs.select("doc_id", "lang", "source", "text"), path, drop_text=True, decoded="decoded")
+    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 
 STAGES = [
