@@ -6,36 +6,48 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
-NUMBERS = {"one": 1, "two": 2, "three": 3, "four": 4, "five": 5, "six": 6, "seven": 7, "eight": 8, "nine": 9, "ten": 10}
-
-
-def _count(c: Column) -> Column:
-    out = c.try_cast("int")
-    for word, n in NUMBERS.items():
-        out = F.when(c == word, n).otherwise(out)
-    return F.when(c.isin("a", "an"), 1).otherwise(out)
+NUMBERS = {"one": 1, "two": 2, "three": 3, "four": 4, "five": 5, "six": 6, "seven": 7, "eight": 8, "nine": 9, "ten": 10, "eleven": 11, "twelve": 12}
+
+
+def relative_day(text: Column, anchor: Column) -> Column:
+    """struct(day, precision) of the first phrase, in this order, seen from ``anchor``; null without one.
+
+    `last Monday` or `past Monday` (a week back on a Monday), `yesterday`, `3 weeks ago` in
+    digits or words up to twelve, `last week`, `last month`, `last year`, `earlier this month`,
+    `earlier this year`. Years name their first day; months keep the day where there is one.
+    """
+    low = F.trim(F.regexp_replace(F.lower(text), r"\s+", " "))
+    says = lambda phrase: F.regexp_like(low, F.lit(rf"\b{phrase}\b"))
+    weekday = F.regexp_extract(low, r"\b(?:last|past) (" + "|".join(DAYS) + r")\b", 1)
+    back = F.pmod(F.weekday(anchor) - (F.array_position(F.array(*[F.lit(d) for d in DAYS]), weekday) - 1), F.lit(7)).cast("int")
+    ago = r"\b(\d+|" + "|".join(NUMBERS) + r") (day|week|month|year)s? ago\b"
+    count, unit = F.regexp_extract(low, ago, 1), F.regexp_extract(low, ago, 2)
+    n = count.try_cast("int")
+    for word, value in NUMBERS.items():
+        n = F.when(count == word, value).otherwise(n)
+    unit = F.when(n > 0, unit)
+    new_year = lambda years: F.make_date(F.year(anchor) - years, F.lit(1), F.lit(1))
+    found = lambda day, precision: F.struct(day.alias("day"), F.lit(precision).alias("precision"))
+    return F.when(
+        anchor.isNotNull(),
+        F.when(weekday != "", found(F.date_sub(anchor, F.when(back == 0, 7).otherwise(back)), "approximate"))
+        .when(says("yesterday"), found(F.date_sub(anchor, 1), "day"))
+        .when((unit == "day") & (n == 1), found(F.date_sub(anchor, 1), "day"))
+        .when(unit == "day", found(F.date_sub(anchor, n), "approximate"))
+        .when(unit == "week", found(F.date_sub(anchor, n * 7), "approximate"))
+        .when(unit == "month", found(F.add_months(anchor, -n), "month_only"))
+        .when(unit == "year", found(new_year(n), "year_only"))
+        .when(says("last week"), found(F.date_sub(anchor, 7), "approximate"))
+        .when(says("last month"), found(F.add_months(anchor, -1), "month_only"))
+        .when(says("last year"), found(new_year(1), "year_only"))
+        .when(says("earlier this month"), found(F.trunc(anchor, "month"), "month_only"))
+        .when(says("earlier this year"), found(new_year(0), "year_only")),
+    )
 
 
 def relative_date(text: Column, anchor: Column) -> Column:
-    """The day that a phrase like `3 days ago`, `last week` or `on Monday` names, seen from ``anchor``; null without one."""
-    low = F.lower(text)
-    ago = r"\b(\d{1,3}|an?|one|two|three|four|five|six|seven|eight|nine|ten) (day|week|month|year)s? ago\b"
-    n, unit = _count(F.regexp_extract(low, ago, 1)), F.regexp_extract(low, ago, 2)
-    weekday = F.regexp_extract(low, r"\b(?:on|last|this) (" + "|".join(DAYS) + r")\b", 1)
-    number = F.array_position(F.array(*[F.lit(d) for d in DAYS]), weekday) - 1
-    back = F.pmod(F.weekday(anchor) - number, F.lit(7))
-    return (
-        F.when(unit == "day", F.date_sub(anchor, n))
-        .when(unit == "week", F.date_sub(anchor, n * 7))
-        .when(unit == "month", F.add_months(anchor, -n))
-        .when(unit == "year", F.add_months(anchor, -12 * n))
-        .when(F.regexp_like(low, F.lit(r"\byesterday\b")), F.date_sub(anchor, 1))
-        .when(F.regexp_like(low, F.lit(r"\b(today|this morning|tonight)\b")), anchor)
-        .when(F.regexp_like(low, F.lit(r"\blast week\b")), F.date_sub(anchor, 7))
-        .when(F.regexp_like(low, F.lit(r"\blast month\b")), F.add_months(anchor, -1))
-        .when(F.regexp_like(low, F.lit(r"\blast year\b")), F.add_months(anchor, -12))
-        .when(weekday != "", F.date_sub(anchor, F.when(back == 0, 7).otherwise(back).cast("int")))
-    )
+    """The day alone of ``relative_day``."""
+    return relative_day(text, anchor)["day"]
 
 
 def safe_date(value: Column, newest: Column, first: str = "1990-01-01", ahead: int = 1) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 #: Descriptors that actor and family names end in (fixed values).
 SUFFIXES = ("ransomware", "gang", "group", "team", "crew")
 #: Query parameters that only track (fixed values).
-TRACKING = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "ref", "fbclid", "gclid")
+TRACKING = ("utm_source", "utm_medium", "utm_campaign", "utm_content", "utm_term", "ref", "source", "via", "fbclid", "gclid", "mc_cid", "mc_eid", "_ga", "_gl", "ncid", "ocid", "sr_share", "social")
 
 
 def blank_to_null(c: Column) -> Column:
@@ -66,7 +66,7 @@ def normal_url(c: Column, tracking: tuple[str, ...] = TRACKING) -> Column:
     host = F.regexp_replace(F.lower(F.regexp_extract(plain, "^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)", 1)), r"^www\.", "")
     path = F.regexp_replace(F.regexp_extract(plain, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)", 1), "/+$", "")
     names = "|".join(tracking)
-    asked = F.array_join(F.filter(F.split(F.regexp_extract(plain, r"\?(.*)$", 1), "&"), lambda p: (p != "") & ~F.regexp_like(p, F.lit(f"^({names})(=|$)"))), "&")
+    asked = F.array_join(F.filter(F.split(F.regexp_extract(plain, r"\?(.*)$", 1), "&"), lambda p: (p != "") & ~F.regexp_like(p, F.lit(f"^(?i:{names})(=|$)"))), "&")
     url = F.concat(scheme, F.lit("://"), host, path, F.when(asked != "", F.concat(F.lit("?"), asked)).otherwise(""))
     return F.when(scheme != "", url)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .infer import city_keys, technique_base
 from .text import bare_key, humanise, lookup_key, tight_key
 
 UNKNOWN = ("unknown", "n_a", "na", "none", "null", "unspecified", "not_specified", "undisclosed")
@@ -82,3 +83,24 @@ def mentioned_country(text: Column, names: list[str]) -> Column:
     """The one country that a text names; null where it names none or several."""
     hits = F.array_compact(F.array(*[F.when(F.regexp_like(text, F.lit(rf"(?i)\b{n}\b")), F.lit(n)) for n in names]))
     return F.when(F.size(hits) == 1, hits[0])
+
+
+def with_tactics(df: DataFrame, technique: str, tactics: DataFrame) -> DataFrame:
+    """A row for each tactic of each row's technique by ``tactics`` (technique, tactic); sub-techniques take their technique's."""
+    known = tactics.select(technique_base(F.col("technique")).alias("__base"), "tactic").distinct()
+    return df.drop("tactic").withColumn("__base", technique_base(F.col(technique))).join(known, "__base").drop("__base")
+
+
+def with_region(df: DataFrame, name: str, cities: DataFrame, country: str | None = None) -> DataFrame:
+    """``df`` with ``region``: that of the first place in a name that ``cities`` (city, country_code, region) knows.
+
+    With ``country``, a column of codes, only its own cities count.
+    """
+    named = df.select(F.col(name).alias("__name"), (F.col(country) if country else F.lit(None).cast("string")).alias("__code")).distinct()
+    tries = named.select("__name", "__code", F.posexplode(city_keys(F.col("__name"))).alias("nth", "city"))
+    met = tries.join(cities.select(F.lower(F.trim("city")).alias("city"), "country_code", F.col("region").alias("__region")), "city")
+    if country:
+        met = met.where(F.col("__code") == F.col("country_code"))
+    found = met.groupBy("__name", "__code").agg(F.min_by("__region", F.struct("nth", "country_code")).alias("region"))
+    keyed = df.drop("region").withColumn("__name", F.col(name)).withColumn("__code", F.col(country) if country else F.lit(None).cast("string"))
+    return keyed.alias("l").join(found.alias("r"), F.col("l.__name").eqNullSafe(F.col("r.__name")) & F.col("l.__code").eqNullSafe(F.col("r.__code")), "left").select("l.*", "r.region").drop("__name", "__code")

@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def breakdown(df: DataFrame, key: str | Column, weight: str | None = None, limit: int | None = None, digits: int = 4) -> DataFrame:
     """Rows (label, n, pct) by ``key``; ``weight`` holds counts made earlier.
 
-    The share is of all rows, those beyond ``limit`` included. The window without a
-    key runs over one row per label, after the groups have been counted.
+    The share is of all rows, those beyond ``limit`` included: the labels, counted first,
+    are divided by their own total.
     """
     label = F.col(key) if isinstance(key, str) else key
     n = F.count("*") if weight is None else F.sum(weight)
     groups = df.groupBy(label.alias("label")).agg(n.cast("long").alias("n"))
-    out = groups.withColumn("pct", F.round(F.lit(100.0) * F.col("n") / F.sum("n").over(Window.partitionBy()), digits))
+    total = groups.agg(F.sum("n"))
+    out = groups.withColumn("pct", F.round(F.lit(100.0) * F.col("n") / total.scalar(), digits))
     return out if limit is None else out.orderBy(F.desc("n"), F.asc_nulls_last("label")).limit(limit)
 
 

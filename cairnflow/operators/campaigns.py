@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import slug
-from .graph import chain_edges, connected_components, edge_scores, trim_to_median
+from .graph import chain_edges, connected_components, trim_to_median
+from .matching import range_pairs
 
 
 def profiles(evidence: DataFrame, key: str, sets: list[str], day: str) -> DataFrame:
@@ -15,13 +16,61 @@ def profiles(evidence: DataFrame, key: str, sets: list[str], day: str) -> DataFr
     return evidence.groupBy(key).agg(*merged, F.min(day).alias("day"), F.count("*").alias("items"))
 
 
-def signal_edges(found: DataFrame, key: str, kinds: dict[str, float], least: float = 0.55) -> DataFrame:
-    """Scored edges between profiles that share a value of some kind; only those meet."""
-    rows = None
-    for kind in kinds:
-        own = found.select(key, "day", F.explode(kind).alias(kind)).select(key, "day", *[F.col(kind) if k == kind else F.lit(None).cast("string").alias(k) for k in kinds])
-        rows = own if rows is None else rows.unionByName(own)
-    return edge_scores(rows, key, kinds, "day", [(3, 0.25), (14, 0.20), (45, 0.15), (120, 0.08)], least)
+#: What shared values add to an edge, what nearness adds to each of them, and the least score (fixed values).
+HASHES, NAMES, CVES, PLATFORMS, VENDORS, ACTORS, FAMILIES = 0.90, 0.85, 0.55, 0.45, 0.45, 0.35, 0.25
+DATE_GAPS = ((14, 0.25), (45, 0.20), (120, 0.15), (365, 0.08))
+NEAR, PLATFORM_DAYS, VENDOR_DAYS, LEAST = 0.15, 120, 180, 0.55
+SUPPLY_CATEGORY, OTHER_CATEGORY = 0.12, 0.08
+#: Sets of a profile, and those that must meet for an edge, with the days they may lie apart (None: any).
+SETS = ("hashes", "names", "cves", "platforms", "vendors", "actors", "families", "categories")
+MEET = {"hashes": None, "names": None, "cves": None, "platforms": PLATFORM_DAYS, "vendors": VENDOR_DAYS, "actors": 120}
+
+
+def _meetings(rows: DataFrame, days: int | None) -> DataFrame:
+    """Pairs (a, b) of nodes with one value, at most ``days`` apart or with a day missing."""
+    if days is None:
+        return rows.select("value", F.col("node").alias("a")).join(rows.select("value", F.col("node").alias("b")), "value").where("a < b").select("a", "b")
+    near = range_pairs(rows, "node", ["value"], "day", days).select("a", "b")
+    undated = rows.where("day IS NULL").select("value", F.col("node").alias("x")).join(rows.select("value", F.col("node").alias("y")), "value").where("x <> y")
+    return near.unionByName(undated.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+
+
+def campaign_edges(found: DataFrame, key: str, supply_categories: tuple[str, ...] = ()) -> DataFrame:
+    """Scored edges (a, b, confidence, reasons, gap_days) between profiles: ``key``, day and arrays named as in SETS.
+
+    Equal contents, campaign names, flaws, platforms, vendors, actors and families add up,
+    most of them with what the days apart add. Nodes meet over the values that can carry an
+    edge, dated ones in buckets of the days allowed; families and categories only add.
+    Missing arrays count as empty.
+    """
+    own = found.select(F.col(key).alias("node"), "day", *[(F.coalesce(F.col(c), F.array().cast("array<string>")) if c in found.columns else F.array().cast("array<string>")).alias(c) for c in SETS])
+    pairs = None
+    for kind, days in MEET.items():
+        if kind in found.columns:
+            met = _meetings(own.select("node", "day", F.explode(F.array_distinct(kind)).alias("value")), days)
+            pairs = met if pairs is None else pairs.unionByName(met)
+    both = pairs.distinct().join(own.alias("l"), F.col("a") == F.col("l.node")).join(own.alias("r"), F.col("b") == F.col("r.node"))
+    share = {c: F.arrays_overlap(F.col(f"l.{c}"), F.col(f"r.{c}")) for c in SETS}
+    gap = F.abs(F.datediff(F.col("l.day"), F.col("r.day")))
+    date = F.lit(0.0)
+    for days, plus in reversed(DATE_GAPS):
+        date = F.when(gap <= days, plus).otherwise(date)
+    within = lambda days: F.coalesce(gap <= days, F.lit(True))
+    of_supply = F.arrays_overlap(F.array_intersect(F.col("l.categories"), F.col("r.categories")), F.array(*[F.lit(c) for c in supply_categories]).cast("array<string>"))
+    rules = {
+        "same_selected_article_content": (share["hashes"], F.lit(HASHES)),
+        "shared_campaign_name": (share["names"], F.lit(NAMES)),
+        "shared_cve": (share["cves"], CVES + date),
+        "shared_vendor_or_platform": (share["platforms"] & within(PLATFORM_DAYS), PLATFORMS + date),
+        "shared_vendor_name": (~share["platforms"] & share["vendors"] & within(VENDOR_DAYS), VENDORS + date),
+        "shared_actor_time_window": (share["actors"] & (date >= NEAR), ACTORS + date),
+        "shared_ransomware_family_time_window": (share["families"] & (date >= NEAR), FAMILIES + date),
+        "shared_supply_chain_category": (of_supply & share["platforms"], F.lit(SUPPLY_CATEGORY)),
+        "shared_attack_category": (share["categories"] & ~(of_supply & share["platforms"]) & (share["actors"] | share["cves"]), F.lit(OTHER_CATEGORY)),
+    }
+    score = sum((F.when(holds, plus).otherwise(0.0) for holds, plus in rules.values()), F.lit(0.0))
+    reasons = F.array_join(F.array_compact(F.array(*[F.when(holds, name) for name, (holds, _) in rules.items()])), "|")
+    return both.select("a", "b", F.round(score, 6).alias("score"), reasons.alias("reasons"), gap.alias("gap_days")).where(F.col("score") >= LEAST).select("a", "b", F.round(F.least("score", F.lit(1.0)), 3).alias("confidence"), "reasons", "gap_days")
 
 
 def bucket_components(found: DataFrame, key: str, kinds: list[str], least: int = 2) -> DataFrame:
@@ -51,22 +100,26 @@ def campaign_id(name: Column, members: Column) -> Column:
     return F.concat(F.lit("campaign_"), F.replace(slug(name), F.lit("-"), F.lit("_")), F.lit("_"), F.left(F.sha1(F.array_join(F.array_sort(members), "|")), F.lit(10)))
 
 
-def campaigns(found: DataFrame, key: str, kinds: list[str], window_days: int = 120, least: int = 2) -> tuple[DataFrame, DataFrame]:
-    """(candidates, memberships) from profiles.
+def campaigns(found: DataFrame, key: str, kinds: list[str], edges: DataFrame, window_days: int = PLATFORM_DAYS, least: int = 2) -> tuple[DataFrame, DataFrame]:
+    """(candidates, memberships) from profiles and their ``campaign_edges``.
 
     Members of a bucket far from its median day leave it; what is left below ``least`` is no
-    campaign. A candidate's confidence grows with its members and the kinds they share; its
-    year is the commonest. A membership's role is `core` when the member shares the value with
-    evidence of its own, `supporting` otherwise.
+    campaign. A candidate's confidence is the mean of the edges among its members, a
+    membership's the largest of the member's own, else the candidate's; its year is the
+    commonest. A membership without an edge of its own is to be reviewed.
     """
-    tied = bucket_components(found, key, kinds, least).join(found.select(F.col(key).alias("member"), "day", "items"), "member").withColumn("bucket", F.concat_ws(":", "kind", "value"))
+    tied = bucket_components(found, key, kinds, least).join(found.select(F.col(key).alias("member"), "day"), "member").withColumn("bucket", F.concat_ws(":", "kind", "value"))
     near = trim_to_median(tied, "bucket", "member", "day", window_days)
+    ends = edges.select(F.col("a").alias("member"), "b", "confidence").join(near.select("bucket", "member"), "member").join(near.select("bucket", F.col("member").alias("b")), ["bucket", "b"])
+    mean = ends.groupBy("bucket").agg(F.avg("confidence").alias("mean"))
+    each = ends.select("bucket", "member", "confidence").unionByName(ends.select("bucket", F.col("b").alias("member"), "confidence")).groupBy("bucket", "member").agg(F.max("confidence").alias("own"))
+    # A campaign's id names its members, so their list is gathered per campaign, ids alone.
     size = near.groupBy("bucket").agg(F.count("*").alias("n"), F.array_sort(F.collect_set(F.col("member").cast("string"))).alias("ids"), F.min("day").alias("first_seen"), F.max("day").alias("last_seen"), F.first("kind").alias("kind"), F.first("value").alias("value")).where(F.col("n") >= least)
     years = dominant_year(near, ["bucket"], "day")
     name = F.concat_ws(" ", F.initcap("value"), F.col("year").cast("string"))
-    confidence = F.round(F.least(F.lit(0.95), 0.5 + 0.05 * F.col("n") + F.when(F.col("kind") == "cves", 0.1).otherwise(0.0)), 4)
-    candidates = size.join(years, "bucket", "left").select(campaign_id(F.col("value"), F.col("ids")).alias("campaign_id"), name.alias("name"), "bucket", "kind", "value", F.col("n").alias("members"), "first_seen", "last_seen", "year", confidence.alias("confidence"))
-    memberships = near.join(candidates.select("bucket", "campaign_id"), "bucket").select("campaign_id", "member", F.when(F.col("items") > 1, "core").otherwise("supporting").alias("role"), "day")
+    candidates = size.join(mean, "bucket").join(years, "bucket", "left").select(campaign_id(F.col("value"), F.col("ids")).alias("campaign_id"), name.alias("name"), "bucket", "kind", "value", F.col("n").alias("members"), "first_seen", "last_seen", "year", F.round("mean", 3).alias("confidence"))
+    placed = near.join(candidates.select("bucket", "campaign_id", "confidence"), "bucket").join(each, ["bucket", "member"], "left")
+    memberships = placed.select("campaign_id", "member", F.when(F.col("own").isNull(), "needs_review").otherwise("member").alias("role"), F.round(F.coalesce("own", "confidence"), 3).alias("confidence"), "day")
     return candidates, memberships
 
 

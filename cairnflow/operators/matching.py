@@ -84,13 +84,18 @@ def name_pairs(df: DataFrame, node: str, name: str, block: list[str], stop: tupl
 
 
 def token_pairs(df: DataFrame, node: str, text: str, block: list[str], least: float) -> DataFrame:
-    """Pairs (a, b, jaccard) of one block by their distinct words."""
+    """Pairs (a, b, jaccard) of one block by their distinct words.
+
+    Alike names share ``least`` of either's words, so they meet over the rarest words of both, all but that part.
+    """
     own = df.select(F.col(node).alias("node"), *block, core_tokens(F.col(text)).alias("words"))
-    terms = own.select("node", *block, F.explode("words").alias("word"))
-    met = terms.withColumnRenamed("node", "a").join(terms.withColumnRenamed("node", "b"), [*block, "word"]).where("a < b").groupBy("a", "b").agg(F.count("*").alias("shared"))
-    size = own.select("node", F.size("words").alias("n"))
-    both = met.join(size.toDF("a", "an"), "a").join(size.toDF("b", "bn"), "b")
-    return both.select("a", "b", F.round(F.col("shared") / (F.col("an") + F.col("bn") - F.col("shared")), 6).alias("jaccard")).where(F.col("jaccard") >= least)
+    terms = own.select("node", *block, F.size("words").alias("n"), F.explode("words").alias("word"))
+    ranked = terms.join(terms.groupBy(*block, "word").agg(F.count("*").alias("rows")), [*block, "word"]).withColumn("nth", F.row_number().over(Window.partitionBy("node").orderBy("rows", "word")))
+    rare = ranked.where(F.col("nth") <= F.col("n") - F.ceil(F.col("n") * least - 1e-5) + 1).select("node", *block, "word", "n")
+    met = rare.withColumnsRenamed({"node": "a", "n": "an"}).join(rare.withColumnsRenamed({"node": "b", "n": "bn"}), [*block, "word"]).where((F.col("a") < F.col("b")) & (F.least("an", "bn") >= F.greatest("an", "bn") * least - 1e-5))
+    sides = [own.select(F.col("node").alias(x), F.col("words").alias(f"{x}w")) for x in ("a", "b")]
+    both = met.select("a", "b").distinct().join(sides[0], "a").join(sides[1], "b")
+    return both.select("a", "b", F.round(jaccard(F.col("aw"), F.col("bw")), 6).alias("jaccard")).where(F.col("jaccard") >= least)
 
 
 def best_candidate(pairs: DataFrame, key: str, score: Column, candidate: str, least: float) -> DataFrame:

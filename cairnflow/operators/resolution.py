@@ -7,9 +7,15 @@ from pyspark.sql import functions as F
 
 from ..functions.text import acronym, core_tokens, jaccard, match_text, normal_url
 
-#: What each sign adds to a candidate's score, and the least score of each stage (fixed values).
-IDENTITY = (("equal", 100), ("tokens", 95), ("acronym", 92), ("subset", 90), ("subunit", 88), ("alike", 85))
-STAGES = (("url", 85), ("name_date", 110), ("identity", 130))
+#: Grades of identity, what nearness in days and other signs add, and the least scores (fixed values).
+IDENTITY = (("equal", 100), ("bare", 95), ("acronym", 92), ("subset", 90), ("subunit", 88), ("alike", 85))
+NEAR_DAYS, UNDATED = ((3, 20), (14, 12)), 4
+SAME_COUNTRY, ONE_COUNTRY, OTHER_COUNTRY, SAME_CATEGORY, SAME_FAMILY, SAME_ACTOR, BY_URL = 8, 2, -4, 6, 4, 4, 10
+LEAST, LEAST_ABROAD, URL_QUALITY = 95, 110, 85
+#: Families of attack categories by their prefix (fixed values).
+CATEGORY_FAMILIES = (("data_breach_", "data_compromise"), ("ransomware_", "data_compromise"), ("third_party", "vendor_compromise"), ("supply_chain", "vendor_compromise"))
+#: Part of a name's words that another must share to be alike.
+COVER = 0.6
 
 
 def canonical_key(identity: Column, day: Column, country: Column, source_id: Column) -> Column:
@@ -20,15 +26,16 @@ def canonical_key(identity: Column, day: Column, country: Column, source_id: Col
 
 def identity_quality(a: Column, b: Column) -> Column:
     """How surely two names mean one institution: 100 equal down to 85 alike, 0 not."""
+    bare = lambda c: match_text(F.regexp_replace(c, r"\s+\([A-Za-z0-9&.\- ]{2,}\)\s*$", ""))
     at, bt, aw, bw = match_text(a), match_text(b), core_tokens(a), core_tokens(b)
-    few, shared = F.least(F.size(aw), F.size(bw)), F.size(F.array_intersect(aw, bw))
+    few, many, shared = F.least(F.size(aw), F.size(bw)), F.greatest(F.size(aw), F.size(bw)), F.size(F.array_intersect(aw, bw))
     tests = {
         "equal": at == bt,
-        "tokens": aw == bw,
+        "bare": ((bare(a) == bare(b)) & (bare(a) != "")) | ((aw == bw) & (few > 0)),
         "acronym": (acronym(a) == bt) | (acronym(b) == at),
-        "subset": (shared == few) & (few >= 2) & (few / F.greatest(F.size(aw), F.size(bw)) >= 0.7),
+        "subset": (shared == few) & (few >= 2) & (few / many >= 0.7),
         "subunit": (at.startswith(F.concat(bt, F.lit(" "))) | bt.startswith(F.concat(at, F.lit(" ")))) & (few >= 2),
-        "alike": jaccard(aw, bw) >= 0.6,
+        "alike": jaccard(aw, bw) >= COVER,
     }
     out = F.lit(0)
     for name, grade in reversed(IDENTITY):
@@ -36,38 +43,86 @@ def identity_quality(a: Column, b: Column) -> Column:
     return F.when((at == "") | (bt == "") | at.isNull() | bt.isNull(), 0).otherwise(out)
 
 
-def match_score(left: str = "l", right: str = "r") -> Column:
-    """Identity, nearness in time, country, category, family and actor, added up; contradictions subtract."""
+def category_family(c: Column) -> Column:
+    """The family of an attack category; others are their own, empty ones have none."""
+    low = F.nullif(F.lower(F.trim(c)), F.lit(""))
+    out = low
+    for prefix, family in reversed(CATEGORY_FAMILIES):
+        out = F.when(low.startswith(prefix), family).otherwise(out)
+    return out
+
+
+def match_score(quality: Column, left: str = "l", right: str = "r", abroad: bool = False) -> Column:
+    """Identity, nearness in time, country, category, family and actor, added up; null where the two can't be one.
+
+    Days over a fortnight apart rule a match out, as do two different countries. With
+    ``abroad``, equal names within three days in one family of categories may differ in country.
+    """
     of = lambda side, c: F.col(f"{side}.{c}")
-    same = lambda c, plus, minus: F.when(of(left, c) == of(right, c), plus).when(of(left, c) != of(right, c), minus).otherwise(0)
+    same = lambda c: F.coalesce(of(left, c) == of(right, c), F.lit(False))
     gap = F.abs(F.datediff(of(left, "day"), of(right, "day")))
-    near = F.when(gap == 0, 25).when(gap <= 3, 20).when(gap <= 14, 10).when(gap <= 45, 0).when(gap > 45, -30).otherwise(0)
-    return identity_quality(of(left, "name"), of(right, "name")) + near + same("country", 10, -40) + same("category", 5, -5) + same("family", 10, -15) + same("actor", 10, -10)
+    near = F.when(gap.isNull(), UNDATED)
+    for days, plus in NEAR_DAYS:
+        near = near.when(gap <= days, plus)
+    both_known = of(left, "country").isNotNull() & of(right, "country").isNotNull()
+    fits = F.lit(False)
+    if abroad:
+        fits = (quality >= 100) & F.coalesce(gap <= 3, F.lit(False)) & F.coalesce(category_family(of(left, "category")) == category_family(of(right, "category")), F.lit(False))
+    country = F.when(same("country"), SAME_COUNTRY).when(both_known & fits, OTHER_COUNTRY).when(both_known, None).when(of(left, "country").isNotNull() | of(right, "country").isNotNull(), ONE_COUNTRY).otherwise(0)
+    more = sum((F.when(same(c), plus).otherwise(0) for c, plus in (("category", SAME_CATEGORY), ("family", SAME_FAMILY), ("actor", SAME_ACTOR))), F.lit(0))
+    return F.when(quality > 0, quality + near + country + more)
+
+
+def name_candidates(observations: DataFrame, records: DataFrame) -> DataFrame:
+    """Pairs (source_id, canonical_id) of names that may have a grade: common words make no pairs by themselves.
+
+    Names that are alike share COVER of the longer one's words, so the rarest words of each,
+    all but that part, hold a common one; a subunit's parent stands whole in its name. So it
+    is enough that the rarest words of one name meet any word of the other. Whole texts and
+    acronyms are words too.
+    """
+    whole = F.array_distinct(F.array_compact(F.array(F.nullif(match_text(F.col("name")), F.lit("")), acronym(F.col("name")))))
+    sides = []
+    for df, key in ((observations, "source_id"), (records, "canonical_id")):
+        named = df.where(F.col("name").isNotNull()).select(key, core_tokens(F.col("name")).alias("words"), whole.alias("whole"))
+        sides.append((key, named.select(key, F.explode("words").alias("word"), F.size("words").alias("n")), named.select(key, F.explode("whole").alias("word"))))
+    often = sides[0][1].select("word").unionByName(sides[1][1].select("word")).groupBy("word").agg(F.count("*").alias("rows"))
+    pairs = None
+    rare = {}
+    for key, words, _ in sides:
+        ranked = words.join(often, "word").withColumn("nth", F.row_number().over(Window.partitionBy(key).orderBy("rows", "word")))
+        rare[key] = ranked.where(F.col("nth") <= F.col("n") - F.ceil(F.col("n") * COVER) + 1).select(key, "word")
+    (left, left_words, left_whole), (right, right_words, right_whole) = sides
+    bare = lambda words: words.drop("n")
+    for a, b in ((rare[left], bare(right_words)), (bare(left_words), rare[right]), (left_whole, right_whole)):
+        met = a.join(b, "word").select(left, right)
+        pairs = met if pairs is None else pairs.unionByName(met)
+    return pairs.distinct()
 
 
 def find_existing(observations: DataFrame, records: DataFrame, urls: DataFrame | None = None) -> DataFrame:
     """Per observation the record it belongs to: (source_id, canonical_id, match_type, score).
 
-    Both sides carry name, day, country, category, family, actor. Candidates are records that
-    share a url (``urls``: source_id, url, and canonical_id of records), or a word of the name,
-    or a whole name, or an acronym with the other's name:
-    with days at most 14 apart first, else at any distance. The first stage that reaches its
-    score decides, by the highest score and then the smaller id.
+    Both sides carry name, day, country, category, family, actor. Candidates share a url
+    (``urls``: source_id, url, and canonical_id of records) or have names that may mean one
+    institution. The best score of at least LEAST decides, a shared url adding BY_URL; then
+    equal names abroad of at least LEAST_ABROAD. Without a name, a shared url alone does.
+    Ties go to the smaller id.
     """
-    # Whole names too, as names of one-letter words have no other key.
-    keys = F.array_distinct(F.array_compact(F.concat(core_tokens(F.col("name")), F.array(F.nullif(match_text(F.col("name")), F.lit("")), acronym(F.col("name"))))))
-    words = lambda df, key: df.select(key, F.explode(keys).alias("word"))
-    named = words(observations, "source_id").join(words(records, "canonical_id"), "word").select("source_id", "canonical_id").distinct().withColumn("by_url", F.lit(False))
-    pairs = named
+    pairs = name_candidates(observations, records).withColumn("by_url", F.lit(False))
     if urls is not None:
         keyed = urls.withColumn("key", normal_url(F.col("url"))).where("key IS NOT NULL")
         shared = keyed.where("source_id IS NOT NULL").select("source_id", "key").join(keyed.where("canonical_id IS NOT NULL").select("canonical_id", "key"), "key").select("source_id", "canonical_id", F.lit(True).alias("by_url"))
-        pairs = named.unionByName(shared).groupBy("source_id", "canonical_id").agg(F.bool_or("by_url").alias("by_url"))
-    both = pairs.join(observations.alias("l"), "source_id").join(records.alias("r"), "canonical_id")
-    scored = both.select("source_id", "canonical_id", "by_url", identity_quality(F.col("l.name"), F.col("r.name")).alias("quality"), match_score().alias("score"), F.abs(F.datediff("l.day", "r.day")).alias("gap"), F.coalesce(F.col("l.country") == F.col("r.country"), F.lit(True)).alias("country_fits"))
-    stage = F.when(F.col("by_url") & F.col("country_fits") & (F.col("quality") >= STAGES[0][1]), 0).when((F.coalesce("gap", F.lit(0)) <= 14) & (F.col("score") >= STAGES[1][1]), 1).when(F.col("score") >= STAGES[2][1], 2)
-    best = scored.withColumn("stage", stage).where("stage IS NOT NULL").withColumn("nth", F.row_number().over(Window.partitionBy("source_id").orderBy("stage", F.desc("score"), "canonical_id"))).where("nth = 1")
-    return best.select("source_id", "canonical_id", F.element_at(F.array(*[F.lit(s) for s, _ in STAGES]), F.col("stage") + 1).alias("match_type"), F.col("score").cast("long").alias("score"))
+        pairs = pairs.unionByName(shared).groupBy("source_id", "canonical_id").agg(F.bool_or("by_url").alias("by_url"))
+    both = pairs.join(observations.alias("l"), "source_id").join(records.alias("r"), "canonical_id").withColumn("quality", identity_quality(F.col("l.name"), F.col("r.name")))
+    nameless = F.coalesce(match_text(F.col("l.name")), F.lit("")) == ""
+    url_bonus = F.when(F.col("by_url") & (F.col("quality") >= URL_QUALITY), BY_URL).otherwise(0)
+    scored = both.select("source_id", "canonical_id", "by_url", "quality", nameless.alias("nameless"), (match_score(F.col("quality")) + url_bonus).alias("score"), match_score(F.col("quality"), abroad=True).alias("wide"))
+    stage = F.when(F.col("nameless") & F.col("by_url"), 0).when(F.col("score") >= LEAST, F.when(F.col("by_url"), 0).otherwise(1)).when(F.col("wide") >= LEAST_ABROAD, 2)
+    value = F.when(F.col("nameless"), 100).when(F.col("stage") < 2, F.col("score")).otherwise(F.col("wide"))
+    placed = scored.withColumn("stage", stage).where("stage IS NOT NULL").withColumn("value", value)
+    best = placed.groupBy("source_id").agg(F.min(F.struct((F.col("stage") == 2).alias("late"), (-F.col("value")).alias("less"), "canonical_id", "stage")).alias("b"))
+    return best.select("source_id", F.col("b.canonical_id").alias("canonical_id"), F.element_at(F.array(F.lit("url_exact"), F.lit("name_date"), F.lit("exact_identity_same_event")), F.col("b.stage") + 1).alias("match_type"), (-F.col("b.less")).cast("long").alias("score"))
 
 
 def seed_records(observations: DataFrame, matched: DataFrame) -> DataFrame:

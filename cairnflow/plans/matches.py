@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import graph, matching, merging, quality
+from ..operators import campaigns, graph, matching, merging, quality
 from ..operators.aggregate import breakdown
 from ..session import read
 from ..sources.shared import grows, keep
@@ -57,14 +57,14 @@ def hash_dedup(spark, sf_dir):
 @query(
     "name_token_jaccard",
     r"""
-    WITH w AS (SELECT p_partkey AS id, p_brand, list_sort(list_distinct(list_filter(string_split(trim(regexp_replace(lower(p_name || ' ' || p_type), '[^a-z0-9]+', ' ', 'g')), ' '), lambda x: length(x) > 1))) AS t FROM part WHERE p_size <= 10)
+    WITH w AS (SELECT p_partkey AS id, p_brand, list_sort(list_distinct(list_filter(string_split(trim(regexp_replace(lower(p_name || ' ' || p_type), '[^a-z0-9]+', ' ', 'g')), ' '), lambda x: length(x) > 1))) AS t FROM part)
     SELECT x.id AS a, y.id AS b, round(len(list_intersect(x.t, y.t)) / len(list_distinct(list_concat(x.t, y.t))), 6) AS jaccard FROM w x JOIN w y ON x.p_brand = y.p_brand AND x.id < y.id
     WHERE round(len(list_intersect(x.t, y.t)) / len(list_distinct(list_concat(x.t, y.t))), 6) >= 0.6
     """,
 )
 def name_token_jaccard(spark, sf_dir):
-    """Small parts of one brand whose name and type share most words."""
-    parts = read(spark, sf_dir, "part").where("p_size <= 10").withColumn("label", F.concat_ws(" ", "p_name", "p_type"))
+    """Parts of one brand whose name and type share most words."""
+    parts = read(spark, sf_dir, "part").withColumn("label", F.concat_ws(" ", "p_name", "p_type"))
     return matching.token_pairs(parts, "p_partkey", "label", ["p_brand"], 0.6)
 
 
@@ -77,46 +77,45 @@ def name_match(spark, sf_dir):
 @query(
     "candidate_edges",
     """
-    WITH p AS (SELECT o_orderkey AS id, o_orderdate::DATE AS d, l_partkey AS part, l_suppkey AS supp FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_quantity >= 45),
-    s AS (SELECT DISTINCT id, d, 'part' AS kind, CAST(part AS VARCHAR) AS v FROM p UNION SELECT DISTINCT id, d, 'supp', CAST(supp AS VARCHAR) FROM p),
-    e AS (SELECT x.id AS a, y.id AS b, min(abs(x.d - y.d)) AS gap_days, string_agg(DISTINCT x.kind, '|' ORDER BY x.kind) AS shared FROM s x JOIN s y ON x.kind = y.kind AND x.v = y.v AND x.id < y.id GROUP BY 1, 2),
-    g AS (SELECT a, b, gap_days, shared, round(CAST(CASE WHEN contains(shared, 'part') THEN 0.4 ELSE 0 END + CASE WHEN contains(shared, 'supp') THEN 0.3 ELSE 0 END
-          + CASE WHEN gap_days <= 3 THEN 0.25 WHEN gap_days <= 14 THEN 0.2 WHEN gap_days <= 45 THEN 0.15 WHEN gap_days <= 120 THEN 0.08 ELSE 0 END AS DOUBLE), 4) AS score FROM e)
-    SELECT a, b, score, shared, gap_days FROM g WHERE score >= 0.55
+    WITH p AS (SELECT DISTINCT o_orderkey AS id, o_orderdate::DATE AS d, l_partkey AS part FROM orders JOIN lineitem ON l_orderkey = o_orderkey),
+    e AS (SELECT x.id AS a, y.id AS b, min(abs(x.d - y.d)) AS gap_days FROM p x JOIN p y ON x.part = y.part AND x.id < y.id AND abs(x.d - y.d) <= 120 GROUP BY 1, 2)
+    SELECT a, b, round(0.45::DOUBLE + CASE WHEN gap_days <= 14 THEN 0.25 WHEN gap_days <= 45 THEN 0.2 ELSE 0.15 END, 3) AS confidence, 'shared_vendor_or_platform' AS reasons, gap_days FROM e
     """,
 )
 def candidate_edges(spark, sf_dir):
-    """Edges by shared signals and nearness in time; only pairs that share a signal are scored."""
-    lines = read(spark, sf_dir, "lineitem").where("l_quantity >= 45").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supp"))
-    rows = lines.join(read(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day")), "o_orderkey")
-    return graph.edge_scores(rows, "o_orderkey", {"part": 0.4, "supp": 0.3}, "day", [(3, 0.25), (14, 0.2), (45, 0.15), (120, 0.08)], 0.55).withColumn("gap_days", F.col("gap_days").cast("long"))
+    """Edges between orders that share a part within the days a shared platform allows; every line takes part."""
+    parts = read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_set(F.col("l_partkey").cast("string")).alias("platforms"))  # an order's lines
+    rows = read(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day")).join(parts, "o_orderkey")
+    return campaigns.campaign_edges(rows, "o_orderkey").withColumn("gap_days", F.col("gap_days").cast("long"))
 
 
 @query(
     "components",
     """
-    WITH RECURSIVE e AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS p FROM lineitem WHERE l_quantity >= 49),
-    n AS (SELECT DISTINCT x.o AS a, y.o AS b FROM e x JOIN e y ON x.p = y.p),
+    WITH RECURSIVE e AS (SELECT o_orderkey AS o, 'c' || o_custkey || '-' || year(o_orderdate) || '-' || quarter(o_orderdate) AS k FROM orders
+                         UNION SELECT l_orderkey, 'p' || l_partkey || '-' || strftime(l_shipdate, '%Y-%m-%d') FROM lineitem),
+    n AS (SELECT DISTINCT x.o AS a, y.o AS b FROM e x JOIN e y ON x.k = y.k),
     r(a, b) AS (SELECT a, b FROM n UNION SELECT r.a, n.b FROM r JOIN n ON r.b = n.a)
     SELECT a AS node, min(b) AS label FROM r GROUP BY a HAVING count(*) > 1
     """,
 )
 def components(spark, sf_dir):
-    """Orders linked by large lines of one part; each part is a chain to its first order."""
-    rows = read(spark, sf_dir, "lineitem").where("l_quantity >= 49").select(F.col("l_orderkey").alias("node"), F.col("l_partkey").alias("part")).distinct()
-    return graph.connected_components(graph.chain_edges(rows, "node", "part"))
+    """Orders linked by a customer's quarter or by a part's ship day; each such key is a chain to its first order."""
+    quarters = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("node"), F.concat_ws("-", F.concat(F.lit("c"), "o_custkey"), F.year("o_orderdate"), F.quarter("o_orderdate")).alias("key"))
+    days = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("node"), F.concat_ws("-", F.concat(F.lit("p"), "l_partkey"), F.to_date("l_shipdate")).alias("key"))
+    return graph.connected_components(graph.chain_edges(quarters.unionByName(days).distinct(), "node", "key"))
 
 
 @query(
     "cooccurrence_network",
     """
-    WITH s AS (SELECT DISTINCT n_name AS node, l_partkey AS signal FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE l_quantity >= 45)
+    WITH s AS (SELECT DISTINCT n_name AS node, l_partkey AS signal FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
     SELECT x.node AS a, y.node AS b, count(*) AS weight FROM s x JOIN s y ON x.signal = y.signal AND x.node < y.node GROUP BY 1, 2 HAVING count(*) >= 2
     """,
 )
 def cooccurrence_network(spark, sf_dir):
     """Nations linked by the parts they share."""
-    lines = read(spark, sf_dir, "lineitem").where("l_quantity >= 45").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
+    lines = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
     orders = read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
     return graph.co_occurrence(lines.join(orders, "o_orderkey").join(_customers(spark, sf_dir), "c_custkey"), "n_name", "l_partkey", 2)
 

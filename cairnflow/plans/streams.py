@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..sources.shared import new_path
 from ..streaming import events as ev
 from .catalog import query
 
@@ -11,7 +12,7 @@ from .catalog import query
 @query("stream_tumbling", "SELECT time_bucket(INTERVAL 1 DAY, ts)::TIMESTAMP AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
 def stream_tumbling(spark, sf_dir):
     days = ev.tumbling(ev.event_stream(spark, sf_dir, "events", "ts"), "ts", "1 day", ["event_type"], "7 days")
-    return ev.drain(days, "complete", "tumbling").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    return ev.drain(days, "update", "tumbling", ["window_start", "event_type"]).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 @query(
@@ -22,7 +23,7 @@ def stream_tumbling(spark, sf_dir):
 )
 def stream_sliding(spark, sf_dir):
     weeks = ev.sliding(ev.event_stream(spark, sf_dir, "events", "ts"), "ts", "7 days", "1 day", "14 days")
-    return ev.drain(weeks, "complete", "sliding").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    return ev.drain(weeks, "update", "sliding", ["window_start"]).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 @query(
@@ -34,8 +35,12 @@ def stream_sliding(spark, sf_dir):
     """,
 )
 def stream_sessions(spark, sf_dir):
-    runs = ev.sessions(ev.event_stream(spark, sf_dir, "events", "ts"), "ts", "6 hours", "user_id", "7 days")
-    return ev.drain(runs, "complete", "sessions").withColumn("session_start", F.col("session_start").cast("timestamp_ntz"))
+    """Appended as the watermark passes them; the rest in a second run from the same checkpoint, once the stream is closed."""
+    closing, out, checkpoint = (new_path(spark, f"sessions-{x}") for x in ("closing", "table", "checkpoint"))
+    runs = ev.sessions(ev.event_stream(spark, sf_dir, "events", "ts", closing=closing), "ts", "6 hours", "user_id", "7 days")
+    ev.run(runs, "append", out, checkpoint)
+    ev.close(spark, sf_dir, "events", "ts", closing)
+    return ev.run(runs, "append", out, checkpoint).withColumn("session_start", F.col("session_start").cast("timestamp_ntz"))
 
 
 @query("stream_dedup", "SELECT event_id, event_type, user_id FROM events")

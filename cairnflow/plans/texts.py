@@ -12,7 +12,7 @@ URL_SQL = r"""
   SELECT page_id, url, lower(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) AS scheme,
          regexp_replace(lower(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)', 1)), '^www\.', '') AS host,
          regexp_replace(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)', 1), '/+$', '') AS path,
-         array_to_string(list_filter(string_split(regexp_extract(u, '\?(.*)$', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_source|utm_medium|utm_campaign|utm_term|utm_content|ref|fbclid|gclid)(=|$)')), '&') AS asked
+         array_to_string(list_filter(string_split(regexp_extract(u, '\?(.*)$', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(p, '^(?i:utm_source|utm_medium|utm_campaign|utm_content|utm_term|ref|source|via|fbclid|gclid|mc_cid|mc_eid|_ga|_gl|ncid|ocid|sr_share|social)(=|$)')), '&') AS asked
   FROM (SELECT page_id, url, regexp_replace(trim(url), '#.*$', '') AS u FROM pages)
 """
 

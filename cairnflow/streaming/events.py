@@ -10,35 +10,69 @@ from pyspark.sql import functions as F
 from ..sources.shared import new_path
 
 
-def event_stream(spark: SparkSession, folder: str, name: str, time: str, files_a_trigger: int | None = None) -> DataFrame:
-    """A file stream of ``name``.parquet in ``folder``; ``time`` becomes a timestamp, as watermarks ask for."""
+def event_stream(spark: SparkSession, folder: str, name: str, time: str, files_a_trigger: int | None = None, closing: str | None = None) -> DataFrame:
+    """A file stream of ``name``.parquet in ``folder``; ``time`` becomes a timestamp, as watermarks ask for.
+
+    ``closing`` is a second folder of the same schema: what ``close`` lands there ends the stream.
+    """
     schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
     if files_a_trigger:
         reader = reader.option("maxFilesPerTrigger", files_a_trigger)
-    return reader.parquet(folder).withColumn(time, F.col(time).cast("timestamp"))
+    rows = reader.parquet(folder)
+    if closing:
+        spark.createDataFrame([], schema).write.mode("append").parquet(closing)  # the folder is there before its first row
+        rows = rows.unionByName(spark.readStream.schema(schema).parquet(closing))
+    return rows.withColumn(time, F.col(time).cast("timestamp"))
+
+
+def close(spark: SparkSession, folder: str, name: str, time: str, closing: str, day: str = "9999-01-01") -> None:
+    """Land a row of nulls at the end of time: the next run's watermark passes every window."""
+    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
+    spark.range(1).select(*[(F.lit(day) if f.name == time else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]).write.mode("append").parquet(closing)
 
 
-def drain(stream: DataFrame, mode: str, label: str) -> DataFrame:
-    """Run a stream over what has landed, and read the table it leaves in the shared folder.
+def _epochs(spark: SparkSession, base: str) -> list[int]:
+    """The finished batches of a folder, by their numbers."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    done = [s.getPath() for s in files.listStatus(path) if s.getPath().getName().isdigit()]
+    return sorted(int(p.getName()) for p in done if files.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
 
-    In append mode every batch adds rows once; in complete mode each batch is a new version
-    and the last one counts.
+
+def run(stream: DataFrame, mode: str, out: str, checkpoint: str, keys: list[str] | None = None) -> DataFrame:
+    """Run a stream over what has landed since its checkpoint, and read the table that it leaves in ``out``.
+
+    In append mode every batch adds rows once. In update mode each batch writes the rows that
+    changed under its number, and of each of ``keys`` the row of the last batch counts; a
+    batch that is run again overwrites its own rows alone.
     """
-    spark, out, checkpoint = stream.sparkSession, new_path(stream.sparkSession, label), new_path(stream.sparkSession, f"{label}-checkpoint")
+    spark = stream.sparkSession
     if mode == "append":
-        query = stream.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out)
-        query.awaitTermination()
+        stream.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out).awaitTermination()
         return spark.read.schema(stream.schema).parquet(out)
-    seen: list[int] = []
 
-    def version(batch: DataFrame, epoch: int) -> None:
+    def changed(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/{epoch}")
-        seen.append(epoch)
 
-    query = stream.writeStream.outputMode(mode).foreachBatch(version).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{out}/{max(seen)}") if seen else spark.createDataFrame([], stream.schema)
+    stream.writeStream.outputMode("update").foreachBatch(changed).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    rows = None
+    for epoch in _epochs(spark, out):
+        own = spark.read.schema(stream.schema).parquet(f"{out}/{epoch}").withColumn("__epoch", F.lit(epoch))
+        rows = own if rows is None else rows.unionByName(own)
+    if rows is None:
+        return spark.createDataFrame([], stream.schema)
+    values = [c for c in stream.columns if c not in keys]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "__epoch").alias("__last"))
+    return last.select(*keys, *[F.col(f"__last.{c}").alias(c) for c in values]).select(stream.columns)
+
+
+def drain(stream: DataFrame, mode: str, label: str, keys: list[str] | None = None) -> DataFrame:
+    """``run`` with a fresh table and checkpoint in the shared folder."""
+    spark = stream.sparkSession
+    return run(stream, mode, new_path(spark, label), new_path(spark, f"{label}-checkpoint"), keys)
 
 
 def tumbling(stream: DataFrame, time: str, width: str, by: list[str], late: str) -> DataFrame:
@@ -60,18 +94,24 @@ def first_seen(stream: DataFrame, time: str, keys: list[str], late: str) -> Data
     return stream.withWatermark(time, late).dropDuplicatesWithinWatermark(keys)
 
 
-def merge_into(stream: DataFrame, label: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame]) -> DataFrame:
+def merge_into(stream: DataFrame, label: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame], out: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Merge every batch into the current table: the stateful ingest step.
 
-    ``merge`` gets the current table (None at first) and the batch. A version is written
-    before it becomes current, so a failed batch leaves the last one whole.
+    ``merge`` gets the current table (None at first) and the batch. Version N is made of the
+    last finished version before N and batch N, and older ones are dropped once it stands, so
+    a failed or repeated batch leaves the table whole. With ``out`` and ``checkpoint`` named,
+    a later run goes on where the last one ended.
     """
-    spark, base, checkpoint = stream.sparkSession, new_path(stream.sparkSession, label), new_path(stream.sparkSession, f"{label}-checkpoint")
-    current: dict[str, DataFrame] = {}
+    spark = stream.sparkSession
+    base, checkpoint = out or new_path(spark, label), checkpoint or new_path(spark, f"{label}-checkpoint")
 
     def step(batch: DataFrame, epoch: int) -> None:
-        merge(current.get("table"), batch).write.mode("overwrite").parquet(f"{base}/{epoch}")
-        current["table"] = spark.read.parquet(f"{base}/{epoch}")
+        before = [e for e in _epochs(spark, base) if e < epoch]
+        current = spark.read.parquet(f"{base}/{before[-1]}") if before else None
+        merge(current, batch).write.mode("overwrite").parquet(f"{base}/{epoch}")
+        for old in before[:-1]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{old}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
     stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    return current["table"]
+    return spark.read.parquet(f"{base}/{_epochs(spark, base)[-1]}")

@@ -20,7 +20,7 @@ def day_of(spark, text):
 
 @pytest.mark.parametrize(
     ("text", "expected"),
-    [("Three days ago the", D(2024, 5, 12)), ("it began 2 weeks ago", D(2024, 5, 1)), ("a month ago", D(2024, 4, 15)), ("on Monday staff", D(2024, 5, 13)), ("last Wednesday", D(2024, 5, 8)), ("yesterday", D(2024, 5, 14)), ("today", ANCHOR), ("last year", D(2023, 5, 15)), ("no date", None), (None, None)],
+    [("Three days ago the", D(2024, 5, 12)), ("it began 2 weeks ago", D(2024, 5, 1)), ("one month ago", D(2024, 4, 15)), ("on Monday staff", None), ("past Monday", D(2024, 5, 13)), ("last Wednesday", D(2024, 5, 8)), ("yesterday", D(2024, 5, 14)), ("twelve weeks ago", D(2024, 2, 21)), ("last year", D(2023, 1, 1)), ("earlier this month", D(2024, 5, 1)), ("0 days ago", None), ("no date", None), (None, None)],
 )
 def test_relative_dates(spark, text, expected):
     assert day_of(spark, text) == expected
@@ -71,7 +71,7 @@ def test_resolution(spark):
     urls = spark.createDataFrame([(3, None, "http://www.a.org/p/"), (None, 100, "http://a.org/p?ref=1")], "source_id long, canonical_id long, url string")
     observations = spark.createDataFrame(seen, OBSERVED)
     got = {r.source_id: (r.canonical_id, r.match_type) for r in resolution.find_existing(observations, records, urls).collect()}
-    assert got == {1: (100, "name_date"), 3: (100, "url")}
+    assert got == {1: (100, "name_date"), 3: (100, "url_exact")}
     fresh = resolution.seed_records(observations, resolution.find_existing(observations, records, urls)).collect()
     assert sorted(r.first_source for r in fresh) == [2, 4, 5]
     members = spark.createDataFrame([(100, 1, 5.0), (100, 3, 5.0), (101, 9, None)], "canonical_id long, source_id long, score double")
@@ -105,17 +105,20 @@ def test_campaigns(spark):
     base = D(2024, 1, 1)
     rows = [(k, ["moveit"], ["cve-x"] if k < 3 else [], base + datetime.timedelta(days=k), 1 + k % 2) for k in range(5)] + [(9, ["moveit"], [], base + datetime.timedelta(days=900), 1), (10, ["other"], [], base, 1)]
     found = spark.createDataFrame(rows, "id long, platforms array<string>, cves array<string>, day date, items int")
-    candidates, members = campaigns.campaigns(found, "id", ["platforms", "cves"])
+    edges = campaigns.campaign_edges(found, "id")
+    candidates, members = campaigns.campaigns(found, "id", ["platforms", "cves"], edges)
     by = {r.value: r for r in candidates.collect()}
     assert set(by) == {"moveit", "cve-x"} and by["moveit"].members == 5 and by["moveit"].year == 2024
     assert 9 not in {r.member for r in members.collect()}
-    again, _ = campaigns.campaigns(found, "id", ["platforms", "cves"])
+    again, _ = campaigns.campaigns(found, "id", ["platforms", "cves"], edges)
     assert {r.campaign_id for r in again.collect()} == {r.campaign_id for r in candidates.collect()}
     tied = {r.campaign_id: r.family for r in campaigns.families(members).collect()}
     assert len(set(tied.values())) == 1
     assert campaigns.review_packets(candidates, members).count() == 2 and campaigns.signatures(candidates).count() == 2
-    edges = campaigns.signal_edges(found, "id", {"platforms": 0.35, "cves": 0.4}).collect()
-    assert {(r.a, r.b) for r in edges} >= {(0, 1), (0, 4)} and all(9 not in (r.a, r.b) for r in edges)
+    scored = {(r.a, r.b): (r.confidence, r.reasons) for r in edges.collect()}
+    assert scored[0, 1] == (1.0, "shared_cve|shared_vendor_or_platform") and scored[0, 4] == (0.7, "shared_vendor_or_platform") and all(9 not in p for p in scored)
+    undated = spark.createDataFrame([(1, ["v"], ["a"], None), (2, ["v"], ["a"], base)], "id long, vendors array<string>, hashes array<string>, day date")
+    assert [tuple(r) for r in campaigns.campaign_edges(undated, "id").collect()] == [(1, 2, 1.0, "same_selected_article_content|shared_vendor_name", None)]
     kept = campaigns.consensus(found, members.select("campaign_id", "member"), ["campaign_id"], "id", "cves").collect()
     assert {r.cves_consensus for r in kept} == {"cve-x"}
     stored = spark.createDataFrame([("gone", "candidate"), ("kept", "reviewed")], "campaign_id string, status string")

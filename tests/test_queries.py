@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import difflib
 import glob
 import math
 import os
+import re
 
 import duckdb
 import pytest
@@ -29,11 +31,33 @@ def plain(value):
     return value
 
 
+def names_by_hand(sql):
+    """All pairs of suppliers of one nation, compared as they are."""
+    rows = [(k, n, re.sub("[^a-z0-9]+", " ", name.lower()).strip()) for k, n, name in sql.execute("SELECT s_suppkey, s_nationkey, s_name FROM supplier").fetchall()]
+    out = []
+    for a, an, at in rows:
+        for b, bn, bt in rows:
+            if a < b and an == bn:
+                aw, bw = ({w for w in t.split() if len(w) > 1} for t in (at, bt))
+                few, many = sorted((len(aw), len(bw)))
+                alike = lambda x, y: difflib.SequenceMatcher(None, x, y).ratio()
+                ratio = 100 * max(alike(at, bt), alike(" ".join(sorted(at.split())), " ".join(sorted(bt.split()))))
+                route = "equal" if at == bt else "words" if aw == bw else "subset" if len(aw & bw) == few >= 2 and few / many >= 0.7 else "alike" if ratio >= 93 else None
+                if route:
+                    out.append((a, b, route))
+    return sorted(out, key=repr)
+
+
+BRUTE = {"name_match": names_by_hand}
+
+
 @pytest.mark.parametrize("name", sorted(CATALOG.PLANS))
 def test_query_equals_sql(spark, sql, name):
     df = CATALOG.PLANS[name](spark, FOLDER)
     rows = sorted((tuple(plain(r[c]) for c in sorted(df.columns)) for r in df.collect()), key=repr)
     if name not in CATALOG.SQL:
+        assert name in BRUTE, "a query without SQL needs a brute-force version"
+        assert rows == BRUTE[name](sql)
         return
     found = sql.execute(CATALOG.SQL[name])
     names = [d[0] for d in found.description]
