@@ -128,10 +128,10 @@ def quotes(c: Column, term: str, most: int = 3, length: int = 360) -> Column:
 
 
 def volume_gb(c: Column) -> Column:
-    """The first data volume that a text names, in GB."""
-    amount = F.regexp_extract(c, r"(?i)(\d+(?:\.\d+)?)\s*(TB|GB|MB)\b", 1).try_cast("double")
-    unit = F.upper(F.regexp_extract(c, r"(?i)(\d+(?:\.\d+)?)\s*(TB|GB|MB)\b", 2))
-    return F.when(unit == "TB", amount * 1024).when(unit == "GB", amount).when(unit == "MB", amount / 1024)
+    """The first data volume that a text names, in GB: gigabytes before terabytes before 100 megabytes and more."""
+    of = lambda unit, word: F.replace(F.regexp_extract(c, rf"(?i)(\d+(?:[.,]\d+)?)\s*(?:{unit}|{word})", 1), F.lit(","), F.lit(".")).try_cast("double")
+    small = of("MB", "megabyte")
+    return F.coalesce(of("GB", "gigabyte"), of("TB", "terabyte") * 1024, F.when(small >= 100, small / 1024))
 
 
 def short_hash(prefix: Column, *parts: Column, size: int = 16) -> Column:

@@ -53,11 +53,11 @@ def profile(df: DataFrame, key: str, day: str, sets: list[str]) -> DataFrame:
 
 
 def summary(df: DataFrame, by: list[str], value: str, digits: int = 6) -> DataFrame:
-    """count, mean, p50, p90, p95, min and max of a value, zeros where a group has none."""
-    p = F.percentile(value, F.array(F.lit(0.5), F.lit(0.9), F.lit(0.95)))
+    """count, mean, p50, p90, p95, p99, min and max of a value, zeros where a group has none."""
+    p = F.percentile(value, F.array(F.lit(0.5), F.lit(0.9), F.lit(0.95), F.lit(0.99)))
     out = df.groupBy(*by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), p.alias("p"), F.min(value).alias("low"), F.max(value).alias("high"))
     zero = lambda c: F.round(F.coalesce(c, F.lit(0.0)), digits)
-    return out.select(*by, "n", zero(F.col("mean")).alias("mean"), zero(F.col("p")[0]).alias("p50"), zero(F.col("p")[1]).alias("p90"), zero(F.col("p")[2]).alias("p95"), zero(F.col("low")).alias("low"), zero(F.col("high")).alias("high"))
+    return out.select(*by, "n", zero(F.col("mean")).alias("mean"), zero(F.col("p")[0]).alias("p50"), zero(F.col("p")[1]).alias("p90"), zero(F.col("p")[2]).alias("p95"), zero(F.col("p")[3]).alias("p99"), zero(F.col("low")).alias("low"), zero(F.col("high")).alias("high"))
 
 
 def matrix(df: DataFrame, row: str, column: str, rows: int, columns: int) -> DataFrame:

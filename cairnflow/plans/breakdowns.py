@@ -251,7 +251,7 @@ def actor_profile(spark, sf_dir):
     "latency_summary",
     """
     SELECT event_type, count(value) AS n, round(coalesce(avg(value), 0), 6) AS mean, round(coalesce(quantile_cont(value, 0.5), 0), 6) AS p50,
-           round(coalesce(quantile_cont(value, 0.9), 0), 6) AS p90, round(coalesce(quantile_cont(value, 0.95), 0), 6) AS p95,
+           round(coalesce(quantile_cont(value, 0.9), 0), 6) AS p90, round(coalesce(quantile_cont(value, 0.95), 0), 6) AS p95, round(coalesce(quantile_cont(value, 0.99), 0), 6) AS p99,
            round(coalesce(min(value), 0), 6) AS low, round(coalesce(max(value), 0), 6) AS high FROM events GROUP BY 1
     """,
 )

@@ -51,6 +51,14 @@ def stix_objects(lists: DataFrame) -> DataFrame:
     return lists.select(name.alias("id"), F.to_json(F.struct(kind.alias("type"), F.lit("2.1").alias("spec_version"), name.alias("id"), F.col("key").alias("name"))).alias("json"))
 
 
+def stix_relationships(pairs: DataFrame, kind: str, a_list: str, b_list: str) -> DataFrame:
+    """Rows (id, json): one STIX 2.1 relationship for each pair (a, b) of keys of two lists."""
+    ends = [stix_objects(pairs.select(F.lit(name).alias("list"), F.col(c).alias("key")).distinct()).select("id", F.get_json_object("json", "$.name").alias(c)).withColumnRenamed("id", f"{c}_id") for c, name in (("a", a_list), ("b", b_list))]
+    tied = pairs.select("a", "b").distinct().join(ends[0], "a").join(ends[1], "b")
+    name = F.concat(F.lit("relationship--"), _uuid(F.sha1(F.concat_ws(":", "a_id", F.lit(kind), "b_id"))))
+    return tied.select(name.alias("id"), F.to_json(F.struct(F.lit("relationship").alias("type"), F.lit("2.1").alias("spec_version"), name.alias("id"), F.lit(kind).alias("relationship_type"), F.col("a_id").alias("source_ref"), F.col("b_id").alias("target_ref"))).alias("json"))
+
+
 def prometheus(metrics: DataFrame) -> DataFrame:
     """Lines of metric text from (name, label, value)."""
     return metrics.select(F.format_string('%s{source="%s"} %s', "name", "label", F.col("value").cast("string")).alias("value"))
