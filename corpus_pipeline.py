@@ -20,11 +20,13 @@ from cairnflow.llm.mixing import mix
 
 #: Documents whose language scores less are rejected, like those without one; texts of two languages stay.
 LEAST_SCORE = 0.35
-_ROW = "__row"
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    return numbered(docs, _ROW)
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    while name in docs.columns:
+        name += "_"
+    return name
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,25 +37,28 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the longest original stays."""
-    rows = _numbered(docs)
-    copies = exact_dedup(rows, row_id=_ROW).where(~F.col("kept")).select(F.col("row_id").alias(_ROW))
-    return rows.join(grows(copies), _ROW, "left_anti").select(docs.columns)
+    row = _free(docs, "__row")
+    rows = numbered(docs, row)
+    copies = exact_dedup(rows, row_id=row).where(~F.col("kept")).select(F.col("row_id").alias(row))
+    return rows.join(grows(copies), row, "left_anti").select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near copies the smallest doc_id stays."""
-    rows = _numbered(docs)
-    linked = jaccard_components(rows, row_id=_ROW).where(F.col("component").isNotNull())
+    row = _free(docs, "__row")
+    rows = numbered(docs, row)
+    linked = jaccard_components(rows, row_id=row).where(F.col("component").isNotNull())
     groups = keep(linked.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id")).alias("first"), F.count("*").alias("n")).where("n > 1").select("component", F.col("first.row_id").alias("stays")), "near-groups")
-    copies = linked.join(grows(groups), "component").where("row_id <> stays").select(F.col("row_id").alias(_ROW))
-    return rows.join(grows(copies), _ROW, "left_anti").select(docs.columns)
+    copies = linked.join(grows(groups), "component").where("row_id <> stays").select(F.col("row_id").alias(row))
+    return rows.join(grows(copies), row, "left_anti").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mixture takes, each as often as it takes it."""
-    rows = _numbered(docs)
-    taken = mix(rows, row_id=_ROW).where("taken > 0").select(F.col("row_id").alias(_ROW), (F.col("taken") / F.col("size")).cast("int").alias("__times"))
-    return rows.join(grows(taken), _ROW).withColumn("__nth", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(docs.columns)
+    row, times = _free(docs, "__row"), _free(docs, "__times")
+    rows = numbered(docs, row)
+    taken = mix(rows, row_id=row).where("taken > 0").select(F.col("row_id").alias(row), (F.col("taken") / F.col("size")).cast("int").alias(times))
+    return rows.join(grows(taken), row).withColumn(_free(rows, "__nth"), F.explode(F.sequence(F.lit(1), F.col(times)))).select(docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
