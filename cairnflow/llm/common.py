@@ -38,13 +38,14 @@ def numbered(docs: DataFrame, name: str) -> DataFrame:
     It is made of the file's number and the row's place in the file, so it does not depend on
     how a scan is split among the cores of the moment. Other frames are written first.
     """
+    file, at, nth = (f"{x}{len(docs.columns)}_{name}" for x in ("__file", "__at", "__nth"))
     try:
-        placed = docs.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__at"))
+        placed = docs.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(at))
     except AnalysisException:
         return numbered(keep(docs, "numbered"), name)
-    paths = sorted(r["__file"] for r in docs.select(F.col("_metadata.file_path").alias("__file")).distinct().collect())
-    files = docs.sparkSession.createDataFrame(list(enumerate(paths)), "__nth long, __file string")
-    return placed.join(F.broadcast(files), "__file").withColumn(name, F.shiftleft("__nth", 40) + F.col("__at")).select(*docs.columns, name)
+    paths = sorted(r[file] for r in docs.select(F.col("_metadata.file_path").alias(file)).distinct().collect())
+    files = docs.sparkSession.createDataFrame(list(enumerate(paths)), f"`{nth}` long, `{file}` string")  # a row for each file
+    return placed.join(F.broadcast(files), file).withColumn(name, F.shiftleft(nth, 40) + F.col(at)).select(*docs.columns, name)
 
 
 def bounded_sample(df: DataFrame, draw: Column, rows: int) -> DataFrame:

@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
 from cairnflow.llm import langid
+from cairnflow.llm.common import numbered
 from cairnflow.llm.mixing import targets
 
 EN, FR = "the and of that with from this have were been into over", "le les une dans pour avec mais vous elle nous sur par"
@@ -35,7 +36,7 @@ def folder(spark, tmp_path_factory):
 
 def test_run_against_plain_stages(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
-    model = langid.fit_language_model(docs.where(~langid.held_out()))
+    model = langid.fit_language_model(langid.learnable(docs))
     kept = [r for r in langid.label_languages(docs, model).collect() if r.lang_pred != "und" and r.score >= cp.LEAST_SCORE]
     by_text = defaultdict(list)
     for r in kept:
@@ -82,7 +83,7 @@ def test_rows_keep_their_numbers_when_scans_are_split_otherwise(spark, tmp_path)
             spark.conf.set("spark.sql.files.maxPartitionBytes", size)
             spark.conf.set("spark.sql.files.openCostInBytes", "1")
             spark.conf.set("spark.sql.leafNodeDefaultParallelism", "1")
-            seen.append({r["__row"]: r.doc_id for r in cp._numbered(docs).collect()})
+            seen.append({r["__row"]: r.doc_id for r in numbered(docs, "__row").collect()})
         assert seen[0] == seen[1] and len(seen[0]) == 80
         spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
         for stage in (cp.drop_copies, cp.drop_near_copies):
@@ -95,5 +96,18 @@ def test_rows_keep_their_numbers_when_scans_are_split_otherwise(spark, tmp_path)
     finally:
         for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.leafNodeDefaultParallelism"):
             spark.conf.unset(name)
-    plain = cp._numbered(spark.createDataFrame(rows, docs.schema)).collect()
+    plain = numbered(spark.createDataFrame(rows, docs.schema), "__row").collect()
     assert len({r["__row"] for r in plain}) == 80
+
+
+def test_users_columns_and_long_texts_pass(spark, folder):
+    """Columns named like those that stages make for themselves keep their values; a text of 60,000 words goes through."""
+    long = " ".join(f"the{k}" for k in range(60_000))
+    made = spark.createDataFrame([(k, f"{EN} {EN} word{k} and so on", "en", "s0", 9, f"r{k}", f"n{k}", f"t{k}") for k in range(6)] + [(9, long, "en", "s1", 9, "r9", "n9", "t9")], "doc_id long, text string, lang string, source string, n_chars long, __row string, __nth string, __times string")
+    made.write.mode("overwrite").parquet(f"{folder}/clash.parquet")
+    docs = spark.read.parquet(f"{folder}/clash.parquet")
+    for name, stage in cp.STAGES[1:4]:
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns, name
+        assert all((r["__row"], r["__nth"], r["__times"]) == (f"r{r.doc_id}", f"n{r.doc_id}", f"t{r.doc_id}") for r in out.collect()), name
+    assert any(r.doc_id == 9 and r.n_tokens > 60_000 for r in cp.STAGES[4][1](spark, docs, folder).collect())
