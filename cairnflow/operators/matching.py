@@ -62,16 +62,25 @@ def _alike_blocks(own: DataFrame, letters: Column, block: list[str], ratio: floa
     return met.where((F.col("a") < F.col("b")) & (2 * F.least("an", "bn") >= r * (F.col("an") + F.col("bn")) - 1e-6)).select("a", "b")
 
 
+def _rarest(own: DataFrame, block: list[str], least: float) -> DataFrame:
+    """Rows (node, block, n, word) of each node's rarest words in its block, all but ``least`` of them: two that share so much of either share one of these."""
+    terms = own.select("node", *block, F.size("words").alias("n"), F.explode("words").alias("word"))
+    ranked = terms.join(terms.groupBy(*block, "word").agg(F.count("*").alias("rows")), [*block, "word"]).withColumn("nth", F.row_number().over(Window.partitionBy("node").orderBy("rows", "word")))
+    return ranked.where(F.col("nth") <= F.col("n") - F.ceil(F.col("n") * least - 1e-5) + 1).select("node", *block, "n", "word")
+
+
 def name_pairs(df: DataFrame, node: str, name: str, block: list[str], stop: tuple[str, ...] = (), ratio: float = 85.0, coverage: float = 0.7) -> DataFrame:
     """Pairs (a, b, route) of one block whose names match.
 
     Routes, the first that holds: equal text, equal words, the words of one (two or more)
     among the other's and covering ``coverage`` of them, letters at least ``ratio``
-    alike, with the words as they stand or sorted. Compared are names that share a word, and those whose letters may be so much alike.
+    alike, with the words as they stand or sorted. Compared are names that meet over the
+    rarest words of both, all but the part that must be shared, and those whose letters may
+    be so much alike; a word that most names hold makes no pairs.
     """
     own = df.select(F.col(node).alias("node"), *block, match_text(F.col(name)).alias("text"), core_tokens(F.col(name), stop).alias("words")).where(F.size("words") > 0)
-    terms = own.select("node", *block, F.explode("words").alias("word"))
-    worded = terms.withColumnRenamed("node", "a").join(terms.withColumnRenamed("node", "b"), [*block, "word"]).where("a < b").select("a", "b")
+    rare = _rarest(own.select("node", *block, "words"), block, coverage).select("node", *block, "word")
+    worded = rare.withColumnRenamed("node", "a").join(rare.withColumnRenamed("node", "b"), [*block, "word"]).where("a < b").select("a", "b")
     in_order = F.array_join(F.array_sort(F.split("text", " ")), " ")
     pairs = worded.unionByName(_alike_blocks(own, F.col("text"), block, ratio)).unionByName(_alike_blocks(own, in_order, block, ratio)).distinct()
     both = pairs.join(own.select(F.col("node").alias("a"), F.col("text").alias("at"), F.col("words").alias("aw")), "a").join(own.select(F.col("node").alias("b"), F.col("text").alias("bt"), F.col("words").alias("bw")), "b")
@@ -89,9 +98,7 @@ def token_pairs(df: DataFrame, node: str, text: str, block: list[str], least: fl
     Alike names share ``least`` of either's words, so they meet over the rarest words of both, all but that part.
     """
     own = df.select(F.col(node).alias("node"), *block, core_tokens(F.col(text)).alias("words"))
-    terms = own.select("node", *block, F.size("words").alias("n"), F.explode("words").alias("word"))
-    ranked = terms.join(terms.groupBy(*block, "word").agg(F.count("*").alias("rows")), [*block, "word"]).withColumn("nth", F.row_number().over(Window.partitionBy("node").orderBy("rows", "word")))
-    rare = ranked.where(F.col("nth") <= F.col("n") - F.ceil(F.col("n") * least - 1e-5) + 1).select("node", *block, "word", "n")
+    rare = _rarest(own, block, least)
     met = rare.withColumnsRenamed({"node": "a", "n": "an"}).join(rare.withColumnsRenamed({"node": "b", "n": "bn"}), [*block, "word"]).where((F.col("a") < F.col("b")) & (F.least("an", "bn") >= F.greatest("an", "bn") * least - 1e-5))
     sides = [own.select(F.col("node").alias(x), F.col("words").alias(f"{x}w")) for x in ("a", "b")]
     both = met.select("a", "b").distinct().join(sides[0], "a").join(sides[1], "b")
