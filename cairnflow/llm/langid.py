@@ -5,8 +5,8 @@ lexicon, all hashed into one weight table; learned transitions tie neighbours, s
 code-switched text are labelled by forward-backward. A document's language is the one of
 the largest mean marginal.
 
-The field is fitted on a bounded sample: spans of SPAN_WORDS words from SPANS places of at
-most DOCS_PER_LANG documents of each language. Spans of different languages are laid end
+The field is fitted on a bounded sample: spans of SPAN_WORDS words from SPANS places of about
+DOCS_PER_LANG documents of each language at most. Spans of different languages are laid end
 to end, so the transitions see switches. All documents are labelled whole.
 """
 
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -185,11 +185,11 @@ def _spans(seed: int):
 
 
 def fit_language_model(df: DataFrame, text: str = "text", lang: str = "lang", seed: int = 5) -> dict | None:
-    """The field's weights from labelled rows; None where no row has both a language and a letter."""
+    """The field's weights from labelled rows, about DOCS_PER_LANG of a language by a hash of their texts; None where no row has both a language and a letter."""
     session_of(df)
     rows = df.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(F.lit(seed), F.col(text)).alias("draw"))
-    lowest = rows.select("lang", "draw").distinct().withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("draw"))).where(F.col("nth") <= DOCS_PER_LANG)
-    edges = lowest.groupBy("lang").agg(F.max("draw").alias("edge")).collect()  # a row for each language
+    counts = rows.groupBy("lang").count().collect()  # a row for each language
+    edges = [(r.lang, -(1 << 63) + min((1 << 64) - 1, (1 << 64) * DOCS_PER_LANG // r["count"])) for r in counts]
     by_lang = df.sparkSession.createDataFrame(edges, "lang string, edge long")
     # The scan itself picks the sample: no other text is moved.
     chosen = rows.join(F.broadcast(by_lang) if len(edges) <= FEW_LANGS else grows(by_lang), "lang").where(F.col("draw") <= F.col("edge"))
