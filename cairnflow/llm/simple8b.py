@@ -36,23 +36,28 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     most = ahead[:, :BLOCK_IDS].copy()  # the widest of the next ids
     chosen_at = np.zeros((rows, BLOCK_IDS), dtype=np.uint8)
     seen = 1
-    for s, (count, bits) in enumerate(LAYOUTS, 1):
+    for count, bits in LAYOUTS:
         for k in range(seen, count):
             np.maximum(most, ahead[:, k : k + BLOCK_IDS], out=most)
         seen = count
         fits = most <= bits
         if not fits.any():
             break
-        chosen_at[fits] = s
+        chosen_at += fits  # what fits a layout fits those before it
     selector = chosen_at.reshape(-1)[:n]
     at = np.arange(n)
     left = np.minimum(n, (at // BLOCK_IDS + 1) * BLOCK_IDS) - at  # ids to the end of the block
     taken = np.minimum(np.array([1, *(c for c, _ in LAYOUTS)])[selector], left)
-    starts, i, step = [], 0, taken.tolist()
-    while i < n:
-        starts.append(i)
-        i += step[i]
-    starts = np.array(starts, dtype=np.int64)
+    begins = np.zeros(n, dtype=bool)
+    now = np.arange(0, n, BLOCK_IDS)
+    ends = np.minimum(n, now + BLOCK_IDS)
+    while len(now):  # all blocks side by side, a word each
+        begins[now] = True
+        now = now + taken[now]
+        going = now < ends
+        if not going.all():
+            now, ends = now[going], ends[going]
+    starts = np.flatnonzero(begins)
     chosen = selector[starts]
     words = chosen.astype(np.uint64) << np.uint64(60)
     padded = np.append(ids, np.zeros(60, dtype=np.uint64))

@@ -12,6 +12,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from string import punctuation
 
 import numpy as np
 import public_tokenizers
@@ -27,7 +28,7 @@ from .simple8b import read_segment, write_segment
 
 #: Ids after which a segment is closed, and chunks of text that a worker remembers.
 SEGMENT_IDS = 1 << 20
-REMEMBER = 350_000
+REMEMBER = 700_000
 #: Up to here (Latin, Greek, Cyrillic) all Unicode versions agree on what a letter is.
 LAST_STABLE = "\u052f"
 #: Bytes that a byte-level vocabulary spells as themselves (fixed values).
@@ -67,19 +68,21 @@ class _Ids(dict):
     def direct(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.older.get(chunk)
+    def __missing__(self, key: str) -> bytes:
+        """The ids of a chunk: ``key`` after a space, or if it starts with a zero byte, the rest alone."""
+        ids = self.older.get(key)
         if ids is None:
-            word = chunk.rstrip(".,;:!?")
-            if word[1:].isalpha() and (word[0] == " " or word[0].isalpha()) and max(word) <= LAST_STABLE:
-                if len(word) < len(chunk):
-                    ids = self[word] + self[chunk[len(word) :]]
+            word = key.rstrip(punctuation)
+            letters = word[1:] if key[:1] == "\0" else word
+            if letters.isalpha() and (letters.isascii() or max(letters) <= LAST_STABLE):
+                if len(word) < len(key):  # marks are parted from the word before them
+                    ids = self[word] + self["\0" + key[len(word) :]]
                 else:
-                    spelled = word.replace(" ", self.space) if word.isascii() else word.encode().decode("latin-1").translate(self.spelled)
-                    ids = array("I", [t.id for t in self.merge(spelled)]).tobytes()
+                    spelled = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self.spelled)
+                    ids = array("I", [t.id for t in self.merge(spelled if letters is not word else self.space + spelled)]).tobytes()
             else:
-                ids = self.direct(chunk)
-        self[chunk] = ids
+                ids = self.direct(key[1:] if key[:1] == "\0" else " " + key)
+        self[key] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
@@ -87,9 +90,11 @@ class _Ids(dict):
         if any(s in text for s in self.special):
             return self.direct(text)  # the library looks for these in whole texts
         if any(s in text for s in _ODD_SPACES) or text[-1:] == " " or (not text.isascii() and _WIDE_SPACE(text)):
-            own = _BEFORE_WORD(text)
+            own = [c[1:] if c[:1] == " " and c[1:2].strip() and c[1] != "\0" else "\0" + c for c in _BEFORE_WORD(text)]
         else:
-            own = text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
+            own = ("\0" + text.replace("\n", " \0\n \0")).split(" ")
+            if own[0] == "\0":
+                own = own[1:]  # the text starts with a space
         if len(self) > self.remember:
             self.older = dict(self)
             self.clear()
