@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import dates, infer, vocab
+from ..functions import dates, identity, infer, vocab
 from ..operators import campaigns, resolution
 from ..session import read
 from ..sources.shared import keep
@@ -201,3 +201,33 @@ def country_dim(spark, sf_dir):
     names = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     rows = read(spark, sf_dir, "customer").join(names, "c_nationkey").select("c_custkey", F.when(F.col("c_custkey") % 2 == 0, F.lower("n_name")).otherwise(F.col("c_nationkey").cast("string")).alias("place"))
     return vocab.with_country(rows, "place", countries).select("c_custkey", "country", "country_code", "region")
+
+
+#: A label, a second one and a url, with what the rules make of them, in the columns' order below.
+RULES = (
+    ("LockBit 3.0", "Lock Bit", "https://news.google.com/rss/articles/x?y", "LockBit 3.0", False, "LockBit 3.0", "LockBit 3.0", False, "LockBit 3.0 | Lock Bit", True),
+    ("lockbit-black", "", "http://www.news.google.com/articles/1", "LockBit 3.0", False, "lockbit-black", "lockbit-black", False, "lockbit-black", True),
+    ("lockbit green", "lockbit green", "https://news.google.com/topics/1", "LockBit 2.0", False, "lockbit green", "lockbit green", False, "lockbit green", False),
+    ("LockBit", None, "https://a.org/articles/1", "LockBit", False, "LockBit", "LockBit", False, "LockBit", False),
+    ("Unnamed university", "Lake College", "nonsense", None, True, "Lake College", "Unnamed university", False, "Unnamed university | Lake College", False),
+    ("several schools", "France", None, None, True, "several schools", "several schools", False, "several schools | France", False),
+    ("Matthew D. Lane", "Lane", "", None, False, "Matthew D. Lane", "Matthew Lane", False, "Matthew D. Lane | Lane", False),
+    ("Hacker Group", "unknown", "https://news.google.com/read/1", None, False, "Hacker Group", "Hacker Group", True, "Hacker Group | unknown", True),
+    ("unknown", "Akira Group", "ftp://x", None, False, "Akira Group", "unknown", True, "unknown | Akira Group", False),
+)
+
+
+def _sql(x) -> str:
+    return "NULL" if x is None else str(x).upper() if isinstance(x, bool) else "'" + x.replace("'", "''") + "'"
+
+
+@query("identity_rules", f"SELECT event_id, v.family, v.generic_label, v.better, v.person, v.generic_actor, v.notes, v.wrapper, TRUE AS education, 'src' AS prefix FROM events JOIN (VALUES {', '.join(f'({k}, ' + ', '.join(map(_sql, r[3:])) + ')' for k, r in enumerate(RULES))}) AS v(k, family, generic_label, better, person, generic_actor, notes, wrapper) ON event_id % {len(RULES)} = v.k")
+def identity_rules(spark, sf_dir):
+    """The rules on labels, a set of them given to every event."""
+    of = lambda nth: F.element_at(F.array(*[F.lit(r[nth]).cast("string") for r in RULES]), (F.col("event_id") % len(RULES) + 1).cast("int"))
+    label, other, places = of(0), of(1), ("France",)
+    return read(spark, sf_dir, "events").select(
+        "event_id", identity.lockbit_family(label).alias("family"), identity.is_generic_label(label, places).alias("generic_label"), identity.better_name(label, other, places).alias("better"), identity.person_name(label).alias("person"),
+        identity.is_generic_actor(label, ("akira",), ("hacker", "group", "hackers")).alias("generic_actor"), identity.merged_notes(label, other).alias("notes"), identity.is_wrapper_url(of(2)).alias("wrapper"),
+        identity.has_education_category(F.array(F.lit("News"), F.lit("Education Sector"))).alias("education"), identity.source_prefix(F.lit("src_12")).alias("prefix"),
+    )

@@ -53,13 +53,27 @@ def stream_dedup(spark, sf_dir):
 
 @query("stream_merge", "SELECT user_id, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts, count(DISTINCT event_type) AS kinds FROM events GROUP BY 1")
 def stream_merge(spark, sf_dir):
-    """A table kept up to date batch by batch from mergeable states."""
+    """Counts kept up to date from mergeable states: a batch adds its own, and reading merges them."""
 
-    def merge(current, batch):
-        state = batch.groupBy("user_id", "event_type").agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
-        both = state if current is None else current.unionByName(state)
-        return both.groupBy("user_id", "event_type").agg(F.sum("n").alias("n"), F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
+    def state(batch):
+        return batch.groupBy("user_id", "event_type").agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
 
-    table = ev.merge_into(ev.event_stream(spark, sf_dir, "events", "ts", 1), "merged", merge)
+    parts = ev.states(ev.event_stream(spark, sf_dir, "events", "ts", 1), "merged", state)
+    table = parts.groupBy("user_id", "event_type").agg(F.sum("n").alias("n"), F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
     out = table.groupBy("user_id").agg(F.sum("n").alias("n"), F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"), F.count("*").alias("kinds"))
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first_ts", "last_ts")})
+
+
+@query("stream_upsert", "SELECT user_id, count(*) AS n, max(ts) AS last_ts FROM events GROUP BY 1")
+def stream_upsert(spark, sf_dir):
+    """A keyed table that every batch is merged into; the second run finds its checkpoint and adds nothing."""
+
+    def merge(current, batch):
+        fresh = batch.groupBy("user_id").agg(F.count("*").alias("n"), F.max("ts").alias("last_ts"))
+        both = fresh if current is None else current.unionByName(fresh)
+        return both.groupBy("user_id").agg(F.sum("n").alias("n"), F.max("last_ts").alias("last_ts"))
+
+    out, checkpoint = new_path(spark, "upserts"), new_path(spark, "upserts-checkpoint")
+    for _ in range(2):
+        table = ev.merge_into(ev.event_stream(spark, sf_dir, "events", "ts", 1), "upserts", merge, out, checkpoint)
+    return table.withColumn("last_ts", F.col("last_ts").cast("timestamp_ntz"))

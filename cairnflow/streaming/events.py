@@ -94,6 +94,18 @@ def first_seen(stream: DataFrame, time: str, keys: list[str], late: str) -> Data
     return stream.withWatermark(time, late).dropDuplicatesWithinWatermark(keys)
 
 
+def states(stream: DataFrame, label: str, state: Callable[[DataFrame], DataFrame], out: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """The partial states of all batches, to be merged by whoever reads them.
+
+    Each batch writes its own state under its number and reads no other, so nothing is
+    written again; with ``out`` and ``checkpoint`` named, a later run adds to them.
+    """
+    spark = stream.sparkSession
+    base, checkpoint = out or new_path(spark, label), checkpoint or new_path(spark, f"{label}-checkpoint")
+    stream.writeStream.foreachBatch(lambda batch, epoch: state(batch).write.mode("overwrite").parquet(f"{base}/{epoch}")).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(*[f"{base}/{epoch}" for epoch in _epochs(spark, base)])
+
+
 def merge_into(stream: DataFrame, label: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame], out: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Merge every batch into the current table: the stateful ingest step.
 
