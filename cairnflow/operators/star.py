@@ -60,3 +60,20 @@ def indicators(documents: DataFrame, key: str, path: str = "iocs", json: str = "
     """Rows (key, kind, value) of indicators that are of a known kind."""
     found = F.from_json(F.get_json_object(json, f"$.{path}"), "array<string>")
     return documents.select(key, F.explode(found).alias("value")).select(key, indicator_kind(F.col("value")).alias("kind"), F.trim("value").alias("value")).where("kind IS NOT NULL").distinct()
+
+
+def weaknesses(documents: DataFrame, key: str, texts: list[str]) -> DataFrame:
+    """Rows (key, cwe) of the weakness ids that texts name, without leading zeros."""
+    found = F.regexp_extract_all(F.concat_ws(" ", *texts), F.lit(r"(?i)\bCWE-0*([1-9]\d{0,4})\b"), F.lit(1))
+    return documents.select(key, F.explode(F.array_distinct(found)).alias("n")).select(key, F.concat(F.lit("CWE-"), "n").alias("cwe"))
+
+
+def readiness(documents: DataFrame, key: str, tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows (table, missing, orphans, ready): per table of the layer the documents without a row and the keys without a document."""
+    rows = None
+    for name, table in tables.items():
+        own = table.select(F.col(key).alias("k"), F.lit(1).alias("here")).distinct()
+        both = documents.select(F.col(key).alias("k"), F.lit(1).alias("known")).distinct().join(own, "k", "full")
+        one = both.agg(F.count_if(F.col("here").isNull()).alias("missing"), F.count_if(F.col("known").isNull()).alias("orphans")).select(F.lit(name).alias("table"), "missing", "orphans", ((F.col("missing") == 0) & (F.col("orphans") == 0)).alias("ready"))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows

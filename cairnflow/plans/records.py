@@ -214,3 +214,31 @@ def source_cursors(spark, sf_dir):
     rest = cursors.after(docs, seen, "source", "doc_id")
     now = cursors.advanced(seen, rest, "source", "doc_id")
     return rest.groupBy("source").agg(F.count("*").alias("behind")).join(now, "source").select("source", "behind", "marker")
+
+
+@query("star_weaknesses", "SELECT o_orderkey, 'CWE-' || (o_orderkey % 900 + 1) AS cwe FROM orders UNION SELECT o_orderkey, 'CWE-79' FROM orders")
+def star_weaknesses(spark, sf_dir):
+    texts = read(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("by CWE-"), (F.col("o_orderkey") % 900 + 1).cast("string"), F.lit(" and cwe-0079, not CWE-0")).alias("notes"))
+    return star.weaknesses(texts, "o_orderkey", ["notes"])
+
+
+@query(
+    "star_ready",
+    """
+    SELECT 'lines' AS "table", (SELECT count(*) FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)) AS missing, (SELECT count(DISTINCT l_orderkey) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)) AS orphans,
+    NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)) AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)) AS ready
+    UNION ALL SELECT 'facts', 0, 0, TRUE
+    """,
+)
+def star_ready(spark, sf_dir):
+    """Whether the layer holds every order: its facts do, its lines need not."""
+    orders = read(spark, sf_dir, "orders").select("o_orderkey")
+    lines = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return star.readiness(orders, "o_orderkey", {"lines": lines, "facts": star.flaws(_documents(spark, sf_dir), "o_orderkey", ["notes"])})
+
+
+@query("primary_articles", "SELECT o_custkey, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) = 1")
+def primary_articles(spark, sf_dir):
+    """What is left when all but the primary members go."""
+    rows = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return resolution.primary_members(rows, "o_custkey", "o_totalprice", "o_orderkey").where("is_primary").select("o_custkey", "o_orderkey")
