@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import grows, keep
+
 
 def breakdown(df: DataFrame, key: str | Column, weight: str | None = None, limit: int | None = None, digits: int = 4) -> DataFrame:
     """Rows (label, n, pct) by ``key``; ``weight`` holds counts made earlier.
@@ -52,12 +54,50 @@ def profile(df: DataFrame, key: str, day: str, sets: list[str]) -> DataFrame:
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"), F.min(day).alias("first_seen"), F.max(day).alias("last_seen"), *joined)
 
 
+#: Groups up to which their bounds are broadcast; more are merged by key.
+FEW_GROUPS = 100_000
+
+
+def same_keys(keys: list[str], left: str, right: str) -> Column:
+    """Equal keys on both sides, nulls included."""
+    out = F.lit(True)
+    for k in keys:
+        out = out & F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}"))
+    return out
+
+
+def percentiles(df: DataFrame, by: list[str], value: str, shares: dict[str, float], accuracy: int = 10_000) -> DataFrame:
+    """Per group exact interpolated percentiles, a column for each of ``shares``; groups without values are left out.
+
+    A sketch of fixed size bounds each percentile to a narrow window of values. One more pass
+    counts what lies below it and each distinct value inside, so no task holds a group.
+    """
+    own = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("v"))
+    slack = 2.0 / accuracy
+    windows = [F.percentile_approx("v", F.array(F.lit(max(0.0, p - slack)), F.lit(min(1.0, p + slack))), F.lit(accuracy)).alias(f"w{k}") for k, p in enumerate(shares.values())]
+    every = F.array(F.lit(float("-inf")), F.lit(float("inf")))  # of groups so small that a window spans no two ranks
+    bounds = own.groupBy(*by).agg(F.count("*").alias("n"), *windows)
+    bounds = keep(bounds.withColumns({f"w{k}": F.when(F.col("n") <= accuracy, every).otherwise(F.col(f"w{k}")) for k in range(len(shares))}), "bounds")
+    side = F.broadcast(bounds) if bounds.count() <= FEW_GROUPS else grows(bounds)
+    at = own.alias("l").join(side.alias("r"), same_keys(by, "l", "r")).select(*[F.col(f"l.{c}").alias(c) for c in by], "v", "n", *[f"w{k}" for k in range(len(shares))])
+    cells = F.array(*[F.when(F.col("v") <= F.col(f"w{k}")[1], F.struct(F.lit(k).alias("k"), F.when(F.col("v") >= F.col(f"w{k}")[0], F.col("v")).alias("v"))) for k in range(len(shares))])
+    counted = at.select(*by, "n", F.explode(F.array_compact(cells)).alias("c")).groupBy(*by, "n", F.col("c.k").alias("k"), F.col("c.v").alias("v")).agg(F.count("*").alias("rows"))
+    end = F.sum("rows").over(Window.partitionBy(*by, "k").orderBy(F.asc_nulls_first("v")).rowsBetween(Window.unboundedPreceding, 0))
+    share = F.element_at(F.array(*[F.lit(p) for p in shares.values()]), F.col("k") + 1)
+    placed = counted.withColumn("end", end).withColumn("place", share * (F.col("n") - 1))
+    at_rank = lambda rank: F.max(F.when((F.col("end") - F.col("rows") <= rank) & (rank < F.col("end")), F.col("v")))
+    found = placed.groupBy(*by, "k").agg(at_rank(F.floor("place")).alias("low"), at_rank(F.ceil("place")).alias("high"), F.max(F.col("place") - F.floor("place")).alias("part"))
+    exact = found.withColumn("value", F.col("low") + (F.col("high") - F.col("low")) * F.col("part"))
+    return exact.groupBy(*by).agg(*[F.max(F.when(F.col("k") == k, F.col("value"))).alias(name) for k, name in enumerate(shares)])
+
+
 def summary(df: DataFrame, by: list[str], value: str, digits: int = 6) -> DataFrame:
     """count, mean, p50, p90, p95, p99, min and max of a value, zeros where a group has none."""
-    p = F.percentile(value, F.array(F.lit(0.5), F.lit(0.9), F.lit(0.95), F.lit(0.99)))
-    out = df.groupBy(*by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), p.alias("p"), F.min(value).alias("low"), F.max(value).alias("high"))
-    zero = lambda c: F.round(F.coalesce(c, F.lit(0.0)), digits)
-    return out.select(*by, "n", zero(F.col("mean")).alias("mean"), zero(F.col("p")[0]).alias("p50"), zero(F.col("p")[1]).alias("p90"), zero(F.col("p")[2]).alias("p95"), zero(F.col("p")[3]).alias("p99"), zero(F.col("low")).alias("low"), zero(F.col("high")).alias("high"))
+    shares = {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}
+    out = df.groupBy(*by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.min(value).alias("low"), F.max(value).alias("high"))
+    both = out.alias("a").join(grows(percentiles(df, by, value, shares)).alias("b"), same_keys(by, "a", "b"), "left").select("a.*", *shares)
+    zero = lambda c: F.round(F.coalesce(F.col(c), F.lit(0.0)), digits).alias(c)
+    return both.select(*by, "n", zero("mean"), *[zero(c) for c in shares], zero("low"), zero("high"))
 
 
 def matrix(df: DataFrame, row: str, column: str, rows: int, columns: int) -> DataFrame:

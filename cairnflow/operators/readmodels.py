@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import grows
+from .aggregate import percentiles, same_keys
 from .ranking import top_per_group
 
 
@@ -61,8 +63,10 @@ def lead_times(df: DataFrame, by: list[str], start: str, end: str) -> DataFrame:
     """Seconds from start to end by group: count, mean, median, 90th and 95th percentile; open ones left out."""
     seconds = (F.col(end).cast("timestamp").cast("double") - F.col(start).cast("timestamp").cast("double")).alias("s")
     rows = df.where(F.col(start).isNotNull() & F.col(end).isNotNull()).select(*by, seconds)
-    p = F.percentile("s", F.array(F.lit(0.5), F.lit(0.9), F.lit(0.95)))
-    return rows.groupBy(*by).agg(F.count("*").alias("n"), F.round(F.avg("s"), 4).alias("mean_s"), p.alias("p")).select(*by, "n", "mean_s", F.round(F.col("p")[0], 4).alias("p50_s"), F.round(F.col("p")[1], 4).alias("p90_s"), F.round(F.col("p")[2], 4).alias("p95_s"))
+    means = rows.groupBy(*by).agg(F.count("*").alias("n"), F.round(F.avg("s"), 4).alias("mean_s"))
+    found = percentiles(rows, by, "s", {"p50_s": 0.5, "p90_s": 0.9, "p95_s": 0.95})
+    both = means.alias("a").join(grows(found).alias("b"), same_keys(by, "a", "b"))
+    return both.select(*[F.col(f"a.{c}").alias(c) for c in by], "n", "mean_s", *[F.round(c, 4).alias(c) for c in ("p50_s", "p90_s", "p95_s")])
 
 
 def detail(parent: DataFrame, children: dict[str, tuple[DataFrame, list[str]]], key: str) -> DataFrame:

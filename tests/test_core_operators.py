@@ -169,3 +169,16 @@ def test_exports(spark, tmp_path):
     assert text == ['hits{source="web"} 3.0']
     bundle = export.stix_objects(spark.createDataFrame([("actor", "actor a")], "list string, key string")).first()
     assert bundle.id.startswith("threat-actor--") and '"name":"actor a"' in bundle.json
+
+
+def test_exact_percentiles(spark):
+    """Against numpy, with ties, one value, a null group and a group of nulls; windows of any width."""
+    rng = np.random.default_rng(5)
+    rows = [("a", float(x)) for x in rng.normal(size=3000)] + [("b", float(x)) for x in rng.integers(0, 4, 900)] + [("c", 7.0), (None, 1.0), (None, 2.0), ("d", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    shares = {"p10": 0.1, "p50": 0.5, "p99": 0.99, "p100": 1.0}
+    for accuracy in (10, 10_000):
+        got = {r.g: [r[c] for c in shares] for r in aggregate.percentiles(df, ["g"], "x", shares, accuracy).collect()}
+        assert set(got) == {"a", "b", "c", None}
+        for g in got:
+            assert np.allclose(got[g], np.percentile([x for k, x in rows if k == g], [10, 50, 99, 100]))
