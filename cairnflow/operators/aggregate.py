@@ -74,13 +74,13 @@ def percentiles(df: DataFrame, by: list[str], value: str, shares: dict[str, floa
     """
     own = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("v"))
     slack = 2.0 / accuracy
-    windows = [F.percentile_approx("v", F.array(F.lit(max(0.0, p - slack)), F.lit(min(1.0, p + slack))), F.lit(accuracy)).alias(f"w{k}") for k, p in enumerate(shares.values())]
-    every = F.array(F.lit(float("-inf")), F.lit(float("inf")))  # of groups so small that a window spans no two ranks
-    bounds = own.groupBy(*by).agg(F.count("*").alias("n"), *windows)
-    bounds = keep(bounds.withColumns({f"w{k}": F.when(F.col("n") <= accuracy, every).otherwise(F.col(f"w{k}")) for k in range(len(shares))}), "bounds")
+    ends = [F.lit(min(1.0, max(0.0, p + d))) for p in shares.values() for d in (-slack, slack)]
+    every = F.array(*[F.lit(float(x)) for _ in shares for x in ("-inf", "inf")])  # of groups so small that a window spans no two ranks
+    bounds = own.groupBy(*by).agg(F.count("*").alias("n"), F.percentile_approx("v", F.array(*ends), F.lit(accuracy)).alias("w"))
+    bounds = keep(bounds.withColumn("w", F.when(F.col("n") <= accuracy, every).otherwise(F.col("w"))), "bounds")
     side = F.broadcast(bounds) if bounds.count() <= FEW_GROUPS else grows(bounds)
-    at = own.alias("l").join(side.alias("r"), same_keys(by, "l", "r")).select(*[F.col(f"l.{c}").alias(c) for c in by], "v", "n", *[f"w{k}" for k in range(len(shares))])
-    cells = F.array(*[F.when(F.col("v") <= F.col(f"w{k}")[1], F.struct(F.lit(k).alias("k"), F.when(F.col("v") >= F.col(f"w{k}")[0], F.col("v")).alias("v"))) for k in range(len(shares))])
+    at = own.alias("l").join(side.alias("r"), same_keys(by, "l", "r")).select(*[F.col(f"l.{c}").alias(c) for c in by], "v", "n", "w")
+    cells = F.array(*[F.when(F.col("v") <= F.col("w")[2 * k + 1], F.struct(F.lit(k).alias("k"), F.when(F.col("v") >= F.col("w")[2 * k], F.col("v")).alias("v"))) for k in range(len(shares))])
     counted = at.select(*by, "n", F.explode(F.array_compact(cells)).alias("c")).groupBy(*by, "n", F.col("c.k").alias("k"), F.col("c.v").alias("v")).agg(F.count("*").alias("rows"))
     end = F.sum("rows").over(Window.partitionBy(*by, "k").orderBy(F.asc_nulls_first("v")).rowsBetween(Window.unboundedPreceding, 0))
     share = F.element_at(F.array(*[F.lit(p) for p in shares.values()]), F.col("k") + 1)
