@@ -72,23 +72,23 @@ def percentiles(df: DataFrame, by: list[str], value: str, shares: dict[str, floa
     A sketch of fixed size bounds each percentile to a narrow window of values. One more pass
     counts what lies below it and each distinct value inside, so no task holds a group.
     """
-    own = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("v"))
+    own = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("__v"))
     slack = 2.0 / accuracy
     ends = [F.lit(min(1.0, max(0.0, p + d))) for p in shares.values() for d in (-slack, slack)]
     every = F.array(*[F.lit(float(x)) for _ in shares for x in ("-inf", "inf")])  # of groups so small that a window spans no two ranks
-    bounds = own.groupBy(*by).agg(F.count("*").alias("n"), F.percentile_approx("v", F.array(*ends), F.lit(accuracy)).alias("w"))
-    bounds = keep(bounds.withColumn("w", F.when(F.col("n") <= accuracy, every).otherwise(F.col("w"))), "bounds")
+    bounds = own.groupBy(*by).agg(F.count("*").alias("__n"), F.percentile_approx("__v", F.array(*ends), F.lit(accuracy)).alias("__w"))
+    bounds = keep(bounds.withColumn("__w", F.when(F.col("__n") <= accuracy, every).otherwise(F.col("__w"))), "bounds")
     side = F.broadcast(bounds) if bounds.count() <= FEW_GROUPS else grows(bounds)
-    at = own.alias("l").join(side.alias("r"), same_keys(by, "l", "r")).select(*[F.col(f"l.{c}").alias(c) for c in by], "v", "n", "w")
-    cells = F.array(*[F.when(F.col("v") <= F.col("w")[2 * k + 1], F.struct(F.lit(k).alias("k"), F.when(F.col("v") >= F.col("w")[2 * k], F.col("v")).alias("v"))) for k in range(len(shares))])
-    counted = at.select(*by, "n", F.explode(F.array_compact(cells)).alias("c")).groupBy(*by, "n", F.col("c.k").alias("k"), F.col("c.v").alias("v")).agg(F.count("*").alias("rows"))
-    end = F.sum("rows").over(Window.partitionBy(*by, "k").orderBy(F.asc_nulls_first("v")).rowsBetween(Window.unboundedPreceding, 0))
-    share = F.element_at(F.array(*[F.lit(p) for p in shares.values()]), F.col("k") + 1)
-    placed = counted.withColumn("end", end).withColumn("place", share * (F.col("n") - 1))
-    at_rank = lambda rank: F.max(F.when((F.col("end") - F.col("rows") <= rank) & (rank < F.col("end")), F.col("v")))
-    found = placed.groupBy(*by, "k").agg(at_rank(F.floor("place")).alias("low"), at_rank(F.ceil("place")).alias("high"), F.max(F.col("place") - F.floor("place")).alias("part"))
-    exact = found.withColumn("value", F.col("low") + (F.col("high") - F.col("low")) * F.col("part"))
-    return exact.groupBy(*by).agg(*[F.max(F.when(F.col("k") == k, F.col("value"))).alias(name) for k, name in enumerate(shares)])
+    at = own.alias("l").join(side.alias("r"), same_keys(by, "l", "r")).select(*[F.col(f"l.{c}").alias(c) for c in by], "__v", "__n", "__w")
+    cells = F.array(*[F.when(F.col("__v") <= F.col("__w")[2 * k + 1], F.struct(F.lit(k).alias("__k"), F.when(F.col("__v") >= F.col("__w")[2 * k], F.col("__v")).alias("__v"))) for k in range(len(shares))])
+    counted = at.select(*by, "__n", F.explode(F.array_compact(cells)).alias("__c")).groupBy(*by, "__n", F.col("__c.__k").alias("__k"), F.col("__c.__v").alias("__v")).agg(F.count("*").alias("__rows"))
+    end = F.sum("__rows").over(Window.partitionBy(*by, "__k").orderBy(F.asc_nulls_first("__v")).rowsBetween(Window.unboundedPreceding, 0))
+    share = F.element_at(F.array(*[F.lit(p) for p in shares.values()]), F.col("__k") + 1)
+    placed = counted.withColumn("__end", end).withColumn("__place", share * (F.col("__n") - 1))
+    at_rank = lambda rank: F.max(F.when((F.col("__end") - F.col("__rows") <= rank) & (rank < F.col("__end")), F.col("__v")))
+    found = placed.groupBy(*by, "__k").agg(at_rank(F.floor("__place")).alias("__low"), at_rank(F.ceil("__place")).alias("__high"), F.max(F.col("__place") - F.floor("__place")).alias("__part"))
+    exact = found.withColumn("__value", F.col("__low") + (F.col("__high") - F.col("__low")) * F.col("__part"))
+    return exact.groupBy(*by).agg(*[F.max(F.when(F.col("__k") == k, F.col("__value"))).alias(name) for k, name in enumerate(shares)])
 
 
 def summary(df: DataFrame, by: list[str], value: str, digits: int = 6) -> DataFrame:
