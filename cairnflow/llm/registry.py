@@ -6,7 +6,7 @@ import importlib
 
 PLANS: dict = {}
 SQL: dict = {}
-MODULES = ("exact_dedup", "token_output", "bpe", "mixing", "langid", "jaccard_join", "ann", "url_filter", "pii", "toxicity", "collocations", "byte_bpe")
+MODULES = ("exact_dedup", "token_output", "bpe", "mixing", "langid", "jaccard_join", "ann", "url_filter", "pii", "toxicity", "collocations", "byte_bpe", "hard_negatives")
 
 
 def query(name: str, sql: str | None = None):
