@@ -39,6 +39,7 @@ STATES, CHECKS = 200_000, 1_000_000
 OBJECTS = 160
 _FINAL, _WAYS = -1, -2
 _NOTHING = -1  # the token before the first
+_NEVER = 1 << 60  # the rank of what is no token
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -49,12 +50,16 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The merges themselves on a short piece: the leftmost pair of the lowest rank, until there is none."""
-    parts = [piece[k : k + 1] for k in range(len(piece))]
-    while len(parts) > 1:
-        rank, at = min((ranks.get(a + b, 1 << 60), k) for k, (a, b) in enumerate(zip(parts, parts[1:], strict=False)))
-        if rank == 1 << 60:
-            break
+    parts, get = [piece[k : k + 1] for k in range(len(piece))], ranks.get
+    pairs = [get(piece[k : k + 2], _NEVER) for k in range(len(piece) - 1)]
+    while pairs and (lowest := min(pairs)) < _NEVER:
+        at = pairs.index(lowest)
         parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        del pairs[at]
+        if at < len(pairs):
+            pairs[at] = get(parts[at] + parts[at + 1], _NEVER)
+        if at:
+            pairs[at - 1] = get(parts[at - 1] + parts[at], _NEVER)
     return [ranks[p] for p in parts]
 
 

@@ -4,9 +4,8 @@ Card numbers (Luhn), IPv4 addresses, calendar dates, telephone and social securi
 and the local parts of e-mail addresses are found, validated, and replaced by another value
 of the same format. The permutation depends on the key and the kind alone, so equal values
 stay equal in all documents, whatever separators they are written with, and different ones
-stay different; the holder of the key can turn it back. Where digit groups can be read as a
-card in more than one way and the pseudonym would change which reading is found, the values
-there are permuted again: they can be turned back, but may differ from their pseudonyms elsewhere.
+stay different. The places of what was replaced are part of the result: with them the holder
+of the key turns pseudonyms back, however the digits around them could be read.
 """
 
 from __future__ import annotations
@@ -32,9 +31,9 @@ REMEMBER = 100_000
 BLOCK = 48
 #: Groups that cards are printed in, besides a single one; such readings go before others.
 PRINTED = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4)}
-#: Permutations tried until digit groups are read as before; each fails about once in ten.
-TRIES = 64
-#: Dates of these years are permuted among themselves: up to the 12th day of a month, and after it.
+#: First digits of issued cards, lowest and highest, and their lengths; such readings go before the rest.
+ISSUED = (("4", "4", (13, 16, 19)), ("51", "55", (16,)), ("2221", "2720", (16,)), ("34", "34", (15,)), ("37", "37", (15,)), ("300", "305", (14,)), ("36", "36", (14,)), ("38", "39", (14,)), ("6011", "6011", (16, 19)), ("644", "659", (16, 19)), ("3528", "3589", (16, 19)))
+#: Dates of these years are permuted among themselves, and all others among themselves; so are days that may stand in a month's place, and later ones.
 YEARS = range(1900, 2100)
 LAST_EITHER_WAY = 12
 
@@ -43,12 +42,12 @@ class Feistel:
     """Permutations of numbers below a bound, chosen by a key and a kind."""
 
     def __init__(self, key: bytes):
-        self.key = key
+        self.key = hashlib.blake2b(key).digest()  # a key of any length counts whole
 
     def _round(self, kind: str, size: int, k: int, half: int) -> int:
         of = lambda n: n.to_bytes(n.bit_length() // 8 + 1, "little")
         data = b"|".join((kind.encode(), of(size), bytes([k]), of(half)))
-        return int.from_bytes(hashlib.blake2b(data, key=self.key[:64], digest_size=16).digest(), "little")
+        return int.from_bytes(hashlib.blake2b(data, key=self.key, digest_size=16).digest(), "little")
 
     def _once(self, kind: str, size: int, a: int, b: int, value: int, back: bool) -> int:
         left, right = divmod(value, b)
@@ -61,12 +60,12 @@ class Feistel:
                 left = (left + sign * self._round(kind, size, k, right)) % a
         return left * b + right
 
-    def permute(self, kind: str, size: int, value: int, back: bool = False) -> int:
-        """Another number below ``size``; one to one. Cycle walking leaves the square that holds it."""
+    def permute(self, kind: str, size: int, value: int, back: bool = False, allowed: Callable[[int], bool] | None = None) -> int:
+        """Another number below ``size``, among the ``allowed`` if the value is; one to one. Cycle walking leaves what is none."""
         b = math.isqrt(size - 1) + 1
         while True:
             value = self._once(kind, size, b, b, value, back)
-            if value < size:
+            if value < size and (allowed is None or allowed(value)):
                 return value
 
 
@@ -89,11 +88,12 @@ def _digits(value: str) -> str:
     return "".join(c for c in value if c.isdigit())
 
 
-def _days() -> tuple[list[int], list[int]]:
-    """The days of YEARS that may stand in a month's place, and the others."""
-    every = range(datetime.date(YEARS[0], 1, 1).toordinal(), datetime.date(YEARS[-1], 12, 31).toordinal() + 1)
-    late = [datetime.date.fromordinal(n).day > LAST_EITHER_WAY for n in every]
-    return [n for n, x in zip(every, late, strict=True) if not x], [n for n, x in zip(every, late, strict=True) if x]
+def _is_date(year: int, month: int, day: int) -> bool:
+    try:
+        datetime.date(year, month, day)
+    except ValueError:
+        return False
+    return True
 
 
 class Pseudonyms:
@@ -111,10 +111,11 @@ class Pseudonyms:
     EMAIL = r"[A-Za-z0-9._%+-]+(?=@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
 
     def __init__(self, key: bytes, back: bool = False):
-        self.feistel, self.back, self.days = Feistel(key), back, _days()
+        self.feistel, self.back = Feistel(key), back
         self.numbers = re.compile(r"(?<![\w.-])(?:" + "|".join(f"(?P<{k}>{p})" for k, p in self.PATTERNS) + ")", re.ASCII)
         self.group = re.compile(r"\d+", re.ASCII)
         self.email = re.compile(r"(?<![A-Za-z0-9._%+-])" + self.EMAIL)
+        self.written = re.compile(r"\d{3}([.-])\d{3}\1\d{4}", re.ASCII).fullmatch
         self.known: dict[tuple[str, str], str | None] = {}
 
     def _permute(self, kind: str, digits: str) -> str:
@@ -128,21 +129,27 @@ class Pseudonyms:
         n = self.feistel.permute("ip", 1 << 32, int.from_bytes(bytes(map(int, parts)), "big"), self.back)
         return ".".join(map(str, n.to_bytes(4, "big")))
 
-    def _date(self, year: int, month: int, day: int) -> datetime.date | None:
-        """A date of these years; days that could be months stay so, so that no form of a date is read in another way after."""
-        try:
-            number = datetime.date(year, month, day).toordinal()
-        except ValueError:
+    def _date(self, year: int, month: int, day: int) -> tuple[int, int, int] | None:
+        """Another date; days that could be months stay so, so that no form of a date is read in another way after."""
+        if not _is_date(year, month, day):
             return None
-        if year not in YEARS:
-            return None
-        days = self.days[day > LAST_EITHER_WAY]
-        at = bisect.bisect_left(days, number)
-        return datetime.date.fromordinal(days[self.feistel.permute(f"date{day > LAST_EITHER_WAY}", len(days), at, self.back)])
+        usual, late = year in YEARS, day > LAST_EITHER_WAY
+        first, days = (LAST_EITHER_WAY + 1, 31 - LAST_EITHER_WAY) if late else (1, LAST_EITHER_WAY)
+        years = len(YEARS) if usual else datetime.MAXYEAR - len(YEARS)
+        nth = year - YEARS[0] if usual else year - 1 - (len(YEARS) if year > YEARS[-1] else 0)
+
+        def of(n: int) -> tuple[int, int, int]:
+            n, d = divmod(n, days)
+            y, m = divmod(n, 12)
+            y = y + YEARS[0] if usual else y + 1 + (len(YEARS) if y + 1 >= YEARS[0] else 0)
+            return y, m + 1, d + first
+
+        at = (nth * 12 + month - 1) * days + day - first
+        return of(self.feistel.permute(f"date{usual}{late}", years * 12 * days, at, self.back, lambda n: _is_date(*of(n))))
 
     def iso_date(self, value: str) -> str | None:
         new = self._date(*map(int, value.split("-")))
-        return None if new is None else new.isoformat()
+        return None if new is None else "{:04}-{:02}-{:02}".format(*new)
 
     def date(self, value: str) -> str | None:
         """Day first, or month first where only that is a date; always written with two digits for both."""
@@ -151,9 +158,9 @@ class Pseudonyms:
             return None
         first, second, year = map(int, parts)
         if (new := self._date(year, second, first)) is not None:
-            return f"{new.day:02}{mark}{new.month:02}{mark}{new.year}"
+            return f"{new[2]:02}{mark}{new[1]:02}{mark}{new[0]:04}"
         new = self._date(year, first, second)
-        return None if new is None else f"{new.month:02}{mark}{new.day:02}{mark}{new.year}"
+        return None if new is None else f"{new[1]:02}{mark}{new[2]:02}{mark}{new[0]:04}"
 
     def ssn(self, value: str) -> str | None:
         """Area 001 to 899 but 666, group and serial not all zeros."""
@@ -173,9 +180,32 @@ class Pseudonyms:
         body = self._permute("card", digits[:-1])
         return _refill(value, body + luhn_digit(body))
 
+    @staticmethod
+    def _national(digits: str) -> bool:
+        """Ten digits of the North American plan: area and exchange start with 2 to 9."""
+        return len(digits) == 10 and digits[0] > "1" and digits[3] > "1"
+
     def phone(self, value: str) -> str | None:
+        """Numbers of the North American plan, with or without 1 before and in every form; local ones of its seven
+        digits; others, of 8 to 15 digits, only with +, an area in brackets, a trunk 0 or as 123-456-7890."""
         digits = _digits(value)
-        return _refill(value, self._permute("phone", digits)) if 7 <= len(digits) <= 15 else None
+        lead, own = ("1", digits[1:]) if len(digits) == 11 and digits[0] == "1" else ("", digits)
+        if self._national(own):
+            return _refill(value, lead + self._walk("national", own, self._national))
+        if len(digits) == 7 and "(" not in value and "+" not in value:
+            exchange = lambda d: d[0] > "1"
+            return _refill(value, self._walk("local", digits, exchange)) if exchange(digits) else None
+        trunk = digits[0] == "0" and 9 <= len(digits) <= 11
+        if not 8 <= len(digits) <= 15 or not (trunk or ("+" in value and digits[0] != "0") or "(" in value or self.written(value)):
+            return None
+        zero = digits[0] == "0"
+        same = lambda d: (d[0] == "0") == zero and not self._national(d[1:] if len(d) == 11 and d[0] == "1" else d)
+        return _refill(value, self._walk("abroad", digits, same))
+
+    def _walk(self, kind: str, digits: str, allowed: Callable[[str], bool]) -> str:
+        """``digits`` permuted among those of their number that are allowed."""
+        n = len(digits)
+        return str(self.feistel.permute(f"{kind}{n}", 10**n, int(digits), self.back, lambda v: allowed(str(v).zfill(n)))).zfill(n)
 
     def local_part(self, value: str) -> str:
         """Letters among letters of their case, digits among digits, all else in place."""
@@ -203,7 +233,7 @@ class Pseudonyms:
     def _readings(self, text: str, start: int, end: int) -> list[tuple[bool, int, int]]:
         """(printed, start, end) of what may be a card and starts in a match of the card pattern.
 
-        Best first: groups that cards are printed in, then the longer, then the earlier.
+        Best first: groups that cards are printed in, then numbers that issuers give, then the longer, then the earlier.
         """
         groups: list[tuple[int, int]] = []
         for g in self.group.finditer(text, start):
@@ -222,82 +252,79 @@ class Pseudonyms:
                     break
                 if n >= 13:
                     marks = {c for c in text[first:e] if not c.isdigit()}
-                    found.append((len(sizes) == 1 or (sizes in PRINTED and len(marks) == 1), n, first, e))
-        found.sort(key=lambda r: (not r[0], -r[1], r[2]))
-        return [(printed, s, e) for printed, _, s, e in found]
-
-    def _scan(self, text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int, str, str, bool]]:
-        """(start, end, kind, new value, loose) of the numbers outside ``taken``.
-
-        Loose are those among digit groups that may be read in another way.
-        """
-        found: list[tuple[int, int, str, str, bool]] = []
+                    digits = _digits(text[first:e])
+                    issued = any(low <= digits[: len(low)] <= high and n in lengths for low, high, lengths in ISSUED)
+                    found.append((len(sizes) == 1 or (sizes in PRINTED and len(marks) == 1), issued, n, first, e))
+        found.sort(key=lambda r: (not r[0], not r[1], -r[2], r[3]))
+        return [(printed, s, e) for printed, _, _, s, e in found]
+
+    def _scan(self, text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int, str, str]]:
+        """(start, end, kind, new value) of the numbers outside ``taken``."""
+        found: list[tuple[int, int, str, str]] = []
         ends = [b for _, b in taken]  # in order, as they do not overlap
 
         def free(s: int, e: int) -> bool:
             k = bisect.bisect_right(ends, s)
             return k == len(taken) or taken[k][0] >= e
 
-        at = loose_to = 0
+        at = 0
         while m := self.numbers.search(text, at):
             kind, start, at = m.lastgroup, m.start(), m.end()
             if kind != "card":
                 new = self._of(kind, m[0], getattr(self, kind)) if free(start, at) else None
                 if new is not None:
-                    found.append((start, at, kind, new, start < loose_to))
+                    found.append((start, at, kind, new))
                 continue
             readings = self._readings(text, start, at)
-            whole = (True, start, at) in readings
-            if len(readings) > 1 or not whole:
-                loose_to = max([loose_to, at, *(e for _, _, e in readings)])
             for _, s, e in readings:
                 if free(s, e) and (new := self._of("card", text[s:e], self.card)) is not None:
-                    found.append((s, e, "card", new, s < loose_to))
+                    found.append((s, e, "card", new))
                     at = e
                     break
             else:
-                if not whole:  # no card: other values may start at the next group
+                if (True, start, at) not in readings:  # no card: other values may start at the next group
                     at = self.group.match(text, start).end()
         return found
 
-    def replace(self, text: str) -> tuple[str, list[str], list[int]]:
-        """(new text, kinds found, their places in it)."""
+    def replace(self, text: str) -> tuple[str, list[str], list[int], list[int]]:
+        """(new text, kinds found, their places in it, their lengths)."""
         emails = []
         if "@" in text:
-            emails = [(m.start(), m.end(), "email", self._of("email", m[0], self.local_part), False) for m in self.email.finditer(text)]
+            emails = [(m.start(), m.end(), "email", self._of("email", m[0], self.local_part)) for m in self.email.finditer(text)]
         found = sorted(emails + self._scan(text, [(s, e) for s, e, *_ in emails]))
-        if not found:
-            return text, [], []
-        kinds = [kind for _, _, kind, _, _ in found]
-        for _ in range(TRIES):
-            out, places, at, size = [], [], 0, 0
-            for start, end, _, new, _ in found:
-                out += [text[at:start], new]
-                size += start - at
-                places.append(size)
-                size += len(new)
-                at = end
-            done = "".join([*out, text[at:]])
-            if not any(loose for *_, loose in found):
-                break
-            spans = [(p, p + len(f[3]), f[2]) for p, f in zip(places, found, strict=True)]
-            again = self._scan(done, [(s, e) for s, e, kind in spans if kind == "email"])
-            if [f[:3] for f in again] == [s for s in spans if s[2] != "email"]:
-                break
-            found = [(s, e, kind, self._of(kind, new, getattr(self, kind)) if loose else new, loose) for s, e, kind, new, loose in found]
-        return done, kinds, places
+        return self._put(text, found)
+
+    def restore(self, text: str, kinds: list[str], starts: list[int], lengths: list[int]) -> tuple[str, list[str], list[int], list[int]]:
+        """The same of the values at the places that ``replace`` named."""
+        make = {"email": self.local_part}
+        spans = zip(starts, lengths, kinds, strict=True)
+        return self._put(text, [(s, s + n, k, self._of(k, text[s : s + n], make.get(k) or getattr(self, k))) for s, n, k in spans])
+
+    @staticmethod
+    def _put(text: str, found: list[tuple[int, int, str, str]]) -> tuple[str, list[str], list[int], list[int]]:
+        out, places, at, size = [], [], 0, 0
+        for start, end, _, new in found:
+            out += [text[at:start], new]
+            size += start - at
+            places.append(size)
+            size += len(new)
+            at = end
+        return "".join([*out, text[at:]]), [f[2] for f in found], places, [len(f[3]) for f in found]
 
 
 def pseudonymise(df: DataFrame, key: bytes, text: str = "text", back: bool = False) -> DataFrame:
-    """``df`` with ``text`` replaced, and n_values, kinds and starts of what was replaced.
+    """``df`` with ``text`` replaced, and n_values, kinds, starts and lengths of what was replaced.
 
-    Null texts stay null with no values; empty ones stay empty. Columns named n_values, kinds
-    or starts are replaced; all others and repeated rows pass as they are. With ``back`` the
-    pseudonyms of the same key are turned back (a one-digit day or month comes back with two).
+    A value's pseudonym depends on the key and the value alone. Null texts stay null with no
+    values; empty ones stay empty. Columns named n_values, kinds, starts or lengths are replaced;
+    all others and repeated rows pass as they are. With ``back`` a result under the same key, these
+    columns included, is turned back (a one-digit day or month comes back with two).
     """
     session_of(df)
-    rows = df.drop("n_values", "kinds", "starts")
-    schema = T.StructType(list(rows.schema)).add("n_values", T.LongType()).add("kinds", T.ArrayType(T.StringType())).add("starts", T.ArrayType(T.IntegerType()))
+    places = ("kinds", "starts", "lengths")
+    rows = df if back else df.drop("n_values", *places)
+    others = [f for f in rows.schema if f.name not in ("n_values", *places)]
+    schema = T.StructType(list(others)).add("n_values", T.LongType()).add("kinds", T.ArrayType(T.StringType())).add("starts", T.ArrayType(T.IntegerType())).add("lengths", T.ArrayType(T.IntegerType()))
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store = worker_store("pii")
@@ -305,16 +332,22 @@ def pseudonymise(df: DataFrame, key: bytes, text: str = "text", back: bool = Fal
             store[key, back] = Pseudonyms(key, back)
         own = store[key, back]
         for batch in batches:
-            done = [(None, [], []) if t is None else own.replace(t) for t in batch.column(text).to_pylist()]
-            columns = [pa.array([d[0] for d in done], pa.string()) if n == text else batch.column(n) for n in batch.schema.names]
-            more = [pa.array([len(d[1]) for d in done], pa.int64()), pa.array([d[1] for d in done], pa.list_(pa.string())), pa.array([d[2] for d in done], pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays([*columns, *more], names=[*batch.schema.names, "n_values", "kinds", "starts"])
+            texts = batch.column(text).to_pylist()
+            if back:
+                given = zip(texts, *(batch.column(n).to_pylist() for n in places), strict=True)
+                done = [(None, [], [], []) if t is None else own.restore(t, k or [], s or [], n or []) for t, k, s, n in given]
+            else:
+                done = [(None, [], [], []) if t is None else own.replace(t) for t in texts]
+            columns = [pa.array([d[0] for d in done], pa.string()) if f.name == text else batch.column(f.name) for f in others]
+            more = [pa.array([len(d[1]) for d in done], pa.int64()), pa.array([d[1] for d in done], pa.list_(pa.string())), *(pa.array([d[k] for d in done], pa.list_(pa.int32())) for k in (2, 3))]
+            yield pa.RecordBatch.from_arrays([*columns, *more], names=[*(f.name for f in others), "n_values", *places])
 
     return rows.mapInArrow(replace, schema)
 
 
 @query("op1_pseudonyms")
 def op1_pseudonyms(spark, sf_dir):
-    """Under the session's key; without one a key of this run alone, so that nobody can turn its pseudonyms back."""
-    key = spark.conf.get("spark.cairnflow.pseudonymKey", None)
+    """Under the session's key, whose name makes Spark keep it out of logs and pages; without one a key of this run
+    alone, so that nobody can turn its pseudonyms back and two runs differ."""
+    key = spark.conf.get("spark.cairnflow.pseudonymSecret", None)
     return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key.encode() if key else secrets.token_bytes(32))

@@ -351,4 +351,6 @@ def test_pseudonym_columns(hard, empty):
     out = pseudonymise(hard.withColumn("kinds", F.lit(1)).withColumn("text", F.when(F.col("doc_id") == 3, "mail a1@b.co, 4111111111111111").otherwise(F.col("text"))), b"key")
     rows = {r.doc_id: r for r in out.collect()}
     assert rows[0].text is None and rows[1].text == "" and rows[3].n_values == 2 and "4111111111111111" not in rows[3].text
-    assert out.columns == [*hard.columns, "n_values", "kinds", "starts"] and pseudonymise(empty, b"key").count() == 0
+    assert out.columns == [*hard.columns, "n_values", "kinds", "starts", "lengths"] and pseudonymise(empty, b"key").count() == 0
+    again = pseudonymise(out, b"key", back=True).collect()
+    assert {r.doc_id: r.text for r in again}[3] == "mail a1@b.co, 4111111111111111" and len(again) == len(rows) + 2
