@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
@@ -103,11 +104,28 @@ def test_rows_keep_their_numbers_when_scans_are_split_otherwise(spark, tmp_path)
 def test_users_columns_and_long_texts_pass(spark, folder):
     """Columns named like those that stages make for themselves keep their values; a text of 60,000 words goes through."""
     long = " ".join(f"the{k}" for k in range(60_000))
-    made = spark.createDataFrame([(k, f"{EN} {EN} word{k} and so on", "en", "s0", 9, f"r{k}", f"n{k}", f"t{k}") for k in range(6)] + [(9, long, "en", "s1", 9, "r9", "n9", "t9")], "doc_id long, text string, lang string, source string, n_chars long, __row string, __nth string, __times string")
+    made = spark.createDataFrame([(k, f"{EN} {EN} word{k} and so on", "en", "s0", 9, f"r{k}", f"n{k}", f"t{k}") for k in range(6)] + [(9, long, "en", "s1", 9, "r9", "n9", "t9")], "doc_id long, text string, lang string, source string, n_chars long, __ROW string, __nth string, __times string")
+    made = made.withColumns({"lang_pred": F.col("doc_id") + 7, "score": F.lit("mine"), "runs": F.lit(2), "c1": F.lit("c")})
     made.write.mode("overwrite").parquet(f"{folder}/clash.parquet")
     docs = spark.read.parquet(f"{folder}/clash.parquet")
-    for name, stage in cp.STAGES[1:4]:
+    for name, stage in cp.STAGES[:4]:
         out = stage(spark, docs, folder)
-        assert out.columns == docs.columns, name
-        assert all((r["__row"], r["__nth"], r["__times"]) == (f"r{r.doc_id}", f"n{r.doc_id}", f"t{r.doc_id}") for r in out.collect()), name
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
+        assert all((r.lang_pred, r.score, r.runs, r.c1) == (r.doc_id + 7, "mine", 2, "c") for r in out.collect()), name
+        assert all((r["__ROW"], r["__nth"], r["__times"]) == (f"r{r.doc_id}", f"n{r.doc_id}", f"t{r.doc_id}") for r in out.collect()), name
     assert any(r.doc_id == 9 and r.n_tokens > 60_000 for r in cp.STAGES[4][1](spark, docs, folder).collect())
+
+
+def test_languages_of_four_and_mixed_texts_stay(spark, folder):
+    """Held-out rows of all four languages stay, and so do texts of two; other scripts and texts without letters go."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.lang: r.text for r in docs.where("length(text) > 400").collect()}
+    assert len(texts) == 4
+    mixed = [(10**6 + k, texts[a][:300] + " " + texts[b][:300], a, "s", 1) for k, (a, b) in enumerate((a, b) for a in texts for b in texts if a < b)]
+    bad = [(2 * 10**6 + k, t, None, "s", 1) for k, t in enumerate((None, "", "123 456 -- !!", "   "))]
+    spark.createDataFrame(mixed + bad, docs.schema).union(docs).write.mode("overwrite").parquet(f"{folder}/mixed.parquet")
+    rows = spark.read.parquet(f"{folder}/mixed.parquet")
+    kept = {r.doc_id for r in cp.language_id(spark, rows, folder).collect()}
+    assert {k for k, *_ in mixed} <= kept and not {k for k, *_ in bad} & kept
+    plain = docs.where(F.coalesce(F.col("text"), F.lit("")).rlike("[A-Za-zÀ-ÿ]{3}"))
+    assert {r.doc_id for r in plain.collect()} <= kept
