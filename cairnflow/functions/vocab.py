@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .infer import city_keys, technique_base
+from .infer import place_keys, technique_base
 from .text import bare_key, humanise, lookup_key, tight_key
 
 UNKNOWN = ("unknown", "n_a", "na", "none", "null", "unspecified", "not_specified", "undisclosed")
@@ -97,7 +97,7 @@ def with_region(df: DataFrame, name: str, cities: DataFrame, country: str | None
     With ``country``, a column of codes, only its own cities count.
     """
     named = df.select(F.col(name).alias("__name"), (F.col(country) if country else F.lit(None).cast("string")).alias("__code")).distinct()
-    tries = named.select("__name", "__code", F.posexplode(city_keys(F.col("__name"))).alias("nth", "city"))
+    tries = named.select("__name", "__code", F.posexplode(place_keys(F.col("__name"))).alias("nth", "city"))
     met = tries.join(cities.select(F.lower(F.trim("city")).alias("city"), "country_code", F.col("region").alias("__region")), "city")
     if country:
         met = met.where(F.col("__code") == F.col("country_code"))

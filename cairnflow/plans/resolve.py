@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dates, identity, infer, vocab
-from ..operators import campaigns, resolution
+from ..operators import campaigns, phrases, resolution
 from ..session import read
 from ..sources.shared import keep
 from .catalog import query
@@ -119,41 +119,86 @@ def campaign_groups(spark, sf_dir):
     return candidates.select("value", "members", "first_seen", "last_seen", "year", "confidence")
 
 
-def _cases(table, test: str) -> str:
-    quoted = lambda x: x.replace("'", "''")
-    return "CASE " + " ".join(f"WHEN {test.format(quoted(k))} THEN '{v}'" for k, v in table) + " END"
+def _sql(x) -> str:
+    return "NULL" if x is None else str(x).upper() if isinstance(x, bool | int) else "'" + x.replace("'", "''") + "'"
+
+
+#: Phrases by kind, in order of preference within it: what the documents' own texts say of licences, insults and secrets, in four languages' common words.
+SIGNALS = tuple((kind, label, rank, phrase) for rank, (kind, label, phrase) in enumerate((
+    ("licence", "apache", "licensed under the Apache License"), ("licence", "gpl", "GNU General Public License"), ("licence", "mit", "MIT License"), ("licence", "mit", "permission is hereby granted"), ("licence", "creative_commons", "Creative Commons"), ("licence", "reserved", "all rights reserved"),
+    ("insult", "person", "idiot"), ("insult", "person", "moron"), ("insult", "person", "clown"), ("insult", "worth", "worthless"), ("insult", "worth", "stupid"), ("insult", "threat", "hate you"),
+    ("secret", "token", "token"), ("secret", "password", "password"), ("secret", "key", "api key"), ("secret", "key", "BEGIN PRIVATE KEY"),
+    ("article", "en", "of the"), ("article", "fr", "de la"), ("article", "es", "de la"), ("article", "de", "für"), ("article", "es", "para"),
+)))
+
+
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(_sql(x) for x in r) + ")" for r in rows)
+
+
+_NORMAL = r"' ' || trim(regexp_replace(lower({}), '[^0-9a-z\x{{80}}-\x{{10FFFF}}]+', ' ', 'g')) || ' '"
 
 
 @query(
     "inferred_labels",
     f"""
-    SELECT doc_id, {_cases(infer.VECTOR_PATTERNS, "regexp_matches(t, '{}')")} AS vector, {_cases(infer.FAMILY_WORDS, "contains(t, '{}')")} AS family, regexp_matches(t, '{infer.CONFIRMED}') AS confirmed,
-    array_to_string(list_sort(list_distinct(list_filter([{", ".join(f"CASE WHEN contains(t, '{w}') THEN '{v}' END" for w, v in infer.DATA_WORDS)}], lambda x: x IS NOT NULL))), '|') AS categories
-    FROM (SELECT doc_id, lower(text) AS t FROM documents)
+    WITH s AS (SELECT kind, label, rank, {_NORMAL.format("phrase")} AS p FROM (VALUES {_values(SIGNALS)}) AS v(kind, label, rank, phrase)),
+    d AS (SELECT doc_id, {_NORMAL.format("text")} AS t FROM documents), h AS (SELECT DISTINCT doc_id, kind, label, rank FROM d JOIN s ON contains(t, p))
+    SELECT d.doc_id, min_by(label, rank) FILTER (kind = 'licence') AS licence, coalesce(string_agg(DISTINCT label, '|' ORDER BY label) FILTER (kind = 'insult'), '') AS insult,
+    coalesce(string_agg(DISTINCT label, '|' ORDER BY label) FILTER (kind = 'article'), '') AS article, coalesce(bool_or(kind = 'secret'), FALSE) AS secret
+    FROM d LEFT JOIN h ON h.doc_id = d.doc_id GROUP BY d.doc_id
     """,
 )
 def inferred_labels(spark, sf_dir):
-    """What every document says of vectors, families, confirmation and data."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", infer.said(F.col("text")).alias("t"))
-    t = F.col("t")
-    return docs.select("doc_id", infer.first_pattern(t, infer.VECTOR_PATTERNS).alias("vector"), infer.first_word(t, infer.FAMILY_WORDS).alias("family"), F.regexp_like(t, F.lit(infer.CONFIRMED)).alias("confirmed"), F.array_join(infer.every_label(t, infer.DATA_WORDS), "|").alias("categories"))
+    """What every document says of licences, insults, secrets and its language, in one reading."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    table = spark.createDataFrame(SIGNALS, "kind string, label string, rank int, phrase string")
+    return infer.inferred(docs, "text", table, first=("licence",), every=("insult", "article"), flags=("secret",)).drop("text")
 
 
-#: Names with the kind, the place and the plain letters that they hold.
-NAMES = (
-    ("Lakeside Unified School District", "school_district", None, "Lakeside Unified School District"), ("Oakdale ISD", "school_district", None, "Oakdale ISD"), ("Hill High School", "k12_school", None, "Hill High School"),
-    ("Lycée Molière", "k12_school", None, "Lycee Moliere"), ("Universität Köln", "university", None, "Universitat Koln"), ("University of Texas at Austin", "university", "Texas", "University of Texas at Austin"),
-    ("Leeds College", "university", "England", "Leeds College"), ("Acme Institute", "research_institute", None, "Acme Institute"), ("PowerSchool", None, None, "PowerSchool"),
-)
-CITIES = (("austin", "US", "Texas"), ("leeds", "GB", "England"))
+@query(
+    "passage_mentions",
+    f"""
+    WITH w AS (SELECT item_id, string_split(trim({_NORMAL.format("text")}), ' ') AS w FROM benchmark), p AS (SELECT item_id, ' ' || array_to_string(w[1:6], ' ') || ' ' AS p FROM w WHERE len(w) >= 6),
+    d AS (SELECT doc_id, {_NORMAL.format("text")} AS t FROM documents)
+    SELECT doc_id, item_id, CAST(len(string_split(t[1:strpos(t, p)], ' ')) - 2 AS INTEGER) AS first_at FROM d JOIN p ON contains(t, p)
+    """,
+)
+def passage_mentions(spark, sf_dir):
+    """Documents that quote the first six words of a benchmark item, and where first; the table of phrases is the benchmark itself, so it is joined by hash."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit(r"[0-9a-z\x{80}-\x{10FFFF}]+"), F.lit(0))
+    table = read(spark, sf_dir, "benchmark").select(F.lit("item").alias("kind"), F.col("item_id").cast("string").alias("label"), F.lit(0).alias("rank"), words.alias("w")).where(F.size("w") >= 6).select("kind", "label", "rank", F.array_join(F.slice("w", 1, 6), " ").alias("phrase"))
+    hits = phrases.with_phrases(read(spark, sf_dir, "documents").select("doc_id", "text"), "text", table, key="doc_id", most=0)
+    return hits.select("doc_id", F.explode("hits").alias("h")).groupBy("doc_id", F.col("h.label").cast("long").alias("item_id")).agg(F.min("h.at").alias("first_at"))
 
 
-@query("institution_kinds", f"SELECT s_suppkey, v.kind AS kind, v.region AS region, v.plain AS plain FROM supplier JOIN (VALUES {', '.join(f'({k}, ' + ', '.join('NULL' if x is None else repr(x) for x in n[1:]) + ')' for k, n in enumerate(NAMES))}) AS v(k, kind, region, plain) ON s_suppkey % {len(NAMES)} = v.k")
+#: Kinds of makers by what a part's name says, the first of equals first; and colours as places.
+PART_KINDS = tuple((kind, label, rank, phrase) for rank, (kind, label, phrase) in enumerate((("institution", "toolmaker", "gear"), ("institution", "toolmaker", "bolt"), ("institution", "jeweller", "ring"), ("institution", "fitter", "small widget"), ("institution", "maker", "widget"))))
+
+
+@query(
+    "institution_kinds",
+    f"""
+    WITH s AS (SELECT label, rank, ' ' || phrase || ' ' AS p FROM (VALUES {_values(PART_KINDS)}) AS v(kind, label, rank, phrase)),
+    h AS (SELECT p_partkey, min_by(label, rank) AS kind FROM part JOIN s ON contains(' ' || lower(p_name) || ' ', p) GROUP BY 1),
+    r AS (SELECT DISTINCT p_type FROM part WHERE p_type IN (SELECT upper(w) FROM (SELECT unnest(string_split(p_name, ' ')) AS w FROM part)))
+    SELECT part.p_partkey, coalesce(CASE WHEN p_size % 5 = 0 THEN p_brand END, kind) AS kind, r.p_type AS region FROM part LEFT JOIN h USING (p_partkey) LEFT JOIN r ON r.p_type = upper(split_part(p_name, ' ', 1))
+    """,
+)
 def institution_kinds(spark, sf_dir):
-    """Kinds, regions and plain letters of names, one given to every supplier."""
-    rows = read(spark, sf_dir, "supplier").select("s_suppkey", F.element_at(F.array(*[F.lit(n[0]) for n in NAMES]), (F.col("s_suppkey") % len(NAMES) + 1).cast("int")).alias("name"))
-    named = vocab.with_region(rows, "name", spark.createDataFrame(CITIES, "city string, country_code string, region string"))
-    return named.select("s_suppkey", infer.institution_kind(F.col("name"), F.lit(None).cast("string")).alias("kind"), "region", infer.ascii_fold(F.col("name")).alias("plain"))
+    """Makers' kinds from the names of all parts, unless known, and the region of the first place that a name holds."""
+    parts = read(spark, sf_dir, "part").withColumn("title", F.concat_ws(" ", F.transform(F.split("p_name", " "), F.initcap)))
+    cities = parts.select(F.lower("p_type").alias("city"), F.lit("x").alias("country_code"), F.col("p_type").alias("region")).distinct()
+    placed = vocab.with_region(parts, "title", cities)
+    found = phrases.with_phrases(placed, "p_name", spark.createDataFrame(PART_KINDS, "kind string, label string, rank int, phrase string"))
+    known = F.when(F.col("p_size") % 5 == 0, F.col("p_brand")).otherwise("unknown")
+    return found.select("p_partkey", F.nullif(infer.institution_kind(known, F.col("hits")), F.lit("unknown")).alias("kind"), "region")
+
+
+@query("plain_letters", "SELECT doc_id, strip_accents(text) AS plain FROM documents")
+def plain_letters(spark, sf_dir):
+    """Every document's whole text without marks on its Latin letters."""
+    return read(spark, sf_dir, "documents").select("doc_id", infer.ascii_fold(F.col("text")).alias("plain"))
 
 
 TACTICS = (("T1566", "Initial Access"), ("T1078", "Initial Access"), ("T1078", "Defense Evasion"), ("T1486", "Impact"), ("T1003", "Credential Access"))
@@ -217,10 +262,6 @@ RULES = (
 )
 
 
-def _sql(x) -> str:
-    return "NULL" if x is None else str(x).upper() if isinstance(x, bool) else "'" + x.replace("'", "''") + "'"
-
-
 @query("identity_rules", f"SELECT event_id, v.family, v.generic_label, v.better, v.person, v.generic_actor, v.notes, v.wrapper, TRUE AS education, 'src' AS prefix FROM events JOIN (VALUES {', '.join(f'({k}, ' + ', '.join(map(_sql, r[3:])) + ')' for k, r in enumerate(RULES))}) AS v(k, family, generic_label, better, person, generic_actor, notes, wrapper) ON event_id % {len(RULES)} = v.k")
 def identity_rules(spark, sf_dir):
     """The rules on labels, a set of them given to every event."""
