@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import types
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,4 +67,5 @@ def worker_store(name: str) -> dict:
     stores = home.setdefault("stores", {})
     if name not in stores:
         stores.clear()
+        pa.default_memory_pool().release_unused()
     return stores.setdefault(name, {})

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, discard, grows, keep, session_of, table
+from .common import SPACES, discard, grows, keep, session_of, table, worker_store
 from .registry import query
 
 #: Bytes of a block, and bytes of distinct blocks that a task remembers before it starts afresh.
@@ -33,6 +33,7 @@ _CUT_ARROW = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("n_poin
 
 def _cutter(block_bytes: int, remember: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_store("exact_dedup")  # what an operator before remembered is not needed here
         first = TaskContext.get().partitionId() << 40
         known: dict[bytes, int] = {}
         held = used = 0

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
-from .common import discard, grows, keep, numbered, session_of, table
+from .common import discard, grows, keep, numbered, session_of, table, worker_store
 from .registry import query
 
 SHINGLE = 5
@@ -119,6 +119,7 @@ def _slots(hashes: np.ndarray) -> np.ndarray:
 
 def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many texts of a task hold each slot's shingles, in chunks of counters."""
+    worker_store("jaccard_join")  # drops what an operator before remembered
     counts, seen = np.zeros(SKETCH, dtype=np.uint32), False
     for batch in batches:
         for own, _ in shingle_hashes(batch.column("text").cast(pa.binary()).to_pylist()):
@@ -164,6 +165,7 @@ def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 def _marker(sketch, probe: int, split_from: int):
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_store("jaccard_join")  # drops what an operator before remembered
         often, seen = sketch.value, set()
         noise = float(often.mean())  # what the other tokens of a slot add to a count
         noise += 6 * noise**0.5
@@ -277,6 +279,7 @@ def filtered(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted so that a pivot (member null) stands before its members; the shingles compared are words."""
+    worker_store("jaccard_join")  # drops what an operator before remembered
     pivot, own = None, set()
     for batch in batches:
         a, b = [], []
