@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import slug
-from .graph import chain_edges, connected_components, trim_to_median
+from ..sources.shared import grows, keep
+from .graph import chain_edges, connected_components
 from .matching import range_pairs
 
 
@@ -21,23 +21,51 @@ HASHES, NAMES, CVES, PLATFORMS, VENDORS, ACTORS, FAMILIES = 0.90, 0.85, 0.55, 0.
 DATE_GAPS = ((14, 0.25), (45, 0.20), (120, 0.15), (365, 0.08))
 NEAR, PLATFORM_DAYS, VENDOR_DAYS, LEAST = 0.15, 120, 180, 0.55
 SUPPLY_CATEGORY, OTHER_CATEGORY = 0.12, 0.08
+#: Nodes of one value that a task pairs with all others.
+HOT = 4000
 #: Sets of a profile, and those that must meet for an edge, with the days they may lie apart (None: any).
 SETS = ("hashes", "names", "cves", "platforms", "vendors", "actors", "families", "categories")
 MEET = {"hashes": None, "names": None, "cves": None, "platforms": PLATFORM_DAYS, "vendors": VENDOR_DAYS, "actors": 120}
 
 
 def _meetings(rows: DataFrame, days: int | None) -> DataFrame:
-    """Pairs (a, b) of nodes with one value, at most ``days`` apart or with a day missing."""
+    """Pairs (a, b) of nodes with one value, at most ``days`` apart or with a day missing.
+
+    Without days all pairs of a value are asked for, so a value of many nodes is dealt to many tasks.
+    """
+    parts = rows.groupBy("value").agg(F.ceil(F.count("*") / HOT).alias("parts"))
+    dealt = lambda left: left.join(parts, "value").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    spread = rows.join(parts, "value").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).select("value", "part", F.col("node").alias("b"))
     if days is None:
-        return rows.select("value", F.col("node").alias("a")).join(rows.select("value", F.col("node").alias("b")), "value").where("a < b").select("a", "b")
+        return dealt(rows).select("value", "part", F.col("node").alias("a")).join(spread, ["value", "part"]).where("a < b").select("a", "b")
     near = range_pairs(rows, "node", ["value"], "day", days).select("a", "b")
-    undated = rows.where("day IS NULL").select("value", F.col("node").alias("x")).join(rows.select("value", F.col("node").alias("y")), "value").where("x <> y")
-    return near.unionByName(undated.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+    undated = dealt(rows.where("day IS NULL")).select("value", "part", F.col("node").alias("a")).join(spread, ["value", "part"]).where("a <> b")
+    return near.unionByName(undated.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+
+
+#: Kinds of buckets by the set whose shared values name them: the first two together, the others each where those before have none.
+CARRY = {"cves": "cve", "platforms": "platform", "names": "campaign_name", "vendors": "vendor", "actors": "actor"}
+#: A campaign's type by its kind, what follows its value and year in its name, and members that a wave of one actor has at least (fixed values).
+TYPES = {"campaign_name": "same_campaign", "cve": "mass_exploitation", "actor": "actor_activity_wave", "vendor": "shared_vendor_incident"}
+TITLES = {"platform": "education impact", "cve": "education exposure", "actor": "education activity wave", "vendor": "education impact"}
+WAVE_MEMBERS = 3
 
 
-def campaign_edges(found: DataFrame, key: str, supply_categories: tuple[str, ...] = ()) -> DataFrame:
+def window_days(values: Column, platforms: dict[str, tuple[int, str]] | None) -> Column:
+    """The longest window of the platforms, PLATFORM_DAYS where none is named."""
+    if not platforms:
+        return F.lit(PLATFORM_DAYS)
+    table = F.create_map(*[F.lit(x) for name, (days, _) in platforms.items() for x in (name, days)])
+    return F.coalesce(F.array_max(F.transform(values, lambda v: F.try_element_at(table, v))), F.lit(PLATFORM_DAYS))
+
+
+def campaign_edges(found: DataFrame, key: str, supply_categories: tuple[str, ...] = (), platforms: dict[str, tuple[int, str]] | None = None, shared: bool = False) -> DataFrame:
     """Scored edges (a, b, confidence, reasons, gap_days) between profiles: ``key``, day and arrays named as in SETS.
 
+    ``platforms`` names the days that incidents of a platform may lie apart, and its campaign type;
+    of several shared ones the longest counts, and PLATFORM_DAYS where none is named. With
+    ``shared``, the values that carry an edge come along as arrays named as in SETS.
+
     Equal contents, campaign names, flaws, platforms, vendors, actors and families add up,
     most of them with what the days apart add. Nodes meet over the values that can carry an
     edge, dated ones in buckets of the days allowed; families and categories only add.
@@ -47,7 +75,8 @@ def campaign_edges(found: DataFrame, key: str, supply_categories: tuple[str, ...
     pairs = None
     for kind, days in MEET.items():
         if kind in found.columns:
-            met = _meetings(own.select("node", "day", F.explode(F.array_distinct(kind)).alias("value")), days)
+            reach = max([PLATFORM_DAYS, *(d for d, _ in (platforms or {}).values())]) if kind == "platforms" else days
+            met = _meetings(own.select("node", "day", F.explode(F.array_distinct(kind)).alias("value")), reach)
             pairs = met if pairs is None else pairs.unionByName(met)
     both = pairs.distinct().join(own.alias("l"), F.col("a") == F.col("l.node")).join(own.alias("r"), F.col("b") == F.col("r.node"))
     share = {c: F.arrays_overlap(F.col(f"l.{c}"), F.col(f"r.{c}")) for c in SETS}
@@ -61,7 +90,7 @@ def campaign_edges(found: DataFrame, key: str, supply_categories: tuple[str, ...
         "same_selected_article_content": (share["hashes"], F.lit(HASHES)),
         "shared_campaign_name": (share["names"], F.lit(NAMES)),
         "shared_cve": (share["cves"], CVES + date),
-        "shared_vendor_or_platform": (share["platforms"] & within(PLATFORM_DAYS), PLATFORMS + date),
+        "shared_vendor_or_platform": (share["platforms"] & within(window_days(F.array_intersect(F.col("l.platforms"), F.col("r.platforms")), platforms)), PLATFORMS + date),
         "shared_vendor_name": (~share["platforms"] & share["vendors"] & within(VENDOR_DAYS), VENDORS + date),
         "shared_actor_time_window": (share["actors"] & (date >= NEAR), ACTORS + date),
         "shared_ransomware_family_time_window": (share["families"] & (date >= NEAR), FAMILIES + date),
@@ -70,17 +99,71 @@ def campaign_edges(found: DataFrame, key: str, supply_categories: tuple[str, ...
     }
     score = sum((F.when(holds, plus).otherwise(0.0) for holds, plus in rules.values()), F.lit(0.0))
     reasons = F.array_join(F.array_compact(F.array(*[F.when(holds, name) for name, (holds, _) in rules.items()])), "|")
-    return both.select("a", "b", F.round(score, 6).alias("score"), reasons.alias("reasons"), gap.alias("gap_days")).where(F.col("score") >= LEAST).select("a", "b", F.round(F.least("score", F.lit(1.0)), 3).alias("confidence"), "reasons", "gap_days")
+    carried = [F.array_sort(F.array_intersect(F.col(f"l.{c}"), F.col(f"r.{c}"))).alias(c) for c in CARRY] if shared else []
+    scored = both.select("a", "b", F.round(score, 6).alias("score"), reasons.alias("reasons"), gap.alias("gap_days"), *carried).where(F.col("score") >= LEAST)
+    return scored.select("a", "b", F.round(F.least("score", F.lit(1.0)), 3).alias("confidence"), "reasons", "gap_days", *(CARRY if shared else ()))
+
 
+def bucket_edges(edges: DataFrame) -> DataFrame:
+    """Rows (kind, value, a, b, confidence): each edge (with its shared values) in the buckets of what carries it.
 
-def bucket_components(found: DataFrame, key: str, kinds: list[str], least: int = 2) -> DataFrame:
-    """Rows (kind, value, member): per shared value the members it ties, buckets below ``least`` left out."""
-    rows = None
-    for kind in kinds:
-        own = found.select(F.col(key).alias("member"), F.lit(kind).alias("kind"), F.explode(kind).alias("value"))
-        rows = own if rows is None else rows.unionByName(own)
-    size = rows.groupBy("kind", "value").agg(F.count_distinct("member").alias("n")).where(F.col("n") >= least)
-    return rows.distinct().join(size.select("kind", "value"), ["kind", "value"])
+    Flaws and platforms count together; only an edge without them goes by names, then vendors, then actors.
+    """
+    of = lambda c: F.transform(F.col(c), lambda v: F.struct(F.lit(CARRY[c]).alias("kind"), v.alias("value")))
+    strong = F.concat(of("cves"), of("platforms"))
+    keys = F.when(F.size(strong) > 0, strong)
+    for c in ("names", "vendors", "actors"):
+        keys = keys.when(F.size(c) > 0, of(c))
+    return edges.select("a", "b", "confidence", F.explode(keys).alias("k")).select("k.kind", "k.value", "a", "b", "confidence").distinct()
+
+
+def bucket_components(bucketed: DataFrame) -> DataFrame:
+    """Rows (component, kind, value, member): the members that the edges of each bucket tie, through whole chains.
+
+    All buckets go in one run: a node is a member in a bucket, numbered exactly.
+    """
+    ends = bucketed.select("kind", "value", F.col("a").alias("member")).union(bucketed.select("kind", "value", "b")).distinct()
+    nodes = keep(ends.withColumn("id", F.monotonically_increasing_id()), "bucket-nodes")
+    at = lambda end: nodes.select("kind", "value", F.col("member").alias(end), F.col("id").alias(f"{end}_id"))
+    edges = bucketed.join(grows(at("a")), ["kind", "value", "a"]).join(grows(at("b")), ["kind", "value", "b"]).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+    labels = connected_components(edges)
+    return nodes.join(grows(labels), nodes["id"] == labels["node"]).select(F.col("label").alias("component"), "kind", "value", "member")
+
+
+def coherent(members: DataFrame, window: str) -> DataFrame:
+    """Members of a component near its upper median day, undated ones too; whole where it has under three days or fewer than two would stay.
+
+    ``members``: component, member, day and ``window``, the days allowed. Days are counted before they
+    are ordered, so no task sorts a component's members.
+    """
+    days = members.where("day IS NOT NULL").groupBy("component", "day").agg(F.count("*").alias("n"))
+    so_far = Window.partitionBy("component").orderBy("day")
+    placed = days.withColumn("upto", F.sum("n").over(so_far)).withColumn("dated", F.sum("n").over(Window.partitionBy("component")))
+    middle = placed.where(F.col("upto") > F.floor(F.col("dated") / 2)).groupBy("component").agg(F.min("day").alias("middle"), F.first("dated").alias("dated")).where("dated >= 3").drop("dated")
+    near = members.join(grows(middle), "component", "left").withColumn("near", F.coalesce(F.abs(F.datediff("day", "middle")) <= F.col(window), F.lit(True)))
+    left = near.groupBy("component").agg(F.count_if("near").alias("left"))
+    return near.join(grows(left), "component").where(F.col("near") | (F.col("left") < 2)).select(*members.columns)
+
+
+def _listed(counted: DataFrame, name: str) -> DataFrame:
+    """(component, ``name``): values by count, then by name."""
+    return counted.groupBy("component").agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("less"), "v"))), lambda x: x["v"]).alias(name))
+
+
+def top_values(members: DataFrame, found: DataFrame, key: str, values: str) -> DataFrame:
+    """(component, ``values``): what members hold, commonest first."""
+    own = found.select(F.col(key).alias("member"), F.explode(F.array_distinct(values)).alias("v"))
+    return _listed(members.select("component", "member").join(own, "member").groupBy("component", "v").agg(F.count("*").alias("n")), values)
+
+
+def evidence_consensus(members: DataFrame, evidence: DataFrame, key: str, values: str, least: int = 2, keep_first: bool = False) -> DataFrame:
+    """(component, ``values``): what at least ``least`` items of evidence attest; with ``keep_first`` the commonest where none is attested so often."""
+    own = evidence.select(F.col(key).alias("member"), F.explode(F.array_distinct(values)).alias("v"))
+    counted = members.select("component", "member").join(own, "member").groupBy("component", "v").agg(F.count("*").alias("n"))
+    if not keep_first:
+        return _listed(counted.where(F.col("n") >= least), values)
+    top = counted.groupBy("component").agg(F.min(F.struct((-F.col("n")).alias("less"), "v")).alias("top"))
+    return _listed(counted.join(grows(top), "component").where((F.col("n") >= least) | ((F.col("top.less") > -least) & (F.col("v") == F.col("top.v")))), values)
 
 
 def consensus(found: DataFrame, members: DataFrame, group: list[str], key: str, values: str, least: int = 2) -> DataFrame:
@@ -97,54 +180,121 @@ def dominant_year(members: DataFrame, group: list[str], day: str) -> DataFrame:
 
 
 def campaign_id(name: Column, members: Column) -> Column:
-    return F.concat(F.lit("campaign_"), F.replace(slug(name), F.lit("-"), F.lit("_")), F.lit("_"), F.left(F.sha1(F.array_join(F.array_sort(members), "|")), F.lit(10)))
+    """`campaign_`, the name as a slug of at most 48 letters, and the start of a hash over the sorted members."""
+    key = F.coalesce(F.nullif(F.left(F.regexp_replace(F.regexp_replace(F.lower(name), "[^a-z0-9]+", "-"), "^-|-$", ""), F.lit(48)), F.lit("")), F.lit("campaign"))
+    return F.concat(F.lit("campaign_"), key, F.lit("_"), F.left(F.sha1(F.array_join(F.array_sort(members), "|")), F.lit(10)))
 
 
-def campaigns(found: DataFrame, key: str, kinds: list[str], edges: DataFrame, window_days: int = PLATFORM_DAYS, least: int = 2) -> tuple[DataFrame, DataFrame]:
-    """(candidates, memberships) from profiles and their ``campaign_edges``.
+def campaigns(found: DataFrame, key: str, edges: DataFrame, evidence: DataFrame | None = None, platforms: dict[str, tuple[int, str]] | None = None, supply_categories: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """(candidates, memberships) from profiles and their ``campaign_edges`` with shared values.
 
-    Members of a bucket far from its median day leave it; what is left below ``least`` is no
-    campaign. A candidate's confidence is the mean of the edges among its members, a
-    membership's the largest of the member's own, else the candidate's; its year is the
-    commonest. A membership without an edge of its own is to be reviewed.
+    A campaign is what the edges of one bucket tie, less members far from its median day. Its
+    confidence is the mean of its edges, a membership's the largest of the member's own, else the
+    campaign's. Actors and flaws are those that two items of ``evidence`` (``key``, actors, cves;
+    the profiles, if none is given) attest, of actors at least the commonest. Waves of one actor
+    with fewer than WAVE_MEMBERS are dropped. Profiles may carry ``status`` (`open` counts as
+    confirmed, null as open) and ``review`` (true: by hand); others are evidence only.
     """
-    tied = bucket_components(found, key, kinds, least).join(found.select(F.col(key).alias("member"), "day"), "member").withColumn("bucket", F.concat_ws(":", "kind", "value"))
-    near = trim_to_median(tied, "bucket", "member", "day", window_days)
-    ends = edges.select(F.col("a").alias("member"), "b", "confidence").join(near.select("bucket", "member"), "member").join(near.select("bucket", F.col("member").alias("b")), ["bucket", "b"])
-    mean = ends.groupBy("bucket").agg(F.avg("confidence").alias("mean"))
-    each = ends.select("bucket", "member", "confidence").unionByName(ends.select("bucket", F.col("b").alias("member"), "confidence")).groupBy("bucket", "member").agg(F.max("confidence").alias("own"))
+    empty = F.array().cast("array<string>")
+    has = lambda c, other: F.coalesce(F.col(c), other) if c in found.columns else other
+    own = found.select(F.col(key).alias("member"), "day", *[has(c, empty).alias(c) for c in SETS], has("status", F.lit("open")).alias("status"), has("review", F.lit(False)).alias("review"))
+    items = own if evidence is None else evidence.select(F.col(key).alias("member"), *[F.coalesce(F.col(c), empty).alias(c) if c in evidence.columns else empty.alias(c) for c in ("actors", "cves")])
+    bucketed = keep(bucket_edges(edges), "bucket-edges")
+    tied = bucket_components(bucketed).join(grows(own.select("member", "day", "platforms", "vendors", "categories", "status", "review")), "member")
+    wide = tied.groupBy("component").agg(F.max(window_days(F.col("platforms"), platforms)).alias("window"))
+    members = keep(coherent(tied.join(grows(wide), "component"), "window"), "campaign-members")
+    at = lambda end: members.select("component", "kind", "value", F.col("member").alias(end))
+    inside = keep(bucketed.join(grows(at("a")), ["kind", "value", "a"]).join(grows(at("b")), ["component", "kind", "value", "b"]).select("component", "a", "b", "confidence"), "campaign-inside")
+    thousandths = F.sum(F.round(F.col("confidence") * 1000).cast("long"))  # whole numbers, so that no order of adding shows
+    mean = inside.groupBy("component").agg((F.floor((2 * thousandths + F.count("*")) / (2 * F.count("*"))) / 1000).alias("mean"))
+    each = inside.select("component", F.col("a").alias("member"), "confidence").union(inside.select("component", "b", "confidence")).groupBy("component", "member").agg(F.max("confidence").alias("own"))
+    confirmed = (F.col("status") == "open") & ~F.col("review")
     # A campaign's id names its members, so their list is gathered per campaign, ids alone.
-    size = near.groupBy("bucket").agg(F.count("*").alias("n"), F.array_sort(F.collect_set(F.col("member").cast("string"))).alias("ids"), F.min("day").alias("first_seen"), F.max("day").alias("last_seen"), F.first("kind").alias("kind"), F.first("value").alias("value")).where(F.col("n") >= least)
-    years = dominant_year(near, ["bucket"], "day")
-    name = F.concat_ws(" ", F.initcap("value"), F.col("year").cast("string"))
-    candidates = size.join(mean, "bucket").join(years, "bucket", "left").select(campaign_id(F.col("value"), F.col("ids")).alias("campaign_id"), name.alias("name"), "bucket", "kind", "value", F.col("n").alias("members"), "first_seen", "last_seen", "year", F.round("mean", 3).alias("confidence"))
-    placed = near.join(candidates.select("bucket", "campaign_id", "confidence"), "bucket").join(each, ["bucket", "member"], "left")
-    memberships = placed.select("campaign_id", "member", F.when(F.col("own").isNull(), "needs_review").otherwise("member").alias("role"), F.round(F.coalesce("own", "confidence"), 3).alias("confidence"), "day")
-    return candidates, memberships
-
-
-def families(memberships: DataFrame, least_shared: int = 3, least_jaccard: float = 0.5) -> DataFrame:
-    """Rows (campaign_id, family): campaigns whose members overlap by number and by Jaccard, tied in chains."""
+    size = members.groupBy("component", "kind", "value").agg(F.count("*").alias("member_count"), F.count_if(confirmed).alias("confirmed_member_count"), F.min("day").alias("first_seen"), F.max("day").alias("last_seen"), F.collect_set(F.col("member").cast("string")).alias("ids"))
+    rows = size.join(mean, "component", "left").join(dominant_year(members, ["component"], "day"), "component", "left")
+    for values in ("platforms", "vendors", "names", "categories"):
+        rows = rows.join(grows(top_values(members, own, "member", values)), "component", "left")
+    rows = rows.join(grows(evidence_consensus(members, items, "member", "actors", keep_first=True)), "component", "left").join(grows(evidence_consensus(members, items, "member", "cves")), "component", "left")
+    lists = {c: F.when(F.col("kind") == CARRY.get(c, ""), F.array("value")).otherwise(F.coalesce(c, empty)) for c in ("platforms", "vendors", "names", "categories", "actors", "cves") if c != "vendors"}
+    lists["vendors"] = F.coalesce("vendors", empty)
+    typed = F.coalesce(*[F.when(F.col("kind") == k, t) for k, t in TYPES.items()], *[F.when(F.col("value") == p, t) for p, (_, t) in (platforms or {}).items()], F.when(F.size("cves") > 0, "mass_exploitation"), F.when(F.size("actors") > 0, "actor_activity_wave"), F.lit("same_campaign"))
+    title = F.create_map(*[F.lit(x) for pair in TITLES.items() for x in pair])
+    name = F.when(F.col("kind") == "campaign_name", F.col("value")).otherwise(F.concat_ws(" ", "value", F.col("year").cast("string"), F.try_element_at(title, F.col("kind"))))
+    named = rows.withColumns(lists).withColumn("campaign_type", typed).withColumn("campaign_name", name)
+    candidates = keep(
+        named.where((F.col("campaign_type") != TYPES["actor"]) | (F.col("member_count") >= WAVE_MEMBERS)).select(
+            "component", campaign_id(F.col("campaign_name"), F.col("ids")).alias("campaign_id"), "campaign_name", "campaign_type", "kind", "value", "first_seen", "last_seen", "year", *lists, "member_count", "confirmed_member_count",
+            (F.col("member_count") - F.col("confirmed_member_count")).alias("evidence_only_member_count"), F.coalesce("mean", F.lit(0.0)).alias("confidence"),
+        ), "campaigns",
+    )
+    placed = members.join(grows(candidates.select("component", "campaign_id", F.col("confidence").alias("mean"))), "component").join(grows(each), ["component", "member"], "left")
+    of_supply = F.arrays_overlap("categories", F.array(*[F.lit(c) for c in supply_categories]).cast("array<string>")) if supply_categories else F.lit(False)
+    via_vendor = (F.size("platforms") > 0) & (of_supply | (F.size("vendors") > 0))
+    role = F.when(~confirmed, "needs_review").when(via_vendor, "affected_via_vendor").otherwise("direct_victim")
+    review = F.when(F.col("status") != "open", "excluded_evidence_only").when(F.col("review"), "manual_review_required").otherwise("candidate_unreviewed")
+    memberships = placed.select("campaign_id", "member", role.alias("role"), F.coalesce("own", "mean").alias("confidence"), review.alias("review_status"), "day")
+    return candidates.drop("component"), memberships
+
+
+def overlapping(memberships: DataFrame, least_shared: int = 3, least_jaccard: float = 0.5) -> DataFrame:
+    """Pairs (a, b) of campaigns whose members overlap by number and by Jaccard.
+
+    Sets that overlap so much share one of the rarest members of each, all but the part that may be
+    missing; only these make pairs, and pairs are verified on all members.
+    """
     own = memberships.select("campaign_id", "member").distinct()
-    size = own.groupBy("campaign_id").agg(F.count("*").alias("n"))
-    pairs = own.withColumnRenamed("campaign_id", "a").join(own.withColumnRenamed("campaign_id", "b"), "member").where("a < b").groupBy("a", "b").agg(F.count("*").alias("both"))
-    near = pairs.join(size.toDF("a", "an"), "a").join(size.toDF("b", "bn"), "b").where((F.col("both") >= least_shared) & (F.col("both") / (F.col("an") + F.col("bn") - F.col("both")) >= least_jaccard))
-    number = size.select("campaign_id", F.xxhash64("campaign_id").alias("id"))
-    edges = near.join(number.toDF("a", "x"), "a").join(number.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    size = own.groupBy("campaign_id").agg(F.count("*").alias("n")).where(F.col("n") >= least_shared)
+    often = own.groupBy("member").agg(F.count("*").alias("rows"))
+    nth = F.row_number().over(Window.partitionBy("campaign_id").orderBy("rows", "member"))
+    rare = own.join(grows(size), "campaign_id").join(grows(often), "member").withColumn("nth", nth).where(F.col("nth") <= F.col("n") - F.greatest(F.ceil(F.col("n") * least_jaccard - 1e-9), F.lit(least_shared)) + 1)
+    side = lambda end: rare.select("member", F.col("campaign_id").alias(end), F.col("n").alias(f"{end}n"))
+    met = side("a").join(grows(side("b")), "member").where((F.col("a") < F.col("b")) & (F.least("an", "bn") >= F.greatest("an", "bn") * least_jaccard - 1e-9)).select("a", "b", "an", "bn").distinct()
+    shared = met.join(grows(own.select(F.col("campaign_id").alias("a"), "member")), "a").join(grows(own.select(F.col("campaign_id").alias("b"), "member")), ["b", "member"]).groupBy("a", "b", "an", "bn").agg(F.count("*").alias("both"))
+    return shared.where((F.col("both") >= least_shared) & (F.col("both") / (F.col("an") + F.col("bn") - F.col("both")) >= least_jaccard)).select("a", "b")
+
+
+def families(memberships: DataFrame, least_shared: int = 3, least_jaccard: float = 0.5, ties: DataFrame | None = None) -> DataFrame:
+    """Rows (campaign_id, family): campaigns tied in chains by overlap and by ``ties`` (a, b); family is the chain's smallest number."""
+    number = keep(memberships.select("campaign_id").distinct().withColumn("id", F.monotonically_increasing_id()), "campaign-numbers")
+    near = overlapping(memberships, least_shared, least_jaccard)
+    near = near if ties is None else near.unionByName(ties.select("a", "b"))
+    edges = near.join(grows(number.toDF("a", "x")), "a").join(grows(number.toDF("b", "y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     labels = connected_components(edges)
-    return number.join(labels.withColumnRenamed("node", "id"), "id", "left").select("campaign_id", F.coalesce("label", "id").alias("family"))
+    return number.join(grows(labels.withColumnRenamed("node", "id")), "id", "left").select("campaign_id", F.coalesce("label", "id").alias("family"))
+
+
+def assign_families(candidates: DataFrame, memberships: DataFrame, least_shared: int = 3, least_jaccard: float = 0.5) -> DataFrame:
+    """``candidates`` with family_id, related_campaign_ids and is_primary_in_family.
+
+    Campaigns are one family when their first actors are the same in the year that they were first
+    seen, or when their members overlap. A family's id is a hash over its campaigns; primary is
+    the one with most members, then the highest confidence, then the last id.
+    """
+    actor = F.trim(F.regexp_replace(F.lower(F.get("actors", F.lit(0))), "[^a-z0-9]+", " "))
+    keyed = candidates.select("campaign_id", actor.alias("actor"), F.coalesce(F.year("first_seen"), F.lit(0)).alias("seen")).where("actor <> ''")
+    ties = chain_edges(keyed.withColumn("key", F.concat_ws("|", "actor", "seen")), "campaign_id", "key")
+    tied = families(candidates.select("campaign_id", F.col("campaign_id").alias("member")).unionByName(memberships.select("campaign_id", F.col("member").cast("string"))), least_shared, least_jaccard, ties)
+    ranked = candidates.join(grows(tied), "campaign_id")
+    whole = ranked.groupBy("family").agg(F.array_sort(F.collect_list("campaign_id")).alias("ids"), F.max(F.struct("member_count", "confidence", "campaign_id"))["campaign_id"].alias("first"))
+    named = ranked.join(grows(whole), "family")
+    return named.select(*candidates.columns, F.concat(F.lit("family_"), F.left(F.sha1(F.array_join("ids", "|")), F.lit(10))).alias("family_id"), F.array_except("ids", F.array("campaign_id")).alias("related_campaign_ids"), (F.col("campaign_id") == F.col("first")).alias("is_primary_in_family"))
 
 
 def review_packets(candidates: DataFrame, memberships: DataFrame, most: int = 25) -> DataFrame:
     """One JSON packet per campaign with its first ``most`` members by day."""
     placed = memberships.withColumn("nth", F.row_number().over(Window.partitionBy("campaign_id").orderBy(F.asc_nulls_last("day"), "member"))).where(F.col("nth") <= most)
     rows = placed.groupBy("campaign_id").agg(F.array_sort(F.collect_list(F.struct("nth", "member", "role", F.col("day").cast("string").alias("day")))).alias("sample"))
-    return candidates.join(rows, "campaign_id").select("campaign_id", F.to_json(F.struct("campaign_id", "name", "confidence", F.col("members").alias("member_count"), "sample")).alias("packet"))
+    return candidates.join(rows, "campaign_id").select("campaign_id", F.to_json(F.struct("campaign_id", "campaign_name", "confidence", "member_count", "sample")).alias("packet"))
 
 
 def signatures(candidates: DataFrame, least: int = 2, confidence: float = 0.65) -> DataFrame:
     """YAML text of the candidates that are large and sure enough."""
-    return candidates.where((F.col("members") >= least) & (F.col("confidence") >= confidence)).select("campaign_id", F.format_string("id: %s\nname: %s\nkind: %s\nvalue: %s\nmembers: %d\n", "campaign_id", "name", "kind", "value", "members").alias("yaml"))
+    quoted = lambda c: F.to_json(F.col(c))
+    terms = F.to_json(F.array_distinct(F.concat("vendors", "platforms", "actors", "cves", "names")))
+    day = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
+    text = F.concat_ws("\n", F.concat(F.lit("- campaign_id: "), "campaign_id"), F.concat(F.lit("  campaign_name: "), F.get_json_object(F.to_json(F.struct(F.array("campaign_name").alias("n"))), "$.n")), F.concat(F.lit("  campaign_type: "), "campaign_type"), F.concat(F.lit("  confidence: "), F.col("confidence").cast("string")),
+                       F.concat(F.lit("  date_window: ["), day("first_seen"), F.lit(", "), day("last_seen"), F.lit("]")), F.concat(F.lit("  required_any_terms: "), terms), *[F.concat(F.lit(f"  {c}: "), quoted(c)) for c in ("vendors", "platforms", "actors", "cves", "names")])
+    return candidates.where((F.col("member_count") >= least) & (F.col("confidence") >= confidence)).select("campaign_id", text.alias("yaml"))
 
 
 def drop_stale(stored: DataFrame, fresh: DataFrame) -> DataFrame:

@@ -97,26 +97,80 @@ def campaign_edges(spark, sf_dir):
     return campaigns.campaign_edges(_profiles(spark, sf_dir), "o_orderkey").withColumn("gap_days", F.col("gap_days").cast("long"))
 
 
+def _waves(spark, sf_dir):
+    """Every order as an incident whose customer is, by thirds, a platform, a vendor or an actor."""
+    third = lambda k: F.when(F.col("o_custkey") % 3 == k, F.array(F.concat(F.lit("c"), F.col("o_custkey")))).otherwise(F.array().cast("array<string>"))
+    return read(spark, sf_dir, "orders").select(
+        "o_orderkey", F.to_date("o_orderdate").alias("day"), third(0).alias("platforms"), third(1).alias("vendors"), third(2).alias("actors"), F.array("o_orderpriority").alias("families"), F.array("o_orderstatus").alias("categories"),
+        F.when(F.col("o_orderstatus") == "F", "closed").otherwise("open").alias("status"), (F.col("o_totalprice") > 400000).alias("review"),
+    )
+
+
+def _campaigns(spark, sf_dir):
+    found = _waves(spark, sf_dir)
+    edges = keep(campaigns.campaign_edges(found, "o_orderkey", SUPPLY, shared=True), "campaign-edges")
+    return campaigns.campaigns(found, "o_orderkey", edges, supply_categories=SUPPLY)
+
+
+SUPPLY = ("P",)
+#: Edges, their components by a closure of each customer's own, members near the median day, and campaigns of them.
+CAMPAIGN_SQL = """
+    WITH RECURSIVE o AS (SELECT o_orderkey AS o, o_custkey AS c, o_custkey % 3 AS k, o_orderdate::DATE AS day, o_orderpriority AS prio, o_orderstatus AS status, o_orderstatus <> 'F' AND o_totalprice <= 400000 AS sure, o_totalprice > 400000 AS review FROM orders),
+    p AS (SELECT x.o AS a, y.o AS b, x.c, x.k, abs(x.day - y.day) AS gap, x.prio = y.prio AS prio, x.status = y.status AS status, x.status = 'P' AND y.status = 'P' AS supply,
+          CASE WHEN abs(x.day - y.day) <= 14 THEN 0.25 WHEN abs(x.day - y.day) <= 45 THEN 0.2 WHEN abs(x.day - y.day) <= 120 THEN 0.15 WHEN abs(x.day - y.day) <= 365 THEN 0.08 ELSE 0 END::DOUBLE AS near FROM o x JOIN o y ON x.c = y.c AND x.o < y.o),
+    s AS (SELECT *, round(CASE WHEN k = 0 AND gap <= 120 THEN 0.45::DOUBLE + near WHEN k = 1 AND gap <= 180 THEN 0.45::DOUBLE + near WHEN k = 2 AND near >= 0.15 THEN 0.35::DOUBLE + near ELSE 0 END
+          + CASE WHEN prio AND near >= 0.15 THEN 0.25::DOUBLE + near ELSE 0 END + CASE WHEN k = 0 AND supply THEN 0.12::DOUBLE WHEN k = 2 AND status THEN 0.08::DOUBLE ELSE 0 END, 6) AS score FROM p),
+    e AS MATERIALIZED (SELECT a, b, c, k, round(least(score, 1.0), 3) AS confidence FROM s WHERE score >= 0.55),
+    n AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r(a, b) AS (SELECT a, b FROM n UNION SELECT r.a, n.b FROM r JOIN n ON r.b = n.a),
+    t AS MATERIALIZED (SELECT r.a AS member, min(r.b) AS comp, any_value(c) AS c, any_value(k) AS k, any_value(day) AS day, any_value(status) AS status, any_value(sure) AS sure, any_value(review) AS review FROM r JOIN o ON o.o = r.a GROUP BY 1),
+    m AS (SELECT comp, day AS middle FROM t QUALIFY row_number() OVER (PARTITION BY comp ORDER BY day) = count(*) OVER (PARTITION BY comp) // 2 + 1 AND count(*) OVER (PARTITION BY comp) >= 3),
+    w AS (SELECT t.*, coalesce(abs(t.day - middle) <= 120, TRUE) AS near FROM t LEFT JOIN m USING (comp)),
+    x AS MATERIALIZED (SELECT * FROM w QUALIFY near OR count_if(near) OVER (PARTITION BY comp) < 2),
+    i AS MATERIALIZED (SELECT u.comp, e.a, e.b, e.confidence FROM e JOIN x u ON u.member = e.a JOIN x v ON v.member = e.b AND u.comp = v.comp),
+    y AS (SELECT comp, year(day) AS year FROM x GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY comp ORDER BY count(*) DESC, year(day) DESC) = 1),
+    g AS (SELECT comp, any_value(c) AS c, any_value(k) AS k, count(*) AS member_count, count_if(sure)::BIGINT AS confirmed_member_count, min(day) AS first_seen, max(day) AS last_seen, string_agg(member::VARCHAR, '|' ORDER BY member::VARCHAR) AS ids FROM x GROUP BY 1),
+    z AS (SELECT comp, ((2 * sum(round(confidence * 1000)::BIGINT) + count(*)) // (2 * count(*))) / 1000 AS mean FROM i GROUP BY 1),
+    f AS MATERIALIZED (SELECT g.*, year::INTEGER AS year, 'c' || c || ' ' || year || CASE k WHEN 2 THEN ' education activity wave' ELSE ' education impact' END AS campaign_name, ['same_campaign', 'shared_vendor_incident', 'actor_activity_wave'][k + 1] AS campaign_type, coalesce(mean, 0) AS mean
+          FROM g JOIN y USING (comp) LEFT JOIN z USING (comp) WHERE k <> 2 OR member_count >= 3),
+    final AS MATERIALIZED (SELECT *, 'campaign_' || left(regexp_replace(lower(campaign_name), '[^a-z0-9]+', '-', 'g'), 48) || '_' || left(sha1(ids), 10) AS campaign_id FROM f)
+"""
+
+
+@query("campaign_groups", CAMPAIGN_SQL + "SELECT campaign_id, campaign_name, campaign_type, member_count, confirmed_member_count, member_count - confirmed_member_count AS evidence_only_member_count, first_seen, last_seen, year, CASE k WHEN 2 THEN 'c' || c ELSE '' END AS actors, mean AS confidence FROM final")
+def campaign_groups(spark, sf_dir):
+    """Campaigns of the orders that edges tie, less those far from the median day, with names, types and counts."""
+    candidates, _ = _campaigns(spark, sf_dir)
+    return candidates.select("campaign_id", "campaign_name", "campaign_type", "member_count", "confirmed_member_count", "evidence_only_member_count", "first_seen", "last_seen", "year", F.array_join("actors", "|").alias("actors"), "confidence")
+
+
 @query(
-    "campaign_groups",
-    f"""
-    WITH edges AS ({EDGE_SQL}),
-    b AS (SELECT o_custkey AS v, o_orderkey AS member, o_orderdate::DATE AS day FROM orders WHERE o_custkey IN (SELECT o_custkey FROM orders GROUP BY 1 HAVING count(*) >= 2)),
-    r AS (SELECT *, row_number() OVER (PARTITION BY v ORDER BY day, member) AS nth, count(*) OVER (PARTITION BY v) AS total FROM b),
-    m AS (SELECT v, day AS middle FROM r WHERE nth = total // 2 + 1 AND total >= 3),
-    k AS (SELECT b.* FROM b LEFT JOIN m USING (v) WHERE middle IS NULL OR abs(b.day - middle) <= 120),
-    z AS (SELECT v, count(*) AS members, min(day) AS first_seen, max(day) AS last_seen FROM k GROUP BY 1 HAVING count(*) >= 2),
-    c AS (SELECT x.v, avg(confidence) AS mean FROM edges JOIN k x ON x.member = edges.a JOIN k y ON y.member = edges.b AND x.v = y.v GROUP BY 1),
-    y AS (SELECT v, year(day) AS year FROM k GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY v ORDER BY count(*) DESC, year(day) DESC) = 1)
-    SELECT CAST(z.v AS VARCHAR) AS value, members, first_seen, last_seen, CAST(year AS INTEGER) AS year, round(mean, 3) AS confidence FROM z JOIN c USING (v) JOIN y USING (v)
+    "campaign_roles",
+    CAMPAIGN_SQL
+    + """
+    , own AS (SELECT comp, member, max(confidence) AS own FROM (SELECT comp, a AS member, confidence FROM i UNION ALL SELECT comp, b, confidence FROM i) GROUP BY 1, 2)
+    SELECT campaign_id, x.member, CASE WHEN NOT x.sure THEN 'needs_review' WHEN x.k = 0 AND x.status = 'P' THEN 'affected_via_vendor' ELSE 'direct_victim' END AS role, coalesce(own, mean) AS confidence,
+    CASE WHEN x.status = 'F' THEN 'excluded_evidence_only' WHEN x.review THEN 'manual_review_required' ELSE 'candidate_unreviewed' END AS review_status
+    FROM final JOIN x USING (comp) LEFT JOIN own ON own.comp = x.comp AND own.member = x.member
     """,
 )
-def campaign_groups(spark, sf_dir):
-    """Campaigns of the customers' orders: near their median day, with the mean of their edges."""
-    found = _profiles(spark, sf_dir)
-    edges = keep(campaigns.campaign_edges(found, "o_orderkey"), "campaign-edges")
-    candidates, _ = campaigns.campaigns(found, "o_orderkey", ["cves"], edges)
-    return candidates.select("value", "members", "first_seen", "last_seen", "year", "confidence")
+def campaign_roles(spark, sf_dir):
+    """Members of the campaigns with their part in it and what is to be reviewed."""
+    return _campaigns(spark, sf_dir)[1].drop("day")
+
+
+@query(
+    "campaign_family_ids",
+    CAMPAIGN_SQL
+    + """
+    , a AS (SELECT *, CASE k WHEN 2 THEN c || '|' || year(first_seen) ELSE campaign_id END AS fam FROM final),
+    h AS (SELECT fam, 'family_' || left(sha1(string_agg(campaign_id, '|' ORDER BY campaign_id)), 10) AS family_id, count(*) - 1 AS related FROM a GROUP BY 1)
+    SELECT campaign_id, family_id, related, row_number() OVER (PARTITION BY fam ORDER BY member_count DESC, mean DESC, campaign_id DESC) = 1 AS is_primary_in_family FROM a JOIN h USING (fam)
+    """,
+)
+def campaign_family_ids(spark, sf_dir):
+    """Families of the campaigns: waves of one actor in one year, or overlapping members; and the first of each."""
+    named = campaigns.assign_families(*_campaigns(spark, sf_dir))
+    return named.select("campaign_id", "family_id", F.size("related_campaign_ids").cast("long").alias("related"), "is_primary_in_family")
 
 
 def _sql(x) -> str:

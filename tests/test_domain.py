@@ -105,12 +105,12 @@ def test_campaigns(spark):
     base = D(2024, 1, 1)
     rows = [(k, ["moveit"], ["cve-x"] if k < 3 else [], base + datetime.timedelta(days=k), 1 + k % 2) for k in range(5)] + [(9, ["moveit"], [], base + datetime.timedelta(days=900), 1), (10, ["other"], [], base, 1)]
     found = spark.createDataFrame(rows, "id long, platforms array<string>, cves array<string>, day date, items int")
-    edges = campaigns.campaign_edges(found, "id")
-    candidates, members = campaigns.campaigns(found, "id", ["platforms", "cves"], edges)
+    edges = campaigns.campaign_edges(found, "id", shared=True)
+    candidates, members = campaigns.campaigns(found, "id", edges)
     by = {r.value: r for r in candidates.collect()}
-    assert set(by) == {"moveit", "cve-x"} and by["moveit"].members == 5 and by["moveit"].year == 2024
+    assert set(by) == {"moveit", "cve-x"} and by["moveit"].member_count == 5 and by["moveit"].year == 2024
     assert 9 not in {r.member for r in members.collect()}
-    again, _ = campaigns.campaigns(found, "id", ["platforms", "cves"], edges)
+    again, _ = campaigns.campaigns(found, "id", edges)
     assert {r.campaign_id for r in again.collect()} == {r.campaign_id for r in candidates.collect()}
     tied = {r.campaign_id: r.family for r in campaigns.families(members).collect()}
     assert len(set(tied.values())) == 1
