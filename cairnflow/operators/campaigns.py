@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -297,6 +299,49 @@ def signatures(candidates: DataFrame, least: int = 2, confidence: float = 0.65)
     return candidates.where((F.col("member_count") >= least) & (F.col("confidence") >= confidence)).select("campaign_id", text.alias("yaml"))
 
 
+def chain_graph(candidates: DataFrame, evidence: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(nodes, edges) of each campaign, left to right: assets, flaws, actors.
+
+    ``candidates``: campaign_id with arrays platforms, vendors, cves, actors; ``evidence``: campaign_id,
+    ``key`` of the incident and arrays platforms, cves, actors, of which only the campaign's own
+    count. An incident ties its platforms to its flaws (`has_vuln`) and these to its actors (`exploited_by`), or
+    without flaws its platforms to its actors (`targeted_by`); flaws and actors that nothing leads to descend from
+    the first asset. nodes: campaign_id, node, type, label, size, layer; edges: campaign_id, source,
+    target, relation.
+    """
+    node = lambda kind, c: node_of(F.lit(kind), c)
+    layers = (("platforms", "platform", 0), ("vendors", "vendor", 0), ("cves", "cve", 1), ("actors", "actor", 2))
+    listed = [candidates.select("campaign_id", F.posexplode(c).alias("nth", "label"), F.lit(kind).alias("type"), F.lit(layer).alias("layer")) for c, kind, layer in layers]
+    nodes = reduce(DataFrame.unionByName, listed).withColumn("node", node_of(F.col("type"), F.col("label")))
+    own = evidence.join(candidates.select("campaign_id", *[F.col(c).alias(f"__{c}") for c in ("platforms", "cves", "actors")]), "campaign_id")
+    met = own.select("campaign_id", F.col(key).alias("incident"), *[F.explode_outer(F.array_intersect(F.coalesce(c, F.array().cast("array<string>")), f"__{c}")).alias(c[:-1]) for c in ("platforms",)], *[F.array_intersect(F.coalesce(c, F.array().cast("array<string>")), f"__{c}").alias(c) for c in ("cves", "actors")])
+    # What one incident says is gathered from all its items first.
+    said = met.groupBy("campaign_id", "incident").agg(F.collect_set("platform").alias("platforms"), F.array_distinct(F.flatten(F.collect_list("cves"))).alias("cves"), F.array_distinct(F.flatten(F.collect_list("actors"))).alias("actors"))
+    pair = lambda rows, a, ak, b, bk, relation: rows.select("campaign_id", F.explode(a).alias("x"), F.col(b).alias("ys")).select("campaign_id", "x", F.explode("ys").alias("y")).select("campaign_id", node(ak, F.col("x")).alias("source"), node(bk, F.col("y")).alias("target"), F.lit(relation).alias("relation"))
+    drawn = pair(said, "platforms", "platform", "cves", "cve", "has_vuln").union(pair(said, "cves", "cve", "actors", "actor", "exploited_by")).union(pair(said.where(F.size("cves") == 0), "platforms", "platform", "actors", "actor", "targeted_by")).distinct()
+    first = nodes.where("layer = 0").groupBy("campaign_id").agg(F.min_by("node", F.struct((F.col("type") == "vendor").alias("v"), "nth")).alias("source"))
+    orphans = nodes.where("layer > 0").join(drawn.select("campaign_id", F.col("target").alias("node")).distinct(), ["campaign_id", "node"], "left_anti")
+    fallen = orphans.join(first, "campaign_id").select("campaign_id", "source", F.col("node").alias("target"), F.when(F.col("layer") == 1, "has_vuln").otherwise("targeted_by").alias("relation"))
+    often = own.select("campaign_id", F.explode("actors").alias("label")).groupBy("campaign_id", "label").agg(F.count("*").alias("n"))
+    size = F.when(F.col("type") == "platform", 24).when(F.col("type") == "vendor", 22).when(F.col("type") == "cve", 18).otherwise(F.greatest(F.lit(18), F.least(F.lit(30), 14 + F.coalesce("n", F.lit(0)))))
+    return nodes.join(often.withColumn("type", F.lit("actor")), ["campaign_id", "type", "label"], "left").select("campaign_id", "node", "type", "label", size.cast("int").alias("size"), "layer"), drawn.union(fallen)
+
+
+def node_of(kind: Column, label: Column) -> Column:
+    return F.concat_ws(":", kind, F.lower(label))
+
+
+def victim_groups(candidates: DataFrame, memberships: DataFrame, evidence: DataFrame, key: str, most: int = 25) -> DataFrame:
+    """(campaign_id, group, via, count, first): members by the first of the campaign's platforms that hit them, else vendor, else `direct`; ``first`` are ``most`` of them."""
+    own = evidence.join(candidates.select("campaign_id", *[F.col(c).alias(f"__{c}") for c in ("platforms", "vendors")]), "campaign_id")
+    hit = own.groupBy("campaign_id", F.col(key).alias("member")).agg(*[F.array_min(F.array_distinct(F.flatten(F.collect_list(F.array_intersect(F.coalesce(c, F.array().cast("array<string>")), f"__{c}"))))).alias(c[:-1]) for c in ("platforms", "vendors")])
+    placed = memberships.select("campaign_id", "member").distinct().join(hit, ["campaign_id", "member"], "left").withColumn("via", F.when(F.col("platform").isNotNull(), "platform").when(F.col("vendor").isNotNull(), "vendor").otherwise("direct"))
+    grouped = placed.withColumn("group", F.coalesce(F.concat(F.lit("platform:"), F.lower("platform")), F.concat(F.lit("vendor:"), F.lower("vendor")), F.lit("direct")))
+    nth = F.row_number().over(Window.partitionBy("campaign_id", "group").orderBy("member"))
+    few = grouped.withColumn("nth", nth).where(F.col("nth") <= most).groupBy("campaign_id", "group").agg(F.array_sort(F.collect_list("member")).alias("first"))
+    return grouped.groupBy("campaign_id", "group", "via").agg(F.count("*").alias("count")).join(few, ["campaign_id", "group"])
+
+
 def drop_stale(stored: DataFrame, fresh: DataFrame) -> DataFrame:
     """Stored campaigns without the candidates that were not made again; reviewed ones stay."""
     again = fresh.select("campaign_id", F.lit(True).alias("__again")).distinct()
