@@ -36,6 +36,8 @@ BUCKETS = 1 << 16
 #: Languages up to which the sample's edges are broadcast, and words that a worker remembers.
 FEW_LANGS = 10_000
 REMEMBER = 250_000
+#: Texts whose words are labelled side by side.
+AT_ONCE = 200
 UNKNOWN = "und"
 _WORD = r"[^\W\d_]+"
 _RUNS = T.ArrayType(T.StructType().add("lang", T.StringType()).add("words", T.IntegerType()))
@@ -257,7 +259,7 @@ def label_languages(df: DataFrame, model: dict | None, text: str = "text") -> Da
         if model and model["id"] not in store:
             store.clear()
             store[model["id"]] = _Scores(model)
-        for batch in batches:
+        for batch in (b.slice(k, AT_ONCE) for b in batches for k in range(0, b.num_rows, AT_ONCE)):
             n = batch.num_rows
             pred, score, runs = [UNKNOWN] * n, np.zeros(n), pa.array([[]] * n, pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int32())])))
             if model and n:
