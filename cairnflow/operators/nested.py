@@ -49,28 +49,28 @@ def merged_leaves(found: DataFrame, key: str, rank: str, source: str) -> DataFra
     preferred one decides. ``sources`` are those that gave what is kept.
     """
     order = F.struct(F.col(rank), F.col(source))
-    ranked = shared.keep(found.select(key, "path", "kind", "value", source, order.alias("o")), "leaves")  # read several times
-    best = ranked.groupBy(key, "path").agg(F.min("o").alias("first"), F.min_by("kind", "o").alias("own"))
-    above = best.where(F.size(F.split("path", r"\.")) > 1).select(key, F.explode(_parents(F.col("path"))).alias("path"), F.col("path").alias("below"), F.col("first").alias("deep"))
+    ranked = shared.keep(found.select(key, "path", "kind", "value", source, order.alias("__o")), "leaves")  # read several times
+    best = ranked.groupBy(key, "path").agg(F.min("__o").alias("__first"), F.min_by("kind", "__o").alias("__own"))
+    above = best.where(F.size(F.split("path", r"\.")) > 1).select(key, F.explode(_parents(F.col("path"))).alias("path"), F.col("path").alias("__below"), F.col("__first").alias("__deep"))
     met = above.join(best, [key, "path"])
-    lost = met.where(F.col("deep") < F.col("first")).select(key, "path").union(met.where(F.col("deep") >= F.col("first")).select(key, "below")).distinct()
-    kept = ranked.join(best.join(lost, [key, "path"], "left_anti"), [key, "path"]).where(F.col("kind") == F.col("own"))
-    values = kept.where("own = 'value'").groupBy(key, "path").agg(F.min_by("value", "o").alias("value"), F.array(F.min_by(source, "o")).alias("sources"))
+    lost = met.where(F.col("__deep") < F.col("__first")).select(key, "path").union(met.where(F.col("__deep") >= F.col("__first")).select(key, "__below")).distinct()
+    kept = ranked.join(best.join(lost, [key, "path"], "left_anti"), [key, "path"]).where(F.col("kind") == F.col("__own"))
+    values = kept.where("__own = 'value'").groupBy(key, "path").agg(F.min_by("value", "__o").alias("value"), F.array(F.min_by(source, "__o")).alias("sources"))
     texts = lambda c: F.transform(F.from_json(c, "array<variant>"), lambda v: F.to_json(v))
-    items = F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("o", "value"))), lambda x: texts(x["value"]))))
-    lists = kept.where("own = 'list'").groupBy(key, "path").agg(F.concat(F.lit("["), F.array_join(items, ","), F.lit("]")).alias("value"), F.array_sort(F.collect_set(source)).alias("sources"))
+    items = F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("__o", "value"))), lambda x: texts(x["value"]))))
+    lists = kept.where("__own = 'list'").groupBy(key, "path").agg(F.concat(F.lit("["), F.array_join(items, ","), F.lit("]")).alias("value"), F.array_sort(F.collect_set(source)).alias("sources"))
     return values.unionByName(lists)
 
 
 def documents(leaf: DataFrame, key: str, levels: int = LEVELS) -> DataFrame:
     """(key, document): one JSON text of the leaves (key, path, value), built level by level from below; keys in order."""
-    at = leaf.select(key, F.split("path", r"\.").alias("p"), "value")
+    at = leaf.select(key, F.split("path", r"\.").alias("__p"), "value")
     for size in range(levels, 0, -1):
-        deep = at.where(F.size("p") == size)
-        named = deep.select(key, F.slice("p", 1, size - 1).alias("p"), F.element_at("p", -1).alias("k"), "value")
-        text = F.concat(F.expr("left(to_json(array(k)), length(to_json(array(k))) - 1)"), F.lit(":"), F.col("value"))
-        built = named.withColumn("t", F.substring(text, 2, 1 << 30)).groupBy(key, "p").agg(F.concat(F.lit("{"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "t"))), lambda x: x["t"]), ","), F.lit("}")).alias("value"))
-        at = at.where(F.size("p") < size).unionByName(built.select(key, "p", "value"))
+        deep = at.where(F.size("__p") == size)
+        named = deep.select(key, F.slice("__p", 1, size - 1).alias("__p"), F.element_at("__p", -1).alias("__k"), "value")
+        text = F.concat(F.expr("left(to_json(array(__k)), length(to_json(array(__k))) - 1)"), F.lit(":"), F.col("value"))
+        built = named.withColumn("__t", F.substring(text, 2, 1 << 30)).groupBy(key, "__p").agg(F.concat(F.lit("{"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__k", "__t"))), lambda x: x["__t"]), ","), F.lit("}")).alias("value"))
+        at = at.where(F.size("__p") < size).unionByName(built.select(key, "__p", "value"))
     return at.select(key, F.col("value").alias("document"))
 
 

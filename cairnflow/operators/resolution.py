@@ -14,6 +14,8 @@ SAME_COUNTRY, ONE_COUNTRY, OTHER_COUNTRY, SAME_CATEGORY, SAME_FAMILY, SAME_ACTOR
 LEAST, LEAST_ABROAD, URL_QUALITY = 95, 110, 85
 #: Families of attack categories by their prefix (fixed values).
 CATEGORY_FAMILIES = (("data_breach_", "data_compromise"), ("ransomware_", "data_compromise"), ("third_party", "vendor_compromise"), ("supply_chain", "vendor_compromise"))
+#: What follows a name when a part of it is meant: how the words after it start (fixed values).
+SUBUNITS = ("academy", "center", "centre", "college of ", "department of ", "faculty of ", "hospital", "institute of ", "laboratory", "labs", "library", "medical center", "medical school", "school of ")
 #: Part of a name's words that another must share to be alike.
 COVER = 0.6
 
@@ -24,6 +26,15 @@ def canonical_key(identity: Column, day: Column, country: Column, source_id: Col
     return F.left(F.sha2(F.concat_ws("|", F.coalesce(match_text(identity), F.lit("")), F.coalesce(day.cast("string"), F.lit("")), F.coalesce(F.upper(country), F.lit("")), F.coalesce(unsure, F.lit(""))), 256), F.lit(24))
 
 
+def _subunit(whole: Column, base: Column) -> Column:
+    """A name that goes on, after another, with a part of it: a library, a school of something."""
+    rest = F.substring(whole, F.length(base) + 2, F.length(whole))
+    starts = F.lit(False)
+    for suffix in SUBUNITS:
+        starts = starts | rest.startswith(suffix)
+    return (base != "") & whole.startswith(F.concat(base, F.lit(" "))) & starts
+
+
 def identity_quality(a: Column, b: Column) -> Column:
     """How surely two names mean one institution: 100 equal down to 85 alike, 0 not."""
     bare = lambda c: match_text(F.regexp_replace(c, r"\s+\([A-Za-z0-9&.\- ]{2,}\)\s*$", ""))
@@ -34,7 +45,7 @@ def identity_quality(a: Column, b: Column) -> Column:
         "bare": ((bare(a) == bare(b)) & (bare(a) != "")) | ((aw == bw) & (few > 0)),
         "acronym": (acronym(a) == bt) | (acronym(b) == at),
         "subset": (shared == few) & (few >= 2) & (few / many >= 0.7),
-        "subunit": (at.startswith(F.concat(bt, F.lit(" "))) | bt.startswith(F.concat(at, F.lit(" ")))) & (few >= 2),
+        "subunit": _subunit(at, bt) | _subunit(bt, at),
         "alike": jaccard(aw, bw) >= COVER,
     }
     out = F.lit(0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from types import ModuleType
 
-MODULES = ("breakdowns", "trends", "texts", "matches", "domain", "resolve", "records", "streams", "deep")
+MODULES = ("breakdowns", "trends", "texts", "matches", "domain", "resolve", "records", "streams", "deep", "sinks")
 
 
 def load() -> ModuleType:

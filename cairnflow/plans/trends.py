@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators.ranking import half_window_change, knee, latest_per_key, round_robin, running_share, top_per_group, trend, with_change
+from ..operators.ranking import half_window_change, knee, latest_per_key, round_robin, running_share, top_per_group, trend, upper_median, with_change
 from ..session import read
 from .catalog import query
 
@@ -143,11 +142,9 @@ def mode_of_group(spark, sf_dir):
     "upper_median",
     "SELECT c_mktsegment, c_custkey, c_acctbal FROM (SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal, c_custkey) AS nth, count(*) OVER (PARTITION BY c_mktsegment) AS total FROM customer) WHERE nth = total // 2 + 1",
 )
-def upper_median(spark, sf_dir):
+def upper_median_row(spark, sf_dir):
     """The upper middle row of each group, an element and not a mean."""
-    w = Window.partitionBy("c_mktsegment")
-    placed = read(spark, sf_dir, "customer").withColumn("nth", F.row_number().over(w.orderBy("c_acctbal", "c_custkey"))).withColumn("all", F.count("*").over(w))
-    return placed.where(F.col("nth") == F.floor(F.col("all") / 2) + 1).select("c_mktsegment", "c_custkey", "c_acctbal")
+    return upper_median(read(spark, sf_dir, "customer"), "c_mktsegment", "c_acctbal", "c_custkey").select("c_mktsegment", "c_custkey", "c_acctbal")
 
 
 @query(

@@ -60,8 +60,9 @@ def stix_relationships(pairs: DataFrame, kind: str, a_list: str, b_list: str) ->
 
 
 def prometheus(metrics: DataFrame) -> DataFrame:
-    """Lines of metric text from (name, label, value)."""
-    return metrics.select(F.format_string('%s{source="%s"} %s', "name", "label", F.col("value").cast("string")).alias("value"))
+    """Lines of metric text from (name, label, value); backslashes, quotes and line feeds of labels are escaped."""
+    label = F.replace(F.replace(F.replace("label", F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit("\n"), F.lit("\\n"))
+    return metrics.select(F.format_string('%s{source="%s"} %s', "name", label, F.col("value").cast("string")).alias("value"))
 
 
 def feed_items(spark, path: str, row_tag: str = "item") -> DataFrame:
