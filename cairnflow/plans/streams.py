@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..session import read as ev_read
 from ..sources.shared import new_path
 from ..streaming import events as ev
+from ..streaming import ingest as take
 from .catalog import query
 
 
@@ -77,3 +79,39 @@ def stream_upsert(spark, sf_dir):
     for _ in range(2):
         table = ev.merge_into(ev.event_stream(spark, sf_dir, "events", "ts", 1), "upserts", merge, out, checkpoint)
     return table.withColumn("last_ts", F.col("last_ts").cast("timestamp_ntz"))
+
+
+def _landed(spark, sf_dir):
+    """Events in three landings, some of the first coming with the last, and some of the second coming twice; all taken in."""
+    events = ev_read(spark, sf_dir, "events")
+    third = F.floor(F.col("event_id") * 3 / (events.agg(F.max("event_id")).first()[0] + 1))
+    rows = events.select("event_id", F.concat_ws("-", F.lit("u"), "user_id", F.to_date("ts").cast("string"), "event_type").alias("url"), F.concat(F.lit("user "), "user_id").alias("name"), F.col("ts").cast("timestamp").alias("ts"), third.alias("k"))
+    behind = (F.col("k") == 0) & (F.col("event_id") % 50 == 0)
+    again = (F.col("k") == 1) & (F.col("event_id") % 20 == 0)
+    base, landing = new_path(spark, "ingest"), new_path(spark, "landing")
+    for part in (rows.where((F.col("k") == 0) & ~behind), rows.where("k = 1"), rows.where((F.col("k") == 2) | behind | again)):
+        part.drop("k").write.mode("append").parquet(landing)
+        take.ingest(spark.readStream.schema("event_id long, url string, name string, ts timestamp").parquet(landing), base, "2 days")
+    return base
+
+
+_TAKEN = """
+    WITH r AS (SELECT *, event_id * 3 // (max(event_id) OVER () + 1) AS k FROM events),
+    a AS (SELECT *, CASE WHEN k = 0 AND event_id % 50 = 0 THEN 2 ELSE k END AS landing FROM r UNION ALL SELECT *, 2 FROM r WHERE k = 1 AND event_id % 20 = 0),
+    h AS (SELECT 1 AS landing, max(ts) AS high FROM a WHERE landing = 0 UNION ALL SELECT 2, max(ts) FROM a WHERE landing < 2),
+    l AS (SELECT a.*, coalesce(ts < high - INTERVAL 2 DAY, FALSE) AS late FROM a LEFT JOIN h USING (landing)),
+    t AS (SELECT event_id, min(landing) AS landing, any_value(ts) AS ts, any_value(user_id) AS user_id, any_value(event_type) AS event_type FROM l WHERE NOT late GROUP BY 1)
+"""
+
+
+@query("stream_ingest", _TAKEN + ", f AS (SELECT *, min(landing) OVER (PARTITION BY user_id, ts::DATE) AS born FROM t) SELECT min(event_id) FILTER (landing = born) AS incident_id, count(*) AS events, count(DISTINCT event_type) AS urls, min(ts) AS first_ts FROM f GROUP BY user_id, ts::DATE")
+def stream_ingest(spark, sf_dir):
+    """Incidents that three landings leave, merged by event, url, or name and day."""
+    return take.incidents(spark, _landed(spark, sf_dir)).withColumn("first_ts", F.col("first_ts").cast("timestamp_ntz"))
+
+
+@query("stream_late", _TAKEN + "SELECT event_id, ts, count(*) AS times FROM l WHERE late GROUP BY 1, 2")
+def stream_late(spark, sf_dir):
+    """Events that came later than the watermark allows, set aside."""
+    late = take.store(spark, _landed(spark, sf_dir), "late")
+    return late.groupBy("event_id", F.col("ts").cast("timestamp_ntz").alias("ts")).agg(F.count("*").alias("times"))
