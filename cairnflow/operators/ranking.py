@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import keep
+
 
 def page(df: DataFrame, order: list[Column], offset: int, limit: int) -> DataFrame:
     """One page under a total order; Spark keeps offset + limit rows of each task."""
@@ -43,10 +45,21 @@ def half_window_change(series: DataFrame, order: str, value: str, digits: int =
 
 
 def running_share(groups: DataFrame, by: list[str], order: list[Column], value: str, digits: int = 6) -> DataFrame:
-    """Counted groups with their running sum and its share of the whole, within ``by``."""
-    w = Window.partitionBy(*by)
-    run = F.sum(value).over(w.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    return groups.withColumn("running", run).withColumn("share", F.round(F.col("running") / F.sum(value).over(w), digits))
+    """Counted groups with their running sum and its share of the whole, within ``by``.
+
+    Without ``by`` the groups are parted by ranges of their order: each part runs its own sum, from
+    what the parts before it add up to, so that no task holds all. ``order`` tells all groups apart.
+    """
+    if by:
+        w = Window.partitionBy(*by)
+        run = F.sum(value).over(w.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+        return groups.withColumn("running", run).withColumn("share", F.round(F.col("running") / F.sum(value).over(w), digits))
+    placed = keep(groups.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), "ranges")
+    each = placed.groupBy("__part").agg(F.sum(value).alias("__own"))  # a row for each part
+    so_far = Window.partitionBy().orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = each.select("__part", F.coalesce(F.sum("__own").over(so_far), F.lit(0)).alias("__start"), F.sum("__own").over(Window.partitionBy()).alias("__all"))
+    run = F.col("__start") + F.sum(value).over(Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return placed.join(starts, "__part").withColumn("running", run).withColumn("share", F.round(F.col("running") / F.col("__all"), digits)).drop("__part", "__start", "__all")
 
 
 def knee(groups: DataFrame, by: list[str], order: list[Column], value: str, share: float = 0.95) -> DataFrame:

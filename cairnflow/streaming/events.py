@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.shared import new_path
 
+#: The column of a changed row's batch.
+BATCH = "__batch"
+
 
 def event_stream(spark: SparkSession, folder: str, name: str, time: str, files_a_trigger: int | None = None, closing: str | None = None) -> DataFrame:
     """A file stream of ``name``.parquet in ``folder``; ``time`` becomes a timestamp, as watermarks ask for.
@@ -32,14 +36,15 @@ def close(spark: SparkSession, folder: str, name: str, time: str, closing: str,
     spark.range(1).select(*[(F.lit(day) if f.name == time else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]).write.mode("append").parquet(closing)
 
 
-def _epochs(spark: SparkSession, base: str) -> list[int]:
-    """The finished batches of a folder, by their numbers."""
+def _epochs(spark: SparkSession, base: str, prefix: str = "") -> list[int]:
+    """The finished batches of a folder, by their numbers, which follow ``prefix`` in their names."""
     path = spark._jvm.org.apache.hadoop.fs.Path(base)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not files.exists(path):
         return []
-    done = [s.getPath() for s in files.listStatus(path) if s.getPath().getName().isdigit()]
-    return sorted(int(p.getName()) for p in done if files.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+    named = [s.getPath() for s in files.listStatus(path)]
+    done = [p for p in named if p.getName().startswith(prefix) and p.getName()[len(prefix) :].isdigit()]
+    return sorted(int(p.getName()[len(prefix) :]) for p in done if files.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
 
 
 def run(stream: DataFrame, mode: str, out: str, checkpoint: str, keys: list[str] | None = None) -> DataFrame:
@@ -55,17 +60,16 @@ def run(stream: DataFrame, mode: str, out: str, checkpoint: str, keys: list[str]
         return spark.read.schema(stream.schema).parquet(out)
 
     def changed(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/{epoch}")
+        batch.write.mode("overwrite").parquet(f"{out}/{BATCH}={epoch}")
 
     stream.writeStream.outputMode("update").foreachBatch(changed).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    rows = None
-    for epoch in _epochs(spark, out):
-        own = spark.read.schema(stream.schema).parquet(f"{out}/{epoch}").withColumn("__epoch", F.lit(epoch))
-        rows = own if rows is None else rows.unionByName(own)
-    if rows is None:
+    done = _epochs(spark, out, f"{BATCH}=")
+    if not done:
         return spark.createDataFrame([], stream.schema)
+    # One scan of all finished batches; the batch is a column of the folder.
+    rows = spark.read.option("basePath", out).schema(T.StructType([*stream.schema, T.StructField(BATCH, T.LongType())])).parquet(*[f"{out}/{BATCH}={epoch}" for epoch in done])
     values = [c for c in stream.columns if c not in keys]
-    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "__epoch").alias("__last"))
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), BATCH).alias("__last"))
     return last.select(*keys, *[F.col(f"__last.{c}").alias(c) for c in values]).select(stream.columns)
 
 
