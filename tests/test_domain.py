@@ -90,7 +90,7 @@ def test_acronyms_are_candidates(spark):
 
 
 def test_identity_grades(spark):
-    pairs = [("A B College", "a b college", 100), ("College of Acme", "Acme of College", 95), ("New Art School", "nas", 92), ("Acme Tech College", "Acme Tech", 88), ("x", None, 0), ("Red Hill", "Blue Lake", 0)]
+    pairs = [("A B College", "a b college", 100), ("College of Acme", "Acme of College", 95), ("New Art School", "nas", 92), ("Acme Tech College of Art", "Acme Tech", 88), ("Acme Tech", "Acme Tech Library", 88), ("Acme Tech College", "Acme Tech", 85), ("Acme", "Acme Library", 88), ("Acme Tech", "Acme Technical", 0), ("x", None, 0), ("Red Hill", "Blue Lake", 0)]
     got = spark.createDataFrame(pairs, "a string, b string, g int").select(resolution.identity_quality(F.col("a"), F.col("b")).alias("q"), "g").collect()
     assert all(r.q == r.g for r in got), got
 
