@@ -218,10 +218,10 @@ def completeness(spark, sf_dir):
 )
 def best_candidate(spark, sf_dir):
     """Per supplier the customer of its nation with the highest additive score."""
-    pairs = read(spark, sf_dir, "supplier").join(read(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "s_nationkey"), "s_nationkey")
-    gap = F.abs(F.col("c_acctbal") - F.col("s_acctbal"))
-    score = F.when(F.col("c_mktsegment") == "BUILDING", 50).otherwise(20) + F.when(gap < 500, 45).when(gap < 2000, 25).otherwise(0)
-    return matching.best_candidate(pairs, "s_suppkey", score, "c_custkey", 45).select("s_suppkey", "c_custkey", "score")
+    suppliers = read(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nation"), F.col("s_acctbal").alias("balance"))
+    customers = read(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("balance"), F.coalesce(F.col("c_mktsegment") == "BUILDING", F.lit(False)).alias("builds"))
+    tiers = [(True, 500, 95), (True, 2000, 75), (False, 500, 65), (True, None, 50), (False, 2000, 45)]
+    return matching.best_by_tiers(suppliers, customers, "s_suppkey", "c_custkey", "nation", "balance", F.col("builds"), tiers)
 
 
 @query(
