@@ -43,11 +43,11 @@ def canonical_vendors(df: DataFrame, key: str, vendors: str, registry: DataFrame
     The first of equal results stays in place; ``key`` tells rows apart and null arrays give empty ones.
     """
     known = registry.select(match_text(F.col("alias")).alias("__k"), "vendor", "platform", "rank").where("__k <> ''").groupBy("__k").agg(F.min(F.struct("rank", "vendor", "platform")).alias("__r"))
-    parts = df.select(key, F.posexplode(F.flatten(F.transform(F.col(vendors), lambda v: F.coalesce(split_entities(v), F.array().cast("array<string>"))))).alias("__nth", "__entity"))
+    empty = F.array().cast("array<string>")
+    # One row or more a key, so that keys without entities stay; what grows with the rows is merged by key.
+    parts = df.select(key, F.posexplode_outer(F.flatten(F.transform(F.col(vendors), lambda v: F.coalesce(split_entities(v), empty)))).alias("__nth", "__entity"))
     tries = parts.select(key, "__nth", "__entity", F.posexplode(F.array(match_text(F.col("__entity")), match_text(before_bracket(F.col("__entity"))), match_text(last_bracket(F.col("__entity"))))).alias("__try", "__k"))
-    met = tries.join(known, "__k").groupBy(key, "__nth").agg(F.min_by("__r", "__try").alias("__r"))
-    named = parts.join(met, [key, "__nth"], "left").select(key, "__nth", F.coalesce("__r.vendor", F.nullif(before_bracket(F.col("__entity")), F.lit("")), "__entity").alias("vendor"), F.col("__r.platform").alias("platform"))
+    met = tries.join(known, "__k", "left").groupBy(key, "__nth").agg(F.min_by("__r", F.when(F.col("__r").isNotNull(), F.col("__try"))).alias("__r"), F.first("__entity").alias("__entity"))
+    named = met.select(key, "__nth", F.coalesce("__r.vendor", F.nullif(before_bracket(F.col("__entity")), F.lit("")), "__entity").alias("vendor"), F.col("__r.platform").alias("platform"))
     listed = lambda c: F.array_distinct(F.transform(F.array_sort(F.collect_list(F.when(F.col(c).isNotNull(), F.struct("__nth", F.col(c).alias("v"))))), lambda x: x["v"]))
-    lists = named.groupBy(key).agg(listed("vendor").alias("vendors"), listed("platform").alias("platforms"))
-    empty = F.array().cast("array<string>")
-    return df.select(key).distinct().join(lists, key, "left").select(key, F.coalesce("vendors", empty).alias("vendors"), F.coalesce("platforms", empty).alias("platforms"))
+    return named.groupBy(key).agg(listed("vendor").alias("vendors"), listed("platform").alias("platforms"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import vendors
 from ..operators import campaigns, changes, nested
 from ..session import read
-from ..sources.shared import new_path
+from ..sources.shared import grows, new_path
 from .catalog import query
 
 
@@ -100,7 +100,7 @@ def vendor_entities(spark, sf_dir):
     parts = read(spark, sf_dir, "part").withColumn("written", F.expr(_WRITTEN))
     brands = parts.groupBy("p_brand").agg(F.min("p_partkey").alias("rank")).select(F.col("p_brand").alias("alias"), F.concat(F.lit("Maker of "), "p_brand").alias("vendor"), F.col("p_brand").alias("platform"), "rank")
     met = vendors.canonical_vendors(parts.withColumn("list", F.array("written")), "p_partkey", "list", brands)
-    joined = parts.select("p_partkey", F.array_join(vendors.split_entities(F.col("written")), ";").alias("entities")).join(met, "p_partkey")
+    joined = parts.select("p_partkey", F.array_join(vendors.split_entities(F.col("written")), ";").alias("entities")).join(grows(met), "p_partkey")
     return joined.select("p_partkey", "entities", F.array_join("vendors", ";").alias("vendors"), F.array_join("platforms", ";").alias("platforms"))
 
 

@@ -97,3 +97,12 @@ def test_hierarchy(spark):
     got = {r.name: (r.value, [(c.name, c.value, [tuple(d) for d in c.children]) for c in r.children]) for r in nested.hierarchy(rows, ["l", "m", "n"]).collect()}
     assert got == {"r": (4, [("a", 3, [("x", 2), ("w", 1)]), ("b", 1, [("Unknown", 1)])]), "s": (1, [("a", 1, [("y", 1)])])}
     assert nested.hierarchy(rows.limit(0), ["l", "m"]).count() == 0
+
+
+def test_vendors_are_met_by_key_without_sending_rows_everywhere(spark):
+    rows = spark.createDataFrame([(1, ["Acme (Grader), Bolt"]), (2, None), (3, [None, " , "])], "id long, v array<string>")
+    registry = spark.createDataFrame([("grader", "Acme Inc", "Grader", 1)], "alias string, vendor string, platform string, rank int")
+    found = vendors.canonical_vendors(rows, "id", "v", registry)
+    assert {r.id: (r.vendors, r.platforms) for r in found.collect()} == {1: (["Acme Inc", "Bolt"], ["Grader"]), 2: ([], []), 3: ([], [])}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1  # the registry alone
