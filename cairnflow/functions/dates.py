@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,16 +18,22 @@ def relative_day(text: Column, anchor: Column) -> Column:
     digits or words up to twelve, `last week`, `last month`, `last year`, `earlier this month`,
     `earlier this year`. Years name their first day; months keep the day where there is one.
     """
-    low = F.trim(F.regexp_replace(F.lower(text), r"\s+", " "))
+    # What several branches read is made once for a row: an array of one, told by functions of its element.
+    once = lambda value, told: F.get(F.transform(F.array(value), told), F.lit(0))
+    return once(F.trim(F.regexp_replace(F.lower(text), r"\s+", " ")), lambda low: _told(low, anchor, once))
+
+
+def _told(low: Column, anchor: Column, once: Callable) -> Column:
     says = lambda phrase: F.regexp_like(low, F.lit(rf"\b{phrase}\b"))
-    weekday = F.regexp_extract(low, r"\b(?:last|past) (" + "|".join(DAYS) + r")\b", 1)
-    back = F.pmod(F.weekday(anchor) - (F.array_position(F.array(*[F.lit(d) for d in DAYS]), weekday) - 1), F.lit(7)).cast("int")
     ago = r"\b(\d+|" + "|".join(NUMBERS) + r") (day|week|month|year)s? ago\b"
-    count, unit = F.regexp_extract(low, ago, 1), F.regexp_extract(low, ago, 2)
-    n = count.try_cast("int")
-    for word, value in NUMBERS.items():
-        n = F.when(count == word, value).otherwise(n)
-    unit = F.when(n > 0, unit)
+    numbers = F.create_map(*[F.lit(x) for pair in NUMBERS.items() for x in pair])
+    parts = F.struct(F.regexp_extract(low, r"\b(?:last|past) (" + "|".join(DAYS) + r")\b", 1).alias("weekday"), F.regexp_extract(low, ago, 1).alias("count"), F.regexp_extract(low, ago, 2).alias("unit"))
+    counted = lambda p: F.struct(p["weekday"].alias("weekday"), p["unit"].alias("unit"), F.coalesce(F.try_element_at(numbers, p["count"]), p["count"].try_cast("int")).alias("n"))
+    return once(parts, lambda p: once(counted(p), lambda q: _day(q["weekday"], q["n"], F.when(q["n"] > 0, q["unit"]), anchor, says)))
+
+
+def _day(weekday: Column, n: Column, unit: Column, anchor: Column, says: Callable) -> Column:
+    back = F.pmod(F.weekday(anchor) - (F.array_position(F.array(*[F.lit(d) for d in DAYS]), weekday) - 1), F.lit(7)).cast("int")
     new_year = lambda years: F.make_date(F.year(anchor) - years, F.lit(1), F.lit(1))
     found = lambda day, precision: F.struct(day.alias("day"), F.lit(precision).alias("precision"))
     return F.when(

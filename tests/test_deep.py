@@ -7,7 +7,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from cairnflow.functions import vendors
+from cairnflow.functions import dates, vendors
 from cairnflow.operators import campaigns, changes, nested
 from cairnflow.sources.shared import new_path
 
@@ -106,3 +106,11 @@ def test_vendors_are_met_by_key_without_sending_rows_everywhere(spark):
     assert {r.id: (r.vendors, r.platforms) for r in found.collect()} == {1: (["Acme Inc", "Bolt"], ["Grader"]), 2: ([], []), 3: ([], [])}
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 1  # the registry alone
+
+
+def test_relative_days_read_a_text_once(spark):
+    rows = spark.createDataFrame([("Seven  weeks ago", 49), ("0 days ago, last week", 7), ("99999999999 days ago", None), ("five days ago", 5), (None, None)], "t string, back int")
+    rows = rows.withColumn("d", F.lit("2024-05-20").cast("date"))
+    found = rows.select(F.datediff("d", dates.relative_date(F.col("t"), F.col("d"))).alias("got"), "back", dates.relative_day(F.col("t"), F.col("d")).alias("day"))
+    assert all(r.got == r.back for r in found.collect())
+    assert found.select("day")._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
