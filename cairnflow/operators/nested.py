@@ -22,17 +22,14 @@ def leaves(df: DataFrame, document: str, keep: list[str], levels: int = LEVELS)
     spark = df.sparkSession
     at = df.select(*keep, F.lit("").alias("path"), F.try_parse_json(F.col(document)).alias("node"))
     kind = lambda c: F.coalesce(F.schema_of_variant(c), F.lit("VOID"))
-    out = None
-    for level in range(levels + 1):
-        shape = kind(F.col("node"))
-        inner = shape.startswith("OBJECT")
-        closed = at.where(~inner) if level < levels else at
-        found = closed.where((F.col("path") != "") & (shape != "VOID")).select(*keep, "path", F.when(shape.startswith("ARRAY"), "list").otherwise("value").alias("kind"), F.to_json("node").alias("value"))
-        out = found if out is None else out.unionByName(found)
-        if level < levels:
-            opened = at.where(inner).lateralJoin(spark.tvf.variant_explode(F.col("node").outer()))
-            at = opened.select(*keep, F.concat(F.when(F.col("path") != "", F.concat(F.col("path"), F.lit("."))).otherwise(""), F.col("key")).alias("path"), F.col("value").alias("node"))
-    return out
+    # One pass: an object gives a row a key at each level, all else goes on as it is.
+    for _ in range(levels):
+        told = at.withColumn("__open", kind(F.col("node")).startswith("OBJECT"))
+        opened = told.lateralJoin(spark.tvf.variant_explode_outer(F.when(F.col("__open"), F.col("node")).outer())).where(~F.col("__open") | F.col("key").isNotNull())
+        below = F.concat(F.when(F.col("path") != "", F.concat(F.col("path"), F.lit("."))).otherwise(""), F.col("key"))
+        at = opened.select(*keep, F.when(F.col("__open"), below).otherwise(F.col("path")).alias("path"), F.when(F.col("__open"), F.col("value")).otherwise(F.col("node")).alias("node"))
+    shape = kind(F.col("node"))
+    return at.where((F.col("path") != "") & (shape != "VOID")).select(*keep, "path", F.when(shape.startswith("ARRAY"), "list").otherwise("value").alias("kind"), F.to_json("node").alias("value"))
 
 
 def _parents(path: Column) -> Column:

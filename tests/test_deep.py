@@ -114,3 +114,11 @@ def test_relative_days_read_a_text_once(spark):
     found = rows.select(F.datediff("d", dates.relative_date(F.col("t"), F.col("d"))).alias("got"), "back", dates.relative_day(F.col("t"), F.col("d")).alias("day"))
     assert all(r.got == r.back for r in found.collect())
     assert found.select("day")._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
+
+
+def test_leaves_open_documents_in_one_pass(spark):
+    docs = [(1, '{"a":{"b":{"c":{"d":{"e":1}}},"x":{}},"l":[1],"n":null}'), (2, "{}"), (3, "[1]"), (4, "no json"), (5, None), (6, '{"":{"k":2}}')]
+    found = nested.leaves(spark.createDataFrame(docs, "id long, doc string"), "doc", ["id"])
+    assert sorted(map(tuple, found.collect())) == [(1, "a.b.c.d", "value", '{"e":1}'), (1, "l", "list", "[1]"), (6, "k", "value", "2")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan
