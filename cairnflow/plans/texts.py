@@ -78,7 +78,7 @@ def json_extract(spark, sf_dir):
 def indicator_counts(spark, sf_dir):
     """Indicators of whole texts, classified in a fixed order."""
     shape = r"""[^\s<>"'(),;]*(?:[0-9]{1,3}\.){3}[0-9]{1,3}|[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}|[0-9a-fA-F]{32,128}|https?://[^\s<>"']+"""
-    found = read(spark, sf_dir, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(shape), F.lit(0))).alias("v"))
+    found = read(spark, sf_dir, "documents").select("doc_id", F.explode(F.regexp_extract_all(tx.indicator_words(F.col("text")), F.lit(shape), F.lit(0))).alias("v"))
     return found.groupBy(F.coalesce(tx.indicator_kind(F.col("v")), F.lit("other")).alias("kind")).agg(F.count("*").alias("n"), F.count_distinct("v").alias("n_values"), F.count_distinct("doc_id").alias("n_docs"))
 
 
