@@ -11,6 +11,8 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +22,8 @@ from ..sources.shared import grows
 
 #: Entries of a table that is small enough to be sent to every task.
 MOST = 50_000
+#: Bits of the bitmap of a larger table's phrases (fixed, 8 MB), and of one of its rows; rows of a batch of texts.
+BITS, ROW_BITS, BATCH_ROWS = 1 << 26, 1 << 15, 1000
 WORD = r"[0-9a-z\x80-\U0010ffff]+"
 HIT = T.StructType().add("kind", T.StringType()).add("label", T.StringType()).add("rank", T.IntegerType()).add("at", T.IntegerType())
 
@@ -81,15 +85,43 @@ def with_phrases(df: DataFrame, text: str, table: DataFrame, out: str = "hits",
     return rows.withColumn(low, F.lower(F.col(text))).mapInArrow(match, T.StructType(list(rows.schema)).add(out, T.ArrayType(HIT)))
 
 
+def _place(n: Column, gram: Column) -> Column:
+    """The bitmap's place of an n-gram."""
+    return F.pmod(F.xxhash64(n, gram), F.lit(BITS)).cast("int")
+
+
+def _bitmap(places: DataFrame) -> bytes:
+    """BITS bits, on at the places given (bit); as many bytes whatever the number of places."""
+    rows = places.groupBy(F.shiftright("bit", 15).alias("row")).agg(F.bitmap_construct_agg(F.col("bit").bitwiseAND(ROW_BITS - 1).cast("long")).alias("bits"))
+    out = bytearray(BITS // 8)
+    for r in rows.toLocalIterator():
+        out[r.row * ROW_BITS // 8 : (r.row + 1) * ROW_BITS // 8] = r.bits
+    return bytes(out)
+
+
 def _joined(rows: DataFrame, text: str, entries: DataFrame, out: str, key: str | None) -> DataFrame:
-    """The same by hash: n-grams of the lengths that the table has, met with its entries."""
+    """The same by hash: n-grams of the lengths that the table has, met with its entries; a bitmap of fixed size tells in the tasks which may be met."""
     if key is None:
         raise ValueError("a large table of phrases needs a key column")
+    conf = rows.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:  # texts are long
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     words = lambda c: F.regexp_extract_all(c, F.lit(r"[0-9a-z\x{80}-\x{10FFFF}]+"), F.lit(0))
     keyed = entries.withColumn("w", words(F.col("phrase"))).where(F.size("w") > 0).select("kind", "label", "rank", F.size("w").alias("n"), F.array_join("w", " ").alias("gram"))
     sizes = F.array(*[F.lit(r.n) for r in keyed.select("n").distinct().orderBy("n").collect()])  # a row for each length
-    placed = rows.select(F.col(key).alias("__key"), words(F.lower(F.col(text))).alias("w")).where(F.size("w") > 0).select("__key", "w", F.explode(F.sequence(F.lit(1), F.size("w"))).alias("i"))
-    grams = placed.select("__key", "w", "i", F.explode(sizes).alias("n")).where(F.col("i") + F.col("n") - 1 <= F.size("w")).select("__key", (F.col("i") - 1).alias("at"), "n", F.array_join(F.slice("w", F.col("i"), F.col("n")), " ").alias("gram"))
+    bits = rows.sparkSession.sparkContext.broadcast(_bitmap(keyed.select(_place(F.col("n"), F.col("gram")).alias("bit"))))
+
+    @F.pandas_udf("array<int>")
+    def marked(places: pd.Series) -> pd.Series:
+        on = np.frombuffer(bits.value, np.uint8)
+        return places.map(lambda p: np.flatnonzero(on[(at := np.asarray(p, np.int64)) >> 3] >> (at & 7).astype(np.uint8) & 1).astype(np.int32))
+
+    # Grams stay with their text until the bitmap has dropped nearly all that no entry is equal to.
+    gram = lambda s: F.array_join(F.slice("w", s["at"] + 1, s["n"]), " ")
+    spots = F.flatten(F.transform(sizes, lambda n: F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(0), F.size("w") - n), lambda at: F.struct(at.alias("at"), n.alias("n")))).otherwise(F.array().cast("array<struct<at:int,n:int>>"))))
+    placed = rows.select(F.col(key).alias("__key"), words(F.lower(F.col(text))).alias("w")).where(F.size("w") > 0).withColumn("spots", spots)
+    few = placed.withColumn("on", marked(F.transform("spots", lambda s: _place(s["n"], gram(s)))))
+    grams = few.select("__key", F.explode(F.transform("on", lambda k: F.struct(F.get("spots", k)["at"].alias("at"), F.get("spots", k)["n"].alias("n"), gram(F.get("spots", k)).alias("gram")))).alias("g")).select("__key", "g.*")
     met = grams.join(grows(keyed), ["n", "gram"])
     order = F.array_sort(F.collect_list(F.struct("at", "rank", "kind", "label")))
     lists = met.groupBy("__key").agg(F.transform(order, lambda h: F.struct(h["kind"].alias("kind"), h["label"].alias("label"), h["rank"].alias("rank"), h["at"].alias("at"))).alias(out))
