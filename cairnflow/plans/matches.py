@@ -84,7 +84,7 @@ def name_match(spark, sf_dir):
 )
 def candidate_edges(spark, sf_dir):
     """Edges between orders that share a part within the days a shared platform allows; every line takes part."""
-    parts = read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_set(F.col("l_partkey").cast("string")).alias("platforms"))  # an order's lines
+    parts = read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_set("l_partkey").cast("array<string>").alias("platforms"))  # an order's lines
     rows = read(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day")).join(parts, "o_orderkey")
     return campaigns.campaign_edges(rows, "o_orderkey").withColumn("gap_days", F.col("gap_days").cast("long"))
 

@@ -53,3 +53,10 @@ def test_pairs_look_no_profiles_up(spark):
     for shared in (False, True):
         plan = campaigns.campaign_edges(found, "id", shared=shared)._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" in plan and not re.search(r"\b(a|b)#\d+L? = \w*node#|node#\d+L? = (a|b)#", plan)
+
+
+def test_candidate_edges_move_no_profiles_by_pairs(spark):
+    from cairnflow.plans import load
+
+    plan = load().PLANS["candidate_edges"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and not re.search(r"\b(a|b)#\d+L? = \w*node#|node#\d+L? = (a|b)#", plan)
