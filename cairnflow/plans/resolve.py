@@ -108,7 +108,7 @@ def _waves(spark, sf_dir):
 
 def _campaigns(spark, sf_dir):
     found = _waves(spark, sf_dir)
-    edges = keep(campaigns.campaign_edges(found, "o_orderkey", SUPPLY, shared=True), "campaign-edges")
+    edges = campaigns.campaign_edges(found, "o_orderkey", SUPPLY, shared=True)
     return campaigns.campaigns(found, "o_orderkey", edges, supply_categories=SUPPLY)
 
 
