@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import read as ev_read
-from ..sources.shared import new_path
+from ..sources.shared import move, new_path
 from ..streaming import events as ev
 from ..streaming import ingest as take
 from .catalog import query
@@ -88,9 +88,12 @@ def _landed(spark, sf_dir):
     rows = events.select("event_id", F.concat_ws("-", F.lit("u"), "user_id", F.to_date("ts").cast("string"), "event_type").alias("url"), F.concat(F.lit("user "), "user_id").alias("name"), F.col("ts").cast("timestamp").alias("ts"), third.alias("k"))
     behind = (F.col("k") == 0) & (F.col("event_id") % 50 == 0)
     again = (F.col("k") == 1) & (F.col("event_id") % 20 == 0)
-    base, landing = new_path(spark, "ingest"), new_path(spark, "landing")
-    for part in (rows.where((F.col("k") == 0) & ~behind), rows.where("k = 1"), rows.where((F.col("k") == 2) | behind | again)):
-        part.drop("k").write.mode("append").parquet(landing)
+    base, landing, feed = (new_path(spark, x) for x in ("ingest", "landing", "feed"))
+    # All landings are written in one pass, in files of a size that is read side by side; then one after the other is moved in.
+    landed = rows.withColumn("k", F.explode(F.when(behind, F.array(F.lit(2))).when(again, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.col("k").cast("int")))))
+    landed.write.option("maxRecordsPerFile", 200_000).partitionBy("k").parquet(feed)
+    for k in range(3):
+        move(spark, f"{feed}/k={k}", f"{landing}/k={k}")
         take.ingest(spark.readStream.schema("event_id long, url string, name string, ts timestamp").parquet(landing), base, "2 days")
     return base
 

@@ -17,6 +17,15 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder within the shared folder, so that what reads ``target``'s parent finds it whole or not; one that is not there becomes an empty one."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(new.getParent())
+    if not (files.rename(old, new) if files.exists(old) else files.mkdirs(new)):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def keep(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it again.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from cairnflow.sources.shared import new_path
+from cairnflow.sources.shared import move, new_path
 from cairnflow.streaming import ingest
 
 SCHEMA = "event_id long, url string, name string, ts timestamp"
@@ -42,3 +42,39 @@ def test_steps_and_batches_run_again(spark):
 def test_empty_store(spark):
     base = new_path(spark, "ingest-none")
     assert ingest.incidents(spark, base).count() == 0 and ingest.store(spark, base, "late").count() == 0
+
+
+def test_a_part_is_one_file_whatever_the_tasks(spark):
+    """Every task once wrote a file of its own into each part, so that files grew with tasks times parts."""
+    base = new_path(spark, "ingest-files")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for epoch in (0, 1):
+            rows = spark.range(600).selectExpr(f"id + {400 * epoch} AS event_id", "concat('u', event_id) AS url", "concat('n', event_id DIV 2) AS name", "TIMESTAMP '2024-05-10' AS ts")
+            ingest.step(rows, epoch, base)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for name in ("events", "urls", "names"):
+        files = ingest.store(spark, base, name).inputFiles()
+        assert len({f.rsplit("/", 1)[0] for f in files}) > ingest.BUCKETS and len(files) == len({f.rsplit("/", 1)[0] for f in files}), name
+    got = ingest.incidents(spark, base).collect()
+    assert sorted((r.incident_id, r.events, r.urls) for r in got) == [(k, 2, 2) for k in range(0, 1000, 2)]
+
+
+def test_what_is_known_adds_no_rows(spark):
+    """Known events, urls and names meet the batch as rows of its groups; what the batch does not name stays out of it."""
+    base = new_path(spark, "ingest-known")
+    ingest.step(spark.createDataFrame([(1, "u1", "Lake", at(10)), (2, "u2", "Hill", at(10)), (3, "u3", "Wood", at(10))], SCHEMA), 0, base)
+    ingest.step(spark.createDataFrame([(1, "u1", "Lake", at(10)), (4, "u2", "Zed", at(11)), (5, "u5", "Wood", at(10)), (6, "u5", "Wood", at(10)), (6, "u5", "Wood", at(10, 1))], SCHEMA), 1, base)
+    got = sorted((r.event_id, r.incident_id, r.step, r.ts.hour) for r in ingest.store(spark, base, "accepted").collect())
+    assert got == [(1, 1, "new", 0), (2, 2, "new", 0), (3, 3, "new", 0), (4, 2, "url", 0), (5, 3, "name_date", 0), (6, 3, "name_date", 0)]
+    assert sorted((r.url, r.incident_id) for r in ingest.store(spark, base, "urls").collect()) == [("u1", 1), ("u2", 2), ("u3", 3), ("u5", 3)]
+    assert sorted((r.name, r.incident_id) for r in ingest.store(spark, base, "names").collect()) == [("Hill", 2), ("Lake", 1), ("Wood", 3)]
+
+
+def test_moved_folders(spark):
+    base = new_path(spark, "moves")
+    spark.range(3).write.parquet(f"{base}/from/k=0")
+    move(spark, f"{base}/from/k=0", f"{base}/to/k=0")
+    move(spark, f"{base}/from/k=1", f"{base}/to/k=1")
+    assert spark.read.parquet(f"{base}/to/k=0").count() == 3 and spark.read.schema("id long").parquet(f"{base}/to/k=1").count() == 0
